@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, packing
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_packing": packing.op2_packing,
+    "op3_token_output": packing.op3_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {}
