@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import mixing, packing, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_packing": packing.op2_packing,
     "op3_token_output": packing.op3_token_output,
+    "op9_url_filter": urls.op9_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {}
