@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, urls
+from . import mixing, packing, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_packing": packing.op2_packing,
     "op3_token_output": packing.op3_token_output,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op9_url_filter": urls.op9_url_filter,
 }
 
