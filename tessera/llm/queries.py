@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, toxicity, urls
+from . import ann, mixing, packing, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_packing": packing.op2_packing,
     "op3_token_output": packing.op3_token_output,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_topk": topk.op5_topk,
+    "op7_ann": ann.op7_ann,
     "op9_url_filter": urls.op9_url_filter,
 }
 
