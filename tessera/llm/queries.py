@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, mixing, packing, topk, toxicity, urls
+from . import ann, licenses, mixing, packing, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,9 @@ QUERIES = {
     "op5_topk": topk.op5_topk,
     "op7_ann": ann.op7_ann,
     "op9_url_filter": urls.op9_url_filter,
+    "op10_licenses": licenses.op10_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_licenses": licenses.SQL,
+}
