@@ -7,7 +7,7 @@ exact containment: the share of the template's shingles that the text holds must
 Template windows start at every shingle.  Templates of fewer than 2 * WIDE shingles are looked up by windows of a
 single shingle, which meet with certainty wherever one shingle is shared.  Longer ones use windows of WIDE shingles
 every WIDE / 2, in BANDS bands of one min-hash each: windows of Jaccard similarity s meet with probability
-1 - (1 - s) ** BANDS, 0.98 at one half, and an untouched run of 3 * WIDE / 2 shingles with certainty.
+1 - (1 - s) ** BANDS, 0.94 at one half, and an untouched run of 3 * WIDE / 2 shingles with certainty.
 
 Defined results: null and empty texts and texts of fewer than five words match nothing; equal texts get equal matches;
 each template is reported once a document; an empty table gives an empty result; extra columns are ignored.
@@ -38,7 +38,7 @@ TEMPLATES = (
 )
 WORDS = 5
 WIDE = 8
-BANDS = 6
+BANDS = 4
 SHARE = 0.8
 
 
@@ -61,19 +61,20 @@ def shingles(text: Column) -> Column:
 
 def band_keys(window: Column) -> Column:
     """A key a band: the band's least hash in the window, marked with the band."""
-    salt = [0x1E3779B97F4A7C15, 0x4F6CDD1D2B1C3E57, 0x2545F4914F6CDD1D, 0x6A09E667F3BCC908, 0x3C6EF372FE94F82B, 0x510E527FADE682D1]
+    salt = [0x1E3779B97F4A7C15, 0x4F6CDD1D2B1C3E57, 0x2545F4914F6CDD1D, 0x6A09E667F3BCC908]
 
     def least_with(s: int) -> Column:
         return F.array_min(F.transform(window, lambda x: x.bitwiseXOR(F.lit(s))))
 
-    least = [least_with(s) for s in salt[:BANDS]]
+    least = [least_with(s) for s in salt]
     return F.array(*[F.xxhash64(F.lit(b), m) for b, m in enumerate(least)])
 
 
 def window_keys(h: Column, step: int) -> Column:
-    """Distinct band keys of the windows of WIDE shingles that start every step shingles."""
+    """Distinct band keys of the windows of WIDE shingles that start every step shingles; h is a bound variable or a
+    plain column, as it is read once a window."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(h) - WIDE + 1, F.lit(1)), F.lit(step))
-    keys = F.flatten(F.transform(starts, lambda i: band_keys(F.slice(h, i, WIDE))))
+    keys = F.flatten(F.transform(starts, lambda i: let(F.slice(h, i, WIDE), band_keys)))
     return F.when(F.size(h) > 0, F.array_distinct(keys)).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -89,10 +90,9 @@ def _longs(values) -> Column:
     return F.array(*[F.lit(v).cast("bigint") for v in values]) if values else F.array().cast("array<bigint>")
 
 
-def _verified(t) -> Column:
-    """Template t's match where one of its windows was met: what the text holds of its shingles."""
+def _verified(t, h: Column, met: Column) -> Column:
+    """Template t's match where one of its windows was met: what the text holds of its shingles; else null."""
     n = len(t["h"])
-    met = F.arrays_overlap(F.col("_wide" if t["wide"] else "_single"), _longs(t["keys"]))
 
     def described(both: Column) -> Column:
         return F.struct(
@@ -100,27 +100,38 @@ def _verified(t) -> Column:
             F.size(both).cast("long").alias("matched"),
             F.lit(n).cast("long").alias("shingles"),
             (F.size(both) / F.lit(float(n))).alias("containment"),
-            (F.array_position(F.col("h"), F.get(both, F.lit(0))) - 1).cast("long").alias("first_word"),
+            (F.array_position(h, F.get(both, F.lit(0))) - 1).cast("long").alias("first_word"),
         )
 
-    return F.when(met, let(F.array_intersect(F.col("h"), _longs(t["h"])), described))
+    return F.when(F.arrays_overlap(met, _longs(t["keys"])), let(F.array_intersect(h, _longs(t["h"])), described))
+
+
+def matches(text: Column, index: list, share: float = SHARE) -> Column:
+    """The licenses in a text.  Each step's result is bound once, so the optimizer can't copy it into later ones."""
+    single = _longs(sorted({k for t in index if not t["wide"] for k in t["keys"]}))
+    wide = _longs(sorted({k for t in index if t["wide"] for k in t["keys"]}))
+    long_ones = any(t["wide"] for t in index)
+
+    def of_shingles(h: Column) -> Column:
+        met = F.array_intersect(h, single)
+        if long_ones:
+            met = F.concat(met, F.array_intersect(window_keys(h, WIDE // 2), wide))
+        return let(met, lambda m: F.when(F.size(m) > 0, of_met(h, m)))
+
+    def of_met(h: Column, met: Column) -> Column:
+        found = F.array(*[_verified(t, h, met) for t in index])
+        return F.filter(found, lambda c: c.isNotNull() & (c["containment"] >= share))
+
+    return let(shingles(text), of_shingles)
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, share: float = SHARE) -> DataFrame:
     """doc_id, license, matched, shingles, containment, first_word (from 0) of each license found."""
     index = indexed_templates(docs.sparkSession, templates)
-    single = sorted({k for t in index if not t["wide"] for k in t["keys"]})
-    wide = sorted({k for t in index if t["wide"] for k in t["keys"]})
-    held = docs.select("doc_id", shingles(F.col("text")).alias("h")).filter(F.size("h") > 0)
-    held = held.withColumn("_single", F.array_intersect("h", _longs(single)))
-    if wide:
-        held = held.withColumn("_wide", F.array_intersect(window_keys(F.col("h"), WIDE // 2), _longs(wide)))
-    else:
-        held = held.withColumn("_wide", _longs([]))
-    held = held.filter((F.size("_single") > 0) | (F.size("_wide") > 0))
-    checks = [_verified(t) for t in index]
-    found = F.filter(F.array(*checks), lambda c: c.isNotNull() & (c["containment"] >= share))
-    return held.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*")
+    found = docs.select("doc_id", matches(F.col("text"), index, share).alias("found"))
+    # the outer form: from the inner one the optimizer infers a filter that computes the matches once more
+    each = found.select("doc_id", F.explode_outer("found").alias("f")).filter("f is not null")
+    return each.select("doc_id", "f.*")
 
 
 def op10_licenses(spark, sf_dir: str) -> DataFrame:
