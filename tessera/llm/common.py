@@ -165,3 +165,40 @@ class Bloom:
     @classmethod
     def unpack(cls, data: bytes) -> Bloom:
         return cls(np.unpackbits(np.frombuffer(data, dtype=np.uint8)).astype(bool))
+
+
+def might_hold(bloom: Bloom, spark: SparkSession, key: Column) -> Column:
+    """Whether the 64-bit key may be among the filter's."""
+    held = spark.sparkContext.broadcast(bloom.packed())  # of fixed size
+
+    @F.pandas_udf("boolean")
+    def test(batches_: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        mine = Bloom.unpack(held.value)
+        for b in batches_:
+            yield pd.Series(mine.has(b.fillna(0).to_numpy(np.int64).view(np.uint64)))
+
+    return test(key)
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """v, root (the least vertex of v's component) of the vertices of edges: large-star and small-star rounds, each a
+    partial minimum per vertex and a join, until they change nothing.  Nothing is gathered on the driver but counts."""
+    now = materialize(
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct(), "edges"
+    )
+    mark = None
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = now.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u")  # w > u
+        large = large.select(F.col("w").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionByName(lower.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
+        after = materialize(small, "stars")
+        sign = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 40))).first()
+        drop_scratch(now)
+        now = after
+        if sign == mark:
+            return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
+        mark = sign

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, licenses, mixing, packing, topk, toxicity, urls
+from . import ann, licenses, mixing, near, packing, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_output": packing.op3_token_output,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_topk": topk.op5_topk,
+    "op6_near_dedup": near.op6_near_dedup,
     "op7_ann": ann.op7_ann,
     "op9_url_filter": urls.op9_url_filter,
     "op10_licenses": licenses.op10_licenses,
