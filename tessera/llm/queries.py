@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, licenses, mixing, near, packing, topk, toxicity, urls
+from . import ann, licenses, lines, mixing, near, packing, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,10 +12,12 @@ QUERIES = {
     "op5_topk": topk.op5_topk,
     "op6_near_dedup": near.op6_near_dedup,
     "op7_ann": ann.op7_ann,
+    "op8_line_dedup": lines.op8_line_dedup,
     "op9_url_filter": urls.op9_url_filter,
     "op10_licenses": licenses.op10_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": lines.SQL,
     "op10_licenses": licenses.SQL,
 }
