@@ -31,8 +31,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, zero_too: bool = True)
 
 
 def packed(rows: DataFrame, size: int, name: str, tree: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """rows (vec_id, v) as table of (dim, number, n, ids, data): up to size rows of one dimension each, as bytes.  Rows
-    are dealt by hash; equal ids and vectors may be dealt apart, so a group of copies is spread."""
+    """rows (vec_id, v) as table of (dim, number, n, ids, data): up to size rows of one dimension each, as bytes."""
 
     def run(frames):
         held: dict[int, tuple[list, list]] = {}
@@ -55,9 +54,8 @@ def packed(rows: DataFrame, size: int, name: str, tree: Callable[[np.ndarray], n
 
     n = rows.count()
     parts = max(1, -(-n // size))
-    # an id's turn as well as its value: rows that share an id or a vector are still dealt over all shards
-    dealt = rows.repartition(parts, F.xxhash64("vec_id", "v", F.monotonically_increasing_id()))
-    out = dealt.mapInPandas(run, "dim long, n long, ids binary, data binary")
+    # round robin: shards are even, whatever the ids and however often a vector occurs
+    out = rows.repartition(parts).mapInPandas(run, "dim long, n long, ids binary, data binary")
     return materialize(out.withColumn("number", F.monotonically_increasing_id()), name)
 
 
