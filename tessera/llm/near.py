@@ -5,11 +5,13 @@ a Poisson process whose rate is its weight: its arrivals, drawn from its hash, h
 the earliest arrival's shingle, and a shingle stops once its next arrival comes after every register's.  Two
 signatures agree in a register with a probability equal to the probability Jaccard similarity of the documents.
 
-Signatures are cut into bands.  Equal texts are one vertex.  In each bucket of a band the least vertex is the hub; a
-vertex is compared with one hub at a time, on its shingles, and those that reach 0.8 are joined.  Pairs that already
-belong together aren't compared; when nothing is left to compare with a hub it leaves the bucket and the next takes
-its turn, so that in the end every two members of a bucket have been compared or belong together.  There is no bound on
-buckets or rounds, and no pair of equal texts is ever made.
+Equal texts are one vertex, so no pair of copies is ever made.  Half of the registers are cut into bands of five, 25 of
+them: vertices of similarity 0.8 share a bucket with probability 0.99995.  A bucket's members are dealt into blocks, and
+blocks meet in pairs where signatures are compared register by register, all 250 of them; only members of different
+classes whose signatures agree in 0.7 of the registers (four standard deviations under 0.8) come out, at first the best
+of each vertex.  Those are verified on the shingles themselves, and what reaches 0.8 is joined into classes.  When best
+partners join nothing more, all remaining such pairs between classes are verified.  There is no bound on buckets, on
+partners or on rounds.
 
 Defined results: a null text is like no other; texts without words are alike only if equal; texts of fewer than five
 words are one shingle; null doc_ids count as greatest in choosing a class's id, which is null if all its ids are; equal
@@ -32,6 +34,9 @@ WORDS = 5
 SIMILAR = 0.8
 ROWS = 5
 BANDS = 25
+REGISTERS = 250
+PLAUSIBLE = 0.7
+BLOCK = 512
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CACHE = 1_000_000
 
@@ -72,13 +77,16 @@ def prob_min_hash(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarr
     sig = np.zeros(len(sets) * m, np.uint64)
     now, turn = np.zeros(len(e)), 0
     while len(e):
-        turn += 1
-        draw = mix64(e + np.uint64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        now = now - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / rate
+        k = max(1, min(64, 8192 // len(e)))  # few shingles left: several arrivals of each at a time
+        turns = np.arange(turn + 1, turn + k + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+        draw = mix64(e[None] + turns)
+        wait = -np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / rate
+        times = now + np.cumsum(wait, axis=0)
         at = doc * m + (mix64(draw ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(m)).astype(np.int64)
-        np.minimum.at(first, at, now)
-        won = first[at] == now
-        sig[at[won]] = e[won]
+        np.minimum.at(first, at.ravel(), times.ravel())
+        won = first[at] == times
+        sig[at[won]] = np.broadcast_to(e, at.shape)[won]
+        now, turn = times[-1], turn + k
         go = now < first.reshape(-1, m).max(axis=1)[doc]  # later arrivals change nothing
         e, rate, doc, now = e[go], rate[go], doc[go], now[go]
     return sig.reshape(-1, m)
@@ -116,9 +124,10 @@ def probability_jaccard(a: tuple, b: tuple) -> float:
 FINGERPRINT = "unhex(md5(text))"
 
 
-def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """doc_id, fp (of the text) and bands of every document; no bands for texts without words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.binary()), ("bands", pa.list_(pa.int64()))])
+def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS, registers: int = REGISTERS) -> DataFrame:
+    """doc_id, fp (of the text), bands and sig (a byte of each register) of every document; no bands for texts without
+    words."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(frames):
         for frame in frames:
@@ -127,14 +136,17 @@ def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFra
                 ids, fps, texts = (part.column(i).to_pylist() for i in range(3))
                 sets = [shingle_hashes(t or "") for t in texts]
                 full = [i for i, s in enumerate(sets) if len(s[0])]
-                got: list = [[] for _ in sets]
+                got: list = [([], b"") for _ in sets]
                 if full:
-                    for i, b in zip(full, band_hashes(prob_min_hash([sets[i] for i in full], rows * bands), rows), strict=True):
-                        got[i] = b.view(np.int64).tolist()
-                yield from batches(schema, zip(ids, fps, got, strict=True), weigh=lambda r: 32 + 8 * len(r[2]))
+                    sig = prob_min_hash([sets[i] for i in full], registers)
+                    keys, low = band_hashes(sig[:, : rows * bands], rows), mix64(sig).astype(np.uint8)
+                    for i, k, x in zip(full, keys, low, strict=True):
+                        got[i] = (k.view(np.int64).tolist(), x.tobytes())
+                out = [(i, f, *g) for i, f, g in zip(ids, fps, got, strict=True)]
+                yield from batches(schema, out, weigh=lambda r: 300 + 8 * len(r[2]))
 
     held = docs.select(F.col("doc_id").cast("long"), F.expr(FINGERPRINT).alias("fp"), "text")
-    return held.mapInArrow(run, "doc_id long, fp binary, bands array<long>")
+    return held.mapInArrow(run, "doc_id long, fp binary, bands array<long>, sig binary")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -178,7 +190,7 @@ def similar(pairs: DataFrame, sets: DataFrame, at_least: float = SIMILAR) -> Dat
                 sv, cv, sh, ch = (np.asarray(cols[j][i].values) for j in range(2, 6))
                 a, b = (sv.view(np.uint64), cv), (sh.view(np.uint64), ch)
                 small, large = sorted((len(sv), len(sh)))
-                alike.append(bool(probability_jaccard(a, b) >= at_least) if small else large == 0)
+                alike.append(bool(probability_jaccard(a, b) >= at_least - 1e-12) if small else large == 0)
             yield pa.RecordBatch.from_arrays([cols[0], cols[1], pa.array(alike)], names=["h", "v", "alike"])
 
     return mine.select("h", "v", "sv", "cv", "sh", "ch").mapInArrow(run, "h binary, v binary, alike boolean")
@@ -187,14 +199,14 @@ def similar(pairs: DataFrame, sets: DataFrame, at_least: float = SIMILAR) -> Dat
 def classes(docs: DataFrame, at_least: float = SIMILAR, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """doc_id, fp, class_id (least doc_id of its class) of every document."""
     signed = materialize(signatures(docs, rows, bands), "signatures")
-    texts = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    texts = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     texts = materialize(texts, "texts")
     keys = texts.select("fp", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = materialize(keys.join(shared, "key").select("key", F.col("fp").alias("v")), "buckets")
     label = None  # v, root; vertices that aren't there are their own root
     if not members.isEmpty():
-        label = _link(docs, members, at_least)
+        label = _link(docs, members, texts.select(F.col("fp").alias("v"), "sig"), at_least)
     if label is None:
         own = texts.select("fp", F.col("rep").alias("class_id"))
     else:
@@ -207,39 +219,103 @@ def classes(docs: DataFrame, at_least: float = SIMILAR, rows: int = ROWS, bands:
     return out.select("doc_id", "fp", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def _link(docs: DataFrame, members: DataFrame, at_least: float) -> DataFrame | None:
-    """v, root of the vertices that were joined to others."""
-    sets = shingle_sets(docs, members.select("v").distinct())
-    tested = edges = label = None
+def _blocks(held: DataFrame, size: int = BLOCK) -> DataFrame:
+    """key, blk, held: the members (v, root, sig) of each bucket in blocks of about size."""
+    n = held.groupBy("key").agg(F.ceil(F.count("*") / size).alias("k"))
+    dealt = held.join(n, "key").withColumn("blk", F.pmod(F.xxhash64("v"), F.col("k")))
+    return dealt.groupBy("key", "blk").agg(F.collect_list(F.struct("v", "root", "sig")).alias("held"))
+
+
+def plausible_pairs(blocks: DataFrame, at_least: float, best: bool) -> DataFrame:
+    """a, b, agree: members of a bucket of different roots whose signatures agree in at_least of the registers; if best,
+    only each member's best (as far as its task knows)."""
+    other = blocks.select("key", F.col("blk").alias("blk2"), F.col("held").alias("held2"))
+    met = blocks.join(other, "key").filter("blk <= blk2")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("agree", pa.float64())])
+
+    def members(cell):
+        v, root, sig = (cell.values.field(i).to_pylist() for i in range(3))
+        return v, root, np.frombuffer(b"".join(sig), np.uint8).reshape(len(v), -1)
+
+    def run(frames):
+        top: dict[bytes, tuple[float, bytes]] = {}
+
+        def note(v, w, e):
+            if e > top.get(v, (0.0, b""))[0]:
+                top[v] = (e, w)
+
+        def pairs():
+            for frame in frames:
+                for r in range(frame.num_rows):
+                    va, ra, sa = members(frame.column(0)[r])
+                    vb, rb, sb = members(frame.column(1)[r])
+                    numbers = {x: i for i, x in enumerate(dict.fromkeys(ra + rb))}
+                    na, nb = (np.fromiter((numbers[x] for x in y), np.int64, len(y)) for y in (ra, rb))
+                    for at in range(0, len(va), 32):
+                        agree = (sa[at : at + 32, None, :] == sb[None]).mean(axis=2, dtype=np.float32)
+                        agree[na[at : at + 32, None] == nb[None]] = 0
+                        if not best:
+                            for i, j in zip(*np.nonzero(agree >= at_least), strict=True):
+                                yield va[at + i], vb[j], float(agree[i, j])
+                            continue
+                        for i in np.flatnonzero(agree.max(axis=1) >= at_least):
+                            j = int(agree[i].argmax())
+                            note(va[at + i], vb[j], float(agree[i, j]))
+                        for j in np.flatnonzero(agree.max(axis=0) >= at_least):
+                            i = int(agree[:, j].argmax())
+                            note(vb[j], va[at + i], float(agree[i, j]))
+                    if len(top) > 100_000:
+                        yield from ((v, w, e) for v, (e, w) in top.items())
+                        top.clear()
+            yield from ((v, w, e) for v, (e, w) in top.items())
+
+        yield from batches(schema, pairs())
+
+    # dealt anew, as a bucket's pairs of blocks would all follow its key
+    met = met.select("held", "held2").repartition(F.xxhash64(F.col("held")[0]["v"], F.col("held2")[0]["v"]))
+    found = met.mapInArrow(run, "a binary, b binary, agree double")
+    return found.select(F.least("a", "b").alias("h"), F.greatest("a", "b").alias("v"), "agree", F.col("a"))
+
+
+def _link(docs: DataFrame, members: DataFrame, signed: DataFrame, at_least: float, plausible: float = PLAUSIBLE) -> DataFrame | None:
+    """v, root of the vertices that were joined to others.  members: key, v of the buckets."""
+    plausible = plausible * at_least / SIMILAR
+    sets = tested = edges = label = None
+    best = True
     while True:
         held = members
         if label is not None:
             held = members.join(label, "v", "left").withColumn("root", F.coalesce("root", "v"))
         else:
             held = members.withColumn("root", F.col("v"))
-        hubs = held.groupBy("key").agg(F.min(F.struct("v", "root")).alias("h"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-        hubs = hubs.filter("r0 <> r1").select("key", F.col("h.v").alias("h"), F.col("h.root").alias("hr"))
-        held = materialize(held.join(hubs, "key"), "open")  # buckets that hold different classes
-        pairs = held.filter((F.col("root") != F.col("hr")) & (F.col("v") != F.col("h"))).select("key", "h", "v")
+        mixed = held.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
+        held = materialize(held.join(mixed, "key").join(signed, "v"), "open")  # buckets that hold different classes
+        blocks = materialize(_blocks(held), "blocks")
+        pairs = plausible_pairs(blocks, plausible, best)
+        if best:
+            pairs = pairs.groupBy("a").agg(F.max_by(F.struct("h", "v"), "agree").alias("p")).select("p.h", "p.v")
+        pairs = pairs.select("h", "v").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["h", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        # hubs with nothing left to compare leave their buckets
-        busy = pairs.select("key").distinct()
-        rest = held.join(busy.withColumn("busy", F.lit(True)), "key", "left").filter("busy or v <> h").select("key", "v")
-        if held.isEmpty():
+        if sets is None:
+            # all that may ever be compared: members of mixed buckets
+            sets = shingle_sets(docs, held.select("v").distinct())
+        new = None
+        if not pairs.isEmpty():
+            said = materialize(similar(pairs, sets, at_least), "compared")
+            failed = said.filter("not alike").select("h", "v")
+            tested = failed if tested is None else tested.unionByName(failed)
+            new = said.filter("alike").select("h", "v")
+            if new.isEmpty():
+                new = None
+            else:
+                edges = new if edges is None else edges.unionByName(new)
+                label = components(edges, "h", "v")
+        if not best:
             return label
-        members = materialize(rest, "buckets")
-        if pairs.isEmpty():
-            continue
-        asked = pairs.groupBy("v").agg(F.min("h").alias("h"))
-        said = materialize(similar(asked, sets, at_least), "compared")
-        failed = said.filter("not alike").select("h", "v")
-        tested = failed if tested is None else tested.unionByName(failed)
-        new = said.filter("alike").select("h", "v")
-        if not new.isEmpty():
-            edges = new if edges is None else edges.unionByName(new)
-            label = components(edges, "h", "v")
+        best = new is not None
+        members = held.select("key", "v")
 
 
 def near_dedup(docs: DataFrame, at_least: float = SIMILAR) -> DataFrame:
