@@ -1,0 +1 @@
+"""Column functions: text, dates, hashes and validators, all built from Spark's own."""

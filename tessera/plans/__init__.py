@@ -1,0 +1 @@
+"""Queries that run the operators over the driver's tables."""

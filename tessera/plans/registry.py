@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-FLAGSHIP = "catalog_search"
+from . import catalogue, claims, inventory, text, validation
+
+FLAGSHIP = "timeline_latest"
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+for _part in (catalogue, inventory, text, claims, validation):
+    QUERIES |= _part.QUERIES
+    ORACLE_SQL |= _part.ORACLE_SQL
