@@ -38,7 +38,7 @@ REGISTERS = 250
 PLAUSIBLE = 0.7
 BLOCK = 512
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CACHE = 1_000_000
+_CACHE = 300_000
 
 
 class _Hashes(dict):

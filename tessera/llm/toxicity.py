@@ -35,7 +35,7 @@ LEAST_DOCS = 8
 STEMS = (3, 4, 5, 6, 7)
 WINDOW = 40
 QUOTED = 0.4
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"\w+")
 _QUOTE = re.compile(r"[\"“”„«»]")
