@@ -56,6 +56,10 @@ def is_empty(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
+def strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"\A\s+|\s+\z", "")
+
+
 def lines(c: Column) -> Column:
     """Stripped lines that aren't blank."""
     return F.filter(F.transform(F.split(c, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085  ]"), lambda x: F.trim(x)), lambda x: x != "")
@@ -191,7 +195,7 @@ def html_to_text(c: Column) -> Column:
     bare = F.regexp_replace(bare, r"(?s)<[^>]*>", "")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"[ \t]+", " "), r"\n\s*\n\s*\n+", "\n\n"))
+    return strip(F.regexp_replace(F.regexp_replace(bare, r"[ \t]+", " "), r"\n\s*\n\s*\n+", "\n\n"))
 
 
 def strip_quoted(c: Column, marker: str = r"^(On .* wrote:|-----Original Message-----)") -> Column:

@@ -136,3 +136,22 @@ query(
 )(
     lambda s: L.record_violations(s["runs"].select(F.expr("CASE WHEN id % 10 = 5 THEN 'R' ELSE concat('run-', id) END AS run_id"), "status", F.col("run_at").alias("ended_at"), F.expr("timestamp_ntz'1995-01-01 00:00:00' AS started_at"), F.lit("").alias("summary")), ["OK", "ERROR"])
 )
+
+from tessera.operators import signals as G  # noqa: E402
+
+query("pipeline_roll_up", "SELECT source, count(*) AS n, CAST(count_if(n_chars < 1000) AS BIGINT) AS attention FROM documents GROUP BY 1 UNION ALL SELECT 'TOTAL', count(*), CAST(count_if(n_chars < 1000) AS BIGINT) FROM documents")(
+    lambda s: G.roll_up(s.t("documents").select("source", F.when(F.col("n_chars") < 1000, "FAILED").otherwise("SUCCESS").alias("status")), "source", "status", ["FAILED"])
+)
+query("backup_freshness", "SELECT event_type AS name, max(ts) FILTER (WHERE value < 10) AS created_at, CASE WHEN max(ts) FILTER (WHERE value < 10) IS NULL OR max(ts) FILTER (WHERE value < 10) + INTERVAL 900 SECOND < TIMESTAMP '2024-01-15 00:00:00' THEN 'DEGRADED' ELSE 'PASS' END AS classification FROM events GROUP BY 1")(
+    lambda s: G.backup_freshness(s.t("events").select(F.col("event_type").alias("name"), F.col("ts").alias("created_at"), (F.col("value") < 10).alias("verified")), "2024-01-15 00:00:00", 900)
+)
+query(
+    "chunk_aggregate",
+    """SELECT user_id AS file_id, bool_or(value > 30) AS present, round(max(value), 6) AS p_max, bool_or(event_type = 'view') AS phrase_any,
+arg_max(props, (CASE WHEN event_type = 'view' THEN 1 ELSE 0 END, value, -event_id)) FILTER (WHERE value > 30) AS excerpt, any_value(d) AS domain, any_value(votes) AS votes, count(*) AS chunks
+FROM events JOIN (SELECT user_id AS u, arg_min(event_type, (-n, event_type)) AS d, max(n) AS votes FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1) ON u = user_id GROUP BY 1""",
+)(lambda s: G.aggregate_chunks(s.t("events").select(F.col("user_id").alias("file_id"), F.col("event_id").alias("chunk"), (F.col("value") > 30).alias("positive"), F.col("value").alias("p"), (F.col("event_type") == "view").alias("phrase"), F.col("props").alias("excerpt"), F.col("event_type").alias("domain"))).withColumn("p_max", F.round("p_max", 6)))
+query(
+    "template_gate",
+    "SELECT doc_id, CASE WHEN strpos(lower(text), 'licensed under') BETWEEN 1 AND 2001 THEN 'license' WHEN strpos(lower(text), 'the') BETWEEN 1 AND 21 OR source LIKE '%9%' THEN 'english' ELSE 'generic' END AS template FROM documents",
+)(lambda s: s.t("documents").select("doc_id", G.template(F.col("text"), F.col("source"), F.lit(False), [("license", "licensed under", 2000, ""), ("english", "the", 20, "9")]).alias("template")))

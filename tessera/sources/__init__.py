@@ -1,0 +1,100 @@
+"""Readers: JSON lines, event files, entity-grouped JSON, file scans, Markdown tables, text extraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tessera.functions import text as X
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, ord: a text file's lines; ord rises in the order of file and line.  One reader task a file keeps a file's
+    lines in order; monotonically_increasing_id then needs no shuffle."""
+    return spark.read.option("wholetext", False).text(path).select("value", F.monotonically_increasing_id().alias("ord"))
+
+
+def read_index(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
+    """JSON lines keyed by key; of several lines with a key the last one holds."""
+    rows = numbered_lines(spark, path).filter(F.trim("value") != "").select(F.from_json("value", schema).alias("r"), "ord")
+    w = Window.partitionBy(F.col(f"r.{key}")).orderBy(F.desc("ord"))
+    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("r.*")
+
+
+def read_events(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(events, faults) of an append-only JSON-lines file.  A last line that can't be read is a truncated tail and only
+    left out; any other is a fault: ord, value."""
+    corrupt = StructType([*schema.fields]).add("_corrupt", "string")
+    rows = numbered_lines(spark, path).withColumn("r", F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    last = rows.agg(F.max("ord").alias("_last"))
+    rows = rows.join(F.broadcast(last), F.lit(True))  # one row
+    events = rows.filter(~bad).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema], "ord")
+    return events, rows.filter(bad & (F.col("ord") < F.col("_last"))).select("ord", "value")
+
+
+def read_records(spark: SparkSession, path: str, schema: StructType, valid: str) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, the lines whose record breaks the condition valid)."""
+    rows = numbered_lines(spark, path).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), "value", "ord").select("r.*", "value", "ord")
+    ok = F.coalesce(F.expr(valid), F.lit(False))
+    return rows.filter(ok).drop("value"), rows.filter(~ok).select("ord", "value")
+
+
+def read_entities(spark: SparkSession, path: str, row: str) -> DataFrame:
+    """{entity: [row, ...]} files as entity and the row's columns; a missing id becomes entity:position."""
+    held = spark.read.option("wholetext", True).text(path).select(F.from_json("value", f"map<string, array<struct<{row}>>>").alias("m"))
+    each = held.select(F.explode("m").alias("entity", "rows")).select("entity", F.posexplode("rows").alias("_i", "r")).select("entity", "_i", "r.*")
+    made = F.concat(F.col("entity"), F.lit(":"), F.lpad(F.col("_i").cast("string"), 5, "0"))
+    return each.withColumn("id", F.coalesce("id", made)).drop("_i")
+
+
+def scan_files(spark: SparkSession, root: str, pattern: str = "*", skip: str | None = None) -> DataFrame:
+    """path, filename, extension, size_bytes, modified_at, sha256 and file_id of every file under root."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    name = F.element_at(F.split("path", "/"), -1)
+    out = files.select(
+        "path", name.alias("filename"), F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1)).alias("extension"), F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("modified_at"), F.sha2("content", 256).alias("sha256"),
+    ).withColumn("file_id", F.concat(F.lit("sha256:"), "sha256"))
+    return out.filter(~F.col("path").contains(skip)) if skip else out
+
+
+def file_index(files: DataFrame) -> DataFrame:
+    """One row a content with its paths in order."""
+    return files.groupBy("file_id", "sha256").agg(F.sort_array(F.collect_set("path")).alias("paths"), F.min("size_bytes").alias("size_bytes"), F.min("extension").alias("extension"))
+
+
+def extract_text(spark: SparkSession, root: str, most: int = 50_000_000) -> DataFrame:
+    """file_id, path, status and text of text-like files; other kinds arrive as tables of extraction records."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    text = F.decode("content", "UTF-8")
+    plain = ext.isin("txt", "md", "csv", "json")
+    status = F.when(F.col("length") > most, "TOO_LARGE").when(plain | ext.isin("html", "htm"), "SUCCESS").otherwise("UNSUPPORTED")
+    body = F.when(status == "SUCCESS", F.when(plain, text).otherwise(X.html_to_text(text)))
+    return files.select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("file_id"), "path", status.alias("status"), body.alias("text"))
+
+
+def markdown_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The rows of a report's table with that many columns, without header and rule."""
+    rows = numbered_lines(spark, path).filter(F.col("value").rlike(r"^\s*\|.*\|\s*$") & ~F.col("value").rlike(r"^\s*\|[\s:|\-]+\|\s*$"))
+    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
+    rows = rows.select(cells.alias("c"), "ord").filter(F.size("c") == len(columns))
+    head = rows.agg(F.min("ord").alias("_head"))
+    rows = rows.join(F.broadcast(head), F.col("ord") > F.col("_head"))  # one row
+    return rows.select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)])
+
+
+def property_value(value, kind):
+    """A typed page property (a JSON object) as text: title, rich_text, number, select, multi_select, date, checkbox, url."""
+    joined = lambda p: F.array_join(F.from_json(F.get_json_object(value, p), "array<string>"), "")
+    listed = lambda p: F.array_join(F.from_json(F.get_json_object(value, p), "array<string>"), ", ")
+    return (
+        F.when(kind == "title", joined("$.title[*].plain_text"))
+        .when(kind == "rich_text", joined("$.rich_text[*].plain_text"))
+        .when(kind == "multi_select", listed("$.multi_select[*].name"))
+        .when(kind == "select", F.get_json_object(value, "$.select.name"))
+        .when(kind == "date", F.get_json_object(value, "$.date.start"))
+        .otherwise(F.coalesce(F.get_json_object(value, "$.number"), F.get_json_object(value, "$.checkbox"), F.get_json_object(value, "$.url")))
+    )
