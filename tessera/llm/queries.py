@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_topk": topk.SQL,
     "op8_line_dedup": lines.SQL,
     "op10_licenses": licenses.SQL,
 }

@@ -80,3 +80,15 @@ def op5_topk(spark, sf_dir: str) -> DataFrame:
     rows = usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     rows = rows.filter("vec_id is not null").withColumn("v", F.transform("v", lambda x: F.floor(x * SCALE).cast("double")))
     return top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
+
+
+SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+WHERE rank <= 5"""
