@@ -186,19 +186,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = materialize(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct(), "edges"
     )
-    mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # large star: a vertex's greater neighbours go to the least of its neighbourhood
         large = now.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u")  # w > u
-        large = large.select(F.col("w").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(lower.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
-        after = materialize(small, "stars")
-        sign = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 40))).first()
+        large = large.select(F.col("w").alias("u"), F.col("m").alias("v")).filter("u > v")
+        # small star: a vertex and its lesser neighbours, of which it has few by now, go to the least of them
+        lower = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        small = lower.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        after = materialize(small.filter("u > v").distinct(), "stars")
         drop_scratch(now)
         now = after
-        if sign == mark:
+        # done when every vertex has one edge, to a vertex that has none itself
+        more = now.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("v"))
+        if more.filter("n > 1").isEmpty() and now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
-        mark = sign

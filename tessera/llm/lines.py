@@ -272,7 +272,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     both = both.withColumn("emptied", (F.col("lines_dropped") > 0) & ~F.col("text").rlike(r"[^\s]"))
     if "n_chars" in docs.columns:
         both = both.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return both.select(*docs.columns, "lines_dropped", "emptied")
+    return both.select(*[c for c in docs.columns if c not in ("lines_dropped", "emptied")], "lines_dropped", "emptied")
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

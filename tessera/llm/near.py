@@ -271,8 +271,9 @@ def plausible_pairs(blocks: DataFrame, at_least: float, best: bool) -> DataFrame
 
         yield from batches(schema, pairs())
 
-    # dealt anew, as a bucket's pairs of blocks would all follow its key
-    met = met.select("held", "held2").repartition(F.xxhash64(F.col("held")[0]["v"], F.col("held2")[0]["v"]))
+    # dealt anew, as a bucket's pairs of blocks would all follow its key; a task for some blocks, so that what is best of
+    # a vertex is known over more than one bucket
+    met = met.select("held", "held2").repartition(max(8, blocks.count() // 64))
     found = met.mapInArrow(run, "a binary, b binary, agree double")
     return found.select(F.least("a", "b").alias("h"), F.greatest("a", "b").alias("v"), "agree", F.col("a"))
 
