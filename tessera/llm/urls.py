@@ -2,8 +2,8 @@
 
 Rules over host and path judge the URLs they fit.  The URLs that rules accept or reject train two variable-order
 Markov models over characters: counts of (context, next character) of every order up to a limit, gathered from all
-judged rows, kept in tables of a fixed number of hashed cells, and blended from low to high order (Witten-Bell
-smoothing).  A URL that no rule fits is blocked where the length-normalised log-likelihood difference, accepted minus
+judged rows, kept exactly in a distributed table of the different grams (a character with those before it), and blended
+from low to high order (Witten-Bell smoothing).  A URL that no rule fits is blocked where the length-normalised log-likelihood difference, accepted minus
 rejected, is under a threshold.  The threshold is calibrated: of all scores of judged rows, binned, the cut that errs
 least, each class counted alike.
 
@@ -14,14 +14,11 @@ the classes apart and unjudged URLs are allowed; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, table
+from .common import materialize, table
 
 #: (verdict, host suffix, path prefix), as the contract gives them
 RULES = (
@@ -32,8 +29,11 @@ RULES = (
     ("block", "com", "/de/"),
 )
 ORDER = 5
-CELLS = 1 << 16
 BINS = 400
+#: bound on the grams whose ratios are broadcast; it spares shuffles and decides nothing
+FREQUENT = 1 << 16
+#: ratios are whole numbers of 1 / FIXED
+FIXED = float(1 << 36)
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -54,93 +54,55 @@ def rule_fit(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _codes(text: str, order: int) -> np.ndarray:
-    """Code points, after order starting marks and before an ending one."""
-    body = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    return np.concatenate([np.full(order, 2, np.uint64), body, np.full(1, 3, np.uint64)])
+def _grams(url: Column, order: int) -> Column:
+    """For each character and the end of the url: the order characters before it (marks before the start) and itself."""
+    marked = F.concat(F.lit("\x02" * order), url, F.lit("\x03"))
+    return F.transform(F.sequence(F.lit(1), F.length(url) + 1), lambda i: F.substring(marked, i, F.lit(order + 1)))
+
+
+def gather_grams(urls: DataFrame, order: int = ORDER) -> DataFrame:
+    """gram, n (how often it occurs), n0 and n1 (how often in rejected and accepted rows) over every row of urls (url,
+    accepted 0/1 or null).  A row a different gram, so the table grows with what there is to count."""
+    each = urls.select("accepted", F.explode(_grams(F.col("url"), order)).alias("gram"))
+    of = [F.count(F.when(F.col("accepted") == c, 1)).alias(f"n{c}") for c in (0, 1)]
+    return materialize(each.groupBy("gram").agg(F.count("*").alias("n"), *of), "grams")
 
 
-def _contexts(codes: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order k: hashes of the k characters before each position and of those with the character itself."""
-    n = len(codes) - order
-    key = np.zeros(n, dtype=np.uint64)
-    last = codes[order:]
+def gram_ratios(grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """gram, ratio: log likelihood of a gram's last character after the others, accepted minus rejected, in FIXED
+    units.  Order by order, each different ending of the grams is joined to its context's counts (how often it occurs,
+    and before how many different characters) and to the probability at the order below.  An ending or context has at
+    most as many rows in a join as there are characters."""
+    below = None
     for k in range(order + 1):
-        if k:
-            key = mix64(key * np.uint64(0x100000001B3) + codes[order - k : order - k + n] + np.uint64(k))
-        yield k, key, mix64(key ^ (last * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
-
-
-class Markov:
-    """counts[c][k, cell]: how often a context with its next character, or a context, or a distinct character after
-    a context, fell into the cell; c is what is counted, k the order."""
-
-    def __init__(self, counts: np.ndarray):
-        self.grams, self.contexts, self.kinds = counts
-
-    def mean_log_likelihood(self, text: str, order: int = ORDER) -> float:
-        cells = np.uint64(self.grams.shape[1] - 1)
-        p = None
-        for k, context, gram in _contexts(_codes(text, order), order):
-            seen = self.grams[k][(gram & cells).astype(np.int64)]
-            at = (context & cells).astype(np.int64)
-            total, kinds = self.contexts[k][at], self.kinds[k][at]
-            if p is None:
-                p = np.full(len(seen), 1 / 256.0)
-            seen = np.minimum(seen, total)
-            p = (seen + np.maximum(kinds, 1) * p) / (total + np.maximum(kinds, 1))
-        return float(np.log(p).mean())
-
-
-def gather_counts(judged: DataFrame, order: int = ORDER, cells: int = CELLS) -> np.ndarray:
-    """[class][grams, contexts, kinds][order][cell] over every row of judged (url, accepted 0/1).  Each task adds up its
-    rows in tables of fixed size; their sums are added by cell, so what reaches the driver is bounded by cells."""
-
-    def run(frames):
-        mine = np.zeros((2, 2, order + 1, cells), dtype=np.int64)
-        low = np.uint64(cells - 1)
-        for frame in frames:
-            for url, accepted in zip(frame["url"], frame["accepted"], strict=True):
-                for k, context, gram in _contexts(_codes(url, order), order):
-                    np.add.at(mine[accepted, 0, k], (gram & low).astype(np.int64), 1)
-                    np.add.at(mine[accepted, 1, k], (context & low).astype(np.int64), 1)
-        flat = mine.reshape(-1)
-        at = np.flatnonzero(flat)
-        yield pd.DataFrame({"at": at, "n": flat[at]})
-
-    got = judged.mapInPandas(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((2, 3, order + 1, cells), dtype=np.int64)
-    flat = np.zeros(2 * 2 * (order + 1) * cells, dtype=np.int64)
-    flat[got["at"].to_numpy()] = got["n"].to_numpy()
-    out[:, :2] = flat.reshape(2, 2, order + 1, cells)
-    return out
-
-
-def gather_kinds(judged: DataFrame, counts: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Fills in how many different characters followed each context cell: distinct (context cell, gram cell) pairs."""
-    cells = counts.shape[-1]
-
-    def run(frames):
-        low = np.uint64(cells - 1)
-        pairs: list[set] = [set(), set()]
-        for frame in frames:
-            for url, accepted in zip(frame["url"], frame["accepted"], strict=True):
-                for k, context, gram in _contexts(_codes(url, order), order):
-                    key = ((np.uint64(k) << np.uint64(50)) | ((context & low) << np.uint64(25)) | (gram & low)).astype(np.int64)
-                    pairs[accepted].update(key.tolist())
-        for c, found in enumerate(pairs):
-            yield pd.DataFrame({"c": np.full(len(found), c), "pair": np.fromiter(found, np.int64, len(found))})
-
-    cell = (F.shiftright("pair", 25).bitwiseAND(F.lit((1 << 25) - 1))).alias("cell")
-    got = (
-        judged.mapInPandas(run, "c long, pair long")
-        .distinct()
-        .groupBy("c", F.shiftright("pair", 50).alias("k"), cell)
-        .count()
-        .toPandas()
-    )
-    counts[got["c"].to_numpy(), 2, got["k"].to_numpy(), got["cell"].to_numpy()] = got["count"].to_numpy()
-    return counts
+        ending = F.substring("gram", order + 1 - k, k + 1)
+        now = grams.groupBy(ending.alias("ending")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        now = now.withColumn("context", F.substring("ending", 1, k))
+        totals = [F.sum(f"n{c}").alias(f"t{c}") for c in (0, 1)]
+        kinds = [F.greatest(F.count(F.when(F.col(f"n{c}") > 0, 1)), F.lit(1)).alias(f"k{c}") for c in (0, 1)]
+        after = now.join(now.groupBy("context").agg(*totals, *kinds), "context")
+        if below is None:
+            after = after.withColumns({"b0": F.lit(1 / 256.0), "b1": F.lit(1 / 256.0)})
+        else:
+            lower = below.select(F.col("ending").alias("shorter"), F.col("p0").alias("b0"), F.col("p1").alias("b1"))
+            after = after.withColumn("shorter", F.substring("ending", 2, k)).join(lower, "shorter")
+        p = [((F.col(f"n{c}") + F.col(f"k{c}") * F.col(f"b{c}")) / (F.col(f"t{c}") + F.col(f"k{c}"))).alias(f"p{c}") for c in (0, 1)]
+        below = materialize(after.select("ending", *p), "order")
+    ratio = F.round((F.log("p1") - F.log("p0")) * FIXED).cast("long")
+    return below.select(F.col("ending").alias("gram"), ratio.alias("ratio"))
+
+
+def url_scores(urls: DataFrame, grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """row, score: the mean of the ratios of a url's grams.  The grams that make up at least one in FREQUENT are joined
+    where the urls are, the others by a shuffle; both joins are exact, and sums of whole numbers don't depend on order."""
+    ratios = materialize(gram_ratios(grams, order).join(grams.select("gram", "n"), "gram"), "ratios")
+    total = ratios.agg(F.sum("n")).first()[0]
+    often = F.broadcast(ratios.filter(F.col("n") * FREQUENT >= total).select("gram", "ratio"))  # at most FREQUENT rows
+    each = urls.select("row", F.explode(_grams(F.col("url"), order)).alias("gram"))
+    rare = each.join(often, "gram", "left_anti").join(ratios.select("gram", "ratio"), "gram")
+    both = [x.groupBy("row").agg(F.sum("ratio").alias("s"), F.count("*").alias("c")) for x in (each.join(often, "gram"), rare)]
+    total = both[0].unionByName(both[1]).groupBy("row").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    return total.select("row", (F.col("s") / F.col("c") / FIXED).alias("score"))
 
 
 def calibrate(scores: DataFrame, bins: int = BINS) -> float:
@@ -158,33 +120,24 @@ def calibrate(scores: DataFrame, bins: int = BINS) -> float:
     return low + width * float(best[len(best) // 2])
 
 
-def judge(pages: DataFrame, rules=RULES, order: int = ORDER, cells: int = CELLS) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     """page_id, url, host, path, rule, verdict and score (null where no model was asked)."""
-    spark = pages.sparkSession
     base = pages.select("page_id", "url")
     host, path = split_url(F.col("url"))
     base = base.withColumn("host", host).withColumn("path", path)
     rule, said = rule_fit(F.col("host"), F.col("path"), rules)
     base = base.withColumn("rule", rule).withColumn("said", said)
-    judged = materialize(
-        base.filter("said is not null").select("url", (F.col("said") == "allow").cast("int").alias("accepted")), "judged"
-    )
-    both = judged.select("accepted").distinct().count() == 2
+    base = materialize(base.withColumn("row", F.monotonically_increasing_id()), "ruled")
+    both = base.filter("said is not null").select("said").distinct().count() == 2
     if not both:
         return base.select("page_id", "url", "host", "path", "rule", F.coalesce("said", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    counts = gather_kinds(judged, gather_counts(judged, order, cells), order)
-    held = spark.sparkContext.broadcast(counts)  # 2 * 3 * (order + 1) * cells numbers, whatever the corpus
-
-    @F.pandas_udf("double")
-    def ratio(url: pd.Series) -> pd.Series:
-        bad, good = Markov(held.value[0]), Markov(held.value[1])
-        return url.map(lambda u: good.mean_log_likelihood(u, order) - bad.mean_log_likelihood(u, order)).astype("float64")
-
-    threshold = calibrate(judged.withColumn("score", ratio("url")))
-    asked = (F.col("host") != "") | (F.col("path") != "")
-    score = F.when(F.col("said").isNull() & asked, F.col("_score"))
-    open_ = F.when(F.col("said").isNull() & asked, F.col("url")).otherwise("")
-    base = base.withColumn("_score", ratio(open_)).withColumn("score", score)
+    asked = F.col("said").isNotNull() | (F.col("host") != "") | (F.col("path") != "")
+    urls = base.filter(asked).select("row", "url", (F.col("said") == "allow").cast("int").alias("accepted"))
+    scores = url_scores(urls, gather_grams(urls, order), order).withColumnRenamed("score", "_score")
+    base = materialize(base.join(scores, "row", "left"), "scored")
+    judged = base.filter("said is not null")
+    threshold = calibrate(judged.select(F.col("_score").alias("score"), (F.col("said") == "allow").cast("int").alias("accepted")))
+    base = base.withColumn("score", F.when(F.col("said").isNull(), F.col("_score")))
     verdict = F.coalesce("said", F.when(F.col("score") < F.lit(threshold), "block").otherwise("allow"))
     return base.select("page_id", "url", "host", "path", "rule", verdict.alias("verdict"), "score")
 

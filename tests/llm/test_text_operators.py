@@ -1,4 +1,7 @@
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -65,6 +68,38 @@ def test_url_model_tells_classes_apart(spark):
     assert sum(got[5000 + i] == "allow" for i in range(50)) >= 45 and sum(got[6000 + i] == "block" for i in range(50)) >= 45
 
 
+def test_url_scores_are_exact(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé0123456789-") for _ in range(24))
+    urls_ = [f"http://{word()}.{end}{word()}" for end in ("org/", "com/de/", "net/") for _ in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    grams, contexts, kinds = Counter(), Counter(), defaultdict(set)
+
+    def places(url):
+        marked = "\x02" * 5 + url + "\x03"
+        return [(k, marked[i - k : i], marked[i]) for i in range(5, len(marked)) for k in range(6)]
+
+    for i, url in enumerate(urls_[:600]):
+        for k, context, char in places(url):
+            grams[i < 300, k, context, char] += 1
+            contexts[i < 300, k, context] += 1
+            kinds[i < 300, k, context].add(char)
+
+    def mean(good, url):
+        out, p = [], None
+        for k, context, char in places(url):
+            n = max(len(kinds.get((good, k, context), ())), 1)
+            p = (grams[good, k, context, char] + n * (p if k else 1 / 256)) / (contexts[good, k, context] + n)
+            if k == 5:
+                out.append(math.log(p))
+        return sum(out) / len(out)
+
+    monkeypatch.setattr(urls, "FREQUENT", 500)
+    got = {r["page_id"]: r["score"] for r in urls.judge(pages).collect()}
+    for i in range(600, 900):
+        assert abs(got[i] - (mean(True, urls_[i]) - mean(False, urls_[i]))) < 1e-9
+
+
 def test_licenses(spark):
     long_ = dict(licenses.TEMPLATES)["gpl-3.0-notice"]
     words = long_.split()
