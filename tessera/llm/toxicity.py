@@ -1,6 +1,6 @@
 """Operator 4: toxicity by a Levenshtein automaton over a lexicon trie, with context windows.
 
-Fitting, on a bounded sample of labelled rows: (1) document counts of words and of word beginnings per label give a
+Fitting, on a bounded sample of labelled rows, each weighted by how many rows of its label it stands for: (1) document counts of words and of word beginnings per label give a
 lexicon of terms with log-odds weights, whole words and stems; (2) the terms go into a trie, with which a Levenshtein
 automaton is intersected; its states are sets of (trie node, edits), made when first met and kept, so a word costs one
 dictionary step a character; (3) documents are described by what the automaton finds in them and by how the finds lie
@@ -207,13 +207,16 @@ def held_out(doc_id) -> object:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> DataFrame:
-    """(text, toxic): of either label, at most each labelled rows that aren't held out, chosen by hash of the id."""
+    """(text, toxic, weight): of either label, at most each labelled rows that aren't held out, chosen by hash of the id;
+    weight is how many of the label's rows, all counted, a chosen one stands for."""
     y = labels.filter(~held_out("doc_id") & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     y = y.select(F.col("doc_id").alias("_id"), (F.col("toxic") != 0).cast("int").alias("toxic")).distinct()
     h = F.xxhash64(F.lit(5), "_id")
-    picked = y.filter("toxic = 1").orderBy(h, "_id").limit(each).unionByName(y.filter("toxic = 0").orderBy(h, "_id").limit(each))
+    n = {r["toxic"]: r["count"] for r in y.groupBy("toxic").count().collect()}
+    parts = [y.filter(F.col("toxic") == c).orderBy(h, "_id").limit(each).withColumn("weight", F.lit(max(n.get(c, 0) / each, 1.0))) for c in (1, 0)]
+    picked = parts[0].unionByName(parts[1])
     picked = F.broadcast(materialize(picked, "sample"))  # 2 * each rows at most
-    out = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    out = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).select("text", "toxic", "weight")
     return materialize(out, "training")
 
 
@@ -236,7 +239,8 @@ def learn_lexicon(sample: DataFrame, most: int = MAX_TERMS, least: int = LEAST_D
         keys = list(n)
         yield pd.DataFrame({"term": pd.Series([k[0] for k in keys], dtype=object), "stem": [k[1] for k in keys], "clean": [n[k][0] for k in keys], "bad": [n[k][1] for k in keys]})
 
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    got = sample.groupBy("toxic").agg(F.count("*").alias("n"), F.max("weight").alias("weight")).collect()
+    sizes, stands = {r["toxic"]: r["n"] for r in got}, {r["toxic"]: r["weight"] for r in got}
     if len(sizes) < 2:
         return []
     odds = F.log((F.col("bad") + 0.25) / (sizes[1] + 0.5)) - F.log((F.col("clean") + 0.25) / (sizes[0] + 0.5))
@@ -258,20 +262,22 @@ def learn_lexicon(sample: DataFrame, most: int = MAX_TERMS, least: int = LEAST_D
         if not shorter or r["w"] > max(shorter) + 1.0:  # a longer stem only where it tells clearly more
             chosen[r["term"]] = r["w"]
             out.append((r["term"], True, float(r["w"])))
-    out += [(r["term"], False, float(r["w"])) for r in got if not r["stem"] and r["w"] > 3.0 and r["clean"] <= 0.02 * r["bad"] + 1]
+    out += [(r["term"], False, float(r["w"])) for r in got if not r["stem"] and r["w"] > 3.0 and stands[0] * r["clean"] <= 0.02 * stands[1] * r["bad"] + 1]
     out.sort(key=lambda t: (-t[2], t[0]))
     return out[:most]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, share: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights (bias last), means and scales, by Newton's method with a ridge."""
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights (bias last), means and scales, by Newton's method with a ridge; a row counts as weight rows."""
+    n = np.ones(len(x)) if weight is None else weight
+    mean = np.average(x, axis=0, weights=n)
+    scale = np.maximum(np.sqrt(np.average((x - mean) ** 2, axis=0, weights=n)), 1e-9)
     a = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
     penalty = ridge * np.diag([1.0] * x.shape[1] + [1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty, a.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((a * (n * p * (1 - p))[:, None]).T @ a + penalty, a.T @ (n * (y - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -305,10 +311,10 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
     def describe(frames):
         finder = Finder(terms)
         for frame in frames:
-            yield pd.DataFrame({"x": [finder.features(t) for t in frame["text"]], "toxic": frame["toxic"]})
+            yield pd.DataFrame({"x": [finder.features(t) for t in frame["text"]], "toxic": frame["toxic"], "weight": frame["weight"]})
 
-    got = sample.mapInPandas(describe, "x array<double>, toxic int").toPandas()  # at most 2 * each short rows
-    return Model(terms, fit_logistic(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy(float)))
+    got = sample.mapInPandas(describe, "x array<double>, toxic int, weight double").toPandas()  # at most 2 * each short rows
+    return Model(terms, fit_logistic(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy(float), weight=got["weight"].to_numpy(float)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -46,6 +46,18 @@ def test_toxicity_odd(spark):
     assert toxicity.score(none_of(docs), toxicity.fit(none_of(docs), none_of(labels))).count() == 0
 
 
+def test_toxicity_sample_keeps_the_share(spark):
+    # the term is in every toxic row and in as many clean ones, so half of the rows that have it are toxic
+    rows = [(i, "you moron there" if i < 300 else "good day there") for i in range(3000)]
+    rows += [(i, "you moron there") for i in range(3000, 3300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id >= 3000) AS toxic")
+    probe = spark.createDataFrame([(1, "you moron there")], "doc_id long, text string")
+    whole = toxicity.score(probe, toxicity.fit(docs, labels)).first()["toxicity"]
+    cut = toxicity.score(probe, toxicity.fit(docs, labels, 150)).first()["toxicity"]
+    assert 0.4 < whole < 0.6 and abs(cut - whole) < 0.15
+
+
 def test_urls(spark):
     given = [
         (1, "https://A.Example.ORG/es/x?q"), (2, "http://org/"), (3, "http://x.com/fr/1#f"), (4, "ftp://x.COM/de/"), (5, None), (6, "no scheme"), (7, "http://example.org/en/12"),
