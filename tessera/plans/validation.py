@@ -36,8 +36,12 @@ def _map(**pairs):
     return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))])
 
 
-def corpus(s: Source):
-    """Works: the documents, by the customer of their number; people: every third customer; events: orders."""
+#: the customers and orders that _PEOPLE and _E read
+_SQL_PART = ("c_custkey % 3 = 0", "o_orderkey % 2 = 0")
+
+
+def corpus(s: Source, customers: str = "true", orders: str = "true"):
+    """Works: the documents, by the customer of their number; people: customers; events: orders."""
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))
     labels = s.t("labels").select(F.col("doc_id").alias("_l"), "quality", "toxic").dropDuplicates(["_l"])
     d = s.t("documents").join(labels, F.col("doc_id") == F.col("_l"), "left")
@@ -48,12 +52,12 @@ def corpus(s: Source):
         _map(origin=F.expr("CASE doc_id % 3 WHEN 0 THEN 'https://example.org/x' WHEN 1 THEN 'https://dropbox.example/x' END"), state=F.expr("CASE doc_id % 4 WHEN 0 THEN 'Verified' WHEN 1 THEN 'Draft' WHEN 2 THEN 'odd' END"), checked=F.expr("CASE doc_id % 5 WHEN 0 THEN '2024-01-02' WHEN 1 THEN '2020-01-02' END"), public=F.expr("CASE WHEN toxic = 0 THEN 'true' ELSE 'false' END"), **{"class": F.expr("CASE WHEN doc_id % 6 = 0 THEN 'closed' END")}).alias("service"),
         F.col("text").alias("body"), (F.col("doc_id") * 3).alias("ord"),
     )
-    c = s.t("customer").filter("c_custkey % 3 = 0")
+    c = s.t("customer").filter(customers)
     people = c.select(
         F.lit("person"), F.concat(F.lit("p"), F.col("c_custkey").cast("string")), F.expr("CASE WHEN c_custkey % 2 = 0 THEN concat('Ann Lee', cast(c_custkey % 20 AS string)) ELSE concat('Lee', cast((c_custkey - 3) % 20 AS string), ', Ann') END"),
         _map(segment=F.col("c_mktsegment"), balance=F.expr("cast(cast(c_acctbal AS bigint) AS string)")), F.create_map(F.lit("works"), F.expr("array(concat('w', c_custkey))")), _map(note=F.lit("x")), F.lit(None).cast("string"), F.col("c_custkey") * 3 + 1,
     )
-    o = s.t("orders").filter("o_orderkey % 2 = 0")
+    o = s.t("orders").filter(orders)
     events = o.select(
         F.lit("event"), F.concat(F.lit("e"), F.col("o_orderkey").cast("string")), F.concat(F.lit("event "), F.col("o_orderkey").cast("string")),
         _map(start=F.expr("CASE WHEN o_orderkey % 10 = 4 THEN 'soon' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END"), end=F.expr("date_format(date_add(to_date(o_orderdate), cast(o_custkey % 7 AS int) - 2), 'd/M/yyyy')")),
@@ -72,9 +76,9 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def _rule(codes: str, part):
+def _rule(codes: str, part, of: tuple = ()):
     wanted = codes.split(",")
-    return lambda s: part(corpus(s)).filter(F.col("code").isin(*wanted)).select("code", "severity", "record_id", "field")
+    return lambda s: part(corpus(s, *of)).filter(F.col("code").isin(*wanted)).select("code", "severity", "record_id", "field")
 
 
 _L = "(SELECT doc_id, min(quality) AS quality, min(toxic) AS toxic FROM labels GROUP BY 1)"
@@ -88,16 +92,16 @@ def _issues(*parts: tuple[str, str, str, str]) -> str:
 
 query("rule_S01", _issues(("S01", "BLOCKER", "lang", f"{_W} WHERE lang = 'fr'")))(_rule("S01", lambda c: R.field_rules(c, CONFIG)))
 query("rule_S02", _issues(("S02", "MINOR", "label", f"{_W} WHERE quality IS NULL OR quality <> 1")))(_rule("S02", lambda c: R.field_rules(c, CONFIG)))
-query("rule_S03", _issues(("S03", "MINOR", "size", f"{_W} WHERE doc_id % 11 = 0"), ("S03", "MAJOR", "start", f"{_E} WHERE s IS NULL")))(_rule("S03", lambda c: R.field_rules(c, CONFIG)))
+query("rule_S03", _issues(("S03", "MINOR", "size", f"{_W} WHERE doc_id % 11 = 0"), ("S03", "MAJOR", "start", f"{_E} WHERE s IS NULL")))(_rule("S03", lambda c: R.field_rules(c, CONFIG), _SQL_PART))
 query("rule_R01", _issues(("R01", "BLOCKER", "author", f"{_W} WHERE doc_id % 13 = 0")))(_rule("R01", lambda c: R.relation_rules(c, CONFIG)))
 _PEOPLE = "(SELECT c_custkey, 'p' || CAST(c_custkey AS VARCHAR) AS rid FROM customer WHERE c_custkey % 3 = 0)"
-query("rule_R02", _issues(("R02", "MAJOR", "author", f"{_W} WHERE doc_id % 13 > 0 AND 'p' || CAST(doc_id % 100 AS VARCHAR) NOT IN (SELECT rid FROM {_PEOPLE})"), ("R02", "MAJOR", "works", f"{_PEOPLE} WHERE c_custkey NOT IN (SELECT doc_id FROM documents)")))(_rule("R02", lambda c: R.relation_rules(c, CONFIG)))
-query("rule_R03", _issues(("R03", "MINOR", "author", f"{_W} WHERE doc_id % 13 > 0 AND doc_id <> doc_id % 100 AND 'p' || CAST(doc_id % 100 AS VARCHAR) IN (SELECT rid FROM {_PEOPLE})"), ("R03", "MINOR", "works", f"{_PEOPLE} WHERE c_custkey IN (SELECT doc_id FROM documents) AND (c_custkey % 13 = 0 OR c_custkey <> c_custkey % 100)")))(_rule("R03", lambda c: R.relation_rules(c, CONFIG)))
-query("rule_R04", "SELECT 'R04' AS code, 'MAJOR' AS severity, rid AS record_id, '' AS field FROM (SELECT rid FROM " + _E + f" UNION ALL SELECT rid FROM {_W} WHERE doc_id % 13 = 0 AND doc_id NOT IN (SELECT c_custkey FROM {_PEOPLE}))")(_rule("R04", lambda c: R.relation_rules(c, CONFIG)))
-query("rule_T01", _issues(("T01", "BLOCKER", "end", f"{_E} WHERE e < s")))(_rule("T01", lambda c: R.time_rules(c, CONFIG, AS_OF)))
-query("rule_T02", _issues(("T02", "MAJOR", "start", f"{_E} WHERE s < DATE '1993-01-01'"), ("T02", "MINOR", "start", f"{_E} WHERE s > DATE '1997-12-31'")))(_rule("T02", lambda c: R.time_rules(c, CONFIG, AS_OF)))
-query("rule_T05", _issues(("T05", "MINOR", "start", f"{_E} WHERE year(s) NOT BETWEEN 1993 AND 2000")))(_rule("T05", lambda c: R.time_rules(c, CONFIG, AS_OF)))
-query("rule_M01", _issues(("M01", "MAJOR", "", _PEOPLE)))(_rule("M01", lambda c: R.metadata_rules(c, CONFIG, AS_OF)))
+query("rule_R02", _issues(("R02", "MAJOR", "author", f"{_W} WHERE doc_id % 13 > 0 AND 'p' || CAST(doc_id % 100 AS VARCHAR) NOT IN (SELECT rid FROM {_PEOPLE})"), ("R02", "MAJOR", "works", f"{_PEOPLE} WHERE c_custkey NOT IN (SELECT doc_id FROM documents)")))(_rule("R02", lambda c: R.relation_rules(c, CONFIG), _SQL_PART))
+query("rule_R03", _issues(("R03", "MINOR", "author", f"{_W} WHERE doc_id % 13 > 0 AND doc_id <> doc_id % 100 AND 'p' || CAST(doc_id % 100 AS VARCHAR) IN (SELECT rid FROM {_PEOPLE})"), ("R03", "MINOR", "works", f"{_PEOPLE} WHERE c_custkey IN (SELECT doc_id FROM documents) AND (c_custkey % 13 = 0 OR c_custkey <> c_custkey % 100)")))(_rule("R03", lambda c: R.relation_rules(c, CONFIG), _SQL_PART))
+query("rule_R04", "SELECT 'R04' AS code, 'MAJOR' AS severity, rid AS record_id, '' AS field FROM (SELECT rid FROM " + _E + f" UNION ALL SELECT rid FROM {_W} WHERE doc_id % 13 = 0 AND doc_id NOT IN (SELECT c_custkey FROM {_PEOPLE}))")(_rule("R04", lambda c: R.relation_rules(c, CONFIG), _SQL_PART))
+query("rule_T01", _issues(("T01", "BLOCKER", "end", f"{_E} WHERE e < s")))(_rule("T01", lambda c: R.time_rules(c, CONFIG, AS_OF), _SQL_PART))
+query("rule_T02", _issues(("T02", "MAJOR", "start", f"{_E} WHERE s < DATE '1993-01-01'"), ("T02", "MINOR", "start", f"{_E} WHERE s > DATE '1997-12-31'")))(_rule("T02", lambda c: R.time_rules(c, CONFIG, AS_OF), _SQL_PART))
+query("rule_T05", _issues(("T05", "MINOR", "start", f"{_E} WHERE year(s) NOT BETWEEN 1993 AND 2000")))(_rule("T05", lambda c: R.time_rules(c, CONFIG, AS_OF), _SQL_PART))
+query("rule_M01", _issues(("M01", "MAJOR", "", _PEOPLE)))(_rule("M01", lambda c: R.metadata_rules(c, CONFIG, AS_OF), _SQL_PART))
 query("rule_M02", _issues(("M02", "MAJOR", "source", f"{_W} WHERE doc_id % 3 = 2")))(_rule("M02", lambda c: R.metadata_rules(c, CONFIG, AS_OF)))
 query("rule_M03", _issues(("M03", "INFO", "source", f"{_W} WHERE doc_id % 3 = 0")))(_rule("M03", lambda c: R.metadata_rules(c, CONFIG, AS_OF)))
 query("rule_M04", _issues(("M04", "MAJOR", "state", f"{_W} WHERE doc_id % 4 = 3"), ("M04", "MINOR", "state", f"{_W} WHERE doc_id % 4 = 2")))(_rule("M04", lambda c: R.metadata_rules(c, CONFIG, AS_OF)))
@@ -114,7 +118,7 @@ query("rule_Q08", _issues(("Q08", "MINOR", "body", f"{_T} WHERE length(text) > 2
 query("rule_Q07")(_rule("Q07", lambda c: R.text_rules(c, CONFIG)))
 query("rule_D01", _issues(("D01", "BLOCKER", "source,size", f"{_W} WHERE (source, CASE WHEN doc_id % 11 = 0 THEN 'many' ELSE CAST(n_chars AS VARCHAR) END) IN (SELECT (source, z) FROM (SELECT source, CASE WHEN doc_id % 11 = 0 THEN 'many' ELSE CAST(n_chars AS VARCHAR) END AS z FROM documents) GROUP BY source, z HAVING count(*) > 1)")))(_rule("D01", lambda c: R.duplicate_rules(c, CONFIG)))
 _P = "(SELECT rid, c_custkey * 3 + 1 AS ord, CASE WHEN c_custkey % 2 = 0 THEN 'ann lee' || CAST(c_custkey % 20 AS VARCHAR) ELSE 'lee' || CAST((c_custkey - 3) % 20 AS VARCHAR) || ' ann' END AS t, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey % 20 AS VARCHAR) ELSE CAST((c_custkey - 3) % 20 AS VARCHAR) END AS f FROM " + _PEOPLE + ")"
-query("rule_D02", _issues(("D02", "MAJOR", "title", f"{_P} a WHERE EXISTS (SELECT 1 FROM {_P} b WHERE b.f = a.f AND b.t <> a.t AND b.ord > a.ord)")))(_rule("D02", lambda c: R.duplicate_rules(c, CONFIG)))
+query("rule_D02", _issues(("D02", "MAJOR", "title", f"{_P} a WHERE EXISTS (SELECT 1 FROM {_P} b WHERE b.f = a.f AND b.t <> a.t AND b.ord > a.ord)")))(_rule("D02", lambda c: R.duplicate_rules(c, CONFIG), _SQL_PART))
 query("rule_N", "SELECT 'N04' AS code, 'MAJOR' AS severity, '-' AS record_id, '' AS field")(_rule("N01,N03,N04", lambda c: R.corpus_rules(c, CONFIG)))
 query("audit_counts")(lambda s: R.audit(corpus(s), CONFIG, AS_OF, ("event", "start", "guest", "segment")).groupBy("code", "severity").agg(F.count("*").alias("n")))
 query("scores")(lambda s: (lambda c: R.scores(c, R.audit(c, CONFIG, AS_OF), CONFIG))(corpus(s)).select("entity", "id", "have", "all_weight", "blockers", "majors", "exportable"))
