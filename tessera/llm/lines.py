@@ -154,7 +154,7 @@ def _shared(keys: DataFrame) -> DataFrame:
     return keys.join(twice, "key")
 
 
-def near_twins(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def near_twins(docs: DataFrame, texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """digest, keeper: pairs of lines within one edit whose keeper is the earlier one.  texts: a row a different line
     (digest, first, keys)."""
     spark = docs.sparkSession
@@ -171,7 +171,7 @@ def near_twins(docs: DataFrame, texts: DataFrame) -> DataFrame:
             def rows(frame=frame):
                 seen = set()
                 for text in frame.column(0).to_pylist():
-                    lines = [x for x in text.split("\n") if len(x) >= MIN_CHARS and not x.isspace()]
+                    lines = [x for x in text.split("\n") if len(x) >= min_chars and not x.isspace()]
                     digests = [_digest(x) for x in lines]
                     if digests:
                         # as Spark's xxhash64 of a binary column, seed 42
@@ -237,7 +237,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFram
     lines = materialize(line_table(docs, min_chars), "lines")
     texts = lines.groupBy("digest").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"))
     texts = materialize(texts, "line_texts")
-    near = materialize(near_twins(docs, texts).select("digest").distinct().withColumn("near", F.lit(True)), "near")
+    near = materialize(near_twins(docs, texts, min_chars).select("digest").distinct().withColumn("near", F.lit(True)), "near")
     decided = texts.join(near, "digest", "left").filter("near or n > 1").select("digest", "first", F.coalesce("near", F.lit(False)).alias("near"))
     gone = lines.select("doc_id", "fp", "line_no", "digest").join(decided, "digest")
     gone = gone.filter(F.col("near") | (_place() != F.col("first"))).select("doc_id", "fp", "line_no").distinct()

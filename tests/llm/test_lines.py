@@ -42,3 +42,10 @@ def test_odd(spark):
     assert (6, "", 0, True) in got and (3, None, None, None) not in [g for g in got if g[3]]
     assert sum(1 for g in got if g[0] == 1 and g[1]) == 2  # equal rows keep the same lines
     assert L.dedup_lines(none_of(docs)).count() == 0
+
+
+def test_min_chars(spark):
+    rows = [(1, "short line\nother"), (2, "shart line\nothers")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in L.dedup_lines(docs, 8).collect()} == {1: rows[0][1], 2: "others"}
+    assert {r["doc_id"]: r["text"] for r in L.dedup_lines(docs).collect()} == dict(rows)
