@@ -50,7 +50,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No stage but the mixing is one SQL could express; tests hold run() against brute force.
+#: No stage but the mixing is one SQL could express; tests check the columns and ids of each stage, not run()'s rows.
 ORACLE_SQL = None
 
 
