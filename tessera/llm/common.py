@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -19,10 +20,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Arrow batches of whole texts: a task holds a batch as Arrow on both sides and as Python objects.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on the bytes of an Arrow batch to BATCH_BYTES; a lower one stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    digits = "".join(c for c in spark.conf.get(name) if c.isdigit())
+    if not spark.conf.get(name).endswith(("b", *"0123456789")) or int(digits or 0) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """names, each with as many underscores before it as make it differ from all columns, whatever their case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; only where that is unset (tests, local mode) a temporary one."""
+    """The folder that spark.checkpoint.dir names; only in local mode, where it is unset, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _LOCAL:
             _LOCAL.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
         folder = _LOCAL[0]
@@ -33,6 +59,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and returns a read of it: lineage ends there and a lost executor
     costs no recomputation.  cleanup() removes the tables."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

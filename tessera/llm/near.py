@@ -6,12 +6,13 @@ the earliest arrival's shingle, and a shingle stops once its next arrival comes
 signatures agree in a register with a probability equal to the probability Jaccard similarity of the documents.
 
 Equal texts are one vertex, so no pair of copies is ever made.  Half of the registers are cut into bands of five, 25 of
-them: vertices of similarity 0.8 share a bucket with probability 0.99995.  A bucket's members are dealt into blocks, and
-blocks meet in pairs where signatures are compared register by register, all 250 of them; only members of different
-classes whose signatures agree in 0.7 of the registers (four standard deviations under 0.8) come out, at first the best
-of each vertex.  Those are verified on the shingles themselves, and what reaches 0.8 is joined into classes.  When best
-partners join nothing more, all remaining such pairs between classes are verified.  There is no bound on buckets, on
-partners or on rounds.
+them: vertices of similarity 0.8 share a bucket with probability 0.99995.  In rounds, each member of a bucket is
+verified, on the shingles themselves, against a few hubs of it, and what reaches 0.8 is joined into classes; hubs have
+then met their whole bucket and leave it, and so do buckets of one class.  When hubs no longer join much, what is left
+meets in blocks, where signatures of members of different classes are compared register by register, all 250 of them,
+and pairs that agree in 0.7 of the registers (four standard deviations under 0.8) are verified on the shingles at once.  There is no
+bound on buckets, on partners or on rounds.  A hub's pairs grow with its bucket; only texts of different classes that
+still share a bucket meet each other.
 
 Defined results: a null text is like no other; texts without words are alike only if equal; texts of fewer than five
 words are one shingle; null doc_ids count as greatest in choosing a class's id, which is null if all its ids are; equal
@@ -21,14 +22,15 @@ rows are in one class; an empty table gives an empty result; extra columns are i
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Bloom, batches, components, materialize, might_hold, mix64, table
+from .common import Bloom, batches, components, materialize, might_hold, mix64, table, unused
 
 WORDS = 5
 SIMILAR = 0.8
@@ -36,9 +38,13 @@ ROWS = 5
 BANDS = 25
 REGISTERS = 250
 PLAUSIBLE = 0.7
-BLOCK = 512
+#: shingles that are described at a time
+SLICE = 100_000
+#: hubs of a bucket in a round; bytes of a block
+HUBS = 1
+BLOCK = 4 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CACHE = 300_000
+_CACHE = 100_000
 
 
 class _Hashes(dict):
@@ -50,16 +56,26 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+
+
+def forget() -> None:
+    """Ends a partition: idle workers hold no words and no buffers."""
+    _HASHES.clear()
+    pa.default_memory_pool().release_unused()
+
+
 _MULTIPLIERS = [np.uint64(int.from_bytes(xxhash.xxh64_digest(f"place {i}"), "big") | 1) for i in range(64)]
 
 
 def shingle_hashes(text: str, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles' hashes (ascending) and counts."""
-    words = _WORD.findall(text)
-    n = len(words)
+    # words are hashed as they are found: a long text's words aren't held
+    w = np.fromiter((_HASHES[x.group()] for x in _WORD.finditer(text)), np.uint64) if len(text) > 1 << 20 else np.fromiter(
+        map(_HASHES.__getitem__, _WORD.findall(text)), np.uint64
+    )
+    n = len(w)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n)
     if n < k:
         k = n
     acc = np.full(n - k + 1, k, np.uint64)
@@ -75,6 +91,13 @@ def prob_min_hash(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarr
     doc = np.repeat(np.arange(len(sets)), [len(s) for s, _ in sets])
     first = np.full(len(sets) * m, np.inf)
     sig = np.zeros(len(sets) * m, np.uint64)
+    for at in range(0, len(e), SLICE):  # registers keep the earliest arrival, so shingles may come in slices
+        _arrivals(e[at : at + SLICE], rate[at : at + SLICE], doc[at : at + SLICE], first, sig, m)
+    return sig.reshape(-1, m)
+
+
+def _arrivals(e: np.ndarray, rate: np.ndarray, doc: np.ndarray, first: np.ndarray, sig: np.ndarray, m: int) -> None:
+    """Lets shingles e of the documents numbered doc arrive in the registers."""
     now, turn = np.zeros(len(e)), 0
     while len(e):
         k = max(1, min(64, 8192 // len(e)))  # few shingles left: several arrivals of each at a time
@@ -83,13 +106,13 @@ def prob_min_hash(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarr
         wait = -np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / rate
         times = now + np.cumsum(wait, axis=0)
         at = doc * m + (mix64(draw ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(m)).astype(np.int64)
+        before = first[at]
         np.minimum.at(first, at.ravel(), times.ravel())
-        won = first[at] == times
+        won = (first[at] == times) & (times < before)
         sig[at[won]] = np.broadcast_to(e, at.shape)[won]
         now, turn = times[-1], turn + k
         go = now < first.reshape(-1, m).max(axis=1)[doc]  # later arrivals change nothing
         e, rate, doc, now = e[go], rate[go], doc[go], now[go]
-    return sig.reshape(-1, m)
 
 
 def band_hashes(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
@@ -126,24 +149,34 @@ FINGERPRINT = "unhex(md5(text))"
 
 def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS, registers: int = REGISTERS) -> DataFrame:
     """doc_id, fp (of the text), bands and sig (a byte of each register) of every document; no bands for texts without
-    words."""
+    words.  Texts are described SLICE shingles at a time, a longer one by itself."""
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
+    def described(held):
+        sig = prob_min_hash([x for _, _, x in held], registers)
+        keys, low = band_hashes(sig[:, : rows * bands], rows), mix64(sig).astype(np.uint8)
+        for (doc, fp, _), k, x in zip(held, keys, low, strict=True):
+            yield doc, fp, k.view(np.int64), x.tobytes()
+
     def run(frames):
-        for frame in frames:
-            for at in range(0, frame.num_rows, 256):
-                part = frame.slice(at, 256)
-                ids, fps, texts = (part.column(i).to_pylist() for i in range(3))
-                sets = [shingle_hashes(t or "") for t in texts]
-                full = [i for i, s in enumerate(sets) if len(s[0])]
-                got: list = [([], b"") for _ in sets]
-                if full:
-                    sig = prob_min_hash([sets[i] for i in full], registers)
-                    keys, low = band_hashes(sig[:, : rows * bands], rows), mix64(sig).astype(np.uint8)
-                    for i, k, x in zip(full, keys, low, strict=True):
-                        got[i] = (k.view(np.int64).tolist(), x.tobytes())
-                out = [(i, f, *g) for i, f, g in zip(ids, fps, got, strict=True)]
-                yield from batches(schema, out, weigh=lambda r: 300 + 8 * len(r[2]))
+        def each():
+            held, size = [], 0
+            for frame in frames:
+                for doc, fp, text in zip(*frame.columns, strict=True):
+                    x = shingle_hashes(text.as_py() or "")
+                    if not len(x[0]):
+                        yield doc.as_py(), fp.as_py(), [], b""
+                        continue
+                    held.append((doc.as_py(), fp.as_py(), x))
+                    size += len(x[0])
+                    if size >= SLICE or len(held) >= 1024:
+                        yield from described(held)
+                        held, size = [], 0
+            if held:
+                yield from described(held)
+
+        yield from batches(schema, each(), limit=4 << 20, weigh=lambda r: 300 + 8 * len(r[2]))
+        forget()
 
     held = docs.select(F.col("doc_id").cast("long"), F.expr(FINGERPRINT).alias("fp"), "text")
     return held.mapInArrow(run, "doc_id long, fp binary, bands array<long>, sig binary")
@@ -169,7 +202,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         e, c = shingle_hashes(text)
                         yield v, e.view(np.int64), c.astype(np.int32)
 
-            yield from batches(schema, rows(), weigh=lambda r: 32 + 12 * len(r[1]))
+            yield from batches(schema, rows(), limit=4 << 20, weigh=lambda r: 32 + 12 * len(r[1]))
+        forget()
 
     sets = texts.mapInArrow(run, "v binary, shingles array<long>, counts array<int>")
     # copies meet here, most of them already dropped; only one set of each is kept by the partial aggregate
@@ -201,17 +235,20 @@ def classes(docs: DataFrame, at_least: float = SIMILAR, rows: int = ROWS, bands:
     signed = materialize(signatures(docs, rows, bands), "signatures")
     texts = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     texts = materialize(texts, "texts")
-    keys = texts.select("fp", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = materialize(keys.join(shared, "key").select("key", F.col("fp").alias("v")), "buckets")
-    label = None  # v, root; vertices that aren't there are their own root
-    if not members.isEmpty():
-        label = _link(docs, members, texts.select(F.col("fp").alias("v"), "sig"), at_least)
-    if label is None:
+    keys = texts.select(F.col("fp").alias("v"), F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = keys.join(shared, "key").withColumn("degree", F.sum("n").over(Window.partitionBy("v")))
+    members = materialize(members.select("key", "v", "degree", F.col("v").alias("root")), "members")
+    if members.isEmpty():
         own = texts.select("fp", F.col("rep").alias("class_id"))
     else:
-        rooted = texts.join(label, texts["fp"] == label["v"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-        rooted = materialize(rooted, "rooted")
+        label = _link(docs, members, texts.select(F.col("fp").alias("v"), "sig", F.col("bands").alias("keys")), at_least)
+        rooted = texts.select("fp", "rep")
+        if label is not None:
+            rooted = rooted.join(label, texts["fp"] == label["v"], "left").withColumn("root", F.coalesce("root", "fp"))
+        else:
+            rooted = rooted.withColumn("root", F.col("fp"))
+        rooted = materialize(rooted.select("fp", "rep", "root"), "rooted")
         least = rooted.groupBy("root").agg(F.min("rep").alias("class_id"))
         own = rooted.join(least, "root").select("fp", "class_id")
     own = own.withColumnRenamed("fp", "_fp")
@@ -219,108 +256,167 @@ def classes(docs: DataFrame, at_least: float = SIMILAR, rows: int = ROWS, bands:
     return out.select("doc_id", "fp", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def _blocks(held: DataFrame, size: int = BLOCK) -> DataFrame:
-    """key, blk, held: the members (v, root, sig) of each bucket in blocks of about size."""
-    n = held.groupBy("key").agg(F.ceil(F.count("*") / size).alias("k"))
-    dealt = held.join(n, "key").withColumn("blk", F.pmod(F.xxhash64("v"), F.col("k")))
-    return dealt.groupBy("key", "blk").agg(F.collect_list(F.struct("v", "root", "sig")).alias("held"))
+def _hub_round(members: DataFrame, turn: int, hubs: int) -> DataFrame:
+    """The members of buckets of several roots, each with its bucket's hubs (v, root).  One order of all vertices gives
+    the hubs, so that buckets of the same texts have the same: in the first round by degree (the sum of the sizes of a
+    vertex's buckets, greatest where most of what is near it is too), then at random."""
+    order = [F.xxhash64(F.lit(turn), F.lit(i), F.col("v")) for i in range(hubs)]
+    if not turn:
+        order = [F.struct(-F.col("degree"), F.col("v"))]
+    hub = [F.min(F.struct(o.alias("o"), F.col("v").alias("v"), F.col("root").alias("root"))) for o in order]
+    per = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), *[h.alias(f"h{i}") for i, h in enumerate(hub)])
+    per = per.filter("r0 <> r1").select("key", F.array(*[F.struct(f"h{i}.v", f"h{i}.root") for i in range(len(hub))]).alias("hubs"))
+    return materialize(members.join(per, "key"), "met")
 
 
-def plausible_pairs(blocks: DataFrame, at_least: float, best: bool) -> DataFrame:
-    """a, b, agree: members of a bucket of different roots whose signatures agree in at_least of the registers; if best,
-    only each member's best (as far as its task knows)."""
-    other = blocks.select("key", F.col("blk").alias("blk2"), F.col("held").alias("held2"))
-    met = blocks.join(other, "key").filter("blk <= blk2")
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("agree", pa.float64())])
+def _merge(label: DataFrame | None, joined: DataFrame | None) -> DataFrame | None:
+    """label (v, root) after roots were joined to others (joined: v, root of those that are roots no more)."""
+    if label is None or joined is None:
+        return label if joined is None else joined
+    j = joined.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
+    moved = label.join(j, F.col("root") == F.col("_v"), "left").select("v", F.coalesce("_root", "root").alias("root"))
+    return materialize(moved.unionByName(joined), "label")
 
-    def members(cell):
-        v, root, sig = (cell.values.field(i).to_pylist() for i in range(3))
-        return v, root, np.frombuffer(b"".join(sig), np.uint8).reshape(len(v), -1)
 
-    def run(frames):
-        top: dict[bytes, tuple[float, bytes]] = {}
+def _link(docs: DataFrame, members: DataFrame, signed: DataFrame, at_least: float, plausible: float = PLAUSIBLE) -> DataFrame | None:
+    """v, root of the vertices that were joined to others.  members: key, v, degree, root of the buckets.
+
+    In a round every member of a bucket is verified against a few hubs of it, roots are contracted along what is alike,
+    and hubs, which have met all of their bucket, leave it.  Buckets whose members have one root are done.  When hubs
+    no longer join much, the rest meets in blocks."""
+    sets = shingle_sets(docs, members.select("v").distinct())
+    label, turn = None, 0
+    while True:
+        met = _hub_round(members, turn, HUBS)
+        each = met.select("v", "root", F.explode("hubs").alias("hub")).filter("root <> hub.root")
+        pairs = each.select(F.least("v", "hub.v").alias("h"), F.greatest("v", "hub.v").alias("v")).distinct()
+        if turn:
+            sets = materialize(sets.join(met.select("v").distinct(), "v", "left_semi"), "sets")
+        said = materialize(similar(pairs, sets, at_least), "compared")
+        count = said.agg(F.count("*"), F.count(F.when(F.col("alike"), 1))).first()
+        if not count[0]:
+            return label
+        left = met.filter(~F.exists("hubs", lambda h: h["v"] == F.col("v"))).select("key", "v", "degree", "root")
+        if count[1]:
+            joined = _contract(said.filter("alike").select("h", "v"), met)
+            label = _merge(label, joined)
+            j = joined.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
+            left = left.join(j, F.col("root") == F.col("_v"), "left").select("key", "v", "degree", F.coalesce("_root", "root").alias("root"))
+        members = materialize(left, "members")
+        turn += 1
+        if count[1] * 10 < count[0]:
+            break
+    mixed = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
+    held = members.join(mixed, "key").select("key", "v", "root")
+    held = materialize(held.join(signed, "v").join(sets, "v"), "open")
+    if held.isEmpty():
+        return label
+    new = materialize(meet_in_blocks(held, plausible * at_least / SIMILAR, at_least), "linked")
+    return label if new.isEmpty() else _merge(label, _contract(new, held))
+
+
+def _contract(alike: DataFrame, rooted: DataFrame) -> DataFrame:
+    """v, root of the roots that are joined to others by alike (h, v); rooted: v, root."""
+    of = rooted.select("v", "root").distinct()
+    ends = alike.join(of.select("v", F.col("root").alias("b")), "v")
+    ends = ends.join(of.select(F.col("v").alias("h"), F.col("root").alias("a")), "h")
+    return components(ends.select("a", "b"))
 
-        def note(v, w, e):
-            if e > top.get(v, (0.0, b""))[0]:
-                top[v] = (e, w)
 
+def _blocks(held: DataFrame, size: int = BLOCK) -> DataFrame:
+    """key, mark, blk, held: the members (v, root, sig, keys, shingles, counts) of each bucket in blocks of about size
+    bytes; a root with many members has blocks of its own, marked with it."""
+    held = held.withColumn("bytes", 512 + 12 * F.size("shingles"))
+    per = held.groupBy("key", "root").agg(F.sum("bytes").alias("n")).withColumn("own", F.col("n") * 4 >= size)
+    pool = per.filter("not own").groupBy("key").agg(F.sum("n").alias("pool"))
+    per = per.join(pool, "key", "left").select("key", "root", "own", F.ceil(F.when(F.col("own"), F.col("n")).otherwise(F.col("pool")) / size).alias("k"))
+    dealt = held.join(per, ["key", "root"]).withColumn("blk", F.pmod(F.xxhash64("v"), F.col("k")))
+    mark = F.when(F.col("own"), F.col("root")).otherwise(F.lit(b""))
+    return dealt.groupBy("key", mark.alias("mark"), "blk").agg(F.collect_list(F.struct("v", "root", "sig", "keys", "shingles", "counts")).alias("held"))
+
+
+class _Members:
+    """A block's members in arrays."""
+
+    def __init__(self, cell):
+        v, root, sig, keys, shingles, counts = (cell.values.field(i) for i in range(6))
+        self.v, self.root, n = v.to_pylist(), root.to_pylist(), len(v)
+        self.sig = np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(n, -1)
+        self.keys = np.asarray(keys.flatten()).reshape(n, -1)
+        self.at = np.concatenate([[0], np.cumsum([len(x) for x in shingles])])
+        self.shingles, self.counts = np.asarray(shingles.flatten()).view(np.uint64), np.asarray(counts.flatten())
+        self.plain = np.array([self.counts[a:b].max(initial=1) == 1 for a, b in zip(self.at, self.at[1:], strict=False)])
+
+    def set(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        where = slice(self.at[i], self.at[i + 1])
+        return self.shingles[where], self.counts[where]
+
+
+def _alike(a: _Members, i: int, b: _Members, partners: np.ndarray, at_least: float) -> np.ndarray:
+    """Which of b's partners member i of a is similar to."""
+    mine, _ = a.set(i)
+    plain = partners[b.plain[partners]] if a.plain[i] else partners[:0]
+    out = {}
+    if len(plain):  # sets: all partners at once
+        theirs = np.concatenate([b.set(j)[0] for j in plain])
+        size = np.array([b.at[j + 1] - b.at[j] for j in plain])
+        common = np.isin(theirs, mine, assume_unique=False)
+        n = np.add.reduceat(common, np.concatenate([[0], np.cumsum(size)[:-1]]))
+        out.update(zip(plain.tolist(), n >= (at_least - 1e-12) * (size + len(mine) - n), strict=True))
+    return np.array([out[j] if j in out else probability_jaccard(a.set(i), b.set(j)) >= at_least - 1e-12 for j in partners.tolist()], bool)
+
+
+def _links(a: _Members, b: _Members, key: int, plausible: float, at_least: float) -> Iterator[tuple[int, int]]:
+    """Places in a and b of similar members that join different roots; what is joined here isn't compared again."""
+    numbers = {x: i for i, x in enumerate(dict.fromkeys(a.root + b.root))}
+    ra, rb = (np.fromiter((numbers[x] for x in y.root), np.int64, len(y.root)) for y in (a, b))
+    for at in range(0, len(ra), 16):
+        agree = (a.sig[at : at + 16, None, :] == b.sig[None]).mean(axis=2, dtype=np.float32) >= plausible
+        for x in np.flatnonzero(agree.any(axis=1)):
+            i = at + int(x)
+            partners = np.flatnonzero(agree[x] & (rb != ra[i]))
+            if not len(partners):
+                continue
+            first = np.argmax(a.keys[i] == b.keys[partners], axis=1)  # a pair is compared in the first bucket it shares
+            partners = partners[a.keys[i][first] == key]
+            if not len(partners):
+                continue
+            for j in partners[_alike(a, i, b, partners, at_least)]:
+                if ra[i] != rb[j]:
+                    yield i, int(j)
+                    old, new = rb[j], ra[i]
+                    ra[ra == old] = new
+                    rb[rb == old] = new
+
+
+def meet_in_blocks(held: DataFrame, plausible: float, at_least: float, size: int = BLOCK) -> DataFrame:
+    """h, v: similar members (key, v, root, sig, keys, shingles, counts) of a bucket that join different roots.  Members
+    whose signatures agree in plausible of the registers are verified where they meet; of a pair of blocks no more
+    links come out than it has roots."""
+    blocks = materialize(_blocks(held, size), "blocks")
+    other = blocks.select("key", F.col("mark").alias("mark2"), F.col("blk").alias("blk2"), F.col("held").alias("held2"))
+    met = blocks.join(other, "key").filter("(mark < mark2 or (mark = mark2 and blk <= blk2)) and not (mark = mark2 and length(mark) > 0)")
+    schema = pa.schema([("h", pa.binary()), ("v", pa.binary())])
+
+    def run(frames):
         def pairs():
             for frame in frames:
                 for r in range(frame.num_rows):
-                    va, ra, sa = members(frame.column(0)[r])
-                    vb, rb, sb = members(frame.column(1)[r])
-                    numbers = {x: i for i, x in enumerate(dict.fromkeys(ra + rb))}
-                    na, nb = (np.fromiter((numbers[x] for x in y), np.int64, len(y)) for y in (ra, rb))
-                    for at in range(0, len(va), 32):
-                        agree = (sa[at : at + 32, None, :] == sb[None]).mean(axis=2, dtype=np.float32)
-                        agree[na[at : at + 32, None] == nb[None]] = 0
-                        if not best:
-                            for i, j in zip(*np.nonzero(agree >= at_least), strict=True):
-                                yield va[at + i], vb[j], float(agree[i, j])
-                            continue
-                        for i in np.flatnonzero(agree.max(axis=1) >= at_least):
-                            j = int(agree[i].argmax())
-                            note(va[at + i], vb[j], float(agree[i, j]))
-                        for j in np.flatnonzero(agree.max(axis=0) >= at_least):
-                            i = int(agree[:, j].argmax())
-                            note(vb[j], va[at + i], float(agree[i, j]))
-                    if len(top) > 100_000:
-                        yield from ((v, w, e) for v, (e, w) in top.items())
-                        top.clear()
-            yield from ((v, w, e) for v, (e, w) in top.items())
+                    a, b = (_Members(frame.column(i)[r]) for i in (1, 2))
+                    for i, j in _links(a, b, frame.column(0)[r].as_py(), plausible, at_least):
+                        yield min(a.v[i], b.v[j]), max(a.v[i], b.v[j])
 
         yield from batches(schema, pairs())
+        forget()
 
-    # dealt anew, as a bucket's pairs of blocks would all follow its key; a task for some blocks, so that what is best of
-    # a vertex is known over more than one bucket
-    met = met.select("held", "held2").repartition(max(8, blocks.count() // 64))
-    found = met.mapInArrow(run, "a binary, b binary, agree double")
-    return found.select(F.least("a", "b").alias("h"), F.greatest("a", "b").alias("v"), "agree", F.col("a"))
-
-
-def _link(docs: DataFrame, members: DataFrame, signed: DataFrame, at_least: float, plausible: float = PLAUSIBLE) -> DataFrame | None:
-    """v, root of the vertices that were joined to others.  members: key, v of the buckets."""
-    plausible = plausible * at_least / SIMILAR
-    sets = tested = edges = label = None
-    best = True
-    while True:
-        held = members
-        if label is not None:
-            held = members.join(label, "v", "left").withColumn("root", F.coalesce("root", "v"))
-        else:
-            held = members.withColumn("root", F.col("v"))
-        mixed = held.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-        held = materialize(held.join(mixed, "key").join(signed, "v"), "open")  # buckets that hold different classes
-        blocks = materialize(_blocks(held), "blocks")
-        pairs = plausible_pairs(blocks, plausible, best)
-        if best:
-            pairs = pairs.groupBy("a").agg(F.max_by(F.struct("h", "v"), "agree").alias("p")).select("p.h", "p.v")
-        pairs = pairs.select("h", "v").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["h", "v"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if sets is None:
-            # all that may ever be compared: members of mixed buckets
-            sets = shingle_sets(docs, held.select("v").distinct())
-        new = None
-        if not pairs.isEmpty():
-            said = materialize(similar(pairs, sets, at_least), "compared")
-            failed = said.filter("not alike").select("h", "v")
-            tested = failed if tested is None else tested.unionByName(failed)
-            new = said.filter("alike").select("h", "v")
-            if new.isEmpty():
-                new = None
-            else:
-                edges = new if edges is None else edges.unionByName(new)
-                label = components(edges, "h", "v")
-        if not best:
-            return label
-        best = new is not None
-        members = held.select("key", "v")
+    # dealt anew, as a bucket's pairs of blocks would all follow its key
+    n = blocks.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * (F.col("n") + 1) / 2)).first()[0] or 0
+    return met.select("key", "held", "held2").repartition(max(8, int(n) // 8)).mapInArrow(run, "h binary, v binary").distinct()
 
 
 def near_dedup(docs: DataFrame, at_least: float = SIMILAR) -> DataFrame:
-    """One document of each class: that with the class's id, else (ids are null) any one.  Documents without text stay."""
+    """One document of each class: that with the class's id, else (ids are null) any one.  Documents without text stay.
+    The columns are those of docs, whatever their names."""
     decided = materialize(classes(docs, at_least), "classes")
     gone = decided.filter("fp is not null and not (doc_id <=> class_id)").select("doc_id", "fp").distinct()
     gone = materialize(gone, "gone")
@@ -328,23 +424,22 @@ def near_dedup(docs: DataFrame, at_least: float = SIMILAR) -> DataFrame:
     twice = materialize(twice.select(F.col("class_id").alias("doc_id"), "fp"), "twice")
     out = without(docs, gone)
     if not twice.isEmpty():  # equal rows: one stays
-        once = docs.withColumn("_fp", F.expr(FINGERPRINT)).join(
-            twice, (F.col("_fp") == twice["fp"]) & docs["doc_id"].eqNullSafe(twice["doc_id"]), "left_semi"
-        )
-        out = without(out, twice).unionByName(once.dropDuplicates(["doc_id", "_fp"]).drop("_fp"))
+        fp, gid, gfp = unused(docs.columns, "fp", "gid", "gfp")
+        t = twice.select(F.col("doc_id").alias(gid), F.col("fp").alias(gfp))
+        once = docs.withColumn(fp, F.expr(FINGERPRINT)).join(t, (F.col(fp) == F.col(gfp)) & F.col("doc_id").cast("long").eqNullSafe(F.col(gid)), "left_semi")
+        out = without(out, twice).unionByName(once.dropDuplicates(["doc_id", fp]).drop(fp))
     return out
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs but for those in gone (doc_id, fp).  Texts that a filter of fixed size clears aren't shuffled."""
-    mark = F.xxhash64("doc_id", "fp")
-    bloom = Bloom.build(gone.select(mark.alias("k")), "k")
-    held = docs.withColumn("_fp", F.expr(FINGERPRINT))
-    held = held.withColumn("_maybe", might_hold(bloom, docs.sparkSession, F.xxhash64("doc_id", "_fp")))
-    sure = held.filter("not _maybe")
-    g = gone.select(F.col("doc_id").alias("_g"), F.col("fp").alias("_gfp"))
-    doubt = held.filter("_maybe").join(g, held["doc_id"].eqNullSafe(g["_g"]) & (F.col("_fp") == F.col("_gfp")), "left_anti")
-    return sure.unionByName(doubt).select(*docs.columns)
+    bloom = Bloom.build(gone.select(F.xxhash64("doc_id", "fp").alias("k")), "k")
+    fp, maybe, gid, gfp = unused(docs.columns, "fp", "maybe", "gid", "gfp")
+    held = docs.withColumn(fp, F.expr(FINGERPRINT))
+    held = held.withColumn(maybe, might_hold(bloom, docs.sparkSession, F.xxhash64(F.col("doc_id").cast("long"), fp)))
+    g = gone.select(F.col("doc_id").alias(gid), F.col("fp").alias(gfp))
+    doubt = held.filter(F.col(maybe)).join(g, F.col("doc_id").cast("long").eqNullSafe(F.col(gid)) & (F.col(fp) == F.col(gfp)), "left_anti")
+    return held.filter(~F.col(maybe)).unionByName(doubt).select(*docs.columns)
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
