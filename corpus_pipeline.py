@@ -16,18 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import lines, mixing, near, packing, toxicity
-from tessera.llm.common import materialize, table
+from tessera.llm.common import materialize, table, unused
 
 TOXIC = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.filter(F.col("toxicity") < TOXIC).select(*docs.columns)
+    (score,) = unused(docs.columns, "toxicity")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), score)
+    return scored.filter(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(docs).filter(~F.coalesce("emptied", F.lit(False))).select(*docs.columns)
+    out = lines.dedup_lines(docs)
+    emptied = out.columns[-1]
+    return out.filter(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +53,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No stage but the mixing is one SQL could express; tests check the columns and ids of each stage, not run()'s rows.
+#: SQL can't express the stages; tests hold run() against brute force on a small table.
 ORACLE_SQL = None
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, batches, materialize, might_hold, mix64, table
+from .common import Bloom, batches, bound_batches, materialize, might_hold, mix64, table, unused
 
 MIN_CHARS = 16
 SEGMENTS = 8
@@ -246,33 +246,36 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFram
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with texts without the lines that go, and columns lines_dropped and emptied (no line that isn't blank is
-    left of a text that had one).  Texts that lose nothing aren't shuffled."""
+    """docs with texts without the lines that go, and two more columns, lines_dropped and emptied (no line that isn't
+    blank is left of a text that had one), with underscores before names that docs has itself.  Texts that lose nothing
+    aren't shuffled."""
     gone, _ = dropped_lines(docs, min_chars)
+    bound_batches(docs.sparkSession)
     bloom = Bloom.build(gone.select(F.xxhash64("doc_id", "fp").alias("k")), "k")
-    held = docs.withColumn("_fp", F.expr(FINGERPRINT))
-    held = held.withColumn("_maybe", might_hold(bloom, docs.sparkSession, F.xxhash64(F.col("doc_id").cast("long"), "_fp")))
-    g = gone.select(F.col("doc_id").alias("_g"), F.col("fp").alias("_gfp"), F.col("gone").alias("_gone"))
-    sure = held.filter("not _maybe").withColumn("_gone", F.lit(None).cast("array<int>"))
-    doubt = held.filter("_maybe").join(g, F.col("doc_id").eqNullSafe(F.col("_g")) & (F.col("_fp") == F.col("_gfp")), "left")
-    both = sure.unionByName(doubt.drop("_g", "_gfp"))
-
-    def rest(texts, dropped):
+    fp, maybe, gid, gfp, lost, dropped, emptied = unused(docs.columns, "fp", "maybe", "gid", "gfp", "gone", "lines_dropped", "emptied")
+    held = docs.withColumn(fp, F.expr(FINGERPRINT))
+    held = held.withColumn(maybe, might_hold(bloom, docs.sparkSession, F.xxhash64(F.col("doc_id").cast("long"), fp)))
+    g = gone.select(F.col("doc_id").alias(gid), F.col("fp").alias(gfp), F.col("gone").alias(lost))
+    sure = held.filter(~F.col(maybe)).withColumn(lost, F.lit(None).cast("array<int>"))
+    doubt = held.filter(F.col(maybe)).join(g, F.col("doc_id").cast("long").eqNullSafe(F.col(gid)) & (F.col(fp) == F.col(gfp)), "left")
+    both = sure.unionByName(doubt.drop(gid, gfp))
+
+    def rest(texts, numbers):
         out = []
-        for text, no in zip(texts, dropped, strict=True):
+        for text, no in zip(texts, numbers, strict=True):
             if text is not None and no is not None:
                 no = set(no)
                 text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in no)
             out.append(text)
         return pd.Series(out, dtype=object)
 
-    text = F.pandas_udf(rest, "string")(F.col("text"), F.col("_gone"))
-    both = both.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text))
-    both = both.withColumn("lines_dropped", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-    both = both.withColumn("emptied", (F.col("lines_dropped") > 0) & ~F.col("text").rlike(r"[^\s]"))
+    text = F.pandas_udf(rest, "string")(F.col("text"), F.col(lost))
+    both = both.withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(text))
+    both = both.withColumn(dropped, F.coalesce(F.size(lost), F.lit(0)).cast("long"))
+    both = both.withColumn(emptied, (F.col(dropped) > 0) & ~F.col("text").rlike(r"[^\s]"))
     if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return both.select(*[c for c in docs.columns if c not in ("lines_dropped", "emptied")], "lines_dropped", "emptied")
+        both = both.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return both.select(*docs.columns, dropped, emptied)
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -11,22 +11,27 @@ further columns of the input do no harm.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, running_total, words
+from .common import materialize, running_total, unused, words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
 
 
+def _key(seed: int) -> Column:
+    """The hash of id and text, so that documents without ids are in random order too."""
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
 def document_sizes(docs: DataFrame, seed: int = 17) -> DataFrame:
     """doc_id, source, size in words, and what orders documents within a source: key (hash-random), then fp."""
     return docs.select(
         "doc_id",
         "source",
         words("text").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id").alias("key"),
+        _key(seed).alias("key"),
         F.xxhash64("text").alias("fp"),
     )
 
@@ -85,15 +90,14 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = MOS
     t = targets.withColumns(_passes()).join(
         last.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left"
     )
-    t = materialize(t.select(F.col("source").alias("_source"), F.col("passes").alias("_passes"), F.col("last").alias("_last")), "cuts")
-    mine = F.struct(
-        F.xxhash64(F.lit(seed), "doc_id").alias("key"), F.col("doc_id"), words("text").alias("size"), F.xxhash64("text").alias("fp")
-    )
-    more = F.when(F.col("_last").isNotNull() & (mine <= F.col("_last")), 1).otherwise(0)
+    source, passes, cut, copies, n = unused(docs.columns, "source_of", "passes", "last", "copies", "turn")
+    t = materialize(t.select(F.col("source").alias(source), F.col("passes").alias(passes), F.col("last").alias(cut)), "cuts")
+    mine = F.struct(_key(seed).alias("key"), F.col("doc_id"), words("text").alias("size"), F.xxhash64("text").alias("fp"))
+    more = F.when(F.col(cut).isNotNull() & (mine <= F.col(cut)), 1).otherwise(0)
     # a document without words has nothing to repeat: it stays once
-    copies = F.when(words("text") == 0, F.lit(1)).otherwise(F.col("_passes") + more).cast("int")
-    joined = docs.join(t, docs["source"].eqNullSafe(t["_source"]), "left").withColumn("_copies", copies)
-    return joined.filter("_copies > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    times = F.when(words("text") == 0, F.lit(1)).otherwise(F.col(passes) + more).cast("int")
+    joined = docs.join(t, docs["source"].eqNullSafe(t[source]), "left").withColumn(copies, times)
+    return joined.filter(F.col(copies) > 0).withColumn(n, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

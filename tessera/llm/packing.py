@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import batches, materialize, table
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 EOS = 2
 MAX_LEN = 1024
 
@@ -117,6 +117,11 @@ class _Words(dict):
         ids = self[unit] = self.pack(self.merge(unit if unit[0] == "\n" else " " + unit))
         return ids
 
+    def forget(self) -> None:
+        """Ends a partition: idle workers hold no words."""
+        self.clear()
+        self[""] = b""
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -142,8 +147,8 @@ def token_pieces(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_
 
         def rows():
             for frame in frames:
-                for at in range(0, frame.num_rows, 512):
-                    chunk = frame.slice(at, 512)
+                for at in range(0, frame.num_rows, 64):
+                    chunk = frame.slice(at, 64)
                     for doc, text in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist(), strict=True):
                         ids = enc.encode(text or "") + end
                         n = len(ids) // width
@@ -155,7 +160,9 @@ def token_pieces(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_
                             yield doc, piece, start, length, ids[start * width : (start + length) * width], part, turn[length] - 1
                             start, piece = start + length, piece + 1
 
-        yield from batches(PIECES, rows(), weigh=lambda r: len(r[4]) + 64)
+        yield from batches(PIECES, rows(), limit=4 << 20, weigh=lambda r: len(r[4]) + 64)
+        enc.words.forget()
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length int, ids binary, part int, nth long"

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import bound_batches, materialize, table
 
 #: Bounds on what fitting reads and keeps.
 SAMPLE_EACH = 6_000
@@ -35,7 +35,7 @@ LEAST_DOCS = 8
 STEMS = (3, 4, 5, 6, 7)
 WINDOW = 40
 QUOTED = 0.4
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 _WORD = re.compile(r"\w+")
 _QUOTE = re.compile(r"[\"“”„«»]")
@@ -75,7 +75,7 @@ class Automaton:
     """The Levenshtein automaton of any word intersected with a trie: a deterministic automaton over states that are
     sets of (node, edits so far), built as words are read."""
 
-    def __init__(self, trie: Trie, most_states: int = 200_000):
+    def __init__(self, trie: Trie, most_states: int = 30_000):
         self.trie, self.most = trie, most_states
         self._reset()
 
@@ -292,6 +292,11 @@ class Model:
     def __getstate__(self):
         return {"terms": self.terms, "weights": self.weights, "_finder": None}
 
+    def forget(self) -> None:
+        """Ends a partition: idle workers hold no words."""
+        if self._finder is not None:
+            self._finder.known, self._finder.hot = set(), {}
+
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         if self._finder is None:
             self._finder = Finder(self.terms)
@@ -317,8 +322,9 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
     return Model(terms, fit_logistic(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy(float), weight=got["weight"].to_numpy(float)))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with a column toxicity in 0..1."""
+def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
+    """docs with one more column, named so, in 0..1."""
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
 
     @F.pandas_udf("double")
@@ -326,8 +332,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         mine = held.value
         for batch in texts:
             yield pd.Series(mine.scores(batch))
+        mine.forget()
 
-    return docs.withColumn("toxicity", run("text"))
+    return docs.withColumn(column, run("text"))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ def odd_documents(spark):
         (7, "short", "de", "c", 5),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    clash = ["key", "fp", "size", "part", "v", "root", "length", "digest", "target", "toxicity"]
+    clash = ["key", "fp", "size", "part", "v", "root", "length", "digest", "target", "toxicity", "gone", "gid", "gfp", "maybe", "held", "h", "turn"]
+    clash += ["copies", "passes", "last", "source_of", "lines_dropped", "emptied", "_fp", "_source", "_n", "_maybe", "_copies", "_passes", "_last", "_id"]
     return df.selectExpr("*", *[f"'x' AS {c}" for c in clash])
 
 

@@ -37,7 +37,7 @@ def test_against_brute_force(spark):
 
 def test_odd(spark):
     docs = odd_documents(spark)
-    got = [(r["doc_id"], r["text"], r["n_chars"], r["emptied"]) for r in L.dedup_lines(docs).collect()]
+    got = [(r["doc_id"], r["text"], r["n_chars"], r["_emptied"]) for r in L.dedup_lines(docs).collect()]
     assert len(got) == 10
     assert (6, "", 0, True) in got and (3, None, None, None) not in [g for g in got if g[3]]
     assert sum(1 for g in got if g[0] == 1 and g[1]) == 2  # equal rows keep the same lines

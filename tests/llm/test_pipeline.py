@@ -1,5 +1,5 @@
 import corpus_pipeline as C
-from tests.llm.helpers import SF, none_of
+from tests.llm.helpers import SF, none_of, odd_documents
 from tessera.llm.common import materialize, table
 
 
@@ -15,6 +15,18 @@ def test_stages(spark):
         seen.append(ids)
 
 
+def test_odd_columns_stay(spark):
+    docs = odd_documents(spark)
+    columns = docs.columns
+    for name, stage in C.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, SF), "test")
+        assert docs.columns == columns, name
+        rows = docs.collect()
+        assert rows and all(r[c] == "x" for r in rows for c in columns[5:]), name
+    packed = C.STAGES[-1][1](spark, docs, SF)
+    assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in rows}
+
+
 def test_empty(spark):
     docs = none_of(table(spark, SF, "documents"))
     for _, stage in C.STAGES:
