@@ -1,13 +1,14 @@
 """Text as columns: normalisation, quality, chunks, signals, redaction, parsing.
 
-Everything is an expression over Spark functions but lossless_chunks and paragraph_chunks, whose cuts depend on the
-ones before and which therefore are Arrow UDFs, and exact_norm for characters beyond the folding table.
+Everything is an expression over Spark functions but lossless_chunks, paragraph_chunks and halves, whose cuts depend on
+all boundaries or on the cuts before and which therefore are Arrow UDFs, and exact_norm for characters beyond the folding table.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -39,10 +40,14 @@ def norm(c: Column, null_as: str = "") -> Column:
     return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 
+def plain_text(v: str) -> str:
+    """Without accents, in lower case; for words of a configuration."""
+    return "".join(c for c in unicodedata.normalize("NFKD", v or "") if not unicodedata.combining(c)).lower()
+
+
 def exact_norm(values: pd.Series) -> pd.Series:
     def one(v):
-        plain = "".join(c for c in unicodedata.normalize("NFKD", v or "") if not unicodedata.combining(c)).lower()
-        return " ".join(re.sub(r"[^a-z0-9\s]", " ", plain).split())
+        return " ".join(re.sub(r"[^a-z0-9\s]", " ", plain_text(v)).split())
 
     return values.map(one)
 
@@ -51,33 +56,58 @@ def exact_norm_udf() -> Callable[[Column], Column]:
     return F.pandas_udf(exact_norm, T.StringType())
 
 
+#: White space as text functions understand it: Unicode's, and the four separators U+001C to U+001F.
+_SPACE = r"[\s\x1c-\x1f]"
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value evaluated once, however often body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_empty(c: Column) -> Column:
-    """Null or blank."""
-    return c.isNull() | (F.trim(c) == "")
+    """Null or nothing but white space."""
+    return c.isNull() | ~c.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"\A\s+|\s+\z", "")
+    return F.regexp_replace(c, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
+
+
+_LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085\u2028\u2029]"
 
 
 def lines(c: Column) -> Column:
     """Stripped lines that aren't blank."""
-    return F.filter(F.transform(F.split(c, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085  ]"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, _LINE_END), strip), lambda x: x != "")
+
+
+#: What makes a numeric line, how short a short line is, and the shares from which a text looks garbled.
+NUMERIC_LINE = r"^[\d\s.,/\-+€%]+$"
+SHORT_LINE = 5
+GARBLED_NUMERIC = 0.25
+GARBLED_SHORT = 0.35
 
 
 def text_quality(c: Column) -> Column:
-    """lines, numeric_lines, short_lines and whether the text looks garbled: more than a quarter of its lines hold no
-    letters, or more than 35 in 100 are of five characters or fewer."""
-    held = lines(c)
-    n = F.size(held)
-    numeric = F.size(F.filter(held, lambda x: x.rlike(r"^[\d\s.,:;%/()+\-]+$")))
-    short = F.size(F.filter(held, lambda x: F.length(x) <= 5))
-    return F.struct(
-        n.cast("long").alias("lines"),
-        numeric.cast("long").alias("numeric_lines"),
-        short.cast("long").alias("short_lines"),
-        ((n > 0) & ((numeric > n * 0.25) | (short > n * 0.35))).alias("garbled"),
-    )
+    """lines, numeric_lines and short_lines, the shares of the latter two (0 without lines) and whether the text looks
+    garbled."""
+
+    def described(held: Column) -> Column:
+        n = F.size(held)
+        numeric = F.size(F.filter(held, lambda x: x.rlike(NUMERIC_LINE)))
+        short = F.size(F.filter(held, lambda x: F.length(x) <= SHORT_LINE))
+        share = lambda k: F.coalesce(F.try_divide(k.cast("double"), n.cast("double")), F.lit(0.0))
+        return F.struct(
+            n.cast("long").alias("lines"),
+            numeric.cast("long").alias("numeric_lines"),
+            short.cast("long").alias("short_lines"),
+            share(numeric).alias("numeric_share"),
+            share(short).alias("short_share"),
+            ((share(numeric) > GARBLED_NUMERIC) | (share(short) > GARBLED_SHORT)).alias("garbled"),
+        )
+
+    return bind(lines(c), described)
 
 
 def fixed_chunks(c: Column, size: int = 1500, overlap: int = 200) -> Column:
@@ -87,25 +117,44 @@ def fixed_chunks(c: Column, size: int = 1500, overlap: int = 200) -> Column:
     return F.transform(starts, lambda s: F.substring(text, s + 1, F.lit(size)))
 
 
-_BOUNDARY = re.compile(r"\n\s*\n|(?<=[.!?])\s")
+#: Where a text may be cut, after a blank line or after the end of a sentence with its closing marks.
+BOUNDARIES = (r"\n\n+", r"[.!?。！？][\"'»”)]*\s+")
+
+
+def _boundaries(text: str) -> list[int]:
+    return sorted({m.end() for p in BOUNDARIES for m in re.finditer(p, text)})
 
 
 def _cut(text: str, limit: int) -> list[str]:
-    out, at = [], 0
-    while len(text) - at > limit:
-        ends = [m.end() for m in _BOUNDARY.finditer(text, at, at + limit) if m.end() > at]
-        to = ends[-1] if ends else at + limit
+    if len(text) <= limit:
+        return [text]
+    ends, out, at = [*_boundaries(text), len(text)], [], 0
+    while at < len(text):
+        i = bisect_right(ends, at + limit) - 1
+        to = ends[i] if i >= 0 and ends[i] > at else at + limit
         out.append(text[at:to])
         at = to
-    return [*out, text[at:]] if text[at:] or not out else out
+    return out
 
 
 def lossless_chunks(limit: int = 8000) -> Callable[[Column], Column]:
-    """Chunks of at most limit characters whose concatenation is the text: cut after the last blank line or sentence
-    end within the limit, else at the limit."""
+    """Chunks of at most limit characters whose concatenation is the text: cut at the last boundary within the limit,
+    else at the limit."""
     return F.pandas_udf(lambda s: s.map(lambda t: _cut(t or "", limit)), T.ArrayType(T.StringType()))
 
 
+def _halve(text: str) -> list[str] | None:
+    middle = len(text) // 2
+    inner = [b for b in _boundaries(text) if 0 < b < len(text)]
+    at = min(inner, key=lambda b: (abs(b - middle), b)) if inner else middle
+    return [text[:at], text[at:]] if 0 < at < len(text) else None
+
+
+def halves() -> Callable[[Column], Column]:
+    """The text in two at the boundary nearest its middle, else there; null for texts of fewer than two characters."""
+    return F.pandas_udf(lambda s: s.map(lambda t: _halve(t or "")), T.ArrayType(T.StringType()))
+
+
 def _pack(text: str, limit: int) -> list[str]:
     out, held = [], ""
     for block in re.split(r"\n\s*\n", text):
@@ -123,17 +172,6 @@ def paragraph_chunks(limit: int = 50_000) -> Callable[[Column], Column]:
     return F.pandas_udf(lambda s: s.map(lambda t: _pack(t or "", limit)), T.ArrayType(T.StringType()))
 
 
-def halves(c: Column) -> Column:
-    """The text in two at the boundary nearest its middle that leaves both halves something."""
-    middle = F.length(c) / 2
-    ends = F.filter(
-        F.transform(F.sequence(F.lit(2), F.greatest(F.length(c), F.lit(2))), lambda i: F.when(F.substring(c, i - 1, F.lit(1)).rlike(r"[\s.!?]"), i - 1)),
-        lambda i: i.isNotNull() & (i < F.length(c)),
-    )
-    cut = F.coalesce(F.array_min(F.transform(ends, lambda b: F.struct(F.abs(b - middle).alias("d"), b.alias("b"))))["b"], F.floor(middle).cast("int"))
-    return F.array(F.substring(c, F.lit(1), cut), F.substring(c, cut + 1, F.length(c)))
-
-
 def truncate_middle(c: Column, limit: int, marker: str = "\n[...]\n") -> Column:
     half = limit // 2
     return F.when(F.length(c) > limit, F.concat(F.left(c, F.lit(half)), F.lit(marker), F.right(c, F.lit(half)))).otherwise(c)
@@ -153,8 +191,10 @@ def human_size(c: Column) -> Column:
 
 
 def slug(c: Column, limit: int = 60) -> Column:
-    plain = F.regexp_replace(F.lower(fold(c)), r"[^a-z0-9]+", "-")
-    return F.regexp_replace(F.left(F.regexp_replace(plain, r"^-+|-+$", ""), F.lit(limit)), r"-+$", "")
+    """Lower-case words joined by hyphens; senza-titolo where nothing is left."""
+    plain = F.regexp_replace(F.regexp_replace(fold(c), r"[^\x00-\x7f]", ""), r"[^a-zA-Z0-9]+", "-")
+    cut = F.left(F.lower(F.regexp_replace(plain, r"^-+|-+$", "")), F.lit(limit))
+    return F.coalesce(F.nullif(F.regexp_replace(cut, r"^-+|-+$", ""), F.lit("")), F.lit("senza-titolo"))
 
 
 def short_hash(c: Column) -> Column:
@@ -169,50 +209,87 @@ def normalize_url(c: Column) -> Column:
 
 
 def year(c: Column) -> Column:
-    """The first year from 1000 to 2099 that isn't part of a longer number; empty if none."""
-    return F.regexp_extract(c, r"(?<!\d)(1[0-9]{3}|20[0-9]{2})(?!\d)", 1)
+    """The first year from 1000 to 2099 that is a word by itself; empty if none."""
+    return F.regexp_extract(c, r"(?U)\b(1[0-9]{3}|20[0-9]{2})\b", 1)
 
 
 def parse_date(c: Column) -> Column:
-    """ISO, d/m/y or d-m-y with or without leading zeros, y/m/d; what follows a T is dropped; null if none fits."""
-    head = F.trim(F.substring_index(c, "T", 1))
+    """The part before a T or an arrow as y-m-d, d/m/y, d-m-y, y/m/d, d.m.y or y; else the first year from 1800 to 2099
+    that is a word in it; null if there is none."""
+    head = strip(F.regexp_extract(strip(c), r"(?s)\A(.*?)(?:[T\u2192]|\s+->\s+|\z)", 1))
     forms = [
         (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
         (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
         (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-        (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
         (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+        (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
     ]
-    tries = [F.when(head.rlike(shape), F.try_to_date(head, fmt)) for shape, fmt in forms]
-    bare = F.regexp_extract(head, r"(?<!\d)(1[89][0-9]{2}|20[0-9]{2})(?!\d)", 1)
-    return F.coalesce(*tries, F.when(bare != "", F.try_to_date(F.concat(bare, F.lit("-01-01")), "yyyy-MM-dd")))
+
+    def parsed(h: Column) -> Column:
+        tries = [F.when(h.rlike(shape), F.try_to_date(h, fmt)) for shape, fmt in forms]
+        whole = F.when(h.rlike(r"^\d{4}$") & (h > "0000"), F.try_to_date(F.concat(h, F.lit("-01-01")), "yyyy-MM-dd"))
+        bare = F.regexp_extract(h, r"(?U)\b(1[89]\d{2}|20\d{2})\b", 1)
+        return F.coalesce(*tries, whole, F.when(bare != "", F.try_to_date(F.concat(bare, F.lit("-01-01")), "yyyy-MM-dd")))
+
+    return bind(head, parsed)
 
 
 def html_to_text(c: Column) -> Column:
-    """Script and style dropped, block tags a newline, other tags nothing, three newlines or more two."""
-    bare = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
-    bare = F.regexp_replace(bare, r"(?i)</?(p|div|br|li|tr|h[1-6]|table|ul|ol|section|article)\b[^>]*>", "\n")
-    bare = F.regexp_replace(bare, r"(?s)<[^>]*>", "")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    """Comments, script and style dropped, tags br, p, div, tr and li a newline, other tags nothing, entities their
+    characters, three newlines or more two."""
+    bare = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
+    for tag in ("script", "style"):
+        bare = F.regexp_replace(bare, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+    bare = F.regexp_replace(bare, r"(?i)<(br|p|div|tr|li)\b[^>]*>", "\n")
+    bare = F.regexp_replace(bare, r"(?s)</?[A-Za-z!][^>]*>", "")
+    for entity, char in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return strip(F.regexp_replace(F.regexp_replace(bare, r"[ \t]+", " "), r"\n\s*\n\s*\n+", "\n\n"))
+    return strip(F.regexp_replace(bare, r"\n{3,}", "\n\n"))
+
 
+#: How a quoted message or a footer begins.
+REPLY_MARKERS = (
+    r"-{2,}\s*(original message|messaggio originale)",
+    r"(on|il giorno)\s.+\s(wrote|ha scritto):?\s*$",
+    r"sent with proton mail",
+    r"confidentiality notice",
+)
 
-def strip_quoted(c: Column, marker: str = r"^(On .* wrote:|-----Original Message-----)") -> Column:
-    """The lines before a reply marker, without those that start with >."""
-    held = F.split(c, "\n")
-    mark = F.array_position(F.transform(held, lambda x: F.trim(x).rlike(marker)), True)
-    kept = F.when(mark > 0, F.slice(held, F.lit(1), (mark - 1).cast("int"))).otherwise(held)
-    return F.array_join(F.filter(kept, lambda x: ~F.ltrim(x).startswith(">")), "\n")
+
+def strip_quoted(c: Column) -> Column:
+    """The lines before a reply marker, without those that start with > and without blanks at their ends."""
+    marker = r"(?i)^(" + "|".join(REPLY_MARKERS) + ")"
+
+    def kept(held: Column) -> Column:
+        mark = F.array_position(F.transform(held, lambda x: strip(x).rlike(marker)), True)
+        before = F.when(mark > 0, F.slice(held, F.lit(1), (mark - 1).cast("int"))).otherwise(held)
+        own = F.filter(before, lambda x: ~strip(x).startswith(">"))
+        return F.array_join(F.transform(own, lambda x: F.regexp_replace(x, r"\s+\z", "")), "\n")
+
+    return strip(F.regexp_replace(bind(F.split(c, _LINE_END), kept), r"\n{3,}", "\n\n"))
+
+
+def is_bulk(list_unsubscribe: Column, precedence: Column) -> Column:
+    """Whether a message's headers say that it went to many."""
+    many = F.lower(F.coalesce(precedence, F.lit(""))).isin("bulk", "list", "junk")
+    return (F.coalesce(list_unsubscribe, F.lit("")) != "") | many
 
 
 def clean_layout(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.replace(c, F.lit("\f"), F.lit("\n")), r" {4,}", "  "), r"\n{3,}", "\n\n")
+    """Form feeds as blank lines, runs of four spaces or more as three, no blanks at line ends, at most one blank line."""
+    each = F.transform(F.split(F.replace(c, F.lit("\f"), F.lit("\n\n")), _LINE_END), lambda x: F.regexp_replace(F.regexp_replace(x, r"\s+\z", ""), r" {4,}", "   "))
+    return strip(F.regexp_replace(F.array_join(each, "\n"), r"\n{3,}", "\n\n"))
+
 
+#: Whose values are kept out of records, and the longest field of one.
+SECRET = r"(?i)(password|passwd|token|secret|authorization)(\s*[=:]\s*)([^\s]+)"
+MAX_FIELD = 4096
 
-def redact(c: Column, limit: int = 4096) -> Column:
-    """Values after password, secret, token and the like replaced; at most limit characters."""
-    return F.left(F.regexp_replace(c, r"(?i)(password|passwd|secret|token|api[_-]?key)(\s*[=:]\s*)(\S+)", "$1$2[REDACTED]"), F.lit(limit))
+
+def redact(c: Column, limit: int | None = MAX_FIELD) -> Column:
+    """Values after password, token, authorization and the like replaced; at most limit characters."""
+    out = F.regexp_replace(c, SECRET, "$1$2[REDACTED]")
+    return out if limit is None else F.left(out, F.lit(limit))
 
 
 SENSITIVE = {
@@ -238,13 +315,39 @@ def as_list(c: Column) -> Column:
     return F.when(F.trim(c).startswith("["), F.coalesce(parsed, F.array().cast("array<string>"))).otherwise(split_multi(F.coalesce(c, F.lit("")), ","))
 
 
+#: The header keys that are generated; others are kept as they stand.
+HEADER_KEYS = ("title", "type", "tags", "date", "source_kind", "source_hash")
+
+
 def split_frontmatter(c: Column) -> Column:
-    """header (key -> value) and body of a text that starts with a --- block."""
-    head = F.regexp_extract(c, r"(?s)\A---\n(.*?)\n---\n?", 1)
-    body = F.regexp_replace(c, r"(?s)\A---\n.*?\n---\n?", "")
-    pairs = F.filter(F.split(head, "\n"), lambda x: x.contains(":"))
-    entries = F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.trim(F.regexp_replace(x, r"^[^:]*:", "")).alias("v")))
-    return F.struct(F.map_from_entries(entries).alias("header"), body.alias("body"))
+    """known (generated key -> value without quotes), other (the remaining header lines) and body of a text that starts
+    with a --- block; a text without one is all body."""
+    key = r"^(" + "|".join(HEADER_KEYS) + r"):\s*(.*)$"
+
+    def parts(end: Column) -> Column:
+        has = c.startswith("---\n") & (end > 0)
+        block = F.when(has, F.split(F.substring(c, F.lit(5), F.greatest(end - 5, F.lit(0))), "\n")).otherwise(F.array().cast("array<string>"))
+        pairs = F.transform(F.filter(block, lambda x: x.rlike(key)), lambda x: F.struct(F.regexp_extract(x, key, 1).alias("k"), F.regexp_replace(F.trim(F.regexp_extract(x, key, 2)), r"^[\"']+|[\"']+$", "").alias("v")))
+        last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda y: y["k"] == x["k"]))
+        body = F.when(has, F.regexp_replace(F.substring(c, end + 4, F.length(c)), r"\A\n+", "")).otherwise(c)
+        return F.struct(F.map_from_entries(last).alias("known"), F.filter(block, lambda x: ~x.rlike(key)).alias("other"), body.alias("body"))
+
+    return bind(F.locate("\n---", c, 5), parts)
+
+
+def quoted(c: Column) -> Column:
+    """A JSON string."""
+    return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"(?s)\A\{\"v\":(.*)\}\z", 1)
+
+
+def render_frontmatter(fields: dict[str, Column], other: Column) -> Column:
+    """A header block of fields (strings or arrays of strings, in this order) and other lines."""
+    rows = [F.concat(F.lit(f"{k}: "), v) for k, v in fields.items()]
+    return F.array_join(F.concat(F.array(F.lit("---"), *rows), other, F.array(F.lit("---"))), "\n")
+
+
+def quoted_list(c: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(F.transform(c, quoted), ", "), F.lit("]"))
 
 
 def marker_at(c: Column, phrase: str) -> Column:
@@ -257,17 +360,38 @@ def near_top(c: Column, phrase: str, within: int) -> Column:
     return marker_at(c, phrase).between(0, within)
 
 
-DEADLINE = r"(?i)\bwithin\s+\d+\s+(?:hours?|days?|weeks?|months?)\b|\bno later than\b|\bby the end of\b"
+#: Phrases that set a deadline relative to the day.
+DEADLINES = (
+    r"entro\s+la\s+fine\s+del\s+mese",
+    r"entro\s+la\s+fine\s+dell.anno",
+    r"entro\s+la\s+fine\s+della\s+settimana",
+    r"entro\s+il\s+(\d+\s+del\s+)?(mese|trimestre|anno)\s+prossimo",
+    r"entro\s+\d+\s+giorni",
+    r"entro\s+\d+\s+settiman[ae]",
+    r"entro\s+breve",
+    r"quanto\s+prima",
+)
+DEADLINE = "(?i)" + "|".join(DEADLINES)
+
 
+def deadline_present(c: Column, p: Column, threshold: float = 0.5) -> Column:
+    return (p >= threshold) | c.rlike(DEADLINE)
+
+
+def deadline_excerpt(c: Column, around: int = 80, most: int = 300) -> Column:
+    """A deadline phrase with up to around characters on both sides; without one the first characters."""
+
+    def cut(at: Column) -> Column:
+        start = F.greatest(at - around, F.lit(1))
+        return F.substring(c, start, at - start + F.length(F.regexp_extract(c, DEADLINE, 0)) + around)
 
-def deadline_excerpt(c: Column, around: int = 80) -> Column:
-    """Up to around characters on both sides of a relative deadline; null if there is none."""
     at = F.regexp_instr(c, F.lit(DEADLINE))
-    return F.when(at > 0, F.substring(c, F.greatest(at - around, F.lit(1)), F.lit(2 * around)))
+    return strip(bind(at, lambda a: F.when(a > 0, cut(a)).otherwise(F.left(c, F.lit(most)))))
 
 
-def risk_level(p: Column) -> Column:
-    return F.when(p >= 0.8, "high").when(p >= 0.5, "medium").otherwise("low")
+def risk_level(high: Column, medium: Column, low: Column, threshold: float = 0.5) -> Column:
+    """The first of three levels whose probability reaches the threshold."""
+    return F.when(high >= threshold, "alto").when(medium >= threshold, "medio").when(low >= threshold, "basso").otherwise("nessuno")
 
 
 def headings(c: Column, most: int = 8) -> Column:
@@ -311,6 +435,12 @@ def content_hash(*columns: Column) -> Column:
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]), 256)
 
 
+def length_prefixed(*columns: Column) -> Column:
+    """sha256 of the values, each after its length in bytes and a colon, so that no two rows of values read alike."""
+    each = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return F.sha2(F.concat(*[x for v in each for x in (F.octet_length(v).cast("string"), F.lit(":"), v)]), 256)
+
+
 def canonical_name(c: Column) -> Column:
     """The last word in capitals, then the others, with underscores."""
     w = F.split(F.trim(c), r"\s+")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 
 SEVERITIES = ("BLOCKER", "MAJOR", "MINOR", "INFO")
+#: What reads as yes, once normalised.
+YES = ("yes", "true", "1", "si", "vero")
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,7 @@ class Entity:
     relations: dict[str, Relation] = field(default_factory=dict)
     sources: tuple[str, ...] = ()
     state: str | None = None
+    state_options: tuple[str, ...] = ()
     verified_on: str | None = None
     publishable: str | None = None
     confidentiality: str | None = None
@@ -165,7 +168,7 @@ def time_rules(corpus: DataFrame, cfg: Config, as_of: str, births: tuple[str, st
     if births:
         entity, own, relation, theirs = births
         refs = references(corpus, cfg) if refs is None else refs
-        own_year = _of(corpus, entity).select(F.col("id").alias("_i"), X.year(F.coalesce(_get("fields", own), F.lit(""))).try_cast("int").alias("_y"))
+        own_year = _of(corpus, entity).select(F.col("id").alias("_i"), F.year(X.parse_date(_get("fields", own))).alias("_y"))
         born = corpus.select(F.col("id").alias("_b"), X.year(F.coalesce(_get("fields", theirs), F.lit(""))).try_cast("int").alias("_by"))
         link = refs.filter((F.col("entity") == entity) & (F.col("rel") == relation)).join(own_year, F.col("id") == F.col("_i")).join(born, F.col("target_id") == F.col("_b"))
         out.append(_issue(link, "T03", "BLOCKER", own, F.concat(F.lit("before the birth of "), "target_id"), F.col("_y") < F.col("_by")))
@@ -198,9 +201,9 @@ def metadata_rules(corpus: DataFrame, cfg: Config, as_of: str) -> DataFrame:
         if e.verified_on:
             on = X.parse_date(_get("service", e.verified_on))
             out.append(_issue(rows, "M06", "MINOR", e.verified_on, "valid without a date of verification", valid & on.isNull()))
-            out.append(_issue(rows, "M06", "MINOR", e.verified_on, "verification is out of date", valid & (F.datediff(F.lit(as_of).cast("date"), on) > cfg.verified_days)))
+            out.append(_issue(rows, "M06", "MINOR", e.verified_on, "verification is out of date", F.datediff(F.lit(as_of).cast("date"), on) > cfg.verified_days))
         if e.publishable:
-            public = F.lower(F.coalesce(_get("service", e.publishable), F.lit(""))).isin("true", "1", "yes")
+            public = X.norm(_get("service", e.publishable)).isin(*YES)
             out.append(_issue(rows, "M07", "MAJOR", e.publishable, "publishable but not valid", public & ~valid))
             if source is not None:
                 out.append(_issue(rows, "M07", "MAJOR", "source", "publishable without a source", public & source.isNull()))
@@ -212,43 +215,75 @@ def metadata_rules(corpus: DataFrame, cfg: Config, as_of: str) -> DataFrame:
     return union(out, corpus)
 
 
-def _any(words: tuple[str, ...]) -> str:
-    return r"\b(" + "|".join(X.re.escape(w) for w in words) + r")\b"
+def _marked(normal: Column, markers: tuple[str, ...]) -> Column:
+    """The markers, in their order, that stand in a normalised text as whole words; markers are normalised too."""
+    plain = [(w, " ".join(X.re.sub(r"[^a-z0-9\s]", " ", X.plain_text(w)).split())) for w in markers]
+    found = [F.when(normal.rlike(rf"\b{n}\b"), F.lit(w)) for w, n in plain if n]
+    return F.filter(F.array(*found), lambda w: w.isNotNull()) if found else F.array().cast("array<string>")
 
 
-def text_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
-    """Q01 placeholders, Q02 unfinished text, Q03 promotion, Q04 generated text, Q08 vagueness: one scan; Q07 sentences
-    that occur three times or more."""
-    n = X.norm(F.col("body"))
-    long_ = F.length("body") > 200
-    last = F.right(F.rtrim("body"), F.lit(1))
-    checks = [
-        ("Q01", "BLOCKER", n.rlike(_any(cfg.placeholders)) if cfg.placeholders else F.lit(False), "placeholder"),
-        ("Q02", "MAJOR", long_ & ~last.isin(*'.!?»"\')'), "text breaks off"),
-        ("Q03", "MINOR", long_ & n.rlike(_any(cfg.promotional)) if cfg.promotional else F.lit(False), "promotional"),
-        ("Q04", "MAJOR", F.size(F.filter(F.array(*map(F.lit, cfg.generated)), lambda w: F.instr(n, w) > 0)) >= 2 if cfg.generated else F.lit(False), "reads as generated"),
-        ("Q08", "MINOR", long_ & n.rlike(_any(cfg.vague)) if cfg.vague else F.lit(False), "vague"),
-    ]
-    found = F.array(*[F.when(w, F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"), F.lit(m).alias("message"))) for c, s, w, m in checks])
-    each = corpus.filter("body is not null").withColumn("_c", F.explode(F.filter(found, lambda c: c.isNotNull())))
-    one = each.select("_c.code", "_c.severity", "entity", F.col("id").alias("record_id"), "title", F.lit("body").alias("field"), "_c.message")
-    return one.unionByName(repeated_sentences(corpus))
+def text_blocks(corpus: DataFrame, cfg: Config) -> DataFrame:
+    """entity, id, title, field, text of every text that isn't blank: the text fields of each entity and the body."""
+    none = F.array().cast("array<struct<field:string,text:string>>")
+    fields = none
+    for name, e in cfg.entities.items():
+        own = [F.struct(F.lit(k).alias("field"), _get("fields", k).alias("text")) for k, f in e.fields.items() if f.kind == "text"]
+        fields = F.when(F.col("entity") == name, F.array(*own) if own else none).otherwise(fields)
+    body = F.array(F.struct(F.lit("body").alias("field"), F.col("body").alias("text")))
+    each = corpus.select("entity", "id", "title", F.explode(F.concat(fields, body)).alias("b")).select("entity", "id", "title", "b.field", "b.text")
+    return each.filter(~X.is_empty(F.col("text")))
+
+
+TEXT_CODES = ("Q01", "Q02", "Q03", "Q04", "Q08")
+
+
+def text_rules(corpus: DataFrame, cfg: Config, codes: tuple[str, ...] = (*TEXT_CODES, "Q07")) -> DataFrame:
+    """Q01 placeholders, in every text; in bodies and in fields of more than 200 characters Q02 unfinished text, Q03
+    promotion, Q04 two marks or more of generated text, Q08 vagueness, all in one scan; Q07 sentences that occur three
+    times or more.  The normalised text is bound once, and only the asked codes are looked at."""
+    blocks = text_blocks(corpus, cfg)
+    long_ = (F.col("field") == "body") | (F.length("text") > 200)
+    last = F.right(F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+\z", ""), F.lit(1))
+
+    def issue(code, severity, when, message):
+        return F.when(when, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), message.alias("message")))
+
+    def found(n: Column) -> Column:
+        checks = {
+            "Q01": lambda: X.bind(_marked(n, cfg.placeholders), lambda m: issue("Q01", "BLOCKER", F.size(m) > 0, F.concat(F.lit("placeholder: "), F.get(m, F.lit(0))))),
+            "Q02": lambda: issue("Q02", "MAJOR", long_ & ~last.isin(*'.!?»"\')'), F.lit("text breaks off")),
+            "Q03": lambda: issue("Q03", "MINOR", long_ & (F.size(_marked(n, cfg.promotional)) > 0), F.lit("promotional")),
+            "Q04": lambda: X.bind(_marked(n, cfg.generated), lambda m: issue("Q04", "MAJOR", long_ & (F.size(m) >= 2), F.concat(F.lit("reads as generated: "), F.array_join(F.slice(m, 1, 3), ", ")))),
+            "Q08": lambda: issue("Q08", "MINOR", long_ & (F.size(_marked(n, cfg.vague)) > 0), F.lit("vague")),
+        }
+        return F.filter(F.array(*[checks[c]() for c in TEXT_CODES if c in codes]), lambda c: c.isNotNull())
+
+    out = []
+    if any(c in codes for c in TEXT_CODES):
+        each = blocks.withColumn("_c", F.explode_outer(X.bind(X.norm(F.col("text")), found))).filter("_c is not null")
+        out.append(each.select("_c.code", "_c.severity", "entity", F.col("id").alias("record_id"), "title", "field", "_c.message"))
+    if "Q07" in codes:
+        out.append(repeated_sentences(blocks.filter(long_)))
+    return reduce(DataFrame.unionByName, out)
 
 
 def sentences(body: Column, longer: int = 40) -> Column:
-    return F.filter(F.split(body, r"(?<=[.!?])\s+"), lambda s: F.length(s) > longer)
+    return F.filter(F.transform(F.split(body, r"(?<=[.!?])\s+"), X.strip), lambda s: F.length(s) > longer)
 
 
-def repeated_sentences(corpus: DataFrame, least: int = 3) -> DataFrame:
-    """Q07: an issue an occurrence of every normalised sentence that occurs least times or more."""
-    each = corpus.select("entity", "id", "title", F.explode(sentences(F.col("body"))).alias("s"))
-    each = each.withColumn("k", F.sha2(X.norm(F.col("s")), 256))
+def repeated_sentences(blocks: DataFrame, least: int = 3) -> DataFrame:
+    """Q07: an issue an occurrence of every normalised sentence that occurs least times or more.  blocks: entity, id,
+    title, text."""
+    each = blocks.select("entity", "id", "title", F.explode(sentences(F.col("text"))).alias("s"))
+    each = each.select("entity", "id", "title", F.sha2(X.norm(F.col("s")), 256).alias("k"))
     often = each.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    return _issue(each.join(often, "k"), "Q07", "MINOR", "body", "sentence occurs often")
+    return _issue(each.join(often, "k"), "Q07", "MINOR", "-", F.concat(F.lit("sentence occurs "), F.col("n").cast("string"), F.lit(" times")))
 
 
 def duplicate_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
-    """D01: the same identity key within an entity; D02: the same name in another order, reported on the earlier."""
+    """D01: the same identity key within an entity; D02: the same name in another order, reported on
+    the earlier record once for each other title of the name that a later one has (naming the last such record): records
+    of one title aren't paired with each other's copies, so a frequent name makes no square of issues."""
     out = []
     for name, e in cfg.entities.items():
         rows = _of(corpus, name)
@@ -258,30 +293,38 @@ def duplicate_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
             twice = keyed.groupBy("_k").agg(F.count("*").alias("_n")).filter("_n > 1")
             out.append(_issue(keyed.join(twice, "_k"), "D01", "BLOCKER", ",".join(e.identity), "same identity as another record"))
         if e.name_like:
-            formed = rows.withColumn("_f", X.name_form(F.col("title"))).withColumn("_t", X.norm(F.col("title"))).filter("_f <> ''")
-            # a later record of the same form under another title: the greatest ord of each title and form tells
-            last = formed.groupBy("_f").agg(F.max_by("_t", "ord").alias("_t1"), F.max("ord").alias("_o1"))
-            w = Window.partitionBy("_f", "_t")
-            second = formed.withColumn("_last", F.max("ord").over(w)).groupBy("_f", "_t").agg(F.max("ord").alias("_o"))
-            other = second.join(last, "_f").filter("_t <> _t1").groupBy("_f").agg(F.max("_o").alias("_o2"))
-            both = formed.join(last, "_f").join(other, "_f", "left")
-            later = ((F.col("_t") != F.col("_t1")) & (F.col("ord") < F.col("_o1"))) | ((F.col("_t") == F.col("_t1")) & (F.col("ord") < F.col("_o2")))
-            out.append(_issue(both, "D02", "MAJOR", "title", "same name as a later record", later))
+            formed = rows.withColumn("_f", X.name_form(F.col("title"))).withColumn("_t", X.norm(F.col("title"))).filter("_f <> '' and _t <> ''")
+            # a form has few titles, as their words are the same: a row each, with the last record of that title
+            titles = formed.groupBy("_f", "_t").agg(F.max(F.struct("ord", "id", "title")).alias("_other"))
+            titles = titles.withColumnRenamed("_t", "_t2").withColumnRenamed("_f", "_f2")
+            both = formed.join(titles, (F.col("_f") == F.col("_f2")) & (F.col("_t") != F.col("_t2")) & (F.col("ord") < F.col("_other.ord")))
+            said = F.concat(F.lit("same name as a later record: "), F.col("_other.title"), F.lit(" ("), F.col("_other.id"), F.lit(")"))
+            out.append(_issue(both, "D02", "MAJOR", "title", said))
     return union(out, corpus)
 
 
 def corpus_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
-    """N01 more than one vocabulary of states, N03 more than one naming of source fields, N04 an entity without any; of
-    the configuration, so at most a few rows."""
-    spark = corpus.sparkSession
+    """N01 more than one vocabulary of states, N03 more than one naming of source fields (none is one too), N04 entities
+    without any; of the configuration, so at most three rows."""
+    entities = cfg.entities.items()
+    plain = lambda w: " ".join(X.re.sub(r"[^a-z0-9\s]", " ", X.plain_text(w)).split())
+    vocabularies: dict[tuple, list[str]] = {}
+    sources: dict[tuple, list[str]] = {}
+    for n, e in entities:
+        if e.state:
+            vocabularies.setdefault(tuple(sorted(map(plain, e.state_options))), []).append(f"{n}:{e.state}")
+        sources.setdefault(e.sources or ("(none)",), []).append(n)
     rows = []
-    if len({e.state for e in cfg.entities.values() if e.state}) > 1:
-        rows.append(("N01", "MINOR", "-", "state vocabularies differ"))
-    if len({e.sources for e in cfg.entities.values() if e.sources}) > 1:
-        rows.append(("N03", "MINOR", "-", "source fields are named differently"))
-    rows += [("N04", "MAJOR", n, "no source field") for n, e in cfg.entities.items() if not e.sources]
-    made = spark.createDataFrame(rows, "code string, severity string, entity string, message string")
-    return made.select("code", "severity", "entity", F.lit("-").alias("record_id"), F.lit("-").alias("title"), F.lit("").alias("field"), "message")
+    if len(vocabularies) > 1:
+        rows.append(("N01", "MINOR", "state vocabularies differ: " + "; ".join(f"[{', '.join(sorted(v))}]" for v in vocabularies.values())))
+    if len(sources) > 1:
+        rows.append(("N03", "MINOR", "source fields are named differently: " + "; ".join(f"{'/'.join(k)}: {', '.join(v)}" for k, v in sources.items())))
+    bare = [n for n, e in entities if not e.sources]
+    if bare:
+        rows.append(("N04", "MAJOR", "no source field: " + ", ".join(bare)))
+    made = corpus.sparkSession.createDataFrame(rows, "code string, severity string, message string")
+    dash = F.lit("-")
+    return made.select("code", "severity", F.lit("corpus").alias("entity"), dash.alias("record_id"), dash.alias("title"), dash.alias("field"), "message")
 
 
 def audit(corpus: DataFrame, cfg: Config, as_of: str, births=None) -> DataFrame:
@@ -305,37 +348,118 @@ def ordered(issues: DataFrame) -> DataFrame:
 
 
 def scores(corpus: DataFrame, issues: DataFrame, cfg: Config) -> DataFrame:
-    """Per record: weight present and in all, completeness, blockers and majors, exportable."""
-    per = issues.groupBy(F.col("entity").alias("_e"), F.col("record_id").alias("_r")).agg(
-        F.count_if(F.col("severity") == "BLOCKER").alias("blockers"), F.count_if(F.col("severity") == "MAJOR").alias("majors")
-    )
+    """Per record: weight present and in all, completeness, epistemic state, blockers, majors and minors, exportable, and
+    why not; those that aren't exportable first, then by completeness."""
+    per = issues.groupBy(F.col("record_id").alias("_r")).agg(*[F.count_if(F.col("severity") == s).alias(f"{s.lower()}s") for s in SEVERITIES[:3]])
+    mapped = F.create_map(*[F.lit(x) for p in cfg.states.items() for x in p]) if cfg.states else None
     out = []
     for name, e in cfg.entities.items():
         parts = [(f.weight, ~X.is_empty(_get("fields", k))) for k, f in e.fields.items()]
         parts += [(3 if r.required else 1, F.coalesce(F.size(_get("relations", k)), F.lit(0)) > 0) for k, r in e.relations.items()]
         have = reduce(lambda a, b: a + b, [F.when(p, w).otherwise(0) for w, p in parts], F.lit(0))
-        out.append(_of(corpus, name).select("entity", "id", have.cast("long").alias("have"), F.lit(sum(w for w, _ in parts)).cast("long").alias("all_weight")))
-    both = reduce(DataFrame.unionByName, out).join(per, (F.col("entity") == F.col("_e")) & (F.col("id") == F.col("_r")), "left")
-    both = both.withColumns({"blockers": F.coalesce("blockers", F.lit(0)), "majors": F.coalesce("majors", F.lit(0))}).drop("_e", "_r")
-    both = both.withColumn("completeness", F.when(F.col("all_weight") > 0, F.col("have") / F.col("all_weight")).otherwise(1.0))
-    return both.withColumn("exportable", (F.col("blockers") == 0) & (F.col("completeness") >= cfg.completeness))
+        state = F.element_at(mapped, X.norm(_get("service", e.state))) if mapped is not None and e.state else F.lit(None).cast("string")
+        out.append(_of(corpus, name).select("entity", "id", have.cast("long").alias("have"), F.lit(sum(w for w, _ in parts)).cast("long").alias("all_weight"), F.coalesce(state, F.lit("UNVERIFIED")).alias("epistemic")))
+    both = reduce(DataFrame.unionByName, out).join(per, F.col("id") == F.col("_r"), "left").drop("_r")
+    both = both.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("blockers", "majors", "minors")})
+    both = both.withColumn("completeness", F.when(F.col("all_weight") > 0, F.col("have") / F.col("all_weight")).otherwise(0.0))
+    why = F.array(F.when(F.col("blockers") > 0, "blockers"), F.when(F.col("completeness") < cfg.completeness, "completeness"))
+    both = both.withColumn("reasons", F.filter(why, lambda w: w.isNotNull()))
+    return both.withColumn("exportable", F.size("reasons") == 0).orderBy("exportable", "completeness")
 
 
-#: What becomes of an issue; only R03 can be mended without asking.
+#: What becomes of an issue and how much is at risk; only R03 can be mended without asking.
 REMEDY = {
-    "R03": "AUTO_FIX", "R02": "RESEARCH_REQUIRED", "M02": "RESEARCH_REQUIRED", "M04": "RESEARCH_REQUIRED", "M06": "RESEARCH_REQUIRED", "S01": "RESEARCH_REQUIRED", "S02": "RESEARCH_REQUIRED",
-    "M01": "SCHEMA_CHANGE", "N01": "SCHEMA_CHANGE", "N03": "SCHEMA_CHANGE", "N04": "SCHEMA_CHANGE",
-}
-
-
-def remediation(issues: DataFrame, remedy: dict[str, str] = REMEDY) -> DataFrame:
-    """issues with action_id (of the issue and its turn among equal ones) and classification."""
-    text = F.concat_ws("\u001f", *[F.coalesce(c, F.lit("")) for c in ("code", "severity", "entity", "record_id", "title", "field", "message")])
-    w = Window.partitionBy("code", "entity", "record_id", "title", "field", "message", "severity").orderBy(F.lit(0))
-    turn = F.row_number().over(w)
-    known = F.create_map(*[F.lit(x) for p in remedy.items() for x in p])
-    ident = F.concat(F.lit("act-"), F.left(F.sha2(F.concat(text, F.lit("\n"), turn.cast("string")), 256), F.lit(20)))
-    return issues.withColumn("action_id", ident).withColumn("classification", F.coalesce(F.element_at(known, F.col("code")), F.lit("HUMAN_DECISION")))
+    "S01": ("RESEARCH_REQUIRED", "HIGH"),
+    "S02": ("RESEARCH_REQUIRED", "MEDIUM"),
+    "S03": ("RESEARCH_REQUIRED", "HIGH"),
+    "R01": ("RESEARCH_REQUIRED", "HIGH"),
+    "R02": ("RESEARCH_REQUIRED", "HIGH"),
+    "R03": ("AUTO_FIX", "LOW"),
+    "R04": ("HUMAN_DECISION", "HIGH"),
+    "T01": ("RESEARCH_REQUIRED", "HIGH"),
+    "T02": ("RESEARCH_REQUIRED", "HIGH"),
+    "T03": ("RESEARCH_REQUIRED", "HIGH"),
+    "T05": ("RESEARCH_REQUIRED", "MEDIUM"),
+    "M01": ("SCHEMA_CHANGE", "HIGH"),
+    "M02": ("RESEARCH_REQUIRED", "HIGH"),
+    "M03": ("RESEARCH_REQUIRED", "MEDIUM"),
+    "M04": ("HUMAN_DECISION", "HIGH"),
+    "M06": ("RESEARCH_REQUIRED", "MEDIUM"),
+    "M07": ("HUMAN_DECISION", "HIGH"),
+    "M08": ("HUMAN_DECISION", "CRITICAL"),
+    "Q01": ("HUMAN_DECISION", "HIGH"),
+    "Q02": ("HUMAN_DECISION", "MEDIUM"),
+    "Q03": ("HUMAN_DECISION", "MEDIUM"),
+    "Q04": ("HUMAN_DECISION", "MEDIUM"),
+    "Q07": ("HUMAN_DECISION", "LOW"),
+    "Q08": ("HUMAN_DECISION", "MEDIUM"),
+    "D01": ("HUMAN_DECISION", "HIGH"),
+    "D02": ("HUMAN_DECISION", "HIGH"),
+    "N01": ("SCHEMA_CHANGE", "HIGH"),
+    "N03": ("SCHEMA_CHANGE", "HIGH"),
+    "N04": ("SCHEMA_CHANGE", "HIGH"),
+}
+#: Whose leave an action needs.
+AUTHORIZATION = {"AUTO_FIX": "LOCAL_COPY_ONLY", "HUMAN_DECISION": "HUMAN_APPROVAL", "RESEARCH_REQUIRED": "VERIFIED_SOURCE", "SCHEMA_CHANGE": "SCHEMA_APPROVAL"}
+
+
+def check_policy(remedy: dict[str, tuple[str, str]]) -> None:
+    """Raises ValueError for a class that doesn't exist and for any automatic fix but R03's."""
+    for code, (action, _) in remedy.items():
+        if action not in AUTHORIZATION:
+            raise ValueError(f"{code}: no such class: {action}")
+        if action == "AUTO_FIX" and code != "R03":
+            raise ValueError(f"{code}: only R03 may be fixed automatically")
+
+
+ISSUE = ("code", "entity", "field", "message", "record_id", "severity", "title")
+
+
+def remediation(issues: DataFrame, remedy: dict[str, tuple[str, str]] = REMEDY) -> DataFrame:
+    """issues with action_id (of the issue as JSON with keys in order, and its turn among equal ones), classification,
+    authorization and risk.  An issue whose code the policy lacks fails the plan."""
+    check_policy(remedy)
+    text = F.to_json(F.struct(*[F.coalesce(c, F.lit("")).alias(c) for c in ISSUE]))
+    turn = F.row_number().over(Window.partitionBy("_text").orderBy("code"))  # equal rows: any order
+    lookup = lambda values: F.element_at(F.create_map(*[F.lit(x) for p in values.items() for x in p]), F.col("code"))
+    action = F.coalesce(lookup({c: a for c, (a, _) in remedy.items()}), F.raise_error(F.concat(F.lit("no remedy for "), "code")).cast("string"))
+    ident = F.concat(F.lit("act-"), F.left(F.sha2(F.concat("_text", F.lit("\n"), turn.cast("string")), 256), F.lit(20)))
+    out = issues.withColumn("_text", text).withColumns({"action_id": ident, "classification": action, "risk": lookup({c: r for c, (_, r) in remedy.items()})}).drop("_text")
+    may = F.create_map(*[F.lit(x) for p in AUTHORIZATION.items() for x in p])
+    return out.withColumn("authorization", F.element_at(may, F.col("classification")))
+
+
+def apply_statuses(actions: DataFrame, corpus: DataFrame, cfg: Config) -> DataFrame:
+    """action_id and status of each automatic fix: APPLIED; SKIPPED_ALREADY_RESOLVED where the target's list holds the
+    source, also through an action before; NOT_BIDIRECTIONAL where the configuration of the inverse doesn't lead back;
+    SOURCE_NOT_FOUND; NOT_DETERMINISTIC where not exactly one reference is meant.  Here an id must be of the target's
+    entity and a title must be its only one."""
+    fixes = actions.filter("classification = 'AUTO_FIX'").select("action_id", F.col("entity").alias("_e"), F.col("record_id").alias("_r"), F.col("field").alias("_f"), "message")
+    both = {(n, k) for n, e in cfg.entities.items() for k, r in e.relations.items() if r.inverse and (b := cfg.entities.get(r.target)) and (v := b.relations.get(r.inverse)) and v.target == n and v.inverse == k}
+    leads_back = reduce(lambda a, b: a | b, [(F.col("_e") == n) & (F.col("_f") == k) for n, k in both], F.lit(False))
+    refs = references(corpus, cfg).filter("inverse is not null").select("entity", "id", "title", "rel", "ref", "target", "inverse")
+    ids = corpus.select(F.col("entity").alias("_ie"), F.col("id").alias("_i"))
+    once = corpus.groupBy(F.col("entity").alias("_te"), X.norm(F.col("title")).alias("_t")).agg(F.count("*").alias("_n"), F.first("id").alias("_ti")).filter("_n = 1")
+    refs = refs.join(ids, (F.col("target") == F.col("_ie")) & (F.col("ref") == F.col("_i")), "left")
+    refs = refs.join(once, (F.col("target") == F.col("_te")) & (X.norm(F.col("ref")) == F.col("_t")), "left")
+    refs = refs.withColumn("to", F.coalesce("_i", "_ti")).filter("to is not null").withColumn("_m", F.concat(F.lit("missing inverse: "), "to"))
+    per = refs.groupBy("entity", "id", "rel", "_m").agg(F.count("*").alias("meant"), F.first("to").alias("to"), F.first("inverse").alias("inverse"), F.first("title").alias("title"))
+    out = fixes.join(ids.select(F.col("_ie").alias("_se"), F.col("_i").alias("_s")), (F.col("_e") == F.col("_se")) & (F.col("_r") == F.col("_s")), "left")
+    out = out.join(per, (F.col("_e") == F.col("entity")) & (F.col("_r") == F.col("id")) & (F.col("_f") == F.col("rel")) & (F.col("message") == F.col("_m")), "left")
+    held = corpus.select(F.col("id").alias("_b"), F.explode("relations").alias("_rel", "_list")).select("_b", "_rel", F.explode("_list").alias("_v"))
+    held = held.select("_b", "_rel", F.explode(F.array("_v", F.concat(F.lit("\u0001"), X.norm(F.col("_v"))))).alias("_key")).distinct()
+    mine = out.select("action_id", "to", "inverse", F.explode(F.array("_r", F.concat(F.lit("\u0001"), X.norm(F.col("title"))))).alias("_own"))
+    there = mine.join(held, (F.col("to") == F.col("_b")) & (F.col("inverse") == F.col("_rel")) & (F.col("_own") == F.col("_key")), "left_semi")
+    out = out.join(there.select(F.col("action_id").alias("_there")).distinct(), F.col("action_id") == F.col("_there"), "left")
+    before = F.row_number().over(Window.partitionBy("to", "inverse", "_r").orderBy("action_id"))
+    status = (
+        F.when(F.col("_s").isNull(), "SOURCE_NOT_FOUND")
+        .when(~leads_back, "NOT_BIDIRECTIONAL")
+        .when(F.coalesce("meant", F.lit(0)) != 1, "NOT_DETERMINISTIC")
+        .when(F.col("_there").isNotNull() | (F.col("_before") > 1), "SKIPPED_ALREADY_RESOLVED")
+        .otherwise("APPLIED")
+    )
+    return out.withColumn("_before", before).select("action_id", status.alias("status"))
 
 
 def apply_inverses(corpus: DataFrame, cfg: Config) -> DataFrame:
