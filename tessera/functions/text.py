@@ -184,7 +184,7 @@ def safe_text(c: Column, limit: int) -> Column:
 
 def human_size(c: Column) -> Column:
     def step(value: Column, units: list[str]) -> Column:
-        shown = F.concat(F.format_string("%.1f", value), F.lit(" " + units[0]))
+        shown = F.concat(F.format_string("%.1f", F.bround(value, 1)), F.lit(" " + units[0]))
         return shown if len(units) == 1 else F.when(value < 1024, shown).otherwise(step(value / 1024, units[1:]))
 
     return F.when(c < 1024, F.concat(c.cast("string"), F.lit(" B"))).otherwise(step(c / 1024, ["KB", "MB", "GB", "TB"]))
@@ -213,6 +213,11 @@ def year(c: Column) -> Column:
     return F.regexp_extract(c, r"(?U)\b(1[0-9]{3}|20[0-9]{2})\b", 1)
 
 
+def year_in(c: Column) -> Column:
+    """The first year from 1000 to 2099 that isn't part of a longer number, also behind a letter; empty if none."""
+    return F.regexp_extract(c, r"(?<!\d)(1[0-9]{3}|20[0-9]{2})(?!\d)", 1)
+
+
 def parse_date(c: Column) -> Column:
     """The part before a T or an arrow as y-m-d, d/m/y, d-m-y, y/m/d, d.m.y or y; else the first year from 1800 to 2099
     that is a word in it; null if there is none."""

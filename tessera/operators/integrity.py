@@ -93,6 +93,18 @@ def fifo_match(left: DataFrame, right: DataFrame, content: list[str], key: str =
     return a.join(b, _same([*content, "_turn"], "_"), "left").select(key, "matched_id")
 
 
+def evidence_gap(left: DataFrame, right: DataFrame, content: list[str], logged: DataFrame) -> DataFrame:
+    """id and matched_id of the pairs that the content alone gives and that no log entry (left_id, right_id) bears out."""
+    pairs = fifo_match(left, right, content).filter("matched_id is not null")
+    return pairs.join(logged, (F.col("id") == F.col("left_id")) & (F.col("matched_id") == F.col("right_id")), "left_anti")
+
+
+def guards(checks: dict[str, DataFrame]) -> DataFrame:
+    """One report of many checks: check, violations and PASS or FAIL."""
+    each = [df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations") for name, df in checks.items()]
+    return reduce(DataFrame.unionByName, each).withColumn("classification", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS"))
+
+
 def map_and_match(left: DataFrame, right: DataFrame, mapping: DataFrame, key: str, content: list[str], excluded: list) -> DataFrame:
     """left rows with their mapped identity, classed excluded (listed), unmapped, matched or pending."""
     m = left.join(mapping, key, "left")

@@ -5,9 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The run states an event leads to, and the events each state allows.
-RUN_STATES = {"RUN_CREATED": "CREATED", "RUN_STARTED": "RUNNING", "RUN_PAUSED": "PAUSED", "RUN_RESUMED": "RUNNING", "RUN_COMPLETED": "COMPLETED", "RUN_FAILED": "FAILED"}
-RUN_TRANSITIONS = ((None, "RUN_CREATED"), ("CREATED", "RUN_STARTED"), ("RUNNING", "RUN_PAUSED"), ("RUNNING", "RUN_COMPLETED"), ("RUNNING", "RUN_FAILED"), ("PAUSED", "RUN_RESUMED"), ("PAUSED", "RUN_FAILED"), ("FAILED", "RUN_RESUMED"))
+#: The run state each event leads to, and the events each state allows.
+RUN_STATES = {
+    "RUN_CREATED": "CREATED",
+    "RUN_STARTED": "RUNNING",
+    "RUN_PAUSED": "PAUSED",
+    "RUN_RESUMED": "RUNNING",
+    "RUN_FAILED": "FAILED",
+    "RUN_INTERRUPTED": "INTERRUPTED",
+    "RUN_COMPLETED": "COMPLETED",
+    "RUN_ABORTED": "ABORTED",
+}
+RUN_TRANSITIONS = (
+    (None, "RUN_CREATED"),
+    ("CREATED", "RUN_STARTED"),
+    ("CREATED", "RUN_ABORTED"),
+    ("CREATED", "RUN_INTERRUPTED"),
+    ("RUNNING", "RUN_PAUSED"),
+    ("RUNNING", "RUN_FAILED"),
+    ("RUNNING", "RUN_INTERRUPTED"),
+    ("RUNNING", "RUN_COMPLETED"),
+    ("RUNNING", "RUN_ABORTED"),
+    ("PAUSED", "RUN_RESUMED"),
+    ("PAUSED", "RUN_ABORTED"),
+    ("FAILED", "RUN_RESUMED"),
+    ("FAILED", "RUN_ABORTED"),
+    ("INTERRUPTED", "RUN_RESUMED"),
+    ("INTERRUPTED", "RUN_ABORTED"),
+)
+#: The same for the stages of a run; a stage without events is not started.
+STAGE_STATES = {
+    "STAGE_STARTED": "RUNNING",
+    "STAGE_RESTARTED": "RUNNING",
+    "STAGE_COMPLETED": "COMPLETED",
+    "STAGE_FAILED": "FAILED",
+    "STAGE_SKIPPED": "SKIPPED",
+}
+STAGE_TRANSITIONS = (
+    (None, "STAGE_STARTED"),
+    (None, "STAGE_SKIPPED"),
+    ("RUNNING", "STAGE_COMPLETED"),
+    ("RUNNING", "STAGE_FAILED"),
+    ("FAILED", "STAGE_RESTARTED"),
+)
+#: Events that change no state, and the states that end a run or that a crash leaves behind.
+OTHER_EVENTS = ("ARTIFACT_REGISTERED", "LEDGER_REPAIRED", "HUMAN_DECISION")
+TERMINAL = ("COMPLETED", "ABORTED")
+LEFT_OPEN = ("CREATED", "RUNNING")
+#: The states of an imported item, the steps between them, and what a state requires.
+QUEUE_STATES = ("new", "processing", "classified", "approved", "retryable_error", "rejected", "failed", "archived")
+QUEUE_TRANSITIONS = (
+    (None, "new"),
+    ("new", "processing"),
+    ("processing", "classified"),
+    ("processing", "retryable_error"),
+    ("processing", "failed"),
+    ("retryable_error", "processing"),
+    ("classified", "approved"),
+    ("classified", "rejected"),
+    ("approved", "archived"),
+)
+QUEUE_ERRORS = ("retryable_error", "failed")
+QUEUE_PLACED = ("approved", "archived")
 GENESIS = "0" * 64
 
 
@@ -22,28 +81,88 @@ def sequence_faults(events: DataFrame) -> DataFrame:
     return events.withColumn("expected", turn).filter("seq <> expected").select("run_id", "seq", "expected")
 
 
-def fsm_violations(events: DataFrame, states: dict = RUN_STATES, transitions=RUN_TRANSITIONS) -> DataFrame:
-    """run_id, first_violation_seq of runs with an event that the state before doesn't allow.  An event's state depends
-    on its type alone, so the state before is that of the event before."""
-    w = Window.partitionBy("run_id").orderBy("seq")
-    before = _state_of(F.lag("event_type").over(w), states)
+def event_faults(events: DataFrame, schema: str, actors: tuple[str, ...]) -> DataFrame:
+    """run_id, seq and fault of events that can't be taken, by the first reason: another schema, a seq that isn't its
+    turn, an actor or event type that doesn't exist, a changed component without its source hash."""
+    turn = F.row_number().over(Window.partitionBy("run_id").orderBy("seq", "event_id"))
+    known = (*RUN_STATES, *STAGE_STATES, *OTHER_EVENTS)
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    why = (
+        F.when(no(F.col("schema") == schema), "schema")
+        .when(no(F.col("seq") == F.col("_turn")), "seq")
+        .when(no(F.col("actor").isin(*actors)), "actor")
+        .when(no(F.col("event_type").isin(*known)), "event_type")
+        .when(F.coalesce(F.col("component.git_dirty"), F.lit(False)) & (F.coalesce("component.source_hash", F.lit("")) == ""), "component")
+    )
+    return events.withColumn("_turn", turn).withColumn("fault", why).filter("fault is not null").select("run_id", "seq", "fault")
+
+
+def _violations(events: DataFrame, keys: list[str], states: dict, transitions) -> DataFrame:
+    """Events that the state before doesn't allow.  The state after an event depends on its type alone, so the state
+    before is that of the state event before; events that change no state don't count."""
+    w = Window.partitionBy(*keys).orderBy("seq")
+    held = events.filter(F.col("event_type").isin(*states)).withColumn("before", _state_of(F.lag("event_type").over(w), states))
     step = F.concat(F.coalesce("before", F.lit("")), F.lit(">"), "event_type")
-    bad = events.withColumn("before", before).filter(~step.isin(*[f"{s or ''}>{e}" for s, e in transitions]))
-    return bad.groupBy("run_id").agg(F.min("seq").alias("first_violation_seq"))
+    return held.filter(~step.isin(*[f"{s or ''}>{e}" for s, e in transitions]))
+
+
+def fsm_violations(events: DataFrame, states: dict = RUN_STATES, transitions=RUN_TRANSITIONS) -> DataFrame:
+    """run_id, first_violation_seq of runs with an event that the state before doesn't allow."""
+    return _violations(events, ["run_id"], states, transitions).groupBy("run_id").agg(F.min("seq").alias("first_violation_seq"))
+
+
+def stage_violations(events: DataFrame) -> DataFrame:
+    """run_id, stage, first_violation_seq of stages with an event that the stage's state before doesn't allow; a stage
+    event without a stage is one too."""
+    bad = _violations(events.filter("stage <> ''"), ["run_id", "stage"], STAGE_STATES, STAGE_TRANSITIONS)
+    bare = events.filter(F.col("event_type").isin(*STAGE_STATES) & (F.coalesce("stage", F.lit("")) == ""))
+    both = bad.select("run_id", "stage", "seq").unionByName(bare.select("run_id", F.lit("").alias("stage"), "seq"))
+    return both.groupBy("run_id", "stage").agg(F.min("seq").alias("first_violation_seq"))
+
+
+def stage_states(events: DataFrame) -> DataFrame:
+    """The state each stage's last event leaves it in."""
+    per = events.filter(F.col("event_type").isin(*STAGE_STATES)).groupBy("run_id", "stage").agg(F.max_by("event_type", "seq").alias("e"))
+    return per.select("run_id", "stage", _state_of(F.col("e"), STAGE_STATES).alias("state"))
+
+
+def queue_violations(changes: DataFrame) -> DataFrame:
+    """item, seq and fault of changes (item, seq, state, error, confidence, destination) to a state that doesn't exist or
+    that the state before doesn't allow, that lack an error or bear one without need, whose confidence isn't from 0 to 1,
+    or that lack a destination."""
+    before = F.lag("state").over(Window.partitionBy("item").orderBy("seq"))
+    step = F.concat(F.coalesce("_before", F.lit("")), F.lit(">"), "state")
+    wrong = F.col("state").isin(*QUEUE_ERRORS)
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    why = (
+        F.when(~F.coalesce(F.col("state").isin(*QUEUE_STATES), F.lit(False)), "state")
+        .when(~step.isin(*[f"{s or ''}>{t}" for s, t in QUEUE_TRANSITIONS]), "transition")
+        .when(wrong & blank("error"), "error missing")
+        .when(~wrong & F.col("error").isNotNull(), "error")
+        .when(F.isnan("confidence") | ~F.col("confidence").between(0.0, 1.0), "confidence")
+        .when(F.col("state").isin(*QUEUE_PLACED) & blank("destination"), "destination")
+    )
+    return changes.withColumn("_before", before).withColumn("fault", why).filter("fault is not null").select("item", "seq", "fault")
 
 
 def run_state(events: DataFrame, states: dict = RUN_STATES) -> DataFrame:
-    """The state each run's last event leaves it in."""
-    per = events.groupBy("run_id").agg(F.max_by("event_type", "seq").alias("e"), F.max("seq").alias("last_seq"))
+    """The state each run's last state event leaves it in."""
+    held = events.filter(F.col("event_type").isin(*states))
+    per = held.groupBy("run_id").agg(F.max_by("event_type", "seq").alias("e"), F.max("seq").alias("last_seq"))
     return per.select("run_id", _state_of(F.col("e"), states).alias("state"), "last_seq")
 
 
-def recovery_class(runs: DataFrame, violations: DataFrame) -> DataFrame:
-    """corrupt, terminal, live (running) or interrupted."""
-    v = violations.select(F.col("run_id").alias("_v"))
-    out = runs.join(v, F.col("run_id") == F.col("_v"), "left")
-    said = F.when(F.col("_v").isNotNull(), "corrupt").when(F.col("state").isin("COMPLETED", "FAILED"), "terminal").when(F.col("state") == "RUNNING", "live").otherwise("interrupted")
-    return out.select("run_id", "state", said.alias("recovery"))
+def recovery_class(runs: DataFrame, violations: DataFrame, held: DataFrame, resumable: DataFrame) -> DataFrame:
+    """canonical_state and action of each run (run_id, state): RUNNING and not to be touched while its lock is held (held:
+    run_id); LEDGER_CORRUPT, likewise, where its ledger has a violation; a run that a crash left created or running is
+    INTERRUPTED.  Ended runs need nothing; others can be resumed where a stage is left (resumable: run_id) or finalized."""
+    out = runs.select("run_id", "state")
+    for name, df in (("_live", held), ("_bad", violations), ("_left", resumable)):
+        out = out.join(df.select(F.col("run_id").alias(name)).distinct(), F.col("run_id") == F.col(name), "left")
+    live, bad = F.col("_live").isNotNull(), F.col("_bad").isNotNull()
+    state = F.when(live, "RUNNING").when(bad, "LEDGER_CORRUPT").when(F.col("state").isin(*LEFT_OPEN), "INTERRUPTED").otherwise(F.col("state"))
+    action = F.when(live | bad, "DO_NOT_RESUME").when(F.col("state").isin(*TERMINAL), "NO_ACTION").when(F.col("_left").isNotNull(), "RESUME_AVAILABLE").otherwise("FINALIZE_AVAILABLE")
+    return out.select("run_id", state.alias("canonical_state"), action.alias("action"))
 
 
 def stage_projection(stages: DataFrame) -> DataFrame:
@@ -70,13 +189,13 @@ def checkpoint_failures(needed: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def chain_faults(records: DataFrame, group: list[str], content: list[str]) -> DataFrame:
-    """Records whose previous_hash isn't the one before's record_hash, or whose record_hash isn't that of previous_hash
-    and content joined by |."""
+    """Records out of their turn (sequence counts from 1), whose previous_hash isn't the one before's record_hash, or
+    whose record_hash isn't that of previous_hash and content joined by |."""
     w = Window.partitionBy(*group).orderBy("sequence")
     expected = F.lag("record_hash", 1, GENESIS).over(w)
     own = F.sha2(F.concat_ws("|", "previous_hash", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content]), 256)
-    out = records.withColumn("_e", expected)
-    why = F.when(F.col("previous_hash") != F.col("_e"), "previous_hash").when(own != F.col("record_hash"), "record_hash")
+    out = records.withColumns({"_e": expected, "_turn": F.row_number().over(w)})
+    why = F.when(F.col("sequence") != F.col("_turn"), "sequence").when(F.col("previous_hash") != F.col("_e"), "previous_hash").when(own != F.col("record_hash"), "record_hash")
     return out.withColumn("fault", why).filter("fault is not null").select(*group, "sequence", "fault")
 
 
@@ -105,12 +224,23 @@ def status_pivot(rows: DataFrame, group: str, status: str, values: list[str]) ->
     return rows.groupBy(group).agg(*[F.count_if(F.col(status) == v).alias(f"n_{v.lower()}") for v in values])
 
 
-def record_violations(records: DataFrame, statuses: list[str]) -> DataFrame:
-    """Operational records that break their contract, and the first reason."""
-    why = (
-        F.when(~F.coalesce(F.col("run_id").rlike(r"^[a-z0-9][a-z0-9\-]{2,63}$"), F.lit(False)), "run_id")
-        .when(~F.coalesce(F.col("status").isin(*statuses), F.lit(False)), "status")
-        .when(F.col("ended_at") < F.col("started_at"), "times")
-        .when(F.length("summary") > 4096, "summary")
-    )
+#: The contract of operational records.
+RECORD_VERSION = 1
+RECORD_STATUSES = ("OK", "ERROR", "TIMEOUT", "CANCELLED")
+RECORD_ERRORS = ("none", "validation", "dependency", "process_exit", "timeout", "cancelled", "internal")
+RECORD_ID = r"^(?:RUN|COR)-[0-9a-f]{32}$"
+RECORD_FIELDS = ("schema_version", "run_id", "correlation_id", "service", "status", "error_code", "started_at", "ended_at", "fresh_until", "return_code", "command", "summary", "artifacts", "runbook")
+LONGEST_FIELD = 4096
+
+
+def record_violations(records: DataFrame) -> DataFrame:
+    """Operational records that break their contract, and the first reason; a missing field is a null."""
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    why = F.when(F.greatest(*[F.col(c).isNull() for c in RECORD_FIELDS]), "fields")
+    why = why.when(F.col("schema_version") != RECORD_VERSION, "schema_version")
+    why = why.when(no(F.col("status").isin(*RECORD_STATUSES)) | no(F.col("error_code").isin(*RECORD_ERRORS)), "status or error code")
+    for name in ("run_id", "correlation_id"):
+        why = why.when(no(F.col(name).rlike(RECORD_ID)), name)
+    for name in ("service", "summary", "runbook"):
+        why = why.when(F.length(name) > LONGEST_FIELD, name)
     return records.withColumn("reason", why).filter("reason is not null").select("run_id", "reason")

@@ -22,7 +22,7 @@ def aggregate_chunks(chunks: DataFrame) -> DataFrame:
 def signals_to_claims(signals: DataFrame, predicate: str = "deadline") -> DataFrame:
     """A raw claim for each successful signal with an excerpt."""
     fine = (F.col("signal_status") == "SUCCESS") & F.col("present") & ~X.is_empty(F.col("excerpt"))
-    return signals.filter(fine).select("file_id", F.col("file_id").alias("subject_raw"), F.lit(predicate).alias("predicate"), F.col("excerpt").alias("object_raw"), F.col("excerpt").alias("evidence_excerpt"), F.lit("INFERRED").alias("status"))
+    return signals.filter(fine).select("file_id", F.col("file_id").alias("subject_raw"), F.lit(predicate).alias("predicate"), F.col("excerpt").alias("object_raw"), F.col("excerpt").alias("evidence_excerpt"), F.lit("SUPPORTED_BY_ARCHIVE").alias("status"))
 
 
 def template(text: Column, path: Column, garbled: Column, gates: list[tuple[str, str, int, str]], other: str = "generic") -> Column:

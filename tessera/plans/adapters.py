@@ -135,20 +135,20 @@ def runs(s: Source) -> DataFrame:
     )
 
 
-@adapter(
-    "ledger",
-    """SELECT CAST(user_id AS BIGINT) AS run_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS seq, event_id, ts,
-CASE event_type WHEN 'signup' THEN 'RUN_CREATED' WHEN 'view' THEN 'RUN_STARTED' WHEN 'click' THEN 'RUN_PAUSED' WHEN 'error' THEN 'RUN_FAILED' ELSE 'RUN_COMPLETED' END AS event_type, value FROM events""",
-)
-def ledger(s: Source) -> DataFrame:
-    from pyspark.sql import Window
+_KINDS = {
+    "signup": ("RUN_INTERRUPTED", "RUN_PAUSED", "RUN_STARTED"),
+    "view": ("RUN_STARTED", "RUN_FAILED", "RUN_RESUMED"),
+    "click": ("RUN_STARTED", "RUN_INTERRUPTED", "RUN_RESUMED"),
+    "purchase": ("RUN_STARTED", "RUN_COMPLETED", "RUN_PAUSED"),
+    "error": ("RUN_ABORTED", "RUN_FAILED", "RUN_ABORTED"),
+}
+_KIND = f"""CASE WHEN event_id % 4 = 0 THEN CASE WHEN event_id % 44 = 0 THEN 'RUN_STARTED' ELSE 'RUN_CREATED' END WHEN event_id % 36 = 2 THEN 'HUMAN_DECISION' {" ".join(f"WHEN event_type = '{k}' AND event_id % 4 = {n} THEN '{v}'" for k, of in _KINDS.items() for n, v in enumerate(of, 1))} ELSE 'RUN_PAUSED' END"""
+
 
-    kinds = {"signup": "RUN_CREATED", "view": "RUN_STARTED", "click": "RUN_PAUSED", "error": "RUN_FAILED"}
-    kind = F.lit("RUN_COMPLETED")
-    for k, v in kinds.items():
-        kind = F.when(F.col("event_type") == k, v).otherwise(kind)
-    turn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
-    return s.t("events").select(F.col("user_id").alias("run_id"), turn.alias("seq"), "event_id", "ts", kind.alias("event_type"), "value")
+@adapter("ledger", f"SELECT event_id // 4 AS run_id, event_id % 4 + 1 AS seq, event_id, ts, {_KIND} AS event_type, value FROM events")
+def ledger(s: Source) -> DataFrame:
+    """Runs of four events each; every eleventh starts without being created, some events change no state."""
+    return s.t("events").select(F.floor(F.col("event_id") / 4).alias("run_id"), (F.col("event_id") % 4 + 1).alias("seq"), "event_id", "ts", F.expr(_KIND).alias("event_type"), "value")
 
 
 @adapter("left_log", "SELECT event_id AS id, user_id % 10 AS who, nullif(event_type, 'view') AS kind FROM events WHERE event_id % 2 = 0")
@@ -161,11 +161,12 @@ def right_log(s: Source) -> DataFrame:
     return s.t("events").filter("event_id % 2 = 1").select(F.col("event_id").alias("id"), (F.col("user_id") % 10).alias("who"), F.expr("nullif(event_type, 'view')").alias("kind"))
 
 
-@adapter("titles", "SELECT 'part' AS entity_type, 'P' || CAST(p_partkey AS VARCHAR) AS id, p_name || ' ' || CAST(p_partkey AS VARCHAR) AS title, p_partkey * 2 AS ord FROM part WHERE p_partkey % 3 > 0 UNION ALL SELECT 'part', 'Q' || CAST(p_partkey AS VARCHAR), p_name, p_partkey * 2 + 1 FROM part WHERE p_partkey < 20 UNION ALL SELECT 'supplier', 'S' || CAST(s_suppkey AS VARCHAR), s_name, s_suppkey * 2 FROM supplier")
+@adapter("titles", "SELECT 'part' AS entity_type, 'P' || CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_partkey % 3 = 0 THEN 'gone ' ELSE '' END || p_name || ' ' || CAST(p_partkey AS VARCHAR) AS title, p_partkey * 2 AS ord FROM part UNION ALL SELECT 'part', 'Q' || CAST(p_partkey AS VARCHAR), p_name, p_partkey * 2 + 1 FROM part WHERE p_partkey < 20 UNION ALL SELECT 'supplier', 'S' || CAST(s_suppkey AS VARCHAR), s_name, s_suppkey * 2 FROM supplier")
 def titles(s: Source) -> DataFrame:
     p = s.t("part")
     key = F.col("p_partkey").cast("string")
-    a = p.filter("p_partkey % 3 > 0").select(F.lit("part").alias("entity_type"), F.concat(F.lit("P"), key).alias("id"), F.concat_ws(" ", "p_name", key).alias("title"), (F.col("p_partkey") * 2).alias("ord"))
+    title = F.concat_ws(" ", F.when(F.col("p_partkey") % 3 == 0, "gone"), "p_name", key)  # every third one's title is another
+    a = p.select(F.lit("part").alias("entity_type"), F.concat(F.lit("P"), key).alias("id"), title.alias("title"), (F.col("p_partkey") * 2).alias("ord"))
     b = p.filter("p_partkey < 20").select(F.lit("part").alias("entity_type"), F.concat(F.lit("Q"), key).alias("id"), F.col("p_name").alias("title"), (F.col("p_partkey") * 2 + 1).alias("ord"))
     c = s.t("supplier").select(F.lit("supplier").alias("entity_type"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("title"), (F.col("s_suppkey") * 2).alias("ord"))
     return a.unionByName(b).unionByName(c)
@@ -177,7 +178,8 @@ def titles(s: Source) -> DataFrame:
 CASE WHEN l_linenumber = 7 THEN p_name ELSE p_name || ' ' || CAST(p_partkey AS VARCHAR) END AS subject_raw,
 CASE l_returnflag WHEN 'N' THEN 'Supplied by' WHEN 'R' THEN 'Returned_to' ELSE 'made-by' END AS predicate, s_name AS object_raw,
 'order ' || CAST(l_orderkey AS VARCHAR) AS evidence_excerpt,
-CASE WHEN l_quantity < 10 THEN 'VERIFIED' WHEN l_quantity < 20 THEN 'SUPPORTED' WHEN l_quantity < 30 THEN 'SUPPORTED_BY_WEB' WHEN l_quantity < 40 THEN 'INFERRED' ELSE 'odd' END AS status,
+CASE WHEN l_quantity < 10 THEN 'VERIFIED' WHEN l_quantity < 15 THEN 'CONFIRMED' WHEN l_quantity < 20 THEN NULL WHEN l_quantity < 30 THEN 'SUPPORTED_BY_WEB' WHEN l_quantity < 40 THEN 'INFERRED' WHEN l_quantity < 45 THEN 'DISPUTED' ELSE 'odd' END AS status,
+CASE WHEN l_linenumber % 4 = 0 THEN '{"page":"' || CAST(l_linenumber AS VARCHAR) || '","scope":"' || l_returnflag || '"}' ELSE '{}' END AS qualifiers,
 l_orderkey * 10 + l_linenumber AS ord FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_returnflag) = 1) JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey""",
 )
 def raw_claims(s: Source) -> DataFrame:
@@ -194,6 +196,7 @@ def raw_claims(s: Source) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", "Supplied by").when(F.col("l_returnflag") == "R", "Returned_to").otherwise("made-by").alias("predicate"),
         F.col("s_name").alias("object_raw"),
         F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("evidence_excerpt"),
-        F.when(q < 10, "VERIFIED").when(q < 20, "SUPPORTED").when(q < 30, "SUPPORTED_BY_WEB").when(q < 40, "INFERRED").otherwise("odd").alias("status"),
+        F.when(q < 10, "VERIFIED").when(q < 15, "CONFIRMED").when(q < 20, None).when(q < 30, "SUPPORTED_BY_WEB").when(q < 40, "INFERRED").when(q < 45, "DISPUTED").otherwise("odd").alias("status"),
+        F.when(F.col("l_linenumber") % 4 == 0, F.create_map(F.lit("scope"), F.col("l_returnflag"), F.lit("page"), F.col("l_linenumber").cast("string"))).alias("qualifiers"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
     )

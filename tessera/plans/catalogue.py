@@ -116,3 +116,43 @@ def map_and_match(s: Source):
     mapping = s.spark.range(7).select(F.col("id").alias("who"), F.col("id").alias("service"))
     right = s["right_log"].withColumn("service", F.col("who"))
     return I.map_and_match(s["left_log"], right, mapping, "who", ["service", "kind"], [2, 4])
+
+
+_GUARDS = (("log", "oid"), ("relations", "source_oid"), ("relations", "target_oid"), ("resources", "resource_oid"), ("runs", "service_oid"))
+query("orphan_guards", " UNION ALL ".join(f"SELECT '{t}.{k}' AS \"check\", count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS classification FROM {t} WHERE NOT EXISTS (SELECT 1 FROM objects o WHERE o.oid = {t}.{k})" for t, k in _GUARDS), "log", "relations", "resources", "runs", "objects")(
+    lambda s: I.guards({f"{t}.{k}": I.orphans(s[t], k, s["objects"], "oid") for t, k in _GUARDS})
+)
+_TYPED = (("relations", "source_oid", "Person"), ("relations", "target_oid", "System"), ("log", "oid", "Person"), ("runs", "service_oid", "Service"), ("resources", "resource_oid", "Resource"))
+query("type_guards", " UNION ALL ".join(f"SELECT '{t}.{k}' AS \"check\", count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS classification FROM {t} WHERE NOT EXISTS (SELECT 1 FROM objects o WHERE o.oid = {t}.{k} AND o.type = '{n}')" for t, k, n in _TYPED), "log", "relations", "resources", "runs", "objects")(
+    lambda s: I.guards({f"{t}.{k}": I.typed_references(s[t], k, s["objects"], n) for t, k, n in _TYPED})
+)
+query("evidence_gap", f"SELECT id, matched_id FROM ({_FIFO}) WHERE matched_id IS NOT NULL AND id % 6 > 0", "left_log", "right_log")(
+    lambda s: (lambda p: I.evidence_gap(s["left_log"], s["right_log"], ["who", "kind"], p.select(F.col("id").alias("left_id"), (F.col("matched_id") + F.when(F.col("id") % 6 == 0, 0).otherwise(1)).alias("right_id"))))(I.fifo_match(s["left_log"], s["right_log"], ["who", "kind"]).filter("matched_id is not null"))
+)
+query(
+    "identity_audit",
+    "SELECT coalesce(l.oid, o.oid) AS oid, CASE WHEN o.oid IS NULL THEN 'json_only' WHEN l.oid IS NULL THEN 'catalogue_only' ELSE 'both' END AS state, coalesce(l.type = 'System' AND l.oid LIKE 'SYX%', false) AS elsewhere FROM (SELECT CASE WHEN type = 'System' THEN 'SYX' || substr(oid, 4) ELSE oid END AS oid, type FROM objects WHERE type <> 'Service' AND type <> 'Resource') l FULL JOIN (SELECT * FROM objects WHERE type <> 'Core' AND type <> 'Resource') o ON l.oid = o.oid",
+    "objects",
+)(
+    lambda s: I.identity_audit(s["objects"].filter("type not in ('Service', 'Resource')").withColumn("oid", F.when(F.col("type") == "System", F.concat(F.lit("SYX"), F.substring("oid", 4, 99))).otherwise(F.col("oid"))), s["objects"].filter("type not in ('Core', 'Resource')"))
+)
+
+
+def _plugins(s: Source):
+    """Plugins are nations, their services suppliers of the nation; every fifth plugin has no object."""
+    ident = F.concat(F.lit("PLG-"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 6, "0"))
+    n = s.t("nation")
+    meta = n.select(ident.alias("plugin_oid"), F.lower("n_name").alias("slug"), F.lit("1.0").alias("version"))
+    own = n.select(F.when(F.col("n_nationkey") % 5 > 0, ident).alias("oid"), F.lit("Plugin").alias("type"), F.col("n_name").alias("name"), F.lit("active").alias("status")).filter("oid is not null")
+    links = s["relations"].filter("relation_type = 'located_in' and source_oid like 'SRV%'").select(F.regexp_replace("target_oid", "SYS", "PLG").alias("plugin_oid"), F.col("source_oid").alias("service_oid"))
+    return meta, s["objects"].unionByName(own), links
+
+
+_PLG = "'PLG-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 6, '0')"
+query("plugin_registry", f"SELECT {_PLG} AS plugin_oid, lower(n_name) AS slug, n_name AS object_name FROM nation WHERE n_nationkey % 5 > 0")(lambda s: (lambda m, o, _: C.plugin_registry(m, o).select("plugin_oid", "slug", "object_name"))(*_plugins(s)))
+query("plugin_lookup", f"SELECT {_PLG} AS plugin_oid, lower(n_name) AS slug FROM nation WHERE upper(n_name) = (SELECT upper(n_name) FROM nation WHERE n_nationkey = 7)")(
+    lambda s: C.plugin(_plugins(s)[0], s.t("nation").filter("n_nationkey = 7").first()["n_name"].swapcase()).select("plugin_oid", "slug")
+)
+query("plugin_services", f"SELECT 'PLG-' || substr(target_oid, 5) AS plugin_oid, source_oid AS service_oid, CASE WHEN n_nationkey % 5 > 0 THEN n_name END AS plugin_name, s_name AS service_name FROM relations JOIN nation ON substr(target_oid, 5) = substr({_PLG}, 5) JOIN supplier ON substr(source_oid, 5) = lpad(CAST(s_suppkey + 1 AS VARCHAR), 6, '0') WHERE relation_type = 'located_in' AND source_oid LIKE 'SRV%'", "relations")(
+    lambda s: (lambda _, o, l: C.plugin_services(l, o).select("plugin_oid", "service_oid", "plugin_name", "service_name"))(*_plugins(s))
+)

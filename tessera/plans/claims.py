@@ -28,7 +28,7 @@ def _norm(c: str) -> str:
 
 
 def _resolved(s: Source):
-    names = s.t("supplier").filter("s_suppkey % 5 = 3").select(X.norm(F.col("s_name")).alias("alias"), F.lit("nobody known").alias("name"))
+    names = s.t("supplier").select(F.when(F.col("s_suppkey") % 5 == 3, X.norm(F.col("s_name"))).alias("alias"), F.lit("nobody known").alias("name")).filter("alias is not null")
     return K.resolve(s["raw_claims"], s["titles"], names)
 
 
@@ -40,10 +40,11 @@ LEFT JOIN (SELECT {_norm("title")} AS t, count(*) AS n, min(id) AS id FROM title
 
 
 _RESOLVED = f"(SELECT r.*, subject_id, subject_match, object_id, object_match, CASE WHEN subject_match = 'AMBIGUOUS' OR object_match = 'AMBIGUOUS' THEN 'PENDING_RESOLUTION' ELSE 'RESOLVED' END AS resolution FROM raw_claims r JOIN ({_side('subject')}) ON ord = o_subject JOIN ({_side('object')}) ON ord = o_object)"
-_RANK = "CASE status WHEN 'VERIFIED' THEN 0 WHEN 'SUPPORTED' THEN 1 WHEN 'SUPPORTED_BY_WEB' THEN 3 WHEN 'INFERRED' THEN 6 ELSE 10 END"
-_CLAIMS = f"""(SELECT 'claim:' || sha256('["' || subject_id || '","' || {_norm("predicate")} || '","' || object_id || '",{{}}]') AS claim_id,
+_STATUS = "coalesce(status, 'SUPPORTED_BY_ARCHIVE')"
+_RANK = f"CASE {_STATUS} WHEN 'VERIFIED' THEN 0 WHEN 'CONFIRMED' THEN 1 WHEN 'SUPPORTED_BY_ARCHIVE' THEN 3 WHEN 'SUPPORTED_BY_WEB' THEN 4 WHEN 'DISPUTED' THEN 5 WHEN 'INFERRED' THEN 7 ELSE 10 END"
+_CLAIMS = f"""(SELECT 'claim:' || sha256('["' || subject_id || '","' || {_norm("predicate")} || '","' || object_id || '",' || qualifiers || ']') AS claim_id,
 arg_min(subject_raw, ord) AS subject, arg_min(predicate, ord) AS predicate, arg_min(object_raw, ord) AS object, any_value(subject_id) AS subject_id,
-arg_min(status, {_RANK} * 100000000000 + ord) AS status, string_agg(file_id, '|' ORDER BY ord) AS files, count(*) AS n_files, min(ord) AS ord FROM {_RESOLVED} WHERE resolution = 'RESOLVED' GROUP BY 1)"""
+arg_min({_STATUS}, {_RANK} * 100000000000 + ord) AS status, string_agg(file_id, '|' ORDER BY ord) AS files, count(*) AS n_files, min(ord) AS ord FROM {_RESOLVED} WHERE resolution = 'RESOLVED' GROUP BY 1)"""
 _C = ("titles", "raw_claims")
 
 query("claims_resolve", f"SELECT ord, subject_id, subject_match, object_id, object_match, resolution FROM {_RESOLVED}", *_C)(lambda s: _resolved(s).select("ord", "subject_id", "subject_match", "object_id", "object_match", "resolution"))
@@ -67,15 +68,15 @@ def _entities(s: Source):
 
 query(
     "claims_gate",
-    f"""SELECT entity_id, match, CASE WHEN match = 'AMBIGUOUS' THEN 'REVIEW_REQUIRED' WHEN b AND match = 'NEW_ENTITY' THEN 'INSUFFICIENT_EVIDENCE' WHEN b OR match = 'EXISTS_CONFLICTING' THEN 'REVIEW_REQUIRED' ELSE 'READY' END AS gate
+    f"""SELECT entity_id, match, CASE WHEN match = 'AMBIGUOUS' THEN 'REVIEW_REQUIRED' WHEN b AND match = 'NEW_ENTITY' THEN 'INSUFFICIENT_EVIDENCE' WHEN b OR match = 'EXISTS_CONFLICTING' THEN 'REVIEW_REQUIRED' ELSE 'READY_FOR_NOTION' END AS gate
 FROM (SELECT entity_id, any_value(match) AS match, bool_or({_BLOCKED}) AS b FROM {_ENTITIES} x CROSS JOIN (SELECT 'supplied by' AS m) LEFT JOIN {_LAST} ON e = entity_id AND p = m GROUP BY 1)""",
     *_C,
-)(lambda s: K.gate(_entities(s), _claims(s), s.spark.createDataFrame([("Supplied_by",)], "predicate string")).select("entity_id", "match", "gate"))
+)(lambda s: K.gate(_entities(s), _claims(s), ["Supplied_by"]).select("entity_id", "match", "gate"))
 query(
     "claims_gaps",
     f"SELECT entity_id, string_agg(f, '|' ORDER BY f) AS missing FROM {_ENTITIES} x CROSS JOIN (SELECT unnest(['made by', 'returned to', 'supplied by']) AS f) LEFT JOIN {_LAST} ON e = entity_id AND p = f WHERE {_BLOCKED} GROUP BY 1",
     *_C,
-)(lambda s: K.retrieval_gaps(_entities(s), _claims(s), s.spark.createDataFrame([("made by",), ("returned to",), ("supplied by",)], "field string")))
+)(lambda s: K.retrieval_gaps(_entities(s), _claims(s), ["made by", "returned to", "supplied by"]))
 
 
 def _web(s: Source):
@@ -87,13 +88,75 @@ query(
     f"SELECT claim_id, CASE WHEN status = 'SUPPORTED_BY_WEB' AND k >= 2 THEN 'VERIFIED' ELSE status END AS status FROM {_CLAIMS} c LEFT JOIN (SELECT claim_id AS ci, count(DISTINCT ord % 3) AS k FROM (SELECT claim_id, unnest(string_split(files, '|')) AS f FROM {_CLAIMS}) JOIN raw_claims ON f = file_id GROUP BY 1) ON ci = claim_id",
     *_C,
 )(lambda s: K.corroborate(_claims(s), _web(s)).select("claim_id", "status"))
-_CURRENT = "(SELECT id AS e, CASE WHEN ord % 3 = 0 THEN '' WHEN ord % 3 = 1 THEN 'other' END AS v FROM titles)"
-for _strict in (False, True):
-    query(
-        "claims_patch_strict" if _strict else "claims_patch",
-        f"SELECT claim_id, CASE WHEN status NOT IN ('VERIFIED', 'SUPPORTED', 'SUPPORTED_BY_ARCHIVE') THEN 'CONFLICT' WHEN coalesce(v, '') = '' THEN 'ADD' ELSE '{'CONFLICT' if _strict else 'UPDATE'}' END AS action FROM {_CLAIMS} LEFT JOIN {_CURRENT} ON e = subject_id AND {_norm('predicate')} = 'supplied by'",
-        *_C,
-    )(lambda s, t=_strict: K.patch(_claims(s), s["titles"].select(F.col("id").alias("entity_id"), F.lit("supplied by").alias("predicate"), F.expr("CASE WHEN ord % 3 = 0 THEN '' WHEN ord % 3 = 1 THEN 'other' END").alias("value")), t).select("claim_id", "action"))
+_PATHS = "(SELECT file_id AS pf, CASE WHEN ord % 7 > 0 THEN 'a/' || file_id END AS path FROM raw_claims)"
+_PLACED = f"(SELECT claim_id AS pc, bool_or(path IS NOT NULL) AS placed FROM (SELECT claim_id, unnest(string_split(files, '|')) AS f FROM {_CLAIMS}) JOIN {_PATHS} ON f = pf GROUP BY 1)"
+
+
+def _paths(s: Source):
+    some = F.when(F.col("ord") % 7 > 0, F.array(F.concat(F.lit("a/"), "file_id"))).otherwise(F.array().cast("array<string>"))
+    return s["raw_claims"].select("file_id", some.alias("paths"))
+
+
+@query(
+    "claims_patch",
+    f"""SELECT claim_id, CASE WHEN reason IS NOT NULL THEN 'CONFLICT' WHEN coalesce(v, '') = '' THEN 'ADD' ELSE 'UPDATE' END AS action, reason, property FROM (
+SELECT claim_id, object, kind, property, v, CASE WHEN NOT placed OR status NOT IN ('VERIFIED', 'CONFIRMED', 'SUPPORTED_BY_ARCHIVE') THEN 'UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE' WHEN kind IS NULL THEN 'PREDICATE_NOT_IN_SCHEMA' WHEN kind = 'relation' THEN 'RELATION_TARGET_ID_NOT_RESOLVED' END AS reason
+FROM (SELECT *, CASE {_norm("predicate")} WHEN 'supplied by' THEN 'property' WHEN 'made by' THEN 'relation' END AS kind, CASE {_norm("predicate")} WHEN 'supplied by' THEN 'Supplier' WHEN 'made by' THEN 'Maker' END AS property FROM {_CLAIMS})
+JOIN {_PLACED} ON pc = claim_id LEFT JOIN (SELECT id AS e, CASE WHEN ord % 3 = 0 THEN '' WHEN ord % 3 = 1 THEN 'other' ELSE 'Supplier#000000003' END AS v FROM titles) ON e = subject_id AND kind = 'property')
+WHERE NOT coalesce((kind = 'property' AND reason IS NULL AND v = object) OR (kind = 'relation' AND reason LIKE 'RELATION%' AND object IN ('Supplier#000000005', 'Supplier#000000007') AND claim_id IN (SELECT claim_id FROM {_CLAIMS} JOIN titles ON id = subject_id)), FALSE)""",
+    *_C,
+)
+def claims_patch(s: Source):
+    fields = s.spark.createDataFrame([("Supplied_by", "supplier", "Supplier", "property"), ("made by", "maker", "Maker", "relation")], "name string, key string, property string, kind string")
+    value = F.expr("CASE WHEN ord % 3 = 0 THEN '' WHEN ord % 3 = 1 THEN 'other' ELSE 'Supplier#000000003' END")
+    makers = F.array(F.lit("Supplier#000000005"), F.lit("Supplier#000000007"))
+    t = s["titles"].withColumnRenamed("id", "entity_id")
+    a = t.select("entity_id", F.lit("supplier").alias("key"), value.alias("value"), F.lit(None).cast("array<string>").alias("list"))
+    b = t.select("entity_id", F.lit("maker").alias("key"), F.lit(None).cast("string").alias("value"), makers.alias("list"))
+    return K.patch(_claims(s), fields, a.unionByName(b), _paths(s))
+
+
+_TOPICS = ("photography, Venice", "sea; identity", "Riyadh", "video", "memoria|mare")
+_SAID = ("born in", "Studied at", "has themes", "said", "is a", "works with", "collaborated", "explores")
+
+
+def _topical(s: Source):
+    """Claims whose predicates and objects are those of a page."""
+    predicate = F.get(F.array(*map(F.lit, _SAID)), (F.col("ord") % 8).cast("int"))
+    topic = F.get(F.array(*map(F.lit, _TOPICS)), (F.col("ord") % 5).cast("int"))
+    house = F.when(F.col("ord") % 3 == 0, F.concat("object", F.lit(" of Casa Uno"))).otherwise(F.col("object"))
+    return _claims(s).withColumn("predicate", predicate).withColumn("object", F.when(predicate.isin("has themes", "explores"), topic).otherwise(house))
+
+
+def _bodies(s: Source):
+    return s["titles"].select(F.col("id").alias("entity_id"), F.expr("CASE ord % 3 WHEN 0 THEN 'Fotografia e MARE' WHEN 1 THEN 'la memoria' END").alias("body"))
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_TOPICAL = f"(SELECT claim_id, subject_id, subject, status, ord, files, {_listed(_SAID)}[ord % 8 + 1] AS p, CASE WHEN ord % 8 IN (2, 7) THEN {_listed(_TOPICS)}[ord % 5 + 1] WHEN ord % 3 = 0 THEN object || ' of Casa Uno' ELSE object END AS ob FROM {_CLAIMS})"
+_BODY = f"""(SELECT claim_id, subject_id, ord, section, subsection, text, CASE WHEN p = 'is a' THEN 'KEEP_EVIDENCE' WHEN status = 'DISPUTED' THEN 'HOLD' WHEN p IN ('has themes', 'explores') THEN CASE WHEN ob = 'Riyadh' OR ob LIKE 'photo%' AND b = 0 THEN 'KEEP_CONTEXT'
+WHEN ob LIKE 'sea%' AND b = 0 OR ob LIKE 'memoria%' AND b IN (0, 1) THEN 'PARTIAL_ADD' WHEN path IS NULL THEN 'HOLD' ELSE 'ADD' END WHEN path IS NULL THEN 'HOLD' ELSE 'ADD' END AS action,
+CASE WHEN ob LIKE 'sea%' THEN 'identity' WHEN b = 0 THEN 'memoria' ELSE 'mare' END AS delta, path FROM (
+SELECT *, CASE WHEN p = 'born in' THEN 'IDENTITÀ' WHEN p = 'Studied at' THEN 'BIOGRAFIA' WHEN p = 'collaborated' AND ob LIKE '%Casa Uno' THEN 'RELAZIONE' WHEN p IN ('has themes', 'explores', 'said', 'works with') THEN 'PROFILO ARTISTICO' ELSE 'DOCUMENTAZIONE / FONTI' END AS section,
+CASE WHEN p IN ('has themes', 'explores') THEN 'La ricerca' WHEN p = 'works with' THEN 'Linguaggio e poetica' WHEN p = 'said' THEN 'Letture / dichiarazioni documentate' END AS subsection,
+CASE p WHEN 'said' THEN subject || ' dichiara: ' || ob WHEN 'has themes' THEN 'Temi documentati: ' || ob WHEN 'works with' THEN 'Medium / tecniche documentate: ' || ob ELSE subject || ' — ' || p || ': ' || ob END AS text
+FROM {_TOPICAL} JOIN {_PATHS} ON pf = string_split(files, '|')[1] LEFT JOIN (SELECT id AS be, ord % 3 AS b FROM titles) ON be = subject_id))"""
+query("body_candidates", f"SELECT claim_id, section, subsection, action, text, CASE WHEN action = 'PARTIAL_ADD' THEN delta ELSE text END AS delta_text, path AS source_path FROM {_BODY}", *_C)(
+    lambda s: K.body_candidates(_topical(s), _bodies(s), _paths(s), "Casa Uno").select("claim_id", "section", "subsection", "action", "text", "delta_text", "source_path")
+)
+query("body_gates", f"SELECT subject_id, string_agg(action || '=' || CAST(n AS VARCHAR), ',' ORDER BY action) AS counts, CASE WHEN sum(CASE WHEN action LIKE '%ADD' THEN n ELSE 0 END) > 0 THEN 'BODY_PATCH_READY' ELSE 'BODY_REVIEW_REQUIRED' END AS body_gate FROM (SELECT subject_id, action, count(*) AS n FROM {_BODY} GROUP BY 1, 2) GROUP BY 1", *_C)(
+    lambda s: K.body_gate(K.body_candidates(_topical(s), _bodies(s), _paths(s), "Casa Uno")).select("subject_id", F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("counts"), "body_gate")
+)
+_ADDED = f"(SELECT subject_id, section, subsection, ord, CASE WHEN action = 'ADD' THEN text ELSE 'Nei materiali esaminati emerge inoltre il ' || delta || ' come elemento ricorrente della ricerca.' END AS line FROM {_BODY} WHERE action IN ('ADD', 'PARTIAL_ADD'))"
+query(
+    "body_markdown",
+    f"""SELECT subject_id, string_agg('## ' || section || chr(10) || block, chr(10) ORDER BY list_position({_listed(K.BODY_SECTIONS)}, section)) AS markdown FROM (SELECT subject_id, section, string_agg(CASE WHEN subsection IS NULL THEN '' ELSE '### ' || subsection || chr(10) END || bullets, chr(10) ORDER BY o) AS block
+FROM (SELECT subject_id, section, subsection, min(ord) AS o, string_agg('- ' || line, chr(10) ORDER BY ord) AS bullets FROM {_ADDED} GROUP BY 1, 2, 3) GROUP BY 1, 2) GROUP BY 1""",
+    *_C,
+)(lambda s: K.body_markdown(K.body_candidates(_topical(s), _bodies(s), _paths(s), "Casa Uno")))
 query("claims_route_body", f"SELECT section, count(*) AS n FROM (SELECT CASE WHEN {_norm('predicate')} LIKE '%suppl%' THEN 'Supply' WHEN {_norm('predicate')} LIKE '%return%' THEN 'Returns' ELSE 'Other' END AS section FROM raw_claims) GROUP BY 1", *_C)(
     lambda s: K.route_body(s["raw_claims"], [("suppl", "Supply"), ("return", "Returns")], "Other").groupBy("section").agg(F.count("*").alias("n"))
 )
@@ -102,12 +165,12 @@ query("claims_route", f"SELECT ord, CASE {_norm('predicate')} WHEN 'supplied by'
 )
 query(
     "claims_discover",
-    f"""SELECT k AS name, CASE WHEN max(ty) IS NOT NULL THEN 'matched' WHEN max(h) IS NOT NULL THEN 'hint' ELSE 'no_signal' END AS found, coalesce(max(ty), max(h)) AS entity_type
-FROM (SELECT {_norm("name")} AS k, ty, CASE WHEN anchor = 'subject' AND predicate = 'made-by' THEN 'thing' END AS h FROM (SELECT predicate, 'subject' AS anchor, subject_raw AS name FROM raw_claims UNION ALL SELECT predicate, 'object', object_raw FROM raw_claims)
-LEFT JOIN (SELECT {_norm("title")} AS t, arg_min(entity_type, ord) AS ty FROM titles GROUP BY 1) ON t = {_norm("name")}) GROUP BY 1""",
+    f"""SELECT trim(name) AS name, CASE WHEN max(ty) IS NOT NULL THEN 'matched_existing_row' WHEN max(h) IS NOT NULL THEN 'hinted_not_confirmed' ELSE 'no_signal' END AS type_source, coalesce(max(ty), substr(max(h), 2)) AS entity_type, coalesce(max(ty), max(h)) IS NOT NULL AS generate
+FROM (SELECT name, ty, CASE WHEN anchor = 'subject' AND predicate = 'made-by' THEN '1thing' WHEN anchor = 'subject' AND predicate = 'Supplied by' THEN '2goods' END AS h FROM (SELECT predicate, 'subject' AS anchor, subject_raw AS name FROM raw_claims UNION ALL SELECT predicate, 'object', object_raw FROM raw_claims)
+LEFT JOIN (SELECT {_norm("title")} AS t, arg_min(entity_type, ord) AS ty FROM titles GROUP BY 1) ON t = {_norm("name")}) WHERE {_norm("name")} <> 'supplier 000000001' GROUP BY 1""",
     *_C,
-)(lambda s: K.discover(s["raw_claims"], s["titles"], s.spark.createDataFrame([("made by", "subject", "thing")], "predicate string, anchor string, entity_type string")).withColumn("name", X.norm(F.col("name"))))
-query("claims_of_names", f"SELECT s_name AS name, claim_id FROM supplier JOIN {_CLAIMS} ON {_norm('s_name')} = {_norm('object')} WHERE s_suppkey % 3 = 0", *_C)(lambda s: K.claims_for(_claims(s), s.t("supplier").filter("s_suppkey % 3 = 0").select(F.col("s_name").alias("name"))))
+)(lambda s: K.discover(s["raw_claims"], s["titles"], s.spark.createDataFrame([("made by", "subject", "thing"), ("Supplied by", "subject", "goods")], "predicate string, anchor string, entity_type string"), "supplier 000000001").select("name", "type_source", "entity_type", "generate"))
+query("claims_of_names", f"SELECT s_name AS name, claim_id FROM supplier JOIN {_CLAIMS} ON {_norm('s_name')} = {_norm('object')}", *_C)(lambda s: K.claims_for(_claims(s), s.t("supplier").select(F.col("s_name").alias("name"))))
 query(
     "facts_govern",
     "SELECT ord, CASE predicate WHEN 'Supplied by' THEN CASE WHEN ord % 10 = 1 THEN 'domain' ELSE 'accepted' END WHEN 'made-by' THEN CASE WHEN regexp_matches(object_raw, '[0-9]') THEN 'accepted' ELSE 'range' END ELSE 'ungoverned' END AS verdict FROM raw_claims",
@@ -118,12 +181,69 @@ query(
     f"SELECT p_partkey, CASE WHEN n IS NULL THEN 'NEW_ENTITY' WHEN n = 1 THEN 'EXISTS_AND_MATCHES' ELSE 'AMBIGUOUS' END AS match FROM part LEFT JOIN (SELECT {_norm('title')} AS t, count(*) AS n FROM titles WHERE entity_type = 'part' GROUP BY 1) ON t = {_norm('p_name')}",
     "titles",
 )(lambda s: K.compare_entity(s.t("part").select("p_partkey", F.lit("part").alias("entity_type"), F.col("p_name").alias("name")), s["titles"]).select("p_partkey", "match"))
+_FROM_WEB = f"(SELECT DISTINCT claim_id AS w FROM (SELECT claim_id, unnest(string_split(files, '|')) AS f FROM {_CLAIMS}) JOIN raw_claims r ON f = r.file_id WHERE r.ord % 5 = 0)"
 query(
     "web_verification",
-    f"SELECT subject_id, coalesce(string_agg(DISTINCT predicate, '|' ORDER BY predicate) FILTER (WHERE status = 'VERIFIED'), '') AS verified, coalesce(string_agg(DISTINCT predicate, '|' ORDER BY predicate) FILTER (WHERE status <> 'VERIFIED'), '') AS pending FROM (SELECT DISTINCT claim_id, subject_id, predicate, status FROM (SELECT *, unnest(string_split(files, '|')) AS f FROM {_CLAIMS}) JOIN raw_claims r ON f = r.file_id WHERE r.ord % 2 = 0) GROUP BY 1".replace("SELECT DISTINCT claim_id, subject_id, predicate, status FROM (SELECT *,", "SELECT DISTINCT c.claim_id, c.subject_id, c.predicate, c.status FROM (SELECT *,").replace("AS f FROM " + _CLAIMS + ")", "AS f FROM " + _CLAIMS + ") c"),
+    f"SELECT subject_id, CASE WHEN count(w) > 0 THEN 'EXECUTED' ELSE 'NOT_EXECUTED' END AS state, coalesce(string_agg(predicate, '|' ORDER BY ord) FILTER (WHERE w IS NOT NULL AND status = 'VERIFIED'), '') AS verified, coalesce(string_agg(predicate, '|' ORDER BY ord) FILTER (WHERE w IS NOT NULL AND status = 'SUPPORTED_BY_WEB'), '') AS pending FROM {_CLAIMS} LEFT JOIN {_FROM_WEB} ON w = claim_id GROUP BY 1",
     *_C,
-)(lambda s: K.summarize_verification(_claims(s), s["raw_claims"].filter("ord % 2 = 0")))
+)(lambda s: K.summarize_verification(_claims(s), s["raw_claims"].select(F.when(F.col("ord") % 5 == 0, F.col("file_id")).alias("file_id"))))
 query("page_sections", f"SELECT subject_id, section, string_agg('- ' || predicate || ': ' || object, chr(10) ORDER BY ord) AS body FROM (SELECT *, CASE {_norm('predicate')} WHEN 'supplied by' THEN 'Supply' ELSE 'Other' END AS section FROM {_CLAIMS}) GROUP BY 1, 2", *_C)(lambda s: K.page_sections(_claims(s), {"supplied by": "Supply"}, "Other"))
-query("merged_index", "SELECT file_id, CASE WHEN ord % 5 = 0 THEN 'web/' || file_id ELSE 'a|b' END AS paths FROM raw_claims WHERE ord % 2 = 0 OR ord % 5 = 0", *_C)(
-    lambda s: K.merged_index(s["raw_claims"].filter("ord % 2 = 0").select("file_id", F.array(F.lit("a"), F.lit("b")).alias("paths")), s["raw_claims"].filter("ord % 5 = 0").select("file_id", F.concat(F.lit("web/"), "file_id").alias("url"))).select("file_id", F.array_join("paths", "|").alias("paths"))
+query("merged_index", "SELECT file_id, CASE WHEN ord % 5 = 0 THEN 'web/' || file_id ELSE 'a|b' END AS paths FROM raw_claims UNION ALL SELECT 'only' || file_id, 'web/only' || file_id FROM raw_claims WHERE ord % 5 > 0", *_C)(
+    lambda s: (lambda web: K.merged_index(s["raw_claims"].select("file_id", F.array(F.lit("a"), F.lit("b")).alias("paths")), web.select("file_id", F.concat(F.lit("web/"), "file_id").alias("url"))).select("file_id", F.array_join("paths", "|").alias("paths")))(
+        s["raw_claims"].select(F.when(F.col("ord") % 5 == 0, F.col("file_id")).otherwise(F.concat(F.lit("only"), "file_id")).alias("file_id"))
+    )
+)
+
+
+def _findings(s: Source):
+    url = F.concat(F.lit("HTTPS://www.Site"), (F.col("ord") % 3).cast("string"), F.lit(".example/a/?q=1"))
+    kind = F.when(F.col("ord") % 2 == 0, "anno").otherwise("testo")
+    return s["raw_claims"].withColumns({"url": url, "value_type": kind, "object_raw": F.concat("object_raw", F.lit(" c1"), F.lpad((F.col("ord") % 1000).cast("string"), 3, "0"), F.lit(" or so"))})
+
+
+query(
+    "ingest_findings",
+    "SELECT ord, 'sha256:' || sha256(u || '|' || evidence_excerpt) AS file_id, u AS source_url, CASE WHEN ord % 2 = 0 THEN '1' || lpad(CAST(ord % 1000 AS VARCHAR), 3, '0') ELSE object_raw || ' c1' || lpad(CAST(ord % 1000 AS VARCHAR), 3, '0') || ' or so' END AS object_raw, 'SUPPORTED_BY_WEB' AS status FROM (SELECT *, 'site' || CAST(ord % 3 AS VARCHAR) || '.example/a' AS u FROM raw_claims)",
+    "raw_claims",
+)(lambda s: K.ingest_findings(_findings(s)).select("ord", "file_id", "source_url", "object_raw", "status"))
+query("finding_faults", "SELECT ord, CASE WHEN ord % 6 = 0 THEN 'predicate,url' WHEN ord % 2 = 0 THEN 'predicate' ELSE 'url' END AS missing FROM raw_claims WHERE ord % 2 = 0 OR ord % 3 = 0", "raw_claims")(
+    lambda s: K.finding_faults(_findings(s).withColumns({"predicate": F.when(F.col("ord") % 2 > 0, F.col("predicate")), "url": F.when(F.col("ord") % 3 > 0, F.col("url")).otherwise("")})).select("ord", "missing")
 )
+query(
+    "facts_to_claims",
+    "SELECT file_id, object_raw, CASE WHEN ord % 2 = 0 THEN 'INFERRED' ELSE 'SUPPORTED_BY_ARCHIVE' END AS status, CASE WHEN ord % 4 = 1 THEN 'page=1,scope=all' ELSE 'scope=all' END AS qualifiers FROM raw_claims WHERE ord % 10 <> 3",
+    "raw_claims",
+)(
+    lambda s: K.facts_to_claims(
+        s["raw_claims"].select("file_id", F.col("subject_raw").alias("subject"), "predicate", F.when(F.col("ord") % 10 == 3, F.lit(" ")).otherwise(F.col("object_raw")).alias("object"), F.col("evidence_excerpt").alias("evidence"), F.when(F.col("ord") % 2 == 0, "inferred").alias("evidence_state"),
+            F.lit("").alias("currency"), F.lit("all").alias("scope"), F.when(F.col("ord") % 4 == 1, 1).alias("page"), *[F.lit(None).cast("string").alias(c) for c in ("document_date", "valid_from", "valid_to")])
+    ).select("file_id", "object_raw", "status", F.array_join(F.array_sort(F.transform(F.map_entries("qualifiers"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",").alias("qualifiers"))
+)
+
+
+def _pages(s: Source):
+    rows = s["titles"].withColumn("fields", F.create_map(F.lit("maker"), F.expr("CASE ord % 3 WHEN 0 THEN 'other' WHEN 1 THEN 'Supplier#000000003' END")))
+    hints = s.spark.createDataFrame([("part", "relation", "supplied by", "object", "suppliers", "supplier", 1), ("part", "field", "made by", None, "maker", None, 2), ("supplier", "relation", "returned_to", "subject", "goods", "part", 3)], "entity_type string, layer string, predicate string, anchor string, key string, target_type string, turn int")
+    schema = s.spark.createDataFrame([("part", "suppliers", "Suppliers"), ("part", "maker", "Maker")], "entity_type string, key string, property string")
+    required = s.spark.createDataFrame([("part", "maker"), ("supplier", "goods")], "entity_type string, key string")
+    entities = s["titles"].select(F.col("title").alias("name"), "entity_type").distinct()
+    return entities, _claims(s), rows, hints, schema, required
+
+
+_OPS = f"""(SELECT DISTINCT e.title AS name, e.entity_type, claim_id, c.ord, c.status, CASE WHEN e.entity_type = 'part' AND p = 'supplied by' OR e.entity_type = 'supplier' AND p = 'returned to' THEN 'relation' WHEN e.entity_type = 'part' AND p = 'made by' THEN 'field' ELSE 'body' END AS layer,
+e.entity_type = 'part' AS listed, CASE WHEN e.entity_type = 'part' THEN o.id ELSE u.id END AS target, CASE WHEN r.n = 1 THEN CASE r.o % 3 WHEN 0 THEN 'other' WHEN 1 THEN 'Supplier#000000003' END END AS old, object
+FROM (SELECT DISTINCT title, entity_type FROM titles) e JOIN (SELECT *, {_norm("predicate")} AS p FROM {_CLAIMS}) c ON {_norm("e.title")} IN ({_norm("c.subject")}, {_norm("c.object")})
+LEFT JOIN (SELECT {_norm("title")} AS t, arg_min(id, ord) AS id FROM titles WHERE entity_type = 'supplier' GROUP BY 1) o ON o.t = {_norm("c.object")} LEFT JOIN (SELECT {_norm("title")} AS t, arg_min(id, ord) AS id FROM titles WHERE entity_type = 'part' GROUP BY 1) u ON u.t = {_norm("c.subject")}
+LEFT JOIN (SELECT entity_type, {_norm("title")} AS t, count(*) AS n, min(ord) AS o FROM titles GROUP BY 1, 2) r ON r.entity_type = e.entity_type AND r.t = {_norm("e.title")})"""
+_REASON = "CASE layer WHEN 'relation' THEN CASE WHEN NOT listed THEN 'RELATION_NOT_IN_ENTITY_SCHEMA' WHEN target IS NULL THEN 'RELATION_TARGET_ID_NOT_RESOLVED' ELSE 'RELATION_WRITE_NOT_SUPPORTED' END WHEN 'field' THEN CASE WHEN old <> object THEN 'FIELD_VALUE_MISMATCH' END END"
+_OPERATIONS = f"(SELECT *, CASE WHEN layer = 'body' THEN NULL WHEN reason IS NOT NULL THEN 'CONFLICT' WHEN old = object THEN 'KEEP' ELSE 'ADD' END AS action, CASE WHEN layer = 'relation' AND target IS NULL OR layer = 'field' AND reason IS NOT NULL THEN 'MISSING' WHEN layer <> 'body' THEN status END AS gate_status FROM (SELECT *, {_REASON} AS reason FROM {_OPS}))"
+query("entity_operations", f"SELECT name, entity_type, claim_id, layer, action, reason, gate_status FROM {_OPERATIONS}", *_C)(lambda s: K.entity_operations(*_pages(s)[:5]).select("name", "entity_type", "claim_id", "layer", "action", "reason", "gate_status"))
+query(
+    "multi_candidates",
+    f"""SELECT name, entity_type, match, CASE match WHEN 'NEW_ENTITY' THEN 'CREATE' WHEN 'EXISTS_AND_MATCHES' THEN 'UPDATE' END AS operation, CASE WHEN match = 'AMBIGUOUS' THEN 'REVIEW_REQUIRED' WHEN s IS NULL OR s IN ('INFERRED', 'MISSING', 'CONFLICTING', 'SUPPORTED_BY_WEB') THEN CASE WHEN match = 'NEW_ENTITY' THEN 'INSUFFICIENT_EVIDENCE' ELSE 'REVIEW_REQUIRED' END ELSE 'READY_FOR_NOTION' END AS gate, operations, skipped FROM (
+SELECT e.title AS name, e.entity_type, CASE WHEN e.entity_type = 'part' THEN CASE WHEN n = 1 THEN 'EXISTS_AND_MATCHES' ELSE 'AMBIGUOUS' END END AS match, CASE WHEN e.entity_type = 'part' THEN coalesce(k, 0) END AS operations, CASE WHEN e.entity_type = 'supplier' THEN 'REQUIRES_EXISTING_LINK_NOT_FOUND' END AS skipped, l.s
+FROM (SELECT DISTINCT title, entity_type FROM titles) e LEFT JOIN (SELECT entity_type, {_norm("title")} AS t, count(*) AS n FROM titles GROUP BY 1, 2) r ON r.entity_type = e.entity_type AND r.t = {_norm("e.title")}
+LEFT JOIN (SELECT name, entity_type, count(*) FILTER (WHERE action IN ('ADD', 'CONFLICT')) AS k FROM {_OPERATIONS} GROUP BY 1, 2) o ON o.name = e.title AND o.entity_type = e.entity_type
+LEFT JOIN (SELECT name, entity_type, arg_max(gate_status, ord) AS s FROM {_OPERATIONS} WHERE layer = 'field' GROUP BY 1, 2) l ON l.name = e.title AND l.entity_type = e.entity_type)""".replace("CASE WHEN match = 'AMBIGUOUS' THEN 'REVIEW_REQUIRED' WHEN s IS NULL", "CASE WHEN match IS NULL THEN NULL WHEN match = 'AMBIGUOUS' THEN 'REVIEW_REQUIRED' WHEN s IS NULL"),
+    *_C,
+)(lambda s: K.fan_out(*_pages(s), ["supplier"]))

@@ -1,7 +1,13 @@
-"""Readers: JSON lines, event files, entity-grouped JSON, file scans, Markdown tables, text extraction."""
+"""Readers: JSON lines, event files, entity-grouped JSON, file scans, Markdown tables, text extraction, notes and mail."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from email import policy
+from email.parser import BytesParser
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,9 +16,10 @@ from tessera.functions import text as X
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, ord: a text file's lines; ord rises in the order of file and line.  One reader task a file keeps a file's
-    lines in order; monotonically_increasing_id then needs no shuffle."""
-    return spark.read.option("wholetext", False).text(path).select("value", F.monotonically_increasing_id().alias("ord"))
+    """value, ord: the lines of text files; ord rises by file, then by line: the file's path, where the block that was read
+    begins in it, and the row's place in that block, whatever files and blocks a task was given.  It needs no shuffle."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.option("wholetext", False).text(path).select("value", place.alias("ord"))
 
 
 def read_index(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
@@ -34,11 +41,24 @@ def read_events(spark: SparkSession, path: str, schema: StructType) -> tuple[Dat
     return events, rows.filter(bad & (F.col("ord") < F.col("_last"))).select("ord", "value")
 
 
+def truncated_tail(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One row for an append-only JSON-lines file: valid_end (bytes up to where its readable part ends) and
+    discarded_bytes (of a last line that can't be read)."""
+    corrupt = StructType([*schema.fields]).add("_corrupt", "string")
+    rows = numbered_lines(spark, path).withColumn("r", F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    size = F.octet_length("value").cast("long")
+    got = rows.agg(F.sum(size + 1).alias("all"), F.max_by(F.when(bad, size).otherwise(-1), "ord").alias("tail"))
+    lost = F.greatest(F.coalesce("tail", F.lit(-1)), F.lit(-1))
+    return got.select(F.when(lost >= 0, F.col("all") - lost - 1).otherwise(F.coalesce("all", F.lit(0))).alias("valid_end"), F.greatest(lost, F.lit(0)).alias("discarded_bytes"))
+
+
 def read_records(spark: SparkSession, path: str, schema: StructType, valid: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, the lines whose record breaks the condition valid)."""
-    rows = numbered_lines(spark, path).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), "value", "ord").select("r.*", "value", "ord")
-    ok = F.coalesce(F.expr(valid), F.lit(False))
-    return rows.filter(ok).drop("value"), rows.filter(~ok).select("ord", "value")
+    """(valid rows, the lines that can't be read or whose record breaks the condition valid)."""
+    corrupt = StructType([*schema.fields]).add("_corrupt", "string")
+    rows = numbered_lines(spark, path).select(F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"), "value", "ord").select("r.*", "value", "ord")
+    ok = F.col("_corrupt").isNull() & F.coalesce(F.expr(valid), F.lit(False))
+    return rows.filter(ok).drop("value", "_corrupt"), rows.filter(~ok).select("ord", "value")
 
 
 def read_entities(spark: SparkSession, path: str, row: str) -> DataFrame:
@@ -98,3 +118,93 @@ def property_value(value, kind):
         .when(kind == "date", F.get_json_object(value, "$.date.start"))
         .otherwise(F.coalesce(F.get_json_object(value, "$.number"), F.get_json_object(value, "$.checkbox"), F.get_json_object(value, "$.url")))
     )
+
+
+def read_notes(spark: SparkSession, root: str) -> DataFrame:
+    """path, name and content of normalised notes: a generated header (title from the header, else the first heading, else
+    the file's name; type, date), the other header lines as they were, and the body."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(root)
+    n = files.select("path", F.decode("content", "UTF-8").alias("raw"), F.to_date("modificationTime").cast("string").alias("day"))
+    n = n.withColumn("f", X.split_frontmatter(F.col("raw")))
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.md$", "")
+    known = lambda k: F.nullif(F.element_at("f.known", F.lit(k)), F.lit(""))
+    heading = F.nullif(F.regexp_extract("f.body", r"(?m)^#[ \t]+(\S.*?)[ \t]*$", 1), F.lit(""))
+    n = n.withColumns({"title": F.coalesce(known("title"), heading, F.regexp_replace(stem, "[_-]", " ")), "type": F.coalesce(known("type"), F.lit("note")), "date": F.coalesce(known("date"), "day")})
+    relative = F.regexp_replace("path", r"^.*?" + re.escape(root.rstrip("/").split("://")[-1]) + "/", "")
+    ident = X.short_hash(relative)
+    header = X.render_frontmatter(
+        {"title": X.quoted(F.col("title")), "type": X.quoted(F.col("type")), "tags": F.lit('["nota-lavoro"]'), "date": X.quoted(F.col("date")), "source_kind": F.lit('"work_note"'), "source_hash": X.quoted(ident)}, F.col("f.other")
+    )
+    name = F.concat(F.lit("note-lavoro/"), "date", F.lit("-"), X.slug(F.col("title")), F.lit("-"), ident, F.lit(".md"))
+    return n.select("path", name.alias("name"), F.concat(header, F.lit("\n\n"), F.regexp_replace("f.body", r"\s+\z", ""), F.lit("\n")).alias("content"))
+
+
+def _message(path: str, content: bytes) -> dict:
+    """The parts of one message that its page needs."""
+    m = BytesParser(policy=policy.default).parsebytes(content)
+    try:
+        day = m["Date"].datetime.date().isoformat()
+    except (AttributeError, TypeError):
+        day = None
+    part = m.get_body(preferencelist=("plain", "html"))
+    try:
+        text = part.get_content() if part is not None else ""
+    except (LookupError, ValueError):
+        text = ""
+    head = lambda k: str(m.get(k) or "").strip()
+    return {
+        "path": path, "subject": head("Subject"), "message_id": head("Message-ID"), "sender": str(m.get("From") or ""), "recipients": ", ".join(str(m.get(h)) for h in ("To", "Cc") if m.get(h)), "day": day, "in_reply_to": head("In-Reply-To"),
+        "list_unsubscribe": m.get("List-Unsubscribe"), "precedence": m.get("Precedence"), "text": text, "is_html": part is not None and part.get_content_type() == "text/html",
+        "attachments": [p.get_filename() or "(senza nome)" for p in m.walk() if not p.is_multipart() and p.get_content_disposition() == "attachment"],
+    }
+
+
+MESSAGES = "path string, subject string, message_id string, sender string, recipients string, day string, in_reply_to string, list_unsubscribe string, precedence string, text string, is_html boolean, attachments array<string>"
+
+
+def read_mail(spark: SparkSession, root: str, skip_bulk: bool = False) -> DataFrame:
+    """path, name, content and outcome of messages: a page each, not_mail without sender and subject, skipped_bulk if
+    asked.  Of one output name the message whose path comes last holds.  A message is parsed where it is read; all else
+    are expressions."""
+
+    def parsed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame([_message(p, c) for p, c in zip(frame["path"], frame["content"], strict=True)])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    m = files.select("path", "content").mapInPandas(parsed, MESSAGES).join(files.select(F.col("path").alias("_p"), F.to_date("modificationTime").cast("string").alias("_day")), F.col("path") == F.col("_p"))
+    m = m.withColumns({"outcome": F.when((F.col("sender") == "") & (F.col("subject") == ""), "not_mail").when(F.lit(skip_bulk) & X.is_bulk(F.col("list_unsubscribe"), F.col("precedence")), "skipped_bulk").otherwise("page"), "date": F.coalesce("day", "_day")})
+    html = F.col("is_html") | F.col("text").rlike(r"(?i)^\s*<(!doctype html|html[\s>])")
+    title = F.coalesce(F.nullif("subject", F.lit("")), F.lit("(senza oggetto)"))
+    m = m.withColumns({"title": title, "plain": F.when(html, X.html_to_text(F.col("text"))).otherwise(F.col("text"))})
+    m = m.withColumn("body", X.strip_quoted(F.col("plain")))
+    key = F.coalesce(F.nullif("message_id", F.lit("")), X.short_hash(F.concat_ws("|", "title", "date", "sender", "plain")))
+    ident = X.short_hash(key)
+    more = F.filter(F.array(*[F.when(F.col(c) != "", F.concat(F.lit(f"{c}: "), X.quoted(F.col(c)))) for c in ("message_id", "in_reply_to")]), lambda x: x.isNotNull())
+    header = X.render_frontmatter(
+        {"title": X.quoted(F.col("title")), "type": F.lit('"email"'), "tags": F.lit('["mail-lavoro"]'), "date": X.quoted(F.col("date")), "source_kind": F.lit('"eml"'), "source_hash": X.quoted(ident), "from": X.quoted(F.col("sender")), "to": X.quoted(F.col("recipients"))}, more
+    )
+    to = F.when(F.length("recipients") <= 300, F.col("recipients")).otherwise(F.concat(F.left("recipients", F.lit(300)), F.lit("…")))
+    line = F.concat(F.lit("**Da:** "), "sender", F.lit(" | **A:** "), to, F.lit(" | **Data:** "), "date")
+    listed = F.transform("attachments", lambda a: F.concat(F.lit("- "), a, F.lit(" (non importato)")))
+    files_ = F.when(F.size("attachments") > 0, F.concat(F.array(F.lit(""), F.lit("## Allegati")), listed)).otherwise(F.array().cast("array<string>"))
+    page = F.array_join(F.concat(F.array(header, F.lit(""), F.concat(F.lit("# "), "title"), F.lit(""), line, F.lit(""), F.coalesce(F.nullif("body", F.lit("")), F.lit("(corpo vuoto)"))), files_), "\n")
+    name = F.concat(F.lit("mail-lavoro/"), "date", F.lit("-"), X.slug(F.col("title")), F.lit("-"), ident, F.lit(".md"))
+    own = F.col("outcome") == "page"
+    m = m.select("path", F.when(own, name).alias("name"), F.when(own, F.concat(F.regexp_replace(page, r"\s+\z", ""), F.lit("\n"))).alias("content"), "outcome")
+    last = F.row_number().over(Window.partitionBy(F.coalesce("name", "path")).orderBy(F.desc("path")))
+    return m.withColumn("_rn", last).filter("_rn = 1").drop("_rn")
+
+
+def read_folder_objects(spark: SparkSession, listing: DataFrame, documents: DataFrame, id_key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, aliases) of a folder of folders: id and title of each folder (listing: folder) from its YAML document
+    (documents: folder, text), which gives the id, the name and aliases; without a readable one the folder's name is both."""
+    held = documents.select(F.col("folder").alias("_f"), F.col("text").alias("_t"))
+    out = listing.select("folder").distinct().join(held, F.col("folder") == F.col("_f"), "left")
+    value = lambda k: F.nullif(F.regexp_replace(X.strip(F.regexp_extract("_t", rf"(?m)^{k}:[ \t]*(.*)$", 1)), r"^[\"']|[\"']$", ""), F.lit(""))
+    rows = out.select(F.coalesce(value(id_key), "folder").alias("id"), F.coalesce(value("name"), "folder").alias("title"), "_t")
+    block = F.regexp_extract("_t", r"(?m)^aliases:[ \t]*\n((?:[ \t]*-[ \t]*.*\n?)*)", 1)
+    flow = F.split(F.regexp_extract("_t", r"(?m)^aliases:[ \t]*\[(.*)\][ \t]*$", 1), ",")
+    each = F.concat(F.transform(F.split(block, "\n"), lambda x: F.regexp_replace(x, r"^[ \t]*-[ \t]*", "")), flow)
+    aliases = rows.select(F.explode(each).alias("a"), "title").select(X.norm(F.regexp_replace(X.strip(F.col("a")), r"^[\"']|[\"']$", "")).alias("alias"), X.norm(F.col("title")).alias("name")).filter("alias <> ''")
+    return rows.drop("_t"), aliases

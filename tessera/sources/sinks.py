@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,9 +23,27 @@ def changed_only(new: DataFrame, old: DataFrame, key: str, content: list[str]) -
     return new.withColumn("_digest", digest).join(seen, (F.col(key) == F.col("_k")) & (F.col("_digest") == F.col("_d")), "left_anti").drop("_digest")
 
 
-def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """table with the rows in place of those that have their key."""
-    return table.join(rows.select(key).distinct(), key, "left_anti").unionByName(rows)
+def upsert(table: DataFrame, rows: DataFrame, key: str, ident: str | None = None) -> DataFrame:
+    """table with the rows in place of those that have their key.  With ident, of several rows for a key the last by ident
+    holds, and it keeps the least ident that the key has had."""
+    if ident is None:
+        return table.join(rows.select(key).distinct(), key, "left_anti").unionByName(rows)
+    first = F.min(ident).over(Window.partitionBy(key))
+    both = table.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+    fresh = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_new"), F.desc(ident)))
+    return both.withColumns({"_first": first, "_rn": fresh}).filter("_rn = 1").withColumn(ident, F.col("_first")).select(*table.columns)
+
+
+def append_rotating(rows: DataFrame, path: str, limit: int) -> None:
+    """Appends rows as JSON lines under path; once what is there exceeds limit bytes it first becomes path.1, in place of
+    what was there."""
+    spark = rows.sparkSession
+    here, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, path.rstrip("/") + ".1"))
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(here) and fs.getContentSummary(here).getLength() > limit:
+        fs.delete(old, True)
+        fs.rename(here, old)
+    rows.write.mode("append").json(path)
 
 
 def append_events(table: DataFrame, rows: DataFrame) -> DataFrame:

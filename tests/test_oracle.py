@@ -8,7 +8,6 @@ import pytest
 from tessera.plans import registry
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"audit_counts", "scores"}
 
 
 @pytest.fixture(scope="session")
@@ -34,7 +33,7 @@ def test_agrees(spark, con, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
 def test_runs(spark, name):
     assert registry.QUERIES[name](spark, SF).count() >= 0
 

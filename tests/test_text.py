@@ -19,13 +19,16 @@ def test_norm(spark):
 def test_dates(spark):
     got = values(spark, X.parse_date, "2020-01-02", "2020-01-02T10:00", "3/4/1999", "03-04-1999", "2001/5/6", "about 1987", "Tardo 1998", "soon", None)
     assert [str(d) for d in got] == ["2020-01-02", "2020-01-02", "1999-04-03", "1999-04-03", "2001-05-06", "1987-01-01", "None", "None", "None"]
-    assert values(spark, X.year, "between 1910 and 1922", "12345", "x1999y", "") == ["1910", "", "1999", ""]
+    assert values(spark, X.year, "between 1910 and 1922", "12345", "x1999y", "") == ["1910", "", "", ""]
+    assert values(spark, X.year_in, "c1910-2006", "12345", "x1999y") == ["1910", "", "1999"]
+    got = values(spark, X.parse_date, "3.4.1999 -> 2000-01-01", "1999-04-03→2000-01-01", "0987", "18th of 1750", "\t2001 ")
+    assert [str(d) for d in got] == ["1999-04-03", "1999-04-03", "0987-01-01", "None", "2001-01-01"]
 
 
 def test_urls_and_names(spark):
     assert values(spark, X.normalize_url, "HTTPS://www.A.org/B/?q#f", "a.org/B", "http://x.org") == ["a.org/B", "a.org/B", "x.org"]
     assert values(spark, X.name_form, "Lee, Ann B.", "Ann Lee") == ["ann lee", "ann lee"]
-    assert values(spark, X.slug, " Été à Paris! ", "--") == ["ete-a-paris", ""]
+    assert values(spark, X.slug, " Été à Paris! ", "--") == ["ete-a-paris", "senza-titolo"]
     assert values(spark, X.canonical_name, "anna maria rossi") == ["ROSSI_Anna_Maria"]
     assert values(spark, X.path_ok, "a/b", "/a", "a/../b", "a//b", "./a", "a\\b", "a/b..c") == [True, False, False, False, False, False, True]
 
@@ -39,21 +42,28 @@ def test_chunks(spark):
     assert windows == [["abcdefghij", "hijklmnopq", "opqrstuvwx", "vwxyz"], [""], ["short"]]
     packed = values(spark, X.paragraph_chunks(12), "aaa\n\nbbb\n\n" + "c" * 30)
     assert packed[0] == ["aaa\n\nbbb", "c" * 12, "c" * 12, "c" * 6]
-    both = values(spark, X.halves, "One two. Three four")[0]
-    assert "".join(both) == "One two. Three four" and all(both)
+    assert values(spark, X.halves(), "One two. Three four five", "abcdef", "x") == [["One two. ", "Three four five"], ["abc", "def"], None]
+    assert values(spark, X.lossless_chunks(14), 'He said "no." Then he\n\n\nleft.') == [['He said "no." ', "Then he\n\n\n", "left."]]
 
 
 def test_mail_and_html(spark):
     assert values(spark, X.strip_quoted, "hello\n> old\nOn Monday X wrote:\nmore", "plain") == ["hello", "plain"]
-    assert values(spark, X.html_to_text, "<p>a&amp;b</p><script>x<y</script><b>c</b>") == ["a&b\nc"]
+    assert values(spark, X.html_to_text, "<p>a&amp;b</p><script>x<y</script><b>c</b>") == ["a&bc"]
     assert values(spark, X.redact, "password = abc, TOKEN: x y") == ["password = [REDACTED] TOKEN: [REDACTED] y"]
-    front = values(spark, X.split_frontmatter, "---\na: 1\nb: x: y\n---\nbody", "none")
-    assert front[0]["header"] == {"a": "1", "b": "x: y"} and front[0]["body"] == "body" and front[1]["body"] == "none"
+    assert values(spark, X.redact, "Authorization: Bearer1 x", "api_key=k") == ["Authorization: [REDACTED] x", "api_key=k"]
+    front = values(spark, X.split_frontmatter, "---\ntitle: 'x: y'\nb: 1\ntitle: z\n---\n\nbody", "none", "---\nopen")
+    assert front[0]["known"] == {"title": "z"} and front[0]["other"] == ["b: 1"] and front[0]["body"] == "body"
+    assert front[1]["body"] == "none" and front[2]["body"] == "---\nopen"
+
+
+def test_blank(spark):
+    assert values(spark, X.is_empty, None, "", " \t\n\u2003", "x") == [True, True, True, False]
+    assert values(spark, X.lines, "a\t\n\t\n b") == [["a", "b"]]
 
 
 def test_markers_and_lists(spark):
     assert values(spark, lambda c: X.marker_at(c, "safety data"), "The Safety\n data sheet", "none") == [4, -1]
-    assert values(spark, X.deadline_excerpt, "pay within 30 days please", "no") == ["pay within 30 days please", None]
+    assert values(spark, X.deadline_excerpt, "pagare entro 30 giorni " + "x" * 200, "no " * 200) == ["pagare entro 30 giorni " + "x" * 79, ("no " * 100).strip()]
     assert values(spark, X.as_list, '["a","b"]', "a, ,b", None) == [["a", "b"], ["a", "b"], []]
     assert values(spark, X.headings, "# One\ntext\n##  Two") == [["One", "Two"]]
     assert values(spark, lambda c: X.key_numbers(c, [r"\d+%"]), "5% and 7% and 5%") == [["5%", "7%"]]
