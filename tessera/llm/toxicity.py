@@ -19,6 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -73,17 +74,18 @@ class Trie:
 
 class Automaton:
     """The Levenshtein automaton of any word intersected with a trie: a deterministic automaton over states that are
-    sets of (node, edits so far), built as words are read."""
+    sets of (node, edits so far), built as words are read.  A state is kept as the bytes of its pairs, node * 4 + edits
+    in order; past the most states that may be kept it starts anew."""
 
-    def __init__(self, trie: Trie, most_states: int = 30_000):
+    def __init__(self, trie: Trie, most_states: int = 150_000):
         self.trie, self.most = trie, most_states
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[frozenset, int] = {}
-        self.states: list[frozenset] = []
-        self.steps: list[dict[str, int]] = []
-        self.stems: list[int] = []
+        self.number: dict[bytes, int] = {}
+        self.states: list[bytes] = []
+        self.steps: list[dict[str, int] | None] = []
+        self.stems = array("i")
         self.start = self._state({(0, 0)})
 
     def _state(self, pairs: set) -> int:
@@ -95,25 +97,31 @@ class Automaton:
                 continue
             least[node] = e
             stack += [(child, e + 1) for child in t.next[node].values() if e < t.deep[child]]
-        key = frozenset(least.items())
+        key = array("I", sorted(node << 2 | e for node, e in least.items())).tobytes()
         if key not in self.number:
             self.number[key] = len(self.states)
             self.states.append(key)
-            self.steps.append({})
-            ends = [t.stem[n] for n, e in key if e == 0 and t.stem[n] >= 0]
+            self.steps.append(None)
+            ends = [t.stem[n] for n, e in least.items() if e == 0 and t.stem[n] >= 0]
             self.stems.append(ends[0] if ends else -1)
         return self.number[key]
 
+    def _pairs(self, state: int) -> list[tuple[int, int]]:
+        return [(p >> 2, p & 3) for p in array("I", self.states[state])]
+
     def _step(self, state: int, c: str) -> int:
         t, out = self.trie, set()
-        for node, e in self.states[state]:
+        for node, e in self._pairs(state):
             child = t.next[node].get(c)
             if child is not None:
                 out.add((child, e))
             if e < t.deep[node]:
                 out.add((node, e + 1))  # a character too many
                 out.update((child, e + 1) for child in t.next[node].values() if e < t.deep[child])  # another character
-        got = self.steps[state][c] = self._state(out) if out else -1
+        got = self._state(out) if out else -1
+        if self.steps[state] is None:
+            self.steps[state] = {}
+        self.steps[state][c] = got
         return got
 
     def find(self, word: str) -> tuple[int, int] | None:
@@ -122,13 +130,14 @@ class Automaton:
             self._reset()
         state, best = self.start, None
         for c in word:
-            after = self.steps[state].get(c)
+            after = self.steps[state]
+            after = None if after is None else after.get(c)
             state = self._step(state, c) if after is None else after
             if state < 0:
                 return best
             if self.stems[state] >= 0:
                 best = (self.stems[state], 0)
-        ends = [(e, self.trie.word[n]) for n, e in self.states[state] if self.trie.word[n] >= 0]
+        ends = [(e, self.trie.word[n]) for n, e in self._pairs(state) if self.trie.word[n] >= 0]
         ends = [(e, i) for e, i in ends if e <= allowed_edits(self.trie.terms[i][0])]
         if ends:
             e, i = min(ends)
@@ -153,7 +162,7 @@ class Finder:
             self.known, self.hot = set(), {}
             fresh = set(words)
         for w in fresh:
-            got = self.automaton.find(w) if len(w) <= 64 else self.automaton.find(w[:64])
+            got = self.automaton.find(w)
             if got:
                 self.hot[w] = got
         self.known |= fresh
@@ -216,8 +225,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH)
     parts = [y.filter(F.col("toxic") == c).orderBy(h, "_id").limit(each).withColumn("weight", F.lit(max(n.get(c, 0) / each, 1.0))) for c in (1, 0)]
     picked = parts[0].unionByName(parts[1])
     picked = F.broadcast(materialize(picked, "sample"))  # 2 * each rows at most
-    out = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).select("text", "toxic", "weight")
-    return materialize(out, "training")
+    out = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id"))
+    # one text an id, however often it occurs: 2 * each rows at most
+    return materialize(out.groupBy("_id", "toxic").agg(F.min("text").alias("text"), F.first("weight").alias("weight")).drop("_id"), "training")
 
 
 def _terms_of(text: str) -> tuple[set, set]:
