@@ -1,8 +1,9 @@
 """Operator 5: exact top-k by inner product with kd-trees.
 
-Each shard is a kd-tree: median splits of the widest dimension, leaves with tight bounding boxes.  A query's inner
-product with any row of a box is at most q+ . high + q- . low; leaves are searched best bound first until the bound
-falls under the query's kth score, which carries over from shard to shard within a task.
+Each shard is a kd-tree: median splits of the widest dimension, nodes with tight bounding boxes.  A query's inner
+product with any row of a box is at most q+ . high + q- . low; boxes are searched best bound first, and a box is left
+out for the queries whose kth score lies above its bound.  The kth score carries over from a shard near the query to
+the choice of shards and from shard to shard.  vectors.py says how shards and queries meet.
 
 Defined results: vectors null, empty, or holding null or non-finite components take no part; vectors of different
 dimensions don't meet; equal scores go to the smaller vec_id; a repeated vec_id is a candidate once a row, and only
@@ -18,62 +19,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .vectors import BLOCK, LEAF, SHARD, best, boxes, kd_order, keep_best, meet, packed, usable
+from .vectors import BLOCK, SHARD, Measure, nearest_of, search, usable
 
 SCALE = 256
 
 
-def search_leaves(k: int):
-    """search for vectors.meet: exact k best of each query in one shard that reach kth; raises kth."""
-
-    def search(q, qids, x, ids, kth):
-        exact = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < 2**53
-        if not exact:  # whole numbers beyond what doubles hold: by unlimited integers
-            q, x = (np.array([[int(c) for c in r] for r in m], dtype=object) for m in (q, x))
-        low, high = boxes(x.astype(np.float64))
-        qf = q.astype(np.float64)
-        bound = np.maximum(qf, 0) @ high.T + np.minimum(qf, 0) @ low.T
-        if not exact:
-            bound = bound + np.abs(bound) * 1e-9 + 1
-        order = np.argsort(-bound, axis=1, kind="stable")
-        found: list[tuple[list, list]] = [([], []) for _ in q]
-        active = np.arange(len(q))
-        for turn in range(bound.shape[1]):
-            leaf = order[active, turn]
-            go = bound[active, leaf] >= kth[active]  # a tie may still have the smaller id
-            active, leaf = active[go], leaf[go]
-            if not len(active):
-                break
-            for n in np.unique(leaf):
-                mine = active[leaf == n]
-                rows = x[n * LEAF : (n + 1) * LEAF]
-                own = ids[n * LEAF : (n + 1) * LEAF]
-                scores = q[mine] @ rows.T
-                for i, at in enumerate(mine):
-                    fits = (scores[i] >= kth[at]) & (own != qids[at])
-                    if fits.any():
-                        s, w = found[at]
-                        s.append(scores[i][fits])
-                        w.append(own[fits])
-                        s[:], w[:] = ([z] for z in keep_best(s, w, k))
-                        if len(s[0]) == k:
-                            kth[at] = max(kth[at], float(s[0][-1]) if exact else -np.inf)
-        at = [i for i, (s, _) in enumerate(found) if s]
-        if not at:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        scores = np.concatenate([found[i][0][0] for i in at])
-        if not exact:
-            scores = np.array([max(-(2**63), min(2**63 - 1, int(s))) for s in scores], dtype=object)
-        return np.repeat(at, [len(found[i][0][0]) for i in at]), np.concatenate([found[i][1][0] for i in at]), scores.astype(np.int64)
-
-    return search
+def search_whole(q, qids, x, ids, top, measure):
+    """vectors.search over whole numbers.  Where products may exceed what doubles hold exactly, every row is scored by
+    unlimited integers and top stays as it is."""
+    if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < 2**53:
+        at, vec, score = search(q, qids, x, ids, top, measure)
+        return at, vec, score.astype(np.int64)
+    top[:] = -np.inf
+    out: list[tuple[int, int, int]] = []
+    rows = [[int(c) for c in r] for r in x]
+    for i, r in enumerate(q):
+        mine = [int(c) for c in r]
+        scored = sorted((-sum(a * b for a, b in zip(mine, row, strict=True)), j) for row, j in zip(rows, ids.tolist(), strict=True) if j != qids[i])
+        out += [(i, j, max(-(2**63), min(2**63 - 1, -s))) for s, j in scored[: top.shape[1]]]
+    at, vec, score = (np.array(c, np.int64) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+    return at, vec, score
+
+
+class Whole(Measure):
+    def bound(self, q, low, high):
+        reach = super().bound(q, low, high)
+        return reach + np.where(np.abs(reach) < 2**53, 0, np.inf)  # no bound where doubles don't hold the products
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """vectors and queries: vec_id, v (whole numbers as doubles)."""
-    shards = packed(vectors, shard, "shards", kd_order)
-    blocks = packed(queries.dropDuplicates(["vec_id"]), block, "blocks")
-    return best(meet(shards, blocks, search_leaves(k), "long", "topk"), k)
+    return nearest_of(vectors, queries, k, Whole(), "long", shard, block, search_whole)
 
 
 def op5_topk(spark, sf_dir: str) -> DataFrame:
