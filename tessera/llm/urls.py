@@ -3,13 +3,14 @@
 Rules over host and path judge the URLs they fit.  The URLs that rules accept or reject train two variable-order
 Markov models over characters: counts of (context, next character) of every order up to a limit, gathered from all
 judged rows, kept exactly in a distributed table of the different grams (a character with those before it), and blended
-from low to high order (Witten-Bell smoothing).  A URL that no rule fits is blocked where the length-normalised log-likelihood difference, accepted minus
-rejected, is under a threshold.  The threshold is calibrated: of all scores of judged rows, binned, the cut that errs
-least, each class counted alike.
+from low to high order (Witten-Bell smoothing).  A URL that no rule fits is blocked where the length-normalised
+log-likelihood difference, accepted minus rejected, is under a threshold.  The threshold is calibrated on judged URLs
+that the models were not trained on, one in HELD by hash of the URL: of their scores, binned, the cut that errs least,
+each class counted alike; without such URLs of both classes it is 0, where both models find a URL equally likely.
 
 Defined results: a null URL or one without :// has empty host and path and, with nothing to score, is allowed; equal
-URLs get equal verdicts; an empty table gives an empty result; if rules judge no URL, or only one way, no model tells
-the classes apart and unjudged URLs are allowed; extra columns are ignored.
+URLs get equal verdicts; an empty table gives an empty result; if rules judge no URL that trains, or only one way, no
+model tells the classes apart and unjudged URLs are allowed; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ RULES = (
 )
 ORDER = 5
 BINS = 400
+HELD = 5
 #: bound on the grams whose ratios are broadcast; it spares shuffles and decides nothing
 FREQUENT = 1 << 16
 #: ratios are whole numbers of 1 / FIXED
@@ -114,6 +116,8 @@ def calibrate(scores: DataFrame, bins: int = BINS) -> float:
     n = np.zeros((2, bins + 2))
     for r in got:
         n[r["accepted"], int(r["bin"])] += r["count"]
+    if not n.sum(axis=1).all():
+        return 0.0
     share = n / np.maximum(n.sum(axis=1, keepdims=True), 1)
     wrong = np.concatenate([[0], np.cumsum(share[1])]) + 1 - np.concatenate([[0], np.cumsum(share[0])])
     best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
@@ -128,14 +132,16 @@ def judge(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     rule, said = rule_fit(F.col("host"), F.col("path"), rules)
     base = base.withColumn("rule", rule).withColumn("said", said)
     base = materialize(base.withColumn("row", F.monotonically_increasing_id()), "ruled")
-    both = base.filter("said is not null").select("said").distinct().count() == 2
+    kept = F.pmod(F.xxhash64("url"), F.lit(HELD)) == 0  # equal URLs are on the same side
+    both = base.filter(F.col("said").isNotNull() & ~kept).select("said").distinct().count() == 2
     if not both:
         return base.select("page_id", "url", "host", "path", "rule", F.coalesce("said", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    asked = F.col("said").isNotNull() | (F.col("host") != "") | (F.col("path") != "")
-    urls = base.filter(asked).select("row", "url", (F.col("said") == "allow").cast("int").alias("accepted"))
-    scores = url_scores(urls, gather_grams(urls, order), order).withColumnRenamed("score", "_score")
+    ruled = F.col("said").isNotNull()
+    asked = ruled | (F.col("host") != "") | (F.col("path") != "")
+    urls = base.filter(asked).select("row", "url", F.when(ruled & ~kept, (F.col("said") == "allow").cast("int")).alias("accepted"), (~ruled | kept).alias("scored"))
+    scores = url_scores(urls.filter("scored"), gather_grams(urls, order), order).withColumnRenamed("score", "_score")
     base = materialize(base.join(scores, "row", "left"), "scored")
-    judged = base.filter("said is not null")
+    judged = base.filter("said is not null and _score is not null")
     threshold = calibrate(judged.select(F.col("_score").alias("score"), (F.col("said") == "allow").cast("int").alias("accepted")))
     base = base.withColumn("score", F.when(F.col("said").isNull(), F.col("_score")))
     verdict = F.coalesce("said", F.when(F.col("score") < F.lit(threshold), "block").otherwise("allow"))
