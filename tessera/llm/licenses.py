@@ -1,16 +1,18 @@
 """Operator 10: license scans, by DataFrame functions alone.
 
 A text's words (lower case, of letters and digits) give five-word shingles, each hashed.  Windows of shingles are
-min-hashed and looked up among the windows of the license templates; templates that a window retrieves are verified by
-exact containment: the share of the template's shingles that the text holds must reach 0.8.
+min-hashed in bands, and the bands' keys are joined to the keys of the license templates' windows; templates that a
+window retrieves are verified by exact containment: the share of the template's shingles that the text holds must reach
+0.8.
 
-Template windows start at every shingle.  Templates of fewer than 2 * WIDE shingles are looked up by windows of a
-single shingle, which meet with certainty wherever one shingle is shared.  Longer ones use windows of WIDE shingles
+Template windows start at every shingle.  A template of 2 * WIDE shingles or more has windows of WIDE, which texts have
 every WIDE / 2, in BANDS bands of one min-hash each: windows of Jaccard similarity s meet with probability
-1 - (1 - s) ** BANDS, 0.94 at one half, and an untouched run of 3 * WIDE / 2 shingles with certainty.
+1 - (1 - s) ** BANDS, 0.94 at one half, and an untouched run of 3 * WIDE / 2 shingles with certainty.  A shorter
+template has windows of one shingle, which meet with certainty wherever one shingle is shared.  Any number of templates
+may be given: their keys and shingles are tables, broadcast up to FEW rows and joined by a shuffle beyond.
 
 Defined results: null and empty texts and texts of fewer than five words match nothing; equal texts get equal matches;
-each template is reported once a document; an empty table gives an empty result; extra columns are ignored.
+each template is reported once a row; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialize, table
 
 #: Public license notices.
 TEMPLATES = (
@@ -40,6 +42,8 @@ WORDS = 5
 WIDE = 8
 BANDS = 4
 SHARE = 0.8
+#: rows of a table that is broadcast
+FEW = 100_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -59,79 +63,73 @@ def shingles(text: Column) -> Column:
     return let(words, hashes)
 
 
-def band_keys(window: Column) -> Column:
+def band_keys(window: Column, bands: int) -> Column:
     """A key a band: the band's least hash in the window, marked with the band."""
     salt = [0x1E3779B97F4A7C15, 0x4F6CDD1D2B1C3E57, 0x2545F4914F6CDD1D, 0x6A09E667F3BCC908]
 
     def least_with(s: int) -> Column:
         return F.array_min(F.transform(window, lambda x: x.bitwiseXOR(F.lit(s))))
 
-    least = [least_with(s) for s in salt]
-    return F.array(*[F.xxhash64(F.lit(b), m) for b, m in enumerate(least)])
+    return F.array(*[F.xxhash64(F.lit(b), least_with(s)) for b, s in enumerate(salt[:bands])])
 
 
-def window_keys(h: Column, step: int) -> Column:
-    """Distinct band keys of the windows of WIDE shingles that start every step shingles; h is a bound variable or a
-    plain column, as it is read once a window."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(h) - WIDE + 1, F.lit(1)), F.lit(step))
-    keys = F.flatten(F.transform(starts, lambda i: let(F.slice(h, i, WIDE), band_keys)))
+def window_keys(h: Column, width: int, step: int) -> Column:
+    """Distinct band keys of the windows of width shingles that start every step shingles (one band for single shingles,
+    whose key is the shingle); h is a bound variable or a plain column, as it is read once a window."""
+    if width == 1:
+        return F.array_distinct(h)
+    starts = F.sequence(F.lit(1), F.greatest(F.size(h) - width + 1, F.lit(1)), F.lit(step))
+    keys = F.flatten(F.transform(starts, lambda i: let(F.slice(h, i, width), lambda w: band_keys(w, BANDS))))
     return F.when(F.size(h) > 0, F.array_distinct(keys)).otherwise(F.array().cast("array<bigint>"))
 
 
-def indexed_templates(spark: SparkSession, templates=TEMPLATES) -> list:
-    """(name, shingles, keys, is long) of each template; a fixed list."""
-    rows = spark.createDataFrame(list(templates), "license string, text string").withColumn("h", F.array_distinct(shingles(F.col("text"))))
-    rows = rows.withColumn("wide", F.size("h") >= 2 * WIDE)
-    keys = F.when(F.col("wide"), window_keys(F.col("h"), 1)).otherwise(F.col("h"))
-    return rows.select("license", "h", keys.alias("keys"), "wide").filter(F.size("h") > 0).orderBy("license").collect()
+def template_index(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
+    """license, h (its shingles), n and wide of the templates that have any."""
+    rows = spark.createDataFrame([(str(n), str(t)) for n, t in templates], "license string, text string")
+    rows = rows.select("license", F.array_distinct(shingles(F.col("text"))).alias("h"))
+    return rows.withColumn("n", F.size("h").cast("long")).filter("n > 0").withColumn("wide", F.col("n") >= 2 * WIDE)
 
 
-def _longs(values) -> Column:
-    return F.array(*[F.lit(v).cast("bigint") for v in values]) if values else F.array().cast("array<bigint>")
+def few(table_: DataFrame, most: int = FEW) -> DataFrame:
+    """table_, marked for broadcast if it is counted to be small."""
+    return F.broadcast(table_) if table_.count() <= most else table_
 
 
-def _verified(t, h: Column, met: Column) -> Column:
-    """Template t's match where one of its windows was met: what the text holds of its shingles; else null."""
-    n = len(t["h"])
+def candidates(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """doc_id, fp (of the text) and license where a window of the text meets one of the template."""
+    single, wide = (index.filter(w).select("license", "h") for w in ("not wide", "wide"))
+    keys = single.select("license", F.explode("h").alias("key"))
+    keys = keys.unionByName(wide.select("license", F.explode(window_keys(F.col("h"), WIDE, 1)).alias("key")))
 
-    def described(both: Column) -> Column:
-        return F.struct(
-            F.lit(t["license"]).alias("license"),
-            F.size(both).cast("long").alias("matched"),
-            F.lit(n).cast("long").alias("shingles"),
-            (F.size(both) / F.lit(float(n))).alias("containment"),
-            (F.array_position(h, F.get(both, F.lit(0))) - 1).cast("long").alias("first_word"),
-        )
+    def of(h: Column) -> Column:
+        return F.concat(window_keys(h, 1, 1), window_keys(h, WIDE, WIDE // 2))
 
-    return F.when(F.arrays_overlap(met, _longs(t["keys"])), let(F.array_intersect(h, _longs(t["h"])), described))
-
-
-def matches(text: Column, index: list, share: float = SHARE) -> Column:
-    """The licenses in a text.  Each step's result is bound once, so the optimizer can't copy it into later ones."""
-    single = _longs(sorted({k for t in index if not t["wide"] for k in t["keys"]}))
-    wide = _longs(sorted({k for t in index if t["wide"] for k in t["keys"]}))
-    long_ones = any(t["wide"] for t in index)
-
-    def of_shingles(h: Column) -> Column:
-        met = F.array_intersect(h, single)
-        if long_ones:
-            met = F.concat(met, F.array_intersect(window_keys(h, WIDE // 2), wide))
-        return let(met, lambda m: F.when(F.size(m) > 0, of_met(h, m)))
-
-    def of_met(h: Column, met: Column) -> Column:
-        found = F.array(*[_verified(t, h, met) for t in index])
-        return F.filter(found, lambda c: c.isNotNull() & (c["containment"] >= share))
-
-    return let(shingles(text), of_shingles)
+    each = docs.select("doc_id", F.xxhash64("text").alias("fp"), F.explode(let(shingles(F.col("text")), of)).alias("key"))
+    return each.join(few(keys), "key").select("doc_id", "fp", "license").distinct()
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, share: float = SHARE) -> DataFrame:
-    """doc_id, license, matched, shingles, containment, first_word (from 0) of each license found."""
-    index = indexed_templates(docs.sparkSession, templates)
-    found = docs.select("doc_id", matches(F.col("text"), index, share).alias("found"))
-    # the outer form: from the inner one the optimizer infers a filter that computes the matches once more
-    each = found.select("doc_id", F.explode_outer("found").alias("f")).filter("f is not null")
-    return each.select("doc_id", "f.*")
+    """doc_id, license, matched, shingles, containment, first_word (from 0) of each license found.  Only rows that a
+    template was retrieved for are read again to be verified."""
+    index = template_index(docs.sparkSession, templates)
+    met = materialize(candidates(docs.select("doc_id", "text"), index), "licenses")
+    met = met.select(F.col("doc_id").alias("met_id"), F.col("fp").alias("met_fp"), "license")
+    rows = docs.select("doc_id", "text").withColumn("fp", F.xxhash64("text"))
+    rows = rows.join(few(met), F.col("doc_id").eqNullSafe(F.col("met_id")) & (F.col("fp") == F.col("met_fp")))
+    rows = rows.join(few(index.select(F.col("license").alias("name"), F.col("h").alias("template"), "n")), F.col("license") == F.col("name"))
+
+    def described(h: Column) -> Column:
+        def of(both: Column) -> Column:
+            return F.struct(
+                F.size(both).cast("long").alias("matched"),
+                (F.size(both) / F.col("n").cast("double")).alias("containment"),
+                (F.array_position(h, F.get(both, F.lit(0))) - 1).cast("long").alias("first_word"),
+            )
+
+        return let(F.array_intersect(h, F.col("template")), of)
+
+    found = rows.select("doc_id", "license", F.col("n").alias("shingles"), let(shingles(F.col("text")), described).alias("f"))
+    return found.filter(F.col("f.containment") >= share).select("doc_id", "license", "f.matched", "shingles", "f.containment", "f.first_word")
 
 
 def op10_licenses(spark, sf_dir: str) -> DataFrame:

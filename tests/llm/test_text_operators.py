@@ -91,8 +91,9 @@ def test_url_scores_are_exact(spark, monkeypatch):
         marked = "\x02" * 5 + url + "\x03"
         return [(k, marked[i - k : i], marked[i]) for i in range(5, len(marked)) for k in range(6)]
 
+    kept = {r["page_id"] for r in pages.filter(f"pmod(xxhash64(url), {urls.HELD}) = 0").collect()}
     for i, url in enumerate(urls_[:600]):
-        for k, context, char in places(url):
+        for k, context, char in places(url) if i not in kept else ():
             grams[i < 300, k, context, char] += 1
             contexts[i < 300, k, context] += 1
             kinds[i < 300, k, context].add(char)
@@ -107,9 +108,37 @@ def test_url_scores_are_exact(spark, monkeypatch):
         return sum(out) / len(out)
 
     monkeypatch.setattr(urls, "FREQUENT", 500)
-    got = {r["page_id"]: r["score"] for r in urls.judge(pages).collect()}
+    got = {r["page_id"]: r for r in urls.judge(pages).collect()}
+    score = {i: mean(True, urls_[i]) - mean(False, urls_[i]) for i in [*range(600, 900), *(i for i in kept if i < 600)]}
+    judged = [(score[i], i < 300) for i in kept if i < 600]
+    low, high = min(judged)[0], max(judged)[0]
+    width = (high - low) / urls.BINS
+    binned = [(math.floor((x - low) / width), good) for x, good in judged]
+    n_good = sum(good for _, good in binned)
+
+    def errors(cut):  # URLs from bin cut on are allowed
+        return sum(good for b, good in binned if b < cut) / n_good + sum(not good for b, good in binned if b >= cut) / (len(binned) - n_good)
+
+    cuts = [errors(c) for c in range(urls.BINS + 3)]
+    fits = [c for c, e in enumerate(cuts) if e <= min(cuts) + 1e-12]
+    threshold = low + width * fits[len(fits) // 2]
     for i in range(600, 900):
-        assert abs(got[i] - (mean(True, urls_[i]) - mean(False, urls_[i]))) < 1e-9
+        assert abs(got[i]["score"] - score[i]) < 1e-9 and got[i]["verdict"] == ("block" if score[i] < threshold else "allow")
+    assert all(got[i]["score"] is None and got[i]["verdict"] == ("allow" if i < 300 else "block") for i in range(600))
+
+
+def test_url_rules_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/pages.parquet")
+    for r in urls.judge(docs).collect():
+        rest = r["url"].split("://", 1)[1] if r["url"] and "://" in r["url"] else None
+        host = re.split("[/?#]", rest, maxsplit=1)[0] if rest is not None else ""
+        path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0] if rest is not None else ""
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+        fits = [(len(s + p), s + p, v) for v, s, p in urls.RULES if (host == s or host.endswith("." + s)) and path.startswith(p)]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, max(fits)[1] if fits else None)
+        assert not fits or r["verdict"] == max(fits)[2]
+    long_ = spark.createDataFrame([(1, "http://x.org/" + "ab" * 50_000), (2, "http://y.com/de/" + "é" * 50_000), (3, "http://z.net/" + "q" * 100_000)], "page_id long, url string")
+    assert {r["page_id"]: r["rule"] for r in urls.judge(long_).collect()} == {1: "org/", 2: "com/de/", 3: None}
 
 
 def test_licenses(spark):
@@ -135,6 +164,9 @@ def test_licenses(spark):
                 want.setdefault(i, set()).add(name)
     assert got == want and 5 in got and 6 in got and 7 not in got
     assert licenses.scan(docs.limit(0)).count() == 0
-    plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
+    many = [(f"t{i}", " ".join(f"v{i}x{j}" for j in range(3 + i % 40))) for i in range(1000)]
+    more = spark.createDataFrame([(1, f"so {many[7][1]} and {many[38][1]} it is", "x"), (2, " ".join(["word"] * 300_000), "x"), (3, "r" * 200_000, "x")], docs.schema)
+    assert {(r["doc_id"], r["license"]) for r in licenses.scan(more, many).collect()} == {(1, "t7"), (1, "t38")}
+    plan = licenses.scan(docs, many)._jdf.queryExecution().executedPlan().toString() + licenses.candidates(docs, licenses.template_index(spark, many))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert docs.filter(F.col("doc_id") == 8).count() == 2
