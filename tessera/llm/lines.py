@@ -1,8 +1,9 @@
 """Operator 8: line deduplication by a deletion-neighbourhood join.
 
 Every non-blank line of every document is a candidate; the earliest by (doc_id, line number) stays.  Equal lines meet by
-a 128-bit hash.  Lines of MIN_CHARS characters or more also go if an earlier line is within one edit (Levenshtein): both
-lines emit their variants with one character deleted as hashed keys, equal keys are joined and the edit distance is
+a 128-bit hash.  The edit bound is one edit in MIN_CHARS characters: shorter lines go only for equal ones (every "1."
+is within an edit of every "2."); lines from MIN_CHARS on also go if an earlier line is within one edit (Levenshtein):
+both lines emit their variants with one character deleted as hashed keys, equal keys are joined and the edit distance is
 verified on the texts.
 
 Lines with a near twin agree outside one of SEGMENTS stretches, wherever they are cut.  So lines first emit a key for
@@ -120,25 +121,53 @@ LINES = pa.schema(
 )
 
 
+class _Lines:
+    """Columns of LINES, made for many lines at a time."""
+
+    def __init__(self, min_chars: int):
+        self.min_chars = min_chars
+        self.clear()
+
+    def clear(self) -> None:
+        self.lines, self.doc, self.fp, self.no, self.chars = [], [], [], [], 0
+
+    def add(self, doc, fp: bytes, first: int, lines: list[str]) -> None:
+        self.lines += lines
+        self.doc += [doc] * len(lines)
+        self.fp += [fp] * len(lines)
+        self.no += range(first, first + len(lines))
+        self.chars += sum(map(len, lines)) + len(lines)
+
+    def batch(self) -> pa.RecordBatch:
+        lines = self.lines
+        at = [i for i, x in enumerate(lines) if x and not x.isspace()]
+        at_ = np.array(at, np.int64)
+        size = np.fromiter(map(len, lines), np.int64, len(lines))
+        start = np.concatenate([[0], np.cumsum(size[:-1] + 1)])
+        keys = outside_keys(Hashed("\n".join(lines)), start[at_], size[at_], 2).view(np.int64)
+        long_ = size[at_] >= self.min_chars
+        offsets = np.concatenate([[0], np.cumsum(np.where(long_, keys.shape[1], 0))]).astype(np.int32)
+        columns = [
+            pa.array([self.doc[i] for i in at], pa.int64()), pa.array([self.fp[i] for i in at], pa.binary()), pa.array(np.array(self.no, np.int32)[at_]), pa.array([_digest(lines[i]) for i in at], pa.binary()),
+            pa.array(size[at_].astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[long_].ravel())),
+        ]
+        self.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=LINES)
+
+
 def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, fp (of the text), line_no, digest, n and two-stretch keys (from min_chars on) of each non-blank line."""
 
     def run(frames):
+        held = _Lines(min_chars)
         for frame in frames:
-
-            def rows(frame=frame):
-                for doc, fp, text in zip(*(frame.column(i).to_pylist() for i in range(3)), strict=True):
-                    for first, lines in _chunks(text or ""):
-                        at = [i for i, x in enumerate(lines) if x and not x.isspace()]
-                        if not at:
-                            continue
-                        size = np.fromiter(map(len, lines), np.int64, len(lines))
-                        start = np.concatenate([[0], np.cumsum(size[:-1] + 1)])
-                        keys = outside_keys(Hashed("\n".join(lines)), start[at], size[at], 2).view(np.int64)
-                        for i, k in zip(at, keys, strict=True):
-                            yield doc, fp, first + i, _digest(lines[i]), int(size[i]), k if size[i] >= min_chars else []
-
-            yield from batches(LINES, rows(), weigh=lambda r: 100)
+            for doc, fp, text in zip(*(frame.column(i).to_pylist() for i in range(3)), strict=True):
+                for first, lines in _chunks(text or ""):
+                    held.add(doc, fp, first, lines)
+                    if held.chars >= 1 << 20:
+                        yield held.batch()
+        if held.lines:
+            yield held.batch()
 
     held = docs.select(F.col("doc_id").cast("long"), F.expr(FINGERPRINT).alias("fp"), "text").filter("text is not null")
     return held.mapInArrow(run, "doc_id long, fp binary, line_no int, digest binary, n int, keys array<long>")
