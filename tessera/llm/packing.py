@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import batches, materialize, table
 
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 EOS = 2
 MAX_LEN = 1024
 
