@@ -20,18 +20,27 @@ from pyspark.sql import types as T
 
 @lru_cache(maxsize=1)
 def folding() -> tuple[str, str]:
-    """Letters that decompose to one ASCII letter and marks, and that letter."""
+    """Characters that decompose to one ASCII character and marks, and that character; then marks, which have none."""
     source, target = [], []
-    for code in range(0xC0, 0x250):
+    for code in [*range(0x80, 0xD800), *range(0xF900, 0x10000)]:
         base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
         if len(base) == 1 and base != chr(code) and base.isascii():
             source.append(chr(code))
             target.append(base)
-    return "".join(source), "".join(target)
+    marks = [chr(code) for code in range(0x300, 0x370) if unicodedata.combining(chr(code))]
+    return "".join(source + marks), "".join(target)
+
+
+#: Characters that decompose to several letters.
+EXPANDED = "ﬀﬁﬂﬃﬄﬅﬆĲĳ™№"
 
 
 def fold(c: Column) -> Column:
-    return F.translate(c, *folding())
+    """Accents and marks off, ligatures as letters."""
+    plain = c
+    for x in EXPANDED:
+        plain = F.replace(plain, F.lit(x), F.lit(unicodedata.normalize("NFKD", x)))
+    return F.translate(F.when(c.rlike(f"[{EXPANDED}]"), plain).otherwise(c), *folding())
 
 
 def norm(c: Column, null_as: str = "") -> Column:

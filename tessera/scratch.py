@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
-
-
+_MADE: list[str] = []
 #: Arrow batches of whole texts: a task holds a batch as Arrow on both sides and as Python objects.
 BATCH_BYTES = 8 << 20
 
@@ -53,18 +52,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     bound_batches(spark)
     path = f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(df: DataFrame) -> None:
-    """Deletes the scratch tables that df reads; call it only when nothing lazy still depends on them."""
-    spark = df.sparkSession
-    for file in df.inputFiles():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if "/tessera-" in folder.toString():
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-            return
+    """Deletes the scratch table that df reads; call it only when nothing lazy still depends on it."""
+    paths = [p for p in _MADE if any(f"/{p.rsplit('/', 1)[1]}/" in f for f in df.inputFiles()[:1])]
+    _delete(df.sparkSession, paths)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _MADE.remove(p)
+
+
+class scratch_scope:
+    """with scratch_scope(spark) as scope: the scratch tables made inside are deleted at its end but those that
+    scope.keep(df) names, by what df reads."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.kept = spark, []
+
+    def __enter__(self) -> scratch_scope:
+        self.before = set(_MADE)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept += df.inputFiles()[:1]
+        return df
+
+    def __exit__(self, *error) -> None:
+        _delete(self.spark, [p for p in _MADE if p not in self.before and not any(f"/{p.rsplit('/', 1)[1]}/" in f for f in self.kept)])
 
 
 def cleanup(spark: SparkSession) -> None:
@@ -73,6 +95,7 @@ def cleanup(spark: SparkSession) -> None:
         f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}"
     )
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _MADE.clear()
 
 
 def running_total(

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
@@ -13,7 +15,11 @@ def test_norm(spark):
     got = values(spark, X.norm, *given)
     assert got[:3] == ["ea stra e", "", "a b c"]
     exact = X.exact_norm(__import__("pandas").Series(given))
-    assert list(exact[:3]) == got[:3] and exact[4] == "fin"
+    assert list(exact[:3]) == got[:3] and exact[4] == got[4] == "fin"
+    rng = random.Random(5)
+    odd = ["".join(rng.choice(" aé\u0301\u0308ｆＦ²Åªº①ﬁﬃ№™ǅŭ日本_-\n\t\u00a0\u2003ß") for _ in range(20)) for _ in range(300)]
+    odd = [x.replace("ǅ", "") for x in odd]
+    assert values(spark, X.norm, *odd) == list(X.exact_norm(__import__("pandas").Series(odd)))
 
 
 def test_dates(spark):
