@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import lines, mixing, near, packing, toxicity
-from tessera.llm.common import materialize, table, unused
+from tessera.llm.common import drop_scratch, materialize, scratch_scope, table, unused
 
 TOXIC = 0.7
 
@@ -58,7 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows.  What a stage wrote on its way is deleted when the stage is done, and its result when the
+    next one is."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        with scratch_scope(spark) as scope:
+            out = scope.keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "_")))
+        if name != STAGES[0][0]:
+            drop_scratch(docs)
+        docs = out
     return docs

@@ -1,10 +1,7 @@
-"""What several operators share: scratch tables, distributed running totals and small filters."""
+"""What several operators share: small filters, connected components, batches; scratch tables are tessera.scratch's."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,109 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_LOCAL: list[str] = []
+from tessera.scratch import bound_batches, cleanup, drop_scratch, materialize, running_total, scratch_scope, unused  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Arrow batches of whole texts: a task holds a batch as Arrow on both sides and as Python objects.
-BATCH_BYTES = 8 << 20
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Lowers the session's bound on the bytes of an Arrow batch to BATCH_BYTES; a lower one stays."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    digits = "".join(c for c in spark.conf.get(name) if c.isdigit())
-    if not spark.conf.get(name).endswith(("b", *"0123456789")) or int(digits or 0) > BATCH_BYTES:
-        spark.conf.set(name, str(BATCH_BYTES))
-
-
-def unused(columns: list[str], *names: str) -> list[str]:
-    """names, each with as many underscores before it as make it differ from all columns, whatever their case."""
-    taken, out = {c.lower() for c in columns}, []
-    for name in names:
-        while name.lower() in taken:
-            name = "_" + name
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; only in local mode, where it is unset, a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        if not _LOCAL:
-            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
-        folder = _LOCAL[0]
-    return folder.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and returns a read of it: lineage ends there and a lost executor
-    costs no recomputation.  cleanup() removes the tables."""
-    spark = df.sparkSession
-    bound_batches(spark)
-    path = f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch(df: DataFrame) -> None:
-    """Deletes the scratch tables that df reads; call it only when nothing lazy still depends on them."""
-    spark = df.sparkSession
-    for file in df.inputFiles():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if "/tessera-" in folder.toString():
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-            return
-
-
-def cleanup(spark: SparkSession) -> None:
-    """Deletes every scratch table of this application."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def running_total(
-    df: DataFrame, group: list[str], order: list[str], values: dict[str, str], name: str
-) -> DataFrame:
-    """df with a column for each entry of values (new name: summed column): the sum over the rows of the same group
-    that come earlier in order.  Rows are range-sorted over all partitions, summed per partition, and the partitions'
-    sums are themselves summed per group, so that a group of any size is spread over many tasks.  Ties in order must
-    not matter to the caller.  df should be cheap to scan (sampling reads it once more)."""
-    span = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_last() for c in group + order]
-    ranged = df.repartitionByRange(span, *keys).withColumn("_part", F.spark_partition_id())
-    ranged = materialize(ranged, name)
-    sums = ranged.groupBy(*group, "_part").agg(*[F.sum(v).alias(f"_{k}") for k, v in values.items()])
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)],
-        F.col("_part").alias("_p"),
-        *[F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_{k}") for k in values],
-    )
-    within = (
-        Window.partitionBy(*group, "_part")
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = ranged.withColumns({k: F.coalesce(F.sum(v).over(within), F.lit(0)) for k, v in values.items()})
-    match = F.col("_part") == F.col("_p")
-    for i, c in enumerate(group):
-        match = match & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    out = local.join(sums, match, "left")
-    return out.withColumns({k: F.col(k) + F.col(f"_{k}") for k in values}).drop(
-        "_p", "_part", *[f"_g{i}" for i in range(len(group))], *[f"_{k}" for k in values]
-    )
-
-
 def words(column: Column | str) -> Column:
     """Number of maximal runs of characters other than space and U+0009 to U+000D; null counts 0."""
     return F.coalesce(F.regexp_count(column, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -13,6 +13,9 @@ pair.  Two lines of one length that differ in place p share the variant without
 that place alone, so each is compared with the earliest of them; a line that is itself the variant of longer ones is
 compared with each of these.  No other pairs are made.
 
+Joins on lines, keys and variants have one row of a key on one side, so a line that is in very many documents makes no
+square; its rows on the other side are one key's, which Spark's adaptive execution splits over tasks.
+
 A line goes if an earlier line is equal or within the bound, whether or not that one stays itself.
 
 Defined results: null and empty texts have no lines and stay as they are; blank lines stay and are no candidates; null

@@ -1,4 +1,5 @@
 import re
+from functools import partial
 
 import numpy as np
 
@@ -66,3 +67,19 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r["v"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
+
+
+def test_large_groups_meet_in_small_blocks(spark, monkeypatch):
+    """A group of many near copies, in blocks of a few members each."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.choice(120, size=int(rng.integers(1, 7)), replace=False):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_classes(rows)
+    monkeypatch.setattr(N, "meet_in_blocks", partial(N.meet_in_blocks, size=30_000))
+    assert {r["doc_id"]: r["class_id"] for r in N.classes(docs).collect()} == want and len(set(want.values())) > 1

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -89,8 +90,41 @@ def test_pack_odd_and_round_trip(spark):
     whole = np.frombuffer(enc.encode(docs.filter("doc_id = 5").first()["text"]), "<u2").tolist() + [2]
     assert sorted(map(len, got[5])) == sorted([len(whole) % 1024] + [1024] * (len(whole) // 1024))
     assert sorted(x for part in got[5] for x in part) == sorted(whole)
+    # in order: the written rows, cut where the pieces say, give back the ids of every document
+    rows = P.place(P.token_pieces(docs, P.vocabulary()).persist()).collect()
+    lines, parts = {r["sequence_id"]: line for r, line in zip(packed, matrix, strict=True)}, {}
+    for r in P.pack(docs, P.vocabulary()).collect():
+        ids = lines[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]].tolist()
+        assert zlib.crc32(np.array(ids, "<u4").tobytes()) == r["ids_crc32"]
+        parts.setdefault(r["doc_id"], []).append((r["piece"], r["start"], ids))
+    assert len(rows) == sum(map(len, parts.values()))
+    for r in docs.collect():
+        want = enc.tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        pieces = sorted(parts[r["doc_id"]])
+        same = [p for p in pieces if p[0] == 0]
+        if len(same) == 1:
+            assert [x for _, _, ids in pieces for x in ids] == want
+            assert [s for _, s, _ in pieces] == np.cumsum([0] + [len(ids) for _, _, ids in pieces])[:-1].tolist()
+
+
+def test_one_long_token(spark):
+    docs = spark.createDataFrame([(1, "x" * 300_000), (2, "é" * 50_000)], "doc_id long, text string")
+    enc = P.Encoder(P.vocabulary())
+    for r in docs.collect():
+        mine = sorted((x["start"], x["length"]) for x in P.pack(docs.filter(f"doc_id = {r['doc_id']}"), P.vocabulary()).collect())
+        n = len(enc.tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1
+        assert sum(k for _, k in mine) == n and all(k == 1024 for s, k in mine if s)
 
 
 def test_query(spark):
     rows = P.op2_packing(spark, SF).collect()
-    check(rows, [r["doc_id"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()])
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    check(rows, list(docs))
+    enc, parts = P.Encoder(P.vocabulary()), {}
+    for r in rows:
+        parts.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["ids_crc32"]))
+    for i, text in docs.items():
+        ids = enc.tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        for start, n, crc in parts[i]:
+            assert zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes()) == crc
+        assert sum(n for _, n, _ in parts[i]) == len(ids)

@@ -38,6 +38,33 @@ def test_automaton_against_edit_distance():
             assert got == min(full)[::-1], w
 
 
+def test_windows_and_quotation():
+    f = toxicity.Finder([("moron", False, 4.0), ("idi", True, 2.0)])
+    assert f.features("nothing here") == f.features(None) == f.features("") == [0.0] * toxicity.FEATURES
+    plain, quoted = f.features("he is a moron today"), f.features('he said "moron" today')
+    assert plain[6] == 4.0 and quoted[6] == 4.0 * toxicity.QUOTED and quoted[1] < plain[1]
+    dense = f.features('he said "moron idiot moron idiot moron" today')
+    assert dense[6] == 4.0  # many finds close together aren't a quotation
+    near, far = f.features("moron a moron"), f.features("moron " + "a " * 200 + "moron")
+    assert near[2] > far[2] and near[1] == far[1]  # the densest window
+    assert f.features('"open quote\nmoron')[6] == 4.0  # marks count line by line
+    assert f.features("m0ron")[6] == 4.0 * toxicity._EDITS[1]
+
+
+def test_fitted_model_scores_odd_texts(spark):
+    rows = [(i, f"you moron number {i}" if i % 3 == 0 else f"good day number {i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, docs.selectExpr("doc_id", "int(doc_id % 3 = 0) AS toxic"))
+    assert model.terms
+    odd = odd_documents(spark).select("doc_id", "text").unionByName(spark.createDataFrame([(50, "moron " * 60_000), (51, "q" * 300_000), (52, "MORON!")], "doc_id long, text string"))
+    got = {}
+    for r in toxicity.score(odd, model).collect():
+        got.setdefault(r["doc_id"], set()).add(round(r["toxicity"], 12))
+    none = got[3] | got[2] | got[4] | got[51]
+    assert len(none) == 1 and len(got[1]) == 1 and max(none) < 0.5 < min(got[52])
+    assert all(0 <= x <= 1 for v in got.values() for x in v)
+
+
 def test_toxicity_odd(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (7, None), (7, 1)], "doc_id long, toxic int")
