@@ -36,17 +36,17 @@ EXPANDED = "ﬀﬁﬂﬃﬄﬅﬆĲĳ™№"
 
 
 def fold(c: Column) -> Column:
-    """Accents and marks off, ligatures as letters."""
+    """Accents and marks off, ligatures as letters; ASCII texts aren't touched."""
     plain = c
     for x in EXPANDED:
         plain = F.replace(plain, F.lit(x), F.lit(unicodedata.normalize("NFKD", x)))
-    return F.translate(F.when(c.rlike(f"[{EXPANDED}]"), plain).otherwise(c), *folding())
+    folded = F.translate(F.when(c.rlike(f"[{EXPANDED}]"), plain).otherwise(c), *folding())
+    return F.when(c.rlike(r"[^\x00-\x7f]"), folded).otherwise(c)
 
 
 def norm(c: Column, null_as: str = "") -> Column:
-    """Accents folded, lower case, anything but a-z, 0-9 and white space a space, runs of white space one space."""
-    plain = F.regexp_replace(F.lower(fold(F.coalesce(c.cast("string"), F.lit(null_as)))), r"[^a-z0-9\s]", " ")
-    return F.trim(F.regexp_replace(plain, r"\s+", " "))
+    """Accents folded, lower case, runs of anything but a-z and 0-9 one space, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(fold(F.coalesce(c.cast("string"), F.lit(null_as)))), r"[^a-z0-9]+", " "))
 
 
 def plain_text(v: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
+from tessera.scratch import materialize
 
 SEVERITIES = ("BLOCKER", "MAJOR", "MINOR", "INFO")
 #: What reads as yes, once normalised.
@@ -275,7 +276,8 @@ def repeated_sentences(blocks: DataFrame, least: int = 3) -> DataFrame:
     """Q07: an issue an occurrence of every normalised sentence that occurs least times or more.  blocks: entity, id,
     title, text."""
     each = blocks.select("entity", "id", "title", F.explode(sentences(F.col("text"))).alias("s"))
-    each = each.select("entity", "id", "title", F.sha2(X.norm(F.col("s")), 256).alias("k"))
+    # read twice, for the counts and for the issues
+    each = materialize(each.select("entity", "id", "title", F.sha2(X.norm(F.col("s")), 256).alias("k")), "sentences")
     often = each.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     return _issue(each.join(often, "k"), "Q07", "MINOR", "-", F.concat(F.lit("sentence occurs "), F.col("n").cast("string"), F.lit(" times")))
 
