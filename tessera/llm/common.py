@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,14 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def release() -> None:
+    """Ends a partition: what a worker no longer needs goes back to the system, as workers wait for their next task while
+    others run."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # the C library may have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser over uint64 arrays."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -70,7 +80,9 @@ class Bloom:
                     mine[p] = True
             packed = np.packbits(mine).view(np.uint64)
             at = np.flatnonzero(packed)
+            del mine
             yield pd.DataFrame({"at": at.astype(np.int64), "word": packed[at].view(np.int64)})
+            release()
 
         got = (
             keys.select(column)
@@ -104,6 +116,8 @@ def might_hold(bloom: Bloom, spark: SparkSession, key: Column) -> Column:
         mine = Bloom.unpack(held.value)
         for b in batches_:
             yield pd.Series(mine.has(b.fillna(0).to_numpy(np.int64).view(np.uint64)))
+        del mine
+        release()
 
     return test(key)
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, batches, bound_batches, materialize, might_hold, mix64, table, unused
+from .common import Bloom, batches, bound_batches, materialize, might_hold, mix64, release, table, unused
 
 MIN_CHARS = 16
 SEGMENTS = 8
@@ -167,10 +167,11 @@ def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             for doc, fp, text in zip(*(frame.column(i).to_pylist() for i in range(3)), strict=True):
                 for first, lines in _chunks(text or ""):
                     held.add(doc, fp, first, lines)
-                    if held.chars >= 1 << 20:
+                    if held.chars >= 1 << 18:
                         yield held.batch()
         if held.lines:
             yield held.batch()
+        release()
 
     held = docs.select(F.col("doc_id").cast("long"), F.expr(FINGERPRINT).alias("fp"), "text").filter("text is not null")
     return held.mapInArrow(run, "doc_id long, fp binary, line_no int, digest binary, n int, keys array<long>")
@@ -213,7 +214,8 @@ def near_twins(docs: DataFrame, texts: DataFrame, min_chars: int = MIN_CHARS) ->
                                 seen.add(digests[i])
                                 yield digests[i], lines[i]
 
-            yield from batches(schema, rows(), weigh=lambda r: 64 + 2 * len(r[1]))
+            yield from batches(schema, rows(), limit=4 << 20, weigh=lambda r: 64 + 2 * len(r[1]))
+        release()
 
     lines = docs.select("text").filter("text is not null").mapInArrow(read, "digest binary, line string")
     lines = lines.join(suspects, "digest", "left_semi").groupBy("digest").agg(F.first("line").alias("line"))
@@ -229,7 +231,8 @@ def near_twins(docs: DataFrame, texts: DataFrame, min_chars: int = MIN_CHARS) ->
                     k = outside_keys(Hashed(x), np.zeros(1, np.int64), np.array([len(x)]), SEGMENTS)[0].view(np.int64)
                     yield from ((d, i, key) for i, key in enumerate(k.tolist()))
 
-            yield from batches(closer, rows())
+            yield from batches(closer, rows(), limit=4 << 20)
+        release()
 
     near = lines.select("digest", "line").mapInArrow(cut, "digest binary, place int, key long")
     near = _shared(near).groupBy("digest").agg(F.collect_set("place").alias("places"))  # at most 2 * SEGMENTS
@@ -243,7 +246,8 @@ def near_twins(docs: DataFrame, texts: DataFrame, min_chars: int = MIN_CHARS) ->
                 for d, x, p in zip(*(frame.column(i).to_pylist() for i in range(3)), strict=True):
                     yield from ((d, v, at) for v, at in variants(x, p))
 
-            yield from batches(emitted, rows())
+            yield from batches(emitted, rows(), limit=4 << 20)
+        release()
 
     found = near.mapInArrow(emit, "digest binary, variant long, place int")
     found = materialize(found.join(lines.select("digest", "first"), "digest"), "variants")

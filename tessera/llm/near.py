@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Bloom, batches, components, materialize, might_hold, mix64, table, unused
+from .common import Bloom, batches, components, materialize, might_hold, mix64, release, table, unused
 
 WORDS = 5
 SIMILAR = 0.8
@@ -42,7 +42,7 @@ PLAUSIBLE = 0.7
 SLICE = 100_000
 #: hubs of a bucket in a round; bytes of a block
 HUBS = 1
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CACHE = 100_000
 
@@ -61,7 +61,7 @@ _HASHES = _Hashes()
 def forget() -> None:
     """Ends a partition: idle workers hold no words and no buffers."""
     _HASHES.clear()
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 _MULTIPLIERS = [np.uint64(int.from_bytes(xxhash.xxh64_digest(f"place {i}"), "big") | 1) for i in range(64)]
@@ -226,6 +226,7 @@ def similar(pairs: DataFrame, sets: DataFrame, at_least: float = SIMILAR) -> Dat
                 small, large = sorted((len(sv), len(sh)))
                 alike.append(bool(probability_jaccard(a, b) >= at_least - 1e-12) if small else large == 0)
             yield pa.RecordBatch.from_arrays([cols[0], cols[1], pa.array(alike)], names=["h", "v", "alike"])
+        release()
 
     return mine.select("h", "v", "sv", "cv", "sh", "ch").mapInArrow(run, "h binary, v binary, alike boolean")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, materialize, table
+from .common import batches, materialize, release, table
 
 CACHE_WORDS = 250_000
 EOS = 2
@@ -162,7 +162,7 @@ def token_pieces(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_
 
         yield from batches(PIECES, rows(), limit=4 << 20, weigh=lambda r: len(r[4]) + 64)
         enc.words.forget()
-        pa.default_memory_pool().release_unused()
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length int, ids binary, part int, nth long"

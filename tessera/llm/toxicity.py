@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, table
+from .common import bound_batches, materialize, release, table
 
 #: Bounds on what fitting reads and keeps.
 SAMPLE_EACH = 6_000
@@ -36,7 +36,7 @@ LEAST_DOCS = 8
 STEMS = (3, 4, 5, 6, 7)
 WINDOW = 40
 QUOTED = 0.4
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 
 _WORD = re.compile(r"\w+")
 _QUOTE = re.compile(r"[\"“”„«»]")
@@ -343,6 +343,7 @@ def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
         for batch in texts:
             yield pd.Series(mine.scores(batch))
         mine.forget()
+        release()
 
     return docs.withColumn(column, run("text"))
 
