@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import batches, materialize, release, table
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 300_000
 EOS = 2
 MAX_LEN = 1024
 
@@ -117,11 +117,6 @@ class _Words(dict):
         ids = self[unit] = self.pack(self.merge(unit if unit[0] == "\n" else " " + unit))
         return ids
 
-    def forget(self) -> None:
-        """Ends a partition: idle workers hold no words."""
-        self.clear()
-        self[""] = b""
-
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -161,8 +156,7 @@ def token_pieces(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_
                             start, piece = start + length, piece + 1
 
         yield from batches(PIECES, rows(), limit=4 << 20, weigh=lambda r: len(r[4]) + 64)
-        enc.words.forget()
-        release()
+        release()  # the words stay for the next partition
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length int, ids binary, part int, nth long"
