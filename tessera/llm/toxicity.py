@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, release, table
+from .common import bound_batches, least_hashed, materialize, release, table
 
 #: Bounds on what fitting reads and keeps.
 SAMPLE_EACH = 6_000
@@ -222,7 +222,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH)
     y = y.select(F.col("doc_id").alias("_id"), (F.col("toxic") != 0).cast("int").alias("toxic")).distinct()
     h = F.xxhash64(F.lit(5), "_id")
     n = {r["toxic"]: r["count"] for r in y.groupBy("toxic").count().collect()}
-    parts = [y.filter(F.col("toxic") == c).orderBy(h, "_id").limit(each).withColumn("weight", F.lit(max(n.get(c, 0) / each, 1.0))) for c in (1, 0)]
+    parts = [least_hashed(y.filter(F.col("toxic") == c), h, each, n.get(c, 0)).withColumn("weight", F.lit(max(n.get(c, 0) / each, 1.0))) for c in (1, 0)]
     picked = parts[0].unionByName(parts[1])
     picked = F.broadcast(materialize(picked, "sample"))  # 2 * each rows at most
     out = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id"))

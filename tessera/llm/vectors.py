@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import least_hashed, materialize
 
 SHARD = 8192
 BLOCK = 2048
@@ -110,7 +110,7 @@ def fit_splits(rows: DataFrame, size: int, measure: Measure, sample: int = SAMPL
     depth = {dim: max(0, math.ceil(math.log2(n / size))) for dim, n in counts.items()}
     held: dict[int, list] = {}
     if any(depth.values()):
-        for r in rows.select("v").orderBy(F.xxhash64("vec_id", "v")).limit(sample).collect():
+        for r in least_hashed(rows.select("vec_id", "v"), F.xxhash64("vec_id", "v"), sample, sum(counts.values())).select("v").collect():
             held.setdefault(len(r["v"]), []).append(r["v"])
     return Splits({d: np.array(v) for d, v in held.items()}, depth, measure)
 
