@@ -38,9 +38,11 @@ def fsm_check(stream: DataFrame) -> DataFrame:
         now = state.get[0] if state.exists else None
         bad = []
         for r in pd.concat(list(frames)).sort_values("seq").itertuples():  # a run's rows of one batch
+            if r.event_type not in RUN_STATES:
+                continue  # events that change no state
             if (now, r.event_type) not in allowed:
                 bad.append((key[0], r.seq, r.event_type))
-            now = RUN_STATES.get(r.event_type, now)
+            now = RUN_STATES[r.event_type]
         state.update((now,))
         yield pd.DataFrame(bad, columns=["run_id", "seq", "event_type"])
 
