@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, licenses, lines, mixing, near, packing, topk, toxicity, urls
+from . import ann, bpe, licenses, lines, mixing, near, packing, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_url_filter": urls.op9_url_filter,
     "op10_licenses": licenses.op10_licenses,
+    "op11_bpe": bpe.op11_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
