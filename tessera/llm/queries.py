@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, audit, bpe, licenses, lines, mixing, near, packing, topk, toxicity, urls
+from . import ann, audit, bpe, dialogue, licenses, lines, mixing, near, packing, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_url_filter": urls.op9_url_filter,
     "op10_licenses": licenses.op10_licenses,
     "op11_bpe": bpe.op11_bpe,
+    "op12_conversation_repair": dialogue.op12_conversation_repair,
     "op13_filter_audit": audit.op13_filter_audit,
 }
 
@@ -23,5 +24,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_topk": topk.SQL,
     "op8_line_dedup": lines.SQL,
     "op10_licenses": licenses.SQL,
+    "op12_conversation_repair": dialogue.SQL,
     "op13_filter_audit": audit.SQL,
 }
