@@ -390,15 +390,15 @@ def op12_conversation_repair(spark, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH RECURSIVE
 t AS (
-  SELECT list_transform(range(256), n -> list_reduce(list_prepend(n, range(8)),
-    (c, i) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
 c AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
-         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), x -> CAST(ord(x) AS BIGINT)) AS bytes
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT)) AS bytes
   FROM conversations),
 k AS (
   SELECT conv_id, turn, role, text,
-         xor(list_reduce(list_prepend(4294967295, bytes), (v, b) -> xor(v >> 8, steps[(xor(v, b) & 255) + 1])), 4294967295) % 20 AS kind
+         xor(list_reduce(list_prepend(4294967295, bytes), lambda v, b: xor(v >> 8, steps[(xor(v, b) & 255) + 1])), 4294967295) % 20 AS kind
   FROM c, t),
 d AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
@@ -422,11 +422,11 @@ a AS (
          count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE bad) AS illegal
   FROM (SELECT *, i > 1 AND lag(k) OVER (PARTITION BY g ORDER BY i) || k NOT IN ('su', 'ua', 'au') AS bad FROM f) GROUP BY g),
 nx(a, b) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
-runs(st, at, w, c) AS (
+runs(st, z, w, c) AS (
   SELECT a, a, '', 0 FROM nx UNION ALL SELECT a, b, 'I', 2 FROM nx
   UNION ALL SELECT n.a, o.b, 'II', 4 FROM nx n JOIN nx o ON n.b = o.a),
 edits(e, k, a, b, c) AS (
-  SELECT 'D', NULL, a, a, 3 FROM nx UNION ALL SELECT 'R', NULL, a, b, 2 FROM nx
+  SELECT 'D', CAST(NULL AS VARCHAR), a, a, 3 FROM nx UNION ALL SELECT 'R', CAST(NULL AS VARCHAR), a, b, 2 FROM nx
   UNION ALL SELECT * FROM (VALUES ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0), ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0))),
 dp(g, i, st, cost, audit) AS (
   SELECT g, CAST(0 AS BIGINT), 0, 0, '' FROM a
@@ -435,11 +435,11 @@ dp(g, i, st, cost, audit) AS (
     SELECT dp.g, f.i, e.b AS st, dp.audit || r.w || e.e AS audit,
            dp.cost + r.c + e.c + CASE WHEN e.e <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS cost
     FROM dp JOIN f ON dp.g = f.g AND f.i = dp.i + 1 JOIN runs r ON r.st = dp.st
-    JOIN edits e ON e.a = r.at AND (e.k IS NULL OR e.k = f.k)
+    JOIN edits e ON e.a = r.z AND (e.k IS NULL OR e.k = f.k)
     WHERE e.e = 'D' OR f.fault NOT IN ('blank', 'duplicate')) GROUP BY g, i, st),
 best AS (
   SELECT dp.g, min(cost + c) AS cost, arg_min(audit || w, {'c': cost + c, 'a': audit || w}) AS audit
-  FROM dp JOIN a ON dp.g = a.g AND dp.i = a.n JOIN runs r ON r.st = dp.st AND r.at IN (0, 3) GROUP BY dp.g),
+  FROM dp JOIN a ON dp.g = a.g AND dp.i = a.n JOIN runs r ON r.st = dp.st AND r.z IN (0, 3) GROUP BY dp.g),
 w AS (
   SELECT g, j, audit[j] AS e, len(replace(left(audit, j), 'I', '')) AS i, len(replace(left(audit, j), 'D', '')) AS p,
          len(replace(audit, 'D', '')) % 2 AS odd
