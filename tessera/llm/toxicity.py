@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, least_hashed, materialize, release, table
+from .common import bound_batches, least_hashed, materialize, release, table, unused
 
 #: Bounds on what fitting reads and keeps.
 SAMPLE_EACH = 6_000
@@ -333,7 +333,8 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
 
 
 def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
-    """docs with one more column, named so, in 0..1."""
+    """docs with one more column, in 0..1, named so (with underscores before it where docs has that name)."""
+    (column,) = unused(docs.columns, column)
     bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
 

@@ -59,7 +59,8 @@ def rule_fit(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def _grams(url: Column, order: int) -> Column:
     """For each character and the end of the url: the order characters before it (marks before the start) and itself."""
     marked = F.concat(F.lit("\x02" * order), url, F.lit("\x03"))
-    return F.transform(F.sequence(F.lit(1), F.length(url) + 1), lambda i: F.substring(marked, i, F.lit(order + 1)))
+    # one pass over the url: each match takes one character and captures the gram that begins there
+    return F.regexp_extract_all(marked, F.lit(rf"(?s)(?=(.{{{order + 1}}}))."), F.lit(1))
 
 
 def gather_grams(urls: DataFrame, order: int = ORDER) -> DataFrame:

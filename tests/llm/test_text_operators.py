@@ -1,8 +1,10 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF, none_of, odd_documents
@@ -65,11 +67,30 @@ def test_fitted_model_scores_odd_texts(spark):
     assert all(0 <= x <= 1 for v in got.values() for x in v)
 
 
+def test_grams_take_one_pass(spark):
+    long_ = "http://z.net/" + "é" * 1_000_000
+    rows = [(1, "abc"), (2, ""), (3, None), (4, "a\n\U0001f600b"), (5, long_)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    began = time.perf_counter()
+    got = {r["page_id"]: r["g"] for r in df.filter("page_id < 5").select("page_id", urls._grams(F.col("url"), 2).alias("g")).collect()}
+    n = df.filter("page_id = 5").select(F.size(urls._grams(F.col("url"), 5)).alias("n")).first()["n"]
+    assert n == len(long_) + 1 and time.perf_counter() - began < 20
+    for i, url in rows[:4]:
+        marked = None if url is None else "\x02\x02" + url + "\x03"
+        assert got[i] == (None if url is None else [marked[k : k + 3] for k in range(len(url) + 1)])
+
+
+def test_score_leaves_a_column_of_its_name(spark):
+    docs = spark.createDataFrame([(1, "you moron", "keep")], "doc_id long, text string, toxicity string")
+    out = toxicity.score(docs, toxicity.Model([("moron", False, 4.0)], toxicity.fit_logistic(np.zeros((2, toxicity.FEATURES)), np.array([0.0, 1.0]))))
+    assert out.columns == [*docs.columns, "_toxicity"] and out.first()["toxicity"] == "keep"
+
+
 def test_toxicity_odd(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (7, None), (7, 1)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
-    assert all(0 <= r["toxicity"] <= 1 for r in toxicity.score(docs, model).collect())
+    assert all(0 <= r["_toxicity"] <= 1 for r in toxicity.score(docs, model).collect())
     assert toxicity.score(none_of(docs), toxicity.fit(none_of(docs), none_of(labels))).count() == 0
 
 
