@@ -40,12 +40,16 @@ from .common import bound_batches, release, table, unused
 
 #: Characters of a text that are cut into units at a time; ids that are turned into bytes at a time.
 LEAF = 1 << 16
-#: Entries of each memory; units over LONGEST characters and halves over SHORT bytes are not kept, so this bounds the
-#: bytes as well.
-KEPT, LONGEST, SHORT = 300_000, 48, 8
+#: Entries of each memory's younger half; units over LONGEST characters and halves over SHORT bytes are not kept, so
+#: this bounds the bytes as well.
+KEPT, LONGEST, SHORT = 250_000, 32, 8
 _NONE = 1 << 62  # no such pair
 _EVEN = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_UNEVEN = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
+
+
+def even(text: str) -> bool:
+    """Whether all white space of a text is single spaces and newlines between other characters."""
+    return text.split() == text.replace("\n", " ").split(" ")
 
 
 def ranks_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -55,15 +59,19 @@ def ranks_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 
 class Kept(dict):
-    """make(key) by key, for at most KEPT keys; emptied when full."""
+    """make(key) by key, for at most twice KEPT keys: when KEPT are held, they become the old ones, of which those asked
+    for again are taken over."""
 
     def __init__(self, make, longest: int):
-        self.make, self.longest = make, longest
+        self.make, self.longest, self.old = make, longest, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
             if len(self) >= KEPT:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -82,8 +90,16 @@ class Codec:
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, file))}
         self.tokens = {i: b for b, i in self.ranks.items()}
+        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        # the token that two tokens make up, by both their numbers
+        self.pairs = {
+            a << 32 | b: i
+            for piece, i in self.ranks.items()
+            for k in range(1, len(piece))
+            if (a := self.ranks.get(piece[:k])) is not None and (b := self.ranks.get(piece[k:])) is not None
+        }
         self.matches = regex.compile(pattern).findall
-        self.halves, self.windows = Kept(self.tree, SHORT), Kept(self.merge, 4 * SHORT)
+        self.halves, self.windows = Kept(self.tree, SHORT), Kept(self.merge, SHORT)
         self.units, self.spaced = Kept(self.unit, LONGEST), Kept(self.after_space, LONGEST)
 
     # -- one match ----------------------------------------------------------------------------------------------------
@@ -95,7 +111,7 @@ class Codec:
 
     def tree(self, piece: bytes) -> list[int]:
         if len(piece) == 1:
-            return [self.ranks[piece]]
+            return [self.single[piece[0]]]
         half = len(piece) // 2
         return self.join(self.halves[piece[:half]], self.halves[piece[half:]])
 
@@ -118,17 +134,18 @@ class Codec:
         """Byte pair merging of a window: the pair of least rank, the leftmost of equals, until none is left."""
         if len(piece) > 96:
             return self._merge_many(piece)
-        get, parts = self.ranks.get, [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [get(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
-        while pairs and (least := min(pairs)) != _NONE:
-            at = pairs.index(least)
-            parts[at] += parts.pop(at + 1)
-            del pairs[at]
-            if at < len(pairs):
-                pairs[at] = get(parts[at] + parts[at + 1], _NONE)
+        get, single = self.pairs.get, self.single
+        ids = [single[b] for b in piece]
+        made = [get(a << 32 | b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        while made and (least := min(made)) != _NONE:
+            at = made.index(least)
+            ids[at] = least  # tokens are numbered by rank
+            del ids[at + 1], made[at]
+            if at < len(made):
+                made[at] = get(least << 32 | ids[at + 1], _NONE)
             if at:
-                pairs[at - 1] = get(parts[at - 1] + parts[at], _NONE)
-        return [self.ranks[p] for p in parts]
+                made[at - 1] = get(ids[at - 1] << 32 | least, _NONE)
+        return ids
 
     def _merge_many(self, piece: bytes) -> list[int]:
         """The same with a heap of pairs and links between neighbours."""
@@ -173,18 +190,22 @@ class Codec:
     def unit(self, unit: str) -> bytes:
         """The ids of a unit, a stretch between boundaries, as little-endian unsigned 32-bit numbers."""
         ids: list[int] = []
-        for m in self.matches(unit):
+        letters = unit[unit[:1] == " " :]
+        for m in (unit,) if letters.isascii() and letters.isalpha() else self.matches(unit):
             ids += self.match(m.encode())
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def after_space(self, word: str) -> bytes:
+        """The ids of a unit, a space and word or, where word starts with a newline, word alone."""
+        if word[-1] in ",.!?" and (before := word[-2:-1]).isalpha() and before.isascii():  # a boundary stands between
+            return self.spaced[word[:-1]] + self.units[word[-1]]
         return self.unit(word if word[0] == "\n" else " " + word)
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
         out: list[bytes] = []
         for leaf in self.leaves(text):
-            if _UNEVEN.search(leaf):
+            if not even(leaf):
                 out += map(self.units.__getitem__, self.matches(leaf))
                 continue
             first, *words = leaf.replace("\n", " \n").split(" ")
