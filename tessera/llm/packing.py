@@ -15,7 +15,6 @@ first of which may be shorter; extra columns are ignored.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,9 +27,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import Kept, even
 from .common import batches, materialize, release, table
 
-CACHE_WORDS = 300_000
+#: Longer words aren't kept by a worker, so the bound on their number bounds the bytes as well.
+LONGEST_WORD = 48
 EOS = 2
 MAX_LEN = 1024
 
@@ -41,10 +42,6 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-#: White space that needs a whole-text encoding: runs, other characters than space and newline, either end.
-_UNEVEN = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
-
-
 def byte_ranks(path: str) -> tuple[dict[bytes, int], str]:
     """The byte-level vocabulary of a tokenizers file as bytes -> id, which is also the order of merges, and the
     pattern of its pre-tokenizer."""
@@ -67,7 +64,7 @@ class Encoder:
     new words are merged by tiktoken, whose byte pair merging over the same ranks costs a tenth.  On loading, both
     libraries must agree on a sample, else every text goes through the tokenizers library whole."""
 
-    def __init__(self, path: str, cache: int = CACHE_WORDS):
+    def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -75,7 +72,6 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
-        self.most = cache
         try:
             ranks, pattern = byte_ranks(path)
             merges = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -84,7 +80,7 @@ class Encoder:
             self.merge = merges.encode_ordinary if agree else None
         except (KeyError, ValueError):
             self.merge = None  # not a byte-level vocabulary
-        self.words = _Words(self)
+        self.words, self.marks = Kept(self.word, LONGEST_WORD), Kept(self.whole, 1)
 
     def pack(self, ids: list[int]) -> bytes:
         return array(self.kind, ids).tobytes()
@@ -95,27 +91,16 @@ class Encoder:
         return self.pack(self.merge(text))
 
     def encode(self, text: str) -> bytes:
-        if self.merge is None or not text or _UNEVEN.search(text):
+        if self.merge is None or not even(text):
             return self.whole(text)
-        units = text.replace("\n", " \n").split(" ")
-        # all units but the first follow a space, unless they start with the newline itself
-        units[0], first = "", units[0]
-        return self.whole(first) + b"".join(map(self.words.__getitem__, units))
-
-
-class _Words(dict):
-    """Encoded words by what follows the space before them; emptied when it holds the most it may."""
-
-    def __init__(self, encoder: Encoder):
-        self.merge, self.pack, self.most = encoder.merge, encoder.pack, encoder.most
-        self[""] = b""
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-            self[""] = b""
-        ids = self[unit] = self.pack(self.merge(unit if unit[0] == "\n" else " " + unit))
-        return ids
+        first, *words = text.replace("\n", " \n").split(" ")
+        return self.whole(first) + b"".join(map(self.words.__getitem__, words))
+
+    def word(self, word: str) -> bytes:
+        """The ids of a word and the space before it, or of a newline and a word."""
+        if word[-1] in ",.!?" and (before := word[-2:-1]).isalpha() and before.isascii():  # always two words
+            return self.words[word[:-1]] + self.marks[word[-1]]
+        return self.pack(self.merge(word if word[0] == "\n" else " " + word))
 
 
 _ENCODERS: dict[str, Encoder] = {}
