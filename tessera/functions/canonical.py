@@ -49,19 +49,27 @@ def _finished(shown: Column) -> Column:
     return F.when(out.rlike(r"\\u00[01][A-F]"), odd).otherwise(out)
 
 
+def _whole(marked: Column) -> Column:
+    """Whether a text is one JSON value and nothing after it (which the parser doesn't look at)."""
+    alone = F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]")))
+    return F.try_variant_get(alone, "$[0]", "variant").isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull()
+
+
 def canonical(text: Column) -> Column:
     """A JSON text with keys in order at every depth and without spaces, as Python's json.dumps(..., sort_keys=True,
     separators=(",", ":"), ensure_ascii=False) writes it; null where it isn't JSON or names a key twice."""
-    return _finished(F.to_json(F.try_parse_json(_marked(text))))
+    marked = _marked(text)
+    return F.when(_whole(marked), _finished(F.to_json(F.try_parse_json(marked))))
 
 
 def canonical_without(text: Column, key: str) -> Column:
     """The same of a JSON object without one of its own keys."""
-    fields = F.from_json(_marked(text), "map<string,variant>")
+    marked = _marked(text)
+    fields = F.from_json(marked, "map<string,variant>")
     kept = F.map_filter(fields, lambda k, v: k != key)
     names = F.array_sort(F.map_keys(kept))
     each = F.transform(names, lambda k: F.concat(_quoted(k), F.lit(":"), F.to_json(F.element_at(kept, k))))
-    return F.when(fields.isNotNull(), _finished(F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))))
+    return F.when(_whole(marked) & fields.isNotNull(), _finished(F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))))
 
 
 def _quoted(c: Column) -> Column:

@@ -11,6 +11,7 @@ import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable
 from functools import lru_cache
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -121,7 +122,7 @@ def text_quality(c: Column) -> Column:
 
 def fixed_chunks(c: Column, size: int = 1500, overlap: int = 200) -> Column:
     """Windows of size characters, each overlap into the one before, the last where a window first reaches the end."""
-    text = F.trim(F.coalesce(c, F.lit("")))
+    text = strip(F.coalesce(c, F.lit("")))
     starts = F.sequence(F.lit(0), F.greatest(F.length(text) - overlap - 1, F.lit(0)), F.lit(size - overlap))
     return F.transform(starts, lambda s: F.substring(text, s + 1, F.lit(size)))
 
@@ -248,17 +249,42 @@ def parse_date(c: Column) -> Column:
     return bind(head, parsed)
 
 
+@lru_cache(maxsize=1)
+def _named_references() -> dict[str, str]:
+    """HTML's names of characters, as the standard library has them, that a semicolon ends."""
+    return {name: char for name, char in html5.items() if name.endswith(";")}
+
+
+def _reference(x: Column) -> Column:
+    """The character of a reference (&name; or &#number;); what names none stays as it is."""
+    decimal, hexed = F.regexp_extract(x, r"^&#([0-9]+);?$", 1), F.regexp_extract(x, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
+    digits = F.regexp_replace(hexed, "^0+", "")
+    code = F.when(decimal != "", decimal.try_cast("bigint")).when(F.length(digits) <= 8, F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("bigint"))
+    # numbers from 128 to 159 stand for what Windows-1252 has there
+    old = {n: bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
+    windows = F.element_at(F.create_map(*[F.lit(v) for n, c in old.items() if c for v in (n, c)]), code.cast("int"))
+    bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    shown = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0")), "UTF-32")
+    named = F.element_at(F.create_map(*[F.lit(v) for p in _named_references().items() for v in p]), F.substring(x, 2, F.length(x)))
+    return F.when(x.startswith("&#"), F.coalesce(F.when(code.between(0x80, 0x9F), windows), shown)).otherwise(F.coalesce(named, x))
+
+
+def unescape(c: Column) -> Column:
+    """Character references, named (with their semicolon) and numeric, as their characters."""
+    pieces = F.regexp_extract_all(c, F.lit(r"(?s)&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)|&|[^&]+"), F.lit(0))
+    whole = F.array_join(F.transform(pieces, lambda x: F.when(x.startswith("&") & (F.length(x) > 2), _reference(x)).otherwise(x)), "")
+    return F.when(c.contains("&"), whole).otherwise(c)
+
+
 def html_to_text(c: Column) -> Column:
-    """Comments, script and style dropped, tags br, p, div, tr and li a newline, other tags nothing, entities their
-    characters, three newlines or more two."""
+    """Comments, script and style dropped, tags br, p, div, tr and li a newline, other tags nothing, character references
+    their characters, three newlines or more two."""
     bare = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
     for tag in ("script", "style"):
         bare = F.regexp_replace(bare, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
     bare = F.regexp_replace(bare, r"(?i)<(br|p|div|tr|li)\b[^>]*>", "\n")
     bare = F.regexp_replace(bare, r"(?s)</?[A-Za-z!][^>]*>", "")
-    for entity, char in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return strip(F.regexp_replace(bare, r"\n{3,}", "\n\n"))
+    return strip(F.regexp_replace(unescape(bare), r"\n{3,}", "\n\n"))
 
 
 #: How a quoted message or a footer begins.
@@ -306,21 +332,22 @@ def redact(c: Column, limit: int | None = MAX_FIELD) -> Column:
     return out if limit is None else F.left(out, F.lit(limit))
 
 
+#: What must not be in a file that is kept under version control.
 SENSITIVE = {
-    "home_path": r"(?:/home/|/Users/)[A-Za-z0-9_.\-]+",
-    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
-    "credential": r"(?i)(?:password|passwd|secret)\s*[=:]\s*\S+",
-    "api_key": r"(?i)(?:api[_-]?key|token)\s*[=:]\s*\S+",
+    "personal_absolute_path": r"(?:^|[\s'\"=`])(?:/Users/[^/\s]+|/home/[^/\s]+)(?:/|\b)",
+    "private_key": r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----",
+    "credential_assignment": r"(?i)\b(?:password|passwd|token|secret|authorization)\s*[:=]\s*['\"]?[A-Za-z0-9_./+\-=]{8,}",
+    "api_key": r"\bsk-[A-Za-z0-9_-]{20,}\b",
 }
 
 
 def sensitive_findings(c: Column) -> Column:
     """Names of the patterns a text holds, in their order."""
-    return F.filter(F.array(*[F.when(c.rlike(p), F.lit(n)) for n, p in SENSITIVE.items()]), lambda x: x.isNotNull())
+    return F.filter(F.array(*[F.when(c.rlike("(?U)" + p), F.lit(n)) for n, p in SENSITIVE.items()]), lambda x: x.isNotNull())
 
 
 def split_multi(c: Column, delimiters: str = r"[,;•|/]") -> Column:
-    return F.filter(F.transform(F.split(c, delimiters), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, delimiters), strip), lambda x: x != "")
 
 
 def as_list(c: Column) -> Column:

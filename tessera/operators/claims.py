@@ -33,7 +33,7 @@ def resolve(raw: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataFrame:
     out = raw
     for side in ("subject", "object"):
         a = aliases.select(F.col("alias").alias("_alias"), F.col("name").alias("_name"))
-        out = out.withColumn("_raw", X.norm(F.col(f"{side}_raw"))).join(a, F.col("_raw") == F.col("_alias"), "left")
+        out = out.withColumn("_raw", X.norm(F.col(f"{side}_raw"), "none")).join(a, F.col("_raw") == F.col("_alias"), "left")
         out = out.withColumn("_key", F.coalesce("_name", "_raw")).drop("_alias", "_name", "_raw")
         out = out.join(titles, F.col("_key") == F.col("_k"), "left")
         new = F.col("_n").isNull() & (F.col("_key") != "")
@@ -172,7 +172,7 @@ def patch(claims: DataFrame, fields: DataFrame, current: DataFrame, index: DataF
     fine = F.coalesce(F.upper("status").isin(*SUPPORTED), F.lit(False)) & F.col("_c").isNotNull()
     reason = (
         F.when(~fine, "UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE")
-        .when(F.col("_key").isNull(), "PREDICATE_NOT_IN_SCHEMA")
+        .when(F.col("_key").isNull(), "PREDICATE_NOT_IN_ARTISTA_SCHEMA")
         .when(F.col("kind") == "relation", "RELATION_TARGET_ID_NOT_RESOLVED")
     )
     there = (F.col("kind") == "relation") & F.coalesce(F.array_contains("_l", F.col("object")), F.lit(False))
@@ -225,8 +225,8 @@ def body_candidates(claims: DataFrame, bodies: DataFrame, index: DataFrame, hous
     first = index.select(F.col("file_id").alias("_f"), F.get("paths", F.lit(0)).alias("source_path"))
     out = claims.withColumn("source_id", F.get("source_file_ids", F.lit(0)))
     out = out.join(first, F.col("source_id") == F.col("_f"), "left").join(b, F.col("subject_id") == F.col("_e"), "left")
-    p, body = F.lower(F.trim(F.coalesce("predicate", F.lit("")))), F.coalesce("_b", F.lit(""))
-    subject, predicate, obj = (F.trim(F.coalesce(c, F.lit(""))) for c in ("subject", "predicate", "object"))
+    p, body = F.lower(X.strip(F.coalesce("predicate", F.lit("")))), F.coalesce("_b", F.lit(""))
+    subject, predicate, obj = (X.strip(F.coalesce(F.col(c), F.lit(""))) for c in ("subject", "predicate", "object"))
     words = F.lower(F.concat(p, F.lit(" "), F.coalesce("object", F.lit(""))))
 
     def part(c: Column, keys: tuple[str, ...]) -> Column:
@@ -318,7 +318,7 @@ def discover(claims: DataFrame, rows: DataFrame, hints: DataFrame, primary: str
     (the type of the first row of that title), hinted_not_confirmed (by the longest hint for the predicate and side) or
     no_signal, which generates nothing."""
     named = claims.select("predicate", "ord", F.expr("stack(2, 'subject', subject_raw, 'object', object_raw) as (anchor, name)"))
-    named = named.withColumn("name", F.trim("name")).withColumn("_k", X.norm(F.col("name"))).filter((F.col("name") != "") & (F.col("_k") != F.lit(primary)))
+    named = named.withColumn("name", X.strip(F.col("name"))).withColumn("_k", X.norm(F.col("name"))).filter((F.col("name") != "") & (F.col("_k") != F.lit(primary)))
     t = rows.groupBy(X.norm(F.col("title")).alias("_t")).agg(F.min_by("entity_type", "ord").alias("_type"))
     h = hints.select(X.norm(F.col("predicate")).alias("_hp"), F.col("anchor").alias("_ha"), F.col("entity_type").alias("_ht"), F.length("predicate").alias("_hl"))
     per = named.groupBy("name", "_k", X.norm(F.col("predicate")).alias("_np"), "anchor").agg(F.min("ord").alias("ord"))
@@ -418,13 +418,17 @@ def govern(facts: DataFrame, registry: DataFrame) -> DataFrame:
     number = F.array_contains("_r", "number") | F.array_contains("_r", "integer")
     verdict = (
         F.when(F.col("_p").isNull(), "ungoverned")
-        .when(~F.array_contains("_d", F.col("subject_class")), "domain")
-        .when(number & ~F.col("object").rlike(r"\d"), "range")
+        .when(~F.coalesce(F.array_contains("_d", F.col("subject_class")), F.lit(False)), "domain")
+        .when(F.coalesce(number, F.lit(False)) & ~F.coalesce(F.col("object").rlike(r"\d"), F.lit(False)), "range")
         .otherwise("accepted")
     )
     return out.withColumn("verdict", verdict).drop("_p", "_d", "_r")
 
 
+#: Fixed value: the evidence state of a fact that is inferred.
+INFERRED_FACT = "inferito"
+
+
 def facts_to_claims(facts: DataFrame) -> DataFrame:
     """Facts with subject, predicate, object and evidence as raw claims; the optional fields that hold something become
     qualifiers."""
@@ -433,7 +437,7 @@ def facts_to_claims(facts: DataFrame) -> DataFrame:
     pairs = F.create_map(*[x for c in optional for x in (F.lit(c), F.col(c).cast("string"))])
     return facts.filter(whole).select(
         "file_id", F.col("subject").alias("subject_raw"), "predicate", F.col("object").alias("object_raw"), F.col("evidence").alias("evidence_excerpt"),
-        F.when(F.col("evidence_state") == "inferred", "INFERRED").otherwise(DEFAULT_STATUS).alias("status"),
+        F.when(F.col("evidence_state") == INFERRED_FACT, "INFERRED").otherwise(DEFAULT_STATUS).alias("status"),
         F.map_filter(pairs, lambda _, v: v.isNotNull() & (v != "")).alias("qualifiers"),
     )
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import canonical as C
+from tessera.functions import text as X
+
 #: The run state each event leads to, and the events each state allows.
 RUN_STATES = {
     "RUN_CREATED": "CREATED",
@@ -133,7 +136,7 @@ def queue_violations(changes: DataFrame) -> DataFrame:
     before = F.lag("state").over(Window.partitionBy("item").orderBy("seq"))
     step = F.concat(F.coalesce("_before", F.lit("")), F.lit(">"), "state")
     wrong = F.col("state").isin(*QUEUE_ERRORS)
-    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    blank = lambda c: X.is_empty(F.col(c))
     why = (
         F.when(~F.coalesce(F.col("state").isin(*QUEUE_STATES), F.lit(False)), "state")
         .when(~step.isin(*[f"{s or ''}>{t}" for s, t in QUEUE_TRANSITIONS]), "transition")
@@ -199,6 +202,23 @@ def chain_faults(records: DataFrame, group: list[str], content: list[str]) -> Da
     return out.withColumn("fault", why).filter("fault is not null").select(*group, "sequence", "fault")
 
 
+def audit_chain_faults(records: DataFrame, group: list[str], record: str = "record") -> DataFrame:
+    """group, sequence and fault of records (JSON objects) that break their chain, the first reason: a text that is no
+    object or names a key twice, out of its turn (sequence counts from 1), another previous_hash than the record before
+    has, or a record_hash that isn't the sha256 of the record's own canonical JSON without it.  Keys may come in any order,
+    at any depth.  Unreadable records have no sequence; they are reported and take no turn."""
+    body = C.canonical_without(F.col(record), "record_hash")
+    held = records.select(*group, body.alias("_body"), *[F.get_json_object(record, f"$.{k}").alias(f"_{k}") for k in ("sequence", "previous_hash", "record_hash")])
+    held = held.withColumn("_sequence", F.when(F.col("_body").isNotNull(), F.col("_sequence").try_cast("bigint")))
+    w = Window.partitionBy(*group).orderBy("_sequence", "_record_hash")
+    fine = held.filter("_sequence IS NOT NULL").withColumns({"_expected": F.lag("_record_hash", 1, GENESIS).over(w), "_turn": F.row_number().over(w)})
+    own = F.sha2(C.ascii_escaped(F.col("_body")), 256)
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    why = F.when(F.col("_sequence") != F.col("_turn"), "sequence").when(no(F.col("_previous_hash") == F.col("_expected")), "previous_hash").when(no(own == F.col("_record_hash")), "record_hash")
+    out = fine.select(*group, F.col("_sequence").alias("sequence"), why.alias("fault")).filter("fault is not null")
+    return out.unionByName(held.filter("_sequence IS NULL").select(*group, F.lit(None).cast("bigint").alias("sequence"), F.lit("unreadable").alias("fault")))
+
+
 def latest_per_key(records: DataFrame, key: str, at: str, order: str) -> DataFrame:
     """The record of each key with the greatest time; of equal times the one first read."""
     w = Window.partitionBy(key).orderBy(F.desc(at), F.asc(order))

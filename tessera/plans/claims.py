@@ -100,7 +100,7 @@ def _paths(s: Source):
 @query(
     "claims_patch",
     f"""SELECT claim_id, CASE WHEN reason IS NOT NULL THEN 'CONFLICT' WHEN coalesce(v, '') = '' THEN 'ADD' ELSE 'UPDATE' END AS action, reason, property FROM (
-SELECT claim_id, object, kind, property, v, CASE WHEN NOT placed OR status NOT IN ('VERIFIED', 'CONFIRMED', 'SUPPORTED_BY_ARCHIVE') THEN 'UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE' WHEN kind IS NULL THEN 'PREDICATE_NOT_IN_SCHEMA' WHEN kind = 'relation' THEN 'RELATION_TARGET_ID_NOT_RESOLVED' END AS reason
+SELECT claim_id, object, kind, property, v, CASE WHEN NOT placed OR status NOT IN ('VERIFIED', 'CONFIRMED', 'SUPPORTED_BY_ARCHIVE') THEN 'UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE' WHEN kind IS NULL THEN 'PREDICATE_NOT_IN_ARTISTA_SCHEMA' WHEN kind = 'relation' THEN 'RELATION_TARGET_ID_NOT_RESOLVED' END AS reason
 FROM (SELECT *, CASE {_norm("predicate")} WHEN 'supplied by' THEN 'property' WHEN 'made by' THEN 'relation' END AS kind, CASE {_norm("predicate")} WHEN 'supplied by' THEN 'Supplier' WHEN 'made by' THEN 'Maker' END AS property FROM {_CLAIMS})
 JOIN {_PLACED} ON pc = claim_id LEFT JOIN (SELECT id AS e, CASE WHEN ord % 3 = 0 THEN '' WHEN ord % 3 = 1 THEN 'other' ELSE 'Supplier#000000003' END AS v FROM titles) ON e = subject_id AND kind = 'property')
 WHERE NOT coalesce((kind = 'property' AND reason IS NULL AND v = object) OR (kind = 'relation' AND reason LIKE 'RELATION%' AND object IN ('Supplier#000000005', 'Supplier#000000007') AND claim_id IN (SELECT claim_id FROM {_CLAIMS} JOIN titles ON id = subject_id)), FALSE)""",
@@ -215,7 +215,7 @@ query(
     "raw_claims",
 )(
     lambda s: K.facts_to_claims(
-        s["raw_claims"].select("file_id", F.col("subject_raw").alias("subject"), "predicate", F.when(F.col("ord") % 10 == 3, F.lit(" ")).otherwise(F.col("object_raw")).alias("object"), F.col("evidence_excerpt").alias("evidence"), F.when(F.col("ord") % 2 == 0, "inferred").alias("evidence_state"),
+        s["raw_claims"].select("file_id", F.col("subject_raw").alias("subject"), "predicate", F.when(F.col("ord") % 10 == 3, F.lit(" ")).otherwise(F.col("object_raw")).alias("object"), F.col("evidence_excerpt").alias("evidence"), F.when(F.col("ord") % 2 == 0, "inferito").alias("evidence_state"),
             F.lit("").alias("currency"), F.lit("all").alias("scope"), F.when(F.col("ord") % 4 == 1, 1).alias("page"), *[F.lit(None).cast("string").alias(c) for c in ("document_date", "valid_from", "valid_to")])
     ).select("file_id", "object_raw", "status", F.array_join(F.array_sort(F.transform(F.map_entries("qualifiers"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",").alias("qualifiers"))
 )

@@ -33,8 +33,8 @@ FROM (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\\r\\n
 query(
     "fixed_chunks",
     """SELECT doc_id, CAST(s // 1300 AS BIGINT) AS chunk, CAST(length(substr(t, CAST(s + 1 AS BIGINT), 1500)) AS BIGINT) AS n, md5(substr(t, CAST(s + 1 AS BIGINT), 1500)) AS chunk_md5
-FROM (SELECT doc_id, t, unnest(generate_series(0, greatest(length(t) - 201, 0), 1300)) AS s FROM (SELECT doc_id, trim(text) AS t FROM documents))""",
-)(lambda s: s.t("documents").select("doc_id", F.posexplode(X.fixed_chunks(F.col("text"))).alias("chunk", "c")).select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.length("c").cast("long").alias("n"), F.md5("c").alias("chunk_md5")))
+FROM (SELECT doc_id, t, unnest(generate_series(0, greatest(length(t) - 201, 0), 1300)) AS s FROM (SELECT doc_id, trim(chr(9) || text || chr(10), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM documents))""",
+)(lambda s: s.t("documents").select("doc_id", F.posexplode(X.fixed_chunks(F.concat(F.lit("\t"), "text", F.lit("\n")))).alias("chunk", "c")).select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.length("c").cast("long").alias("n"), F.md5("c").alias("chunk_md5")))
 
 
 def _ends(pattern: str) -> str:
@@ -77,8 +77,13 @@ query("redact", f"SELECT doc_id, md5(regexp_replace(text, {_SECRET})) AS redacte
 query("redact_fields", f"SELECT event_id, left(regexp_replace(props || ' Authorization: Basic' || event_id || ' token=x', {_SECRET}), 4096) AS field FROM events")(
     lambda s: s.t("events").select("event_id", X.redact(F.concat("props", F.lit(" Authorization: Basic"), F.col("event_id").cast("string"), F.lit(" token=x"))).alias("field"))
 )
-query("sensitive", "SELECT doc_id, concat_ws('|', CASE WHEN regexp_matches(text, '(?:/home/|/Users/)[A-Za-z0-9_.-]+') THEN 'home_path' END, CASE WHEN regexp_matches(text, '-----BEGIN [A-Z ]*PRIVATE KEY-----') THEN 'private_key' END, CASE WHEN regexp_matches(text, '(?i)(?:password|passwd|secret)\\s*[=:]\\s*[^\\s]+') THEN 'credential' END, CASE WHEN regexp_matches(text, '(?i)(?:api[_-]?key|token)\\s*[=:]\\s*[^\\s]+') THEN 'api_key' END) AS findings FROM documents")(
-    lambda s: s.t("documents").select("doc_id", F.array_join(X.sensitive_findings(F.col("text")), "|").alias("findings"))
+_PLANTED = (" sk-0123456789abcdefghij", " x=/home/ann/y", " Authorization: 'abcd1234'", " -----BEGIN EC PRIVATE KEY-----", " secret: x, -----BEGIN PUBLIC PRIVATE KEY-----, task-0123456789abcdefghijk, api_key=12345678")
+_PATTERNS = (
+    ("personal_absolute_path", "(?:^|[\\s''\"=`])(?:/Users/[^/\\s]+|/home/[^/\\s]+)(?:/|\\b)"), ("private_key", "-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"),
+    ("credential_assignment", "(?i)\\b(?:password|passwd|token|secret|authorization)\\s*[:=]\\s*[''\"]?[A-Za-z0-9_./+=-]{8,}"), ("api_key", "\\bsk-[A-Za-z0-9_-]{20,}\\b"),
+)
+query("sensitive", f"SELECT doc_id, concat_ws('|', {', '.join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{n}' END" for n, p in _PATTERNS)}) AS findings FROM (SELECT doc_id, text || [{', '.join(repr(x) if chr(39) not in x else chr(39) + x.replace(chr(39), chr(39) * 2) + chr(39) for x in _PLANTED)}][doc_id % 7 + 1] AS t FROM documents WHERE text IS NOT NULL AND doc_id % 7 < 5 UNION ALL SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND doc_id % 7 >= 5)")(
+    lambda s: s.t("documents").filter("text is not null").select("doc_id", F.array_join(X.sensitive_findings(F.concat("text", F.coalesce(F.get(F.array(*map(F.lit, _PLANTED)), (F.col("doc_id") % 7).cast("int")), F.lit("")))), "|").alias("findings"))
 )
 query("slug_hash", "SELECT p_partkey, trim(regexp_replace(lower(p_name || '--' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') AS slug, p_partkey || '' AS key FROM part")(lambda s: s.t("part").select("p_partkey", X.slug(F.concat_ws("--", "p_name", "p_brand")).alias("slug"), F.col("p_partkey").cast("string").alias("key")))
 query("name_form", "SELECT c_custkey, array_to_string(list_sort(list_filter(string_split(trim(regexp_replace(lower(c_name), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: length(w) > 1)), ' ') AS form FROM customer")(lambda s: s.t("customer").select("c_custkey", X.name_form(F.col("c_name")).alias("form")))
@@ -126,14 +131,14 @@ query("content_hash", "SELECT p_partkey, sha256(p_name || chr(31) || '' || chr(3
     lambda s: s.t("part").select("p_partkey", X.content_hash(F.col("p_name"), F.lit(None), F.col("p_size")).alias("joined"), X.length_prefixed(F.col("p_name"), F.lit(None), F.col("p_size")).alias("prefixed"))
 )
 query("split_multi", "SELECT p_partkey, array_to_string(list_filter(list_transform(string_split_regex(p_name || ' , ' || p_brand || '; ;' || p_type, '[,;•|/]'), lambda x: trim(x)), lambda x: x <> ''), '~') AS parts FROM part")(
-    lambda s: s.t("part").select("p_partkey", F.array_join(X.split_multi(F.concat(F.col("p_name"), F.lit(" , "), F.col("p_brand"), F.lit("; ;"), F.col("p_type"))), "~").alias("parts"))
+    lambda s: s.t("part").select("p_partkey", F.array_join(X.split_multi(F.concat(F.col("p_name"), F.lit("\t,\n"), F.col("p_brand"), F.lit("; \t;"), F.col("p_type"))), "~").alias("parts"))
 )
 query("marker_gate", "SELECT doc_id, CAST(strpos(lower(text), 'license') - 1 AS BIGINT) AS place, strpos(lower(text), 'license') - 1 BETWEEN 0 AND 500 AS near_top FROM documents")(
     lambda s: s.t("documents").select("doc_id", X.marker_at(F.col("text"), "license").cast("long").alias("place"), X.near_top(F.col("text"), "license", 500).alias("near_top"))
 )
 _BARE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<script\\b[^>]*>.*?</script\\s*>', '', 'gis'), '<style\\b[^>]*>.*?</style\\s*>', '', 'gis'), '<(br|p|div|tr|li)\\b[^>]*>', chr(10), 'gi')"
 _TEXT = f"regexp_replace({_BARE}, '</?[A-Za-z!][^>]*>', '', 'gs')"
-for _entity, _char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&amp;", "'&'")):
+for _entity, _char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
     _TEXT = f"replace({_TEXT}, '{_entity}', {_char})"
 query("html_text", f"SELECT page_id, trim(regexp_replace({_TEXT}, '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM pages")(lambda s: s.t("pages").select("page_id", X.html_to_text(F.col("html")).alias("text")))
 query("pipe_rows", "SELECT coalesce(CAST(event_id AS VARCHAR), '') || '|' || coalesce(nullif(event_type, 'view'), '') || '|' || props AS line FROM events")(lambda s: s.t("events").select(X.pipe_row(F.col("event_id"), F.expr("nullif(event_type, 'view')"), F.col("props")).alias("line")))

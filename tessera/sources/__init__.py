@@ -85,15 +85,32 @@ def file_index(files: DataFrame) -> DataFrame:
     return files.groupBy("file_id", "sha256").agg(F.sort_array(F.collect_set("path")).alias("paths"), F.min("size_bytes").alias("size_bytes"), F.min("extension").alias("extension"))
 
 
-def extract_text(spark: SparkSession, root: str, most: int = 50_000_000) -> DataFrame:
-    """file_id, path, status and text of text-like files; other kinds arrive as tables of extraction records."""
+#: How an extraction ends, the extensions that are read as text, those that need another reader.
+EXTRACTION_STATUSES = ("SUCCESS", "OCR_REQUIRED", "UNSUPPORTED_FORMAT", "FILE_TOO_LARGE", "EXTRACTION_ABORTED_STALE_HASH", "EXTRACTION_FAILED")
+READ_AS_TEXT = ("md", "txt", "html", "csv", "json")
+READ_ELSEWHERE = ("pdf", "docx", "doc")
+
+
+def extract_text(spark: SparkSession, root: str, most: int = 50_000_000, index: DataFrame | None = None) -> DataFrame:
+    """file_id, path, status and text of the files under root that are text.  Formats that need another reader arrive as
+    tables of extraction records and aren't listed here; of the others, unknown ones are UNSUPPORTED_FORMAT, those over
+    most bytes FILE_TOO_LARGE (and aren't read), those that aren't UTF-8 EXTRACTION_FAILED.  index (path, sha256), if given,
+    tells which content is meant: another one is EXTRACTION_ABORTED_STALE_HASH."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    text = F.decode("content", "UTF-8")
-    plain = ext.isin("txt", "md", "csv", "json")
-    status = F.when(F.col("length") > most, "TOO_LARGE").when(plain | ext.isin("html", "htm"), "SUCCESS").otherwise("UNSUPPORTED")
-    body = F.when(status == "SUCCESS", F.when(plain, text).otherwise(X.html_to_text(text)))
-    return files.select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("file_id"), "path", status.alias("status"), body.alias("text"))
+    files = files.withColumn("_ext", F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))).filter(~F.col("_ext").isin(*READ_ELSEWHERE))
+    known = F.col("_ext").isin(*READ_AS_TEXT)
+    refused = F.when(~known, "UNSUPPORTED_FORMAT").when(F.col("length") > most, "FILE_TOO_LARGE")
+    # the length is pushed to the reader, so what is too large isn't read
+    small = files.filter(F.col("length") <= most).select("path", F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("file_id"), refused.alias("_refused"), F.when(known, F.col("content")).alias("_content"))
+    stale = F.lit(False)
+    if index is not None:
+        held = index.select(F.col("path").alias("_p"), F.concat(F.lit("sha256:"), "sha256").alias("_h"))
+        small = small.join(held, F.col("path") == F.col("_p"), "left")
+        stale = F.coalesce(F.col("_h") != F.col("file_id"), F.lit(False))
+    status = F.coalesce("_refused", F.when(stale, "EXTRACTION_ABORTED_STALE_HASH"), F.when(~F.is_valid_utf8("_content"), "EXTRACTION_FAILED"), F.lit("SUCCESS"))
+    read = small.select("file_id", "path", status.alias("status"), F.when(status == "SUCCESS", F.try_validate_utf8("_content")).alias("text"))
+    large = files.filter(F.col("length") > most).select(F.lit(None).cast("string").alias("file_id"), "path", refused.alias("status"), F.lit(None).cast("string").alias("text"))
+    return read.unionByName(large)
 
 
 def markdown_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -99,12 +99,12 @@ def test_canonical_json_is_pythons(spark):
     rng = random.Random(3)
     values = [any_json(rng) for _ in range(600)]
     rows = [(i, json.dumps(shuffled(rng, v), ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))) for i, v in enumerate(values)]
-    df = spark.createDataFrame([*rows, (900, "{bad"), (901, None), (902, '{"a":1,"a":2}'), (903, '{"n": 1.50, "m": 1E3}')], "id long, j string")
+    df = spark.createDataFrame([*rows, (900, "{bad"), (901, None), (902, '{"a":1,"a":2}'), (903, '{"n": 1.50, "m": 1E3}'), (904, '{"a":1}}'), (905, "1,2"), (906, '{"a":1} {"a":1}'), (907, "null")], "id long, j string")
     got = {r["id"]: r for r in df.select("id", C.canonical(df["j"]).alias("c"), C.ascii_escaped(C.canonical(df["j"])).alias("e")).collect()}
     for i, v in enumerate(values):
         assert got[i]["c"] == plain(v), rows[i]
         assert got[i]["e"] == plain(v, True)
-    assert got[900]["c"] is None and got[901]["c"] is None and got[902]["c"] is None and got[903]["c"] == '{"m":1000.0,"n":1.5}'
+    assert got[900]["c"] is None and got[901]["c"] is None and got[902]["c"] is None and got[904]["c"] is None and got[905]["c"] is None and got[906]["c"] is None and got[907]["c"] == "null" and got[903]["c"] == '{"m":1000.0,"n":1.5}'
 
 
 def test_canonical_without_a_key(spark):

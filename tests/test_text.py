@@ -75,3 +75,33 @@ def test_markers_and_lists(spark):
     assert values(spark, lambda c: X.key_numbers(c, [r"\d+%"]), "5% and 7% and 5%") == [["5%", "7%"]]
     assert values(spark, lambda c: X.safe_text(c, 8), " a  b ", "abcdefghijk") == ["a b", "abcdef …"]
     assert values(spark, lambda c: X.human_size(c.cast("long")), "10", "2048", "5242880") == ["10 B", "2.0 KB", "5.0 MB"]
+
+
+def test_character_references(spark):
+    import html
+
+    texts = ["a &amp; b &lt;c&gt; &agrave;&#8217;&#x27;&#128;&#0;", "&nope; & x &#99999999; &#xD800; &#x1F600;", "&&amp;lt; &NotEqualTilde; &#x2014", "plain", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(X.unescape(F.col("t"))).collect()] == [html.unescape(t) for t in texts]
+
+
+def test_sensitive_patterns(spark):
+    cases = {"secret: x": "", "authorization=abcdefgh": "credential_assignment", "sk-" + "a" * 20: "api_key", "see /home/ann": "personal_absolute_path", "x/home/ann": "", "-----BEGIN OPENSSH PRIVATE KEY-----": "private_key", "-----BEGIN DSA PRIVATE KEY-----": ""}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r["t"]: r["f"] for r in df.select("t", F.array_join(X.sensitive_findings(F.col("t")), "|").alias("f")).collect()} == cases
+
+
+def test_strips_are_pythons(spark):
+    df = spark.createDataFrame([("\n\tabc def\u00a0\x1c\n", "a\t;\u2003b ,;")], "t string, m string")
+    r = df.select(X.fixed_chunks(F.col("t")).alias("c"), X.split_multi(F.col("m")).alias("m")).first()
+    assert r["c"] == ["abc def"] and r["m"] == ["a", "b"]
+
+
+def test_extraction_statuses(spark, tmp_path):
+    from tessera.sources import extract_text
+
+    for name, data in {"a.txt": b"one", "b.md": b"\xff\xfe", "c.csv": b"x" * 100, "d.xyz": b"?", "e.json": b"{}", "f.pdf": b"%PDF"}.items():
+        (tmp_path / name).write_bytes(data)
+    index = spark.createDataFrame([(f"file:{tmp_path}/e.json", "0" * 64)], "path string, sha256 string")
+    got = {r["path"].rsplit("/", 1)[1]: (r["status"], r["text"]) for r in extract_text(spark, str(tmp_path), 50, index).collect()}
+    assert got == {"a.txt": ("SUCCESS", "one"), "b.md": ("EXTRACTION_FAILED", None), "c.csv": ("FILE_TOO_LARGE", None), "d.xyz": ("UNSUPPORTED_FORMAT", None), "e.json": ("EXTRACTION_ABORTED_STALE_HASH", None)}
