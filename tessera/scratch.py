@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
 _MADE: list[str] = []
+#: The tables of the innermost scope of this thread.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 #: Arrow batches of whole texts: a task holds a batch as Arrow on both sides and as Python objects.
 BATCH_BYTES = 8 << 20
 
@@ -53,6 +56,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     bound_batches(spark)
     path = f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     _MADE.append(path)
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -67,18 +73,20 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        _MADE.remove(p)
+        if p in _MADE:
+            _MADE.remove(p)
 
 
 class scratch_scope:
-    """with scratch_scope(spark) as scope: the scratch tables made inside are deleted at its end but those that
-    scope.keep(df) names, by what df reads."""
+    """with scratch_scope(spark) as scope: the scratch tables made inside, in this thread, are deleted at its end but those
+    that scope.keep(df) names, by what df reads; a scope around it owns these.  Other threads' tables are theirs."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.kept = spark, []
 
     def __enter__(self) -> scratch_scope:
-        self.before = set(_MADE)
+        self.made: list[str] = []
+        self.token = _OWNED.set(self.made)
         return self
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -86,7 +94,13 @@ class scratch_scope:
         return df
 
     def __exit__(self, *error) -> None:
-        _delete(self.spark, [p for p in _MADE if p not in self.before and not any(f"/{p.rsplit('/', 1)[1]}/" in f for f in self.kept)])
+        _OWNED.reset(self.token)
+        here = [p for p in self.made if p in _MADE]
+        stay = [p for p in here if any(f"/{p.rsplit('/', 1)[1]}/" in f for f in self.kept)]
+        _delete(self.spark, [p for p in here if p not in stay])
+        around = _OWNED.get()
+        if around is not None:
+            around += stay
 
 
 def cleanup(spark: SparkSession) -> None:
