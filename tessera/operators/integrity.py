@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 
 
-def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Children whose key isn't null and has no parent."""
+def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, required: bool = False) -> DataFrame:
+    """Children whose key has no parent; a null key is one only where it is required."""
     p = parent.select(F.col(parent_key).alias("_p"))
-    return child.filter(F.col(key).isNotNull()).join(p, F.col(key) == F.col("_p"), "left_anti")
+    held = child if required else child.filter(F.col(key).isNotNull())
+    return held.join(p, F.col(key) == F.col("_p"), "left_anti")
 
 
 def oid_violations(objects: DataFrame) -> DataFrame:
@@ -50,9 +51,9 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def typed_references(df: DataFrame, key: str, objects: DataFrame, kind: str) -> DataFrame:
-    """Rows whose reference isn't to an object of the kind."""
-    return orphans(df, key, objects.filter(F.col("type") == kind), "oid")
+def typed_references(df: DataFrame, key: str, objects: DataFrame, kind: str, required: bool = False) -> DataFrame:
+    """Rows whose reference isn't to an object of the kind; a null one is among them only where it is required."""
+    return orphans(df, key, objects.filter(F.col("type") == kind), "oid", required)
 
 
 def missing_identities(required: DataFrame, objects: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import properties as P
 from tessera.functions import text as X
 from tessera.scratch import running_total
 
@@ -165,16 +166,26 @@ def stale_properties(kept: DataFrame, live: DataFrame) -> DataFrame:
     return held.filter(~F.col("value").eqNullSafe(F.col("live_value"))).select("page_id", "property", F.col("value").alias("bundle_value"), "live_value")
 
 
-#: The property types that can be written.
-WRITABLE = ("title", "rich_text", "number", "select", "multi_select", "date", "url", "checkbox")
-
-
 def property_payload(operations: DataFrame, schema: DataFrame) -> DataFrame:
-    """ADD and UPDATE operations with their property's type and, where that can't be written, why they are skipped."""
+    """ADD and UPDATE operations with their property's type (kind), why they are skipped, or what writes their value
+    (payload, JSON text; null where operations have no value column).  A value that its type can't take is skipped too."""
     s = schema.select(F.col("property").alias("_p"), F.col("type").alias("kind"))
     out = operations.filter(F.col("action").isin("ADD", "UPDATE")).join(s, F.col("property") == F.col("_p"), "left").drop("_p")
-    skipped = F.when(~F.coalesce(F.col("kind").isin(*WRITABLE), F.lit(False)), F.concat(F.lit("UNSUPPORTED_NOTION_TYPE:"), F.coalesce("kind", F.lit("None"))))
-    return out.withColumn("skipped", skipped)
+    fits = F.coalesce(F.col("kind").isin(*P.WRITABLE), F.lit(False))
+    written = P.payload(F.col("kind"), F.col("value")) if "value" in operations.columns else F.lit(None).cast("string")
+    odd = F.lit("value" in operations.columns) & F.col("payload").isNull()
+    skipped = F.when(~fits, F.concat(F.lit("UNSUPPORTED_NOTION_TYPE:"), F.coalesce("kind", F.lit("None")))).when(odd, F.concat(F.lit("INVALID_VALUE:"), "kind"))
+    return out.withColumn("payload", written).withColumn("skipped", skipped)
+
+
+def page_payloads(payloads: DataFrame, order: str) -> DataFrame:
+    """page_id and properties (a JSON object by property) of what isn't skipped; of several operations on a property the
+    last by order holds.  A page has as many properties as its schema, so its object is bounded."""
+    last = payloads.filter("skipped IS NULL").groupBy("page_id", "property").agg(F.max_by("payload", order).alias("payload"))
+    name = F.element_at(F.split(F.to_json(F.array("property")), r"^\[|\]$"), 2)
+    each = last.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct(name.alias("name"), "payload"))).alias("all"))
+    joined = F.array_join(F.transform("all", lambda x: F.concat(x["name"], F.lit(":"), x["payload"])), ",")
+    return each.select("page_id", F.concat(F.lit("{"), joined, F.lit("}")).alias("properties"))
 
 
 def markdown_blocks(pages: DataFrame) -> DataFrame:

@@ -191,6 +191,66 @@ def checkpoint_failures(needed: DataFrame, listing: DataFrame) -> DataFrame:
     return out.withColumn("failure", why).filter("failure is not null").select("checkpoint", "path", "failure")
 
 
+def checkpoints(requested: DataFrame, events: DataFrame, artifacts: DataFrame, listing: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """A checkpoint for each stage asked for (run_id, stage; without asked each requested one): run_id, stage,
+    checkpoint_id, stage_state, derived_from_seq, resume_from, input_artifacts, output_artifacts, valid, failed_conditions.
+
+    requested: run_id, idx, stage; events: run_id, seq, event_type, stage, component (a struct or map), input_artifacts and
+    output_artifacts (arrays of ids); artifacts: run_id, artifact_id, path, size, sha256; listing: path, size, sha256 of
+    the files that are there.
+
+    Conditions in order: STAGE_NOT_REQUESTED; of a stage that isn't skipped STAGE_NOT_COMPLETED, or of its last completion
+    COMPONENT_FINGERPRINT_MISSING, then for each input and each output NOT_REGISTERED, FILE_MISSING, SIZE_MISMATCH or
+    HASH_MISMATCH after its role and before its id.  A skipped stage is satisfied whatever its files.  resume_from is the
+    stage requested next, null for the last one and where the stage wasn't requested.  A stage requested twice counts where
+    it is first; of an artifact registered twice the first row by path, size and digest holds.  Arrays are a completion's
+    own, so their rows are spread by run and stage."""
+    w = Window.partitionBy("run_id").orderBy("idx")
+    place = requested.select("run_id", "stage", "idx", F.lead("stage").over(w).alias("_next"))
+    place = place.groupBy("run_id", "stage").agg(F.min_by(F.struct("_next"), "idx").alias("_place"))
+    keys = place if asked is None else asked
+    keys = keys.select("run_id", "stage").distinct()
+
+    named = F.coalesce(F.to_json("component"), F.lit("{}")) != "{}"
+    done = F.col("event_type") == "STAGE_COMPLETED"
+    end = F.struct("seq", named.alias("named"), *[F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("input_artifacts", "output_artifacts")])
+    held = events.filter(F.col("event_type").isin(*STAGE_STATES)).groupBy("run_id", "stage").agg(
+        F.max_by("event_type", "seq").alias("_event"), F.max_by(F.when(done, end), F.when(done, F.col("seq"))).alias("_done"), F.max(F.when(F.col("event_type") == "STAGE_SKIPPED", F.col("seq"))).alias("_skip")
+    )
+    out = keys.join(place, ["run_id", "stage"], "left").join(held, ["run_id", "stage"], "left")
+    state = F.coalesce(_state_of(F.col("_event"), STAGE_STATES), F.lit("NOT_STARTED"))
+    out = out.withColumn("stage_state", state).withColumn("_done", F.when(F.col("stage_state") != "SKIPPED", F.col("_done")))
+
+    def numbered(ids: str, role: str):
+        return F.transform(ids, lambda x, i: F.struct(F.lit(role).alias("role"), i.alias("pos"), x.alias("artifact_id")))
+
+    roles = F.concat(numbered("_done.input_artifacts", "INPUT"), numbered("_done.output_artifacts", "OUTPUT"))
+    needed = out.select("run_id", "stage", F.explode(roles).alias("n")).select("run_id", "stage", "n.*")
+    known = artifacts.groupBy("run_id", "artifact_id").agg(F.min(F.struct("path", "size", "sha256")).alias("_a"))
+    files = listing.select(F.col("path").alias("_p"), F.col("size").alias("_s"), F.col("sha256").alias("_h"))
+    seen = needed.join(known, ["run_id", "artifact_id"], "left").join(files, F.col("_a.path") == F.col("_p"), "left")
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    why = F.when(F.col("_a").isNull(), "NOT_REGISTERED").when(F.col("_p").isNull(), "FILE_MISSING").when(no(F.col("_s") == F.col("_a.size")), "SIZE_MISMATCH").when(no(F.col("_h") == F.col("_a.sha256")), "HASH_MISMATCH")
+    bad = seen.withColumn("_why", why).filter("_why IS NOT NULL")
+    bad = bad.groupBy("run_id", "stage").agg(F.sort_array(F.collect_list(F.struct("role", "pos", F.concat("role", F.lit("_"), "_why", F.lit(":"), F.coalesce("artifact_id", F.lit("None"))).alias("text")))).alias("_bad"))
+    out = out.join(bad, ["run_id", "stage"], "left")
+
+    skipped = F.col("stage_state") == "SKIPPED"
+    first = (
+        F.when(F.col("_place").isNull(), F.lit("STAGE_NOT_REQUESTED")),
+        F.when(~skipped & F.col("_done").isNull(), F.lit("STAGE_NOT_COMPLETED")),
+        F.when(no(F.col("_done.named")) & F.col("_done").isNotNull(), F.lit("COMPONENT_FINGERPRINT_MISSING")),
+    )
+    none = F.array().cast("array<string>")
+    failed = F.concat(F.array_compact(F.array(*first)), F.coalesce(F.transform("_bad", lambda x: x["text"]), none))
+    ident = F.concat(F.lit("cp_"), F.lower("stage"), F.when(skipped, "_skipped").otherwise("_complete"))
+    seq = F.coalesce(F.when(skipped, F.col("_skip")).otherwise(F.col("_done.seq")), F.lit(0)).cast("long")
+    return out.select(
+        "run_id", "stage", ident.alias("checkpoint_id"), "stage_state", seq.alias("derived_from_seq"), F.col("_place._next").alias("resume_from"),
+        *[F.coalesce(f"_done.{c}", none).alias(c) for c in ("input_artifacts", "output_artifacts")], (F.size(failed) == 0).alias("valid"), failed.alias("failed_conditions"),
+    )
+
+
 def chain_faults(records: DataFrame, group: list[str], content: list[str]) -> DataFrame:
     """Records out of their turn (sequence counts from 1), whose previous_hash isn't the one before's record_hash, or
     whose record_hash isn't that of previous_hash and content joined by |."""

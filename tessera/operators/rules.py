@@ -329,6 +329,17 @@ def corpus_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
     return made.select("code", "severity", F.lit("corpus").alias("entity"), dash.alias("record_id"), dash.alias("title"), dash.alias("field"), "message")
 
 
+def corpus_rule_reach(corpus: DataFrame, cfg: Config) -> DataFrame:
+    """The issues of the configuration with how many records of the corpus each concerns: N01 those of entities that have
+    states, N03 all, N04 those of entities without source fields."""
+    stated = [n for n, e in cfg.entities.items() if e.state]
+    bare = [n for n, e in cfg.entities.items() if not e.sources]
+    per = corpus.filter(F.col("entity").isin(*cfg.entities)).groupBy("entity").agg(F.count("*").alias("n"))
+    sums = per.agg(*[F.coalesce(F.sum(F.when(F.col("entity").isin(*of), F.col("n"))), F.lit(0)).alias(code) for code, of in (("N01", stated), ("N03", list(cfg.entities)), ("N04", bare))])
+    told = sums.select(F.expr("stack(3, 'N01', N01, 'N03', N03, 'N04', N04) AS (_c, records)"))
+    return corpus_rules(corpus, cfg).join(told, F.col("code") == F.col("_c")).drop("_c")
+
+
 def audit(corpus: DataFrame, cfg: Config, as_of: str, births=None) -> DataFrame:
     """All issues.  References are resolved once for the rules that need them."""
     refs = references(corpus, cfg)

@@ -49,3 +49,19 @@ def backup_freshness(sets: DataFrame, as_of, seconds: int) -> DataFrame:
     every = sets.select("name").distinct().join(last, "name", "left")
     late = F.col("created_at").isNull() | (F.col("created_at") + F.expr(f"interval {seconds} seconds") < F.lit(as_of).cast("timestamp_ntz"))
     return every.select("name", "created_at", F.when(late, "DEGRADED").otherwise("PASS").alias("classification"))
+
+
+def backup_health(records: DataFrame, as_of, seconds: int, days: int) -> DataFrame:
+    """name, classification, latest_backup, backup_age (whole seconds), restore_age (days) of each group of backup records
+    (name, action, outcome, at, backup_id, fit).  FAIL without a verified backup, where the latest is older than seconds,
+    or isn't fit now (what verifying it again said; null isn't fit); DEGRADED without a verified restore test, or where the
+    latest is over days old; else PASS.  Of backups of one time the last by backup_id is the latest."""
+    now = F.lit(as_of).cast("timestamp_ntz")
+    made = (F.col("action") == "backup.create") & (F.col("outcome") == "verified")
+    tried = (F.col("action") == "restore.check") & (F.col("outcome") == "verified")
+    last = F.max(F.when(made & F.col("at").isNotNull(), F.struct("at", "backup_id", F.coalesce("fit", F.lit(False)).alias("fit"))))
+    out = records.groupBy("name").agg(last.alias("_b"), F.max(F.when(tried, F.col("at"))).alias("_r"))
+    since = lambda c: F.timestamp_diff("MICROSECOND", c, now) / F.lit(1e6)
+    age, tested = since(F.col("_b.at")), since(F.col("_r")) / 86400
+    state = F.when(F.col("_b").isNull() | (age > seconds) | ~F.col("_b.fit"), "FAIL").when(F.col("_r").isNull() | (tested > days), "DEGRADED").otherwise("PASS")
+    return out.select("name", state.alias("classification"), F.col("_b.backup_id").alias("latest_backup"), age.cast("long").alias("backup_age"), tested.alias("restore_age"))

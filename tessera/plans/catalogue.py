@@ -118,14 +118,6 @@ def map_and_match(s: Source):
     return I.map_and_match(s["left_log"], right, mapping, "who", ["service", "kind"], [2, 4])
 
 
-_GUARDS = (("log", "oid"), ("relations", "source_oid"), ("relations", "target_oid"), ("resources", "resource_oid"), ("runs", "service_oid"))
-query("orphan_guards", " UNION ALL ".join(f"SELECT '{t}.{k}' AS \"check\", count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS classification FROM {t} WHERE NOT EXISTS (SELECT 1 FROM objects o WHERE o.oid = {t}.{k})" for t, k in _GUARDS), "log", "relations", "resources", "runs", "objects")(
-    lambda s: I.guards({f"{t}.{k}": I.orphans(s[t], k, s["objects"], "oid") for t, k in _GUARDS})
-)
-_TYPED = (("relations", "source_oid", "Person"), ("relations", "target_oid", "System"), ("log", "oid", "Person"), ("runs", "service_oid", "Service"), ("resources", "resource_oid", "Resource"))
-query("type_guards", " UNION ALL ".join(f"SELECT '{t}.{k}' AS \"check\", count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS classification FROM {t} WHERE NOT EXISTS (SELECT 1 FROM objects o WHERE o.oid = {t}.{k} AND o.type = '{n}')" for t, k, n in _TYPED), "log", "relations", "resources", "runs", "objects")(
-    lambda s: I.guards({f"{t}.{k}": I.typed_references(s[t], k, s["objects"], n) for t, k, n in _TYPED})
-)
 query("evidence_gap", f"SELECT id, matched_id FROM ({_FIFO}) WHERE matched_id IS NOT NULL AND id % 6 > 0", "left_log", "right_log")(
     lambda s: (lambda p: I.evidence_gap(s["left_log"], s["right_log"], ["who", "kind"], p.select(F.col("id").alias("left_id"), (F.col("matched_id") + F.when(F.col("id") % 6 == 0, 0).otherwise(1)).alias("right_id"))))(I.fifo_match(s["left_log"], s["right_log"], ["who", "kind"]).filter("matched_id is not null"))
 )
@@ -156,3 +148,46 @@ query("plugin_lookup", f"SELECT {_PLG} AS plugin_oid, lower(n_name) AS slug FROM
 query("plugin_services", f"SELECT 'PLG-' || substr(target_oid, 5) AS plugin_oid, source_oid AS service_oid, CASE WHEN n_nationkey % 5 > 0 THEN n_name END AS plugin_name, s_name AS service_name FROM relations JOIN nation ON substr(target_oid, 5) = substr({_PLG}, 5) JOIN supplier ON substr(source_oid, 5) = lpad(CAST(s_suppkey + 1 AS VARCHAR), 6, '0') WHERE relation_type = 'located_in' AND source_oid LIKE 'SRV%'", "relations")(
     lambda s: (lambda _, o, l: C.plugin_services(l, o).select("plugin_oid", "service_oid", "plugin_name", "service_name"))(*_plugins(s))
 )
+
+#: The tables that guards look at: plugins are nations (every fifth has no object), their services the nation's suppliers;
+#: every seventh queue item names no resource, every 51st one that doesn't exist; some log entries supersede none.
+_OBJECTS = f"(SELECT oid, type FROM objects UNION ALL SELECT {_PLG}, 'Plugin' FROM nation WHERE n_nationkey % 5 > 0)"
+_SQL = {
+    "log": "log", "relations": "relations", "resources": "resources", "runs": "runs", "objects": _OBJECTS,
+    "plugin_metadata": f"(SELECT {_PLG} AS plugin_oid FROM nation WHERE n_nationkey % 6 > 0)",
+    "plugin_services": "(SELECT 'PLG-' || substr(target_oid, 5) AS plugin_oid, source_oid AS service_oid FROM relations WHERE relation_type = 'located_in' AND source_oid LIKE 'SRV%')",
+    "import_queue": "(SELECT CASE WHEN import_id % 7 = 0 THEN NULL WHEN import_id % 51 = 0 THEN 'RES-999999' ELSE 'RES-' || lpad(CAST(import_id + 1 AS VARCHAR), 6, '0') END AS resource_oid FROM queue)",
+}
+
+
+def _guarded(s: Source) -> dict:
+    meta, objects, links = _plugins(s)
+    item = F.concat(F.lit("RES-"), F.lpad((F.col("import_id") + 1).cast("string"), 6, "0"))
+    queue = s["queue"].select(F.when(F.col("import_id") % 7 == 0, None).when(F.col("import_id") % 51 == 0, "RES-999999").otherwise(item).alias("resource_oid"))
+    meta = meta.filter("cast(substr(plugin_oid, 5) as int) % 6 <> 1")
+    return {"log": s["log"], "relations": s["relations"], "resources": s["resources"], "runs": s["runs"], "objects": objects, "plugin_metadata": meta, "plugin_services": links, "import_queue": queue}
+
+
+#: Child, its key, parent, the parent's key, whether a null is a fault too.
+_GUARDS = (
+    ("log", "oid", "objects", "oid", True), ("log", "supersedes_event_id", "log", "id", False), ("runs", "service_oid", "objects", "oid", True), ("plugin_metadata", "plugin_oid", "objects", "oid", True),
+    ("plugin_services", "plugin_oid", "plugin_metadata", "plugin_oid", True), ("plugin_services", "service_oid", "objects", "oid", True), ("relations", "source_oid", "objects", "oid", True),
+    ("relations", "target_oid", "objects", "oid", True), ("resources", "resource_oid", "objects", "oid", True), ("import_queue", "resource_oid", "resources", "resource_oid", False),
+)
+_CHECK = "SELECT '{c}.{k}' AS \"check\", count(*) AS violations, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS classification FROM {child} c WHERE {null}NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{k}{more})"
+
+
+def _check(c: str, k: str, p: str, pk: str, required: bool, more: str = "") -> str:
+    return _CHECK.format(c=c, k=k, child=_SQL[c], parent=_SQL[p], pk=pk, null="" if required else f"c.{k} IS NOT NULL AND ", more=more)
+
+
+query("orphan_guards", " UNION ALL ".join(_check(*g) for g in _GUARDS), "log", "relations", "resources", "runs", "queue", "objects")(
+    lambda s: (lambda t: I.guards({f"{c}.{k}": I.orphans(t[c], k, t[p], pk, required) for c, k, p, pk, required in _GUARDS}))(_guarded(s))
+)
+_TYPED = (
+    ("resources", "resource_oid", "Resource", True), ("plugin_metadata", "plugin_oid", "Plugin", True), ("plugin_services", "plugin_oid", "Plugin", True), ("plugin_services", "service_oid", "Service", True),
+    ("runs", "service_oid", "Service", True), ("import_queue", "resource_oid", "Resource", False), ("relations", "source_oid", "Person", True), ("relations", "target_oid", "System", True), ("log", "oid", "Person", True),
+)
+query("type_guards", " UNION ALL ".join(_check(c, k, "objects", "oid", required, f" AND p.type = '{n}'") for c, k, n, required in _TYPED), "log", "relations", "resources", "runs", "queue", "objects")(
+    lambda s: (lambda t: I.guards({f"{c}.{k}": I.typed_references(t[c], k, t["objects"], n, required) for c, k, n, required in _TYPED}))(_guarded(s))
+)

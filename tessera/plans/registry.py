@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue, claims, folders, inventory, text, validation  # noqa: F401
+from . import catalogue, claims, folders, inventory, ledgers, text, validation  # noqa: F401
 
 FLAGSHIP = "timeline_latest"
 

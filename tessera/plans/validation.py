@@ -141,7 +141,7 @@ _Q07 = f"SELECT 'Q07' AS code, 'MINOR' AS severity, rid AS record_id, '-' AS fie
 query("rule_Q07", _Q07)(_rule("Q07", lambda c: R.text_rules(c, CONFIG, ("Q07",))))
 query("rule_D01", _issues(("D01", "BLOCKER", "source,size", f"{_W} WHERE (source, CASE WHEN doc_id % 11 = 0 THEN 'many' ELSE CAST(n_chars AS VARCHAR) END) IN (SELECT (source, z) FROM (SELECT source, CASE WHEN doc_id % 11 = 0 THEN 'many' ELSE CAST(n_chars AS VARCHAR) END AS z FROM documents) GROUP BY source, z HAVING count(*) > 1)")))(_rule("D01", _twice))
 query("rule_D02", f"SELECT 'D02' AS code, 'MAJOR' AS severity, a.rid AS record_id, 'title' AS field, 'same name as a later record: ' || b.title || ' (' || b.rid || ')' AS message FROM {_P} a JOIN (SELECT f, t, max(ord) AS ord, arg_max(title, ord) AS title, arg_max(rid, ord) AS rid FROM {_P} GROUP BY f, t) b ON a.f = b.f AND a.t <> b.t AND a.ord < b.ord")(_rule("D02", _twice, ("message",)))
-query("rule_N", "SELECT unnest(['N01', 'N03', 'N04']) AS code, unnest(['MINOR', 'MINOR', 'MAJOR']) AS severity, '-' AS record_id, '-' AS field, unnest(['state vocabularies differ: [work:state]; [event:state]', 'source fields are named differently: origin: work, event; (none): person', 'no source field: person']) AS message")(_rule("N01,N03,N04", lambda c: R.corpus_rules(c, CONFIG), ("message",)))
+query("rule_N", "SELECT unnest(['N01', 'N03', 'N04']) AS code, unnest(['MINOR', 'MINOR', 'MAJOR']) AS severity, '-' AS record_id, '-' AS field, unnest(['state vocabularies differ: [work:state]; [event:state]', 'source fields are named differently: origin: work, event; (none): person', 'no source field: person']) AS message, unnest([d + o, d + o + c, c]) AS records FROM (SELECT (SELECT count(*) FROM documents) AS d, (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM customer) AS c)")(_rule("N01,N03,N04", lambda c: R.corpus_rule_reach(c, CONFIG), ("message", "records")))
 
 
 def _audit(c):

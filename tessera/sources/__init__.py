@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.functions import properties as P
 from tessera.functions import text as X
 
 
@@ -61,6 +62,21 @@ def read_records(spark: SparkSession, path: str, schema: StructType, valid: str)
     return rows.filter(ok).drop("value", "_corrupt"), rows.filter(~ok).select("ord", "value")
 
 
+def read_record_files(spark: SparkSession, path: str, schema: StructType, valid: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, notes, failed) of files of JSON lines, each file by itself.  A line that isn't JSON makes its whole file
+    unreadable: failed has file and unreadable (how many lines), and none of its records count.  In the other files a record
+    that breaks the condition valid, or whose fields have other types, is left out and noted: notes has file, ord, value.
+    Blank lines are nothing; records carry file and ord.  Only the files with an unreadable line are told to the others,
+    so no file is gathered in one task."""
+    corrupt = StructType([*schema.fields]).add("_corrupt", "string")
+    lines = numbered_lines(spark, path).filter(~X.is_empty(F.col("value"))).withColumn("file", F.col("ord.file"))
+    failed = lines.filter(F.try_parse_json("value").isNull()).groupBy("file").agg(F.count("*").alias("unreadable"))
+    held = lines.join(failed.select(F.col("file").alias("_f")), F.col("file") == F.col("_f"), "left_anti")
+    read = held.select("file", "ord", "value", F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("file", "ord", "value", "r.*")
+    ok = F.col("_corrupt").isNull() & F.coalesce(F.expr(valid), F.lit(False))
+    return read.filter(ok).drop("value", "_corrupt"), read.filter(~ok).select("file", "ord", "value"), failed
+
+
 def read_entities(spark: SparkSession, path: str, row: str) -> DataFrame:
     """{entity: [row, ...]} files as entity and the row's columns; a missing id becomes entity:position."""
     held = spark.read.option("wholetext", True).text(path).select(F.from_json("value", f"map<string, array<struct<{row}>>>").alias("m"))
@@ -123,18 +139,11 @@ def markdown_table(spark: SparkSession, path: str, columns: list[str]) -> DataFr
     return rows.select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)])
 
 
-def property_value(value, kind):
-    """A typed page property (a JSON object) as text: title, rich_text, number, select, multi_select, date, checkbox, url."""
-    joined = lambda p: F.array_join(F.from_json(F.get_json_object(value, p), "array<string>"), "")
-    listed = lambda p: F.array_join(F.from_json(F.get_json_object(value, p), "array<string>"), ", ")
-    return (
-        F.when(kind == "title", joined("$.title[*].plain_text"))
-        .when(kind == "rich_text", joined("$.rich_text[*].plain_text"))
-        .when(kind == "multi_select", listed("$.multi_select[*].name"))
-        .when(kind == "select", F.get_json_object(value, "$.select.name"))
-        .when(kind == "date", F.get_json_object(value, "$.date.start"))
-        .otherwise(F.coalesce(F.get_json_object(value, "$.number"), F.get_json_object(value, "$.checkbox"), F.get_json_object(value, "$.url")))
-    )
+def page_properties(pages: DataFrame, properties: str = "properties") -> DataFrame:
+    """page_id, property, type and value of each property of remote pages (page_id, properties: a JSON object of typed
+    properties): the value as JSON text, by its type, null where there is none."""
+    each = pages.select("page_id", F.explode(F.from_json(properties, "map<string, string>")).alias("property", "_p"))
+    return each.select("page_id", "property", F.get_json_object("_p", "$.type").alias("type"), F.to_json(P.decoded(F.col("_p"))).alias("value"))
 
 
 def read_notes(spark: SparkSession, root: str) -> DataFrame:
