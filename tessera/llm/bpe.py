@@ -59,18 +59,18 @@ def ranks_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 
 class Kept(dict):
-    """make(key) by key, for at most twice KEPT keys: when KEPT are held, they become the old ones, of which those asked
-    for again are taken over."""
+    """make(key) by key, for at most twice as many keys as most: when that many are held, they become the old ones, of which
+    those asked for again are taken over."""
 
-    def __init__(self, make, longest: int):
-        self.make, self.longest, self.old = make, longest, {}
+    def __init__(self, make, longest: int, most: int = KEPT):
+        self.make, self.longest, self.most, self.old = make, longest, most, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= self.longest:
-            if len(self) >= KEPT:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = value

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import Kept, even
+from .bpe import KEPT, Kept, even
 from .common import batches, materialize, release, table
 
 #: Longer words aren't kept by a worker, so the bound on their number bounds the bytes as well.
@@ -62,9 +62,10 @@ class Encoder:
     The byte-level pre-tokenizer never joins two words and always puts a boundary before a single space or newline
     that stands between two other characters; so an evenly spaced text is encoded word by word, words are cached, and
     new words are merged by tiktoken, whose byte pair merging over the same ranks costs a tenth.  On loading, both
-    libraries must agree on a sample, else every text goes through the tokenizers library whole."""
+    libraries must agree on a sample, else every text goes through the tokenizers library whole.  At most twice kept words
+    are held; that decides memory and time, not the ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -80,7 +81,7 @@ class Encoder:
             self.merge = merges.encode_ordinary if agree else None
         except (KeyError, ValueError):
             self.merge = None  # not a byte-level vocabulary
-        self.words, self.marks = Kept(self.word, LONGEST_WORD), Kept(self.whole, 1)
+        self.words, self.marks = Kept(self.word, LONGEST_WORD, kept), Kept(self.whole, 1, kept)
 
     def pack(self, ids: list[int]) -> bytes:
         return array(self.kind, ids).tobytes()
@@ -103,13 +104,15 @@ class Encoder:
         return self.pack(self.merge(word if word[0] == "\n" else " " + word))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, kept: int = KEPT) -> Encoder:
+    """The worker's encoder; a worker holds one."""
+    if (path, kept) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, kept] = Encoder(path, kept)
+    return _ENCODERS[path, kept]
 
 
 PIECES = pa.schema(
@@ -117,12 +120,12 @@ PIECES = pa.schema(
 )
 
 
-def token_pieces(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_LEN) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_LEN, kept: int = KEPT) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (little-endian, 2 bytes each where the vocabulary allows,
     else 4), and what ranks it among the pieces of its length: part (input partition) and nth (its turn there)."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(path), TaskContext.get().partitionId()
+        enc, part = encoder(path, kept), TaskContext.get().partitionId()
         end, width, turn = enc.pack([eos]), enc.width, [0] * (max_len + 1)
 
         def rows():
@@ -257,9 +260,10 @@ def ids_crc32(ids: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([zlib.crc32(_wide(x, k)) for x, k in zip(ids, n, strict=True)], dtype="int64")
 
 
-def pack(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_LEN) -> DataFrame:
-    """doc_id, piece, start, length, sequence_id and offset of every piece, with its ids' crc32."""
-    pieces = materialize(token_pieces(docs, path, eos, max_len), "pieces")
+def pack(docs: DataFrame, path: str, eos: int = EOS, max_len: int = MAX_LEN, kept: int = KEPT) -> DataFrame:
+    """doc_id, piece, start, length, sequence_id and offset of every piece, with its ids' crc32.  kept bounds the words a
+    worker holds, for jobs whose executors have other stages' memory to bear."""
+    pieces = materialize(token_pieces(docs, path, eos, max_len, kept), "pieces")
     return place(pieces.withColumn("ids_crc32", ids_crc32("ids", "length")), max_len)
 
 

@@ -128,3 +128,14 @@ def test_query(spark):
         for start, n, crc in parts[i]:
             assert zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes()) == crc
         assert sum(n for _, n, _ in parts[i]) == len(ids)
+
+
+def test_few_kept_words_change_no_ids(spark):
+    texts = ["one two three, four. one two", "", None, "two\nthree  one " * 40, "x" * 70 + " y", "don't, stop!"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few, many = (sorted(map(tuple, P.pack(docs, P.vocabulary(), kept=kept).select("doc_id", "piece", "start", "length", "ids_crc32").collect())) for kept in (2, 250_000))
+    assert few == many and len(few) == len(texts)
+    enc = P.Encoder(P.vocabulary(), 2)
+    for text in texts:
+        enc.encode(text or "")
+    assert len(enc.words) <= 2 and len(enc.words.old) <= 2
