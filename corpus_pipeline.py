@@ -19,6 +19,8 @@ from tessera.llm import lines, mixing, near, packing, toxicity
 from tessera.llm.common import drop_scratch, materialize, scratch_scope, table, unused
 
 TOXIC = 0.7
+#: Words that packing keeps a worker, twice at most: its executors also bear what the stages before it left.
+KEPT_WORDS = 100_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, packing.vocabulary())
+    return packing.pack(docs, packing.vocabulary(), kept=KEPT_WORDS)
 
 
 STAGES = [
