@@ -1,7 +1,7 @@
 """Text as columns: normalisation, quality, chunks, signals, redaction, parsing.
 
 Everything is an expression over Spark functions but lossless_chunks, paragraph_chunks and halves, whose cuts depend on
-all boundaries or on the cuts before and which therefore are Arrow UDFs, and exact_norm for characters beyond the folding table.
+all boundaries or on the cuts before and which therefore are Arrow UDFs.  exact_norm is what norm is tested against.
 """
 
 from __future__ import annotations
@@ -19,30 +19,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+@lru_cache(maxsize=1)
+def decompositions() -> dict[str, str]:
+    """Every character but the ASCII ones that compatibility decomposition turns into something with ASCII letters or
+    digits, or into marks only, with what is left without marks; what isn't ASCII there is a space."""
+    out = {}
+    for code in [*range(0x80, 0xD800), *range(0xE000, 0x110000)]:
+        x = chr(code)
+        if unicodedata.combining(x):
+            out[x] = ""
+        elif whole := unicodedata.decomposition(x) and unicodedata.normalize("NFKD", x):
+            base = "".join(c if c.isascii() else " " for c in whole if not unicodedata.combining(c))
+            if not base or any(c.isalnum() for c in base):
+                out[x] = base
+    return out
+
+
 @lru_cache(maxsize=1)
 def folding() -> tuple[str, str]:
     """Characters that decompose to one ASCII character and marks, and that character; then marks, which have none."""
-    source, target = [], []
-    for code in [*range(0x80, 0xD800), *range(0xF900, 0x10000)]:
-        base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
-        if len(base) == 1 and base != chr(code) and base.isascii():
-            source.append(chr(code))
-            target.append(base)
-    marks = [chr(code) for code in range(0x300, 0x370) if unicodedata.combining(chr(code))]
-    return "".join(source + marks), "".join(target)
+    found = sorted(decompositions().items(), key=lambda x: x[1] == "")
+    return "".join(x for x, base in found if len(base) < 2), "".join(base for _, base in found if len(base) == 1)
 
 
-#: Characters that decompose to several letters.
-EXPANDED = "ﬀﬁﬂﬃﬄﬅﬆĲĳ™№"
+@lru_cache(maxsize=1)
+def expansions() -> tuple[str, list[tuple[str, str]]]:
+    """The class of the characters that decompose to several, and for each place of what they become, the characters and
+    theirs at that place; those that become shorter come last and have none."""
+    several = {x: base for x, base in decompositions().items() if len(base) > 1}
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, several)):
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    kind = "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in ranges)
+    longest = sorted(several, key=lambda x: -len(several[x]))
+    return kind, [("".join(longest), "".join(several[x][i] for x in longest if i < len(several[x]))) for i in range(len(several[longest[0]]))]
+
+
+def expand(c: Column) -> Column:
+    """Characters that decompose to several as these (ligatures, fractions, circled numbers, units)."""
+    kind, places = expansions()
+    piece = lambda x: F.when(x.rlike(f"^[{kind}]"), F.concat(*[F.translate(x, *p) for p in places])).otherwise(x)
+    pieces = F.regexp_extract_all(c, F.lit(f"[{kind}]|[^{kind}]+"), F.lit(0))
+    return F.when(c.rlike(f"[{kind}]"), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
 
 
 def fold(c: Column) -> Column:
-    """Accents and marks off, ligatures as letters; ASCII texts aren't touched."""
-    plain = c
-    for x in EXPANDED:
-        plain = F.replace(plain, F.lit(x), F.lit(unicodedata.normalize("NFKD", x)))
-    folded = F.translate(F.when(c.rlike(f"[{EXPANDED}]"), plain).otherwise(c), *folding())
-    return F.when(c.rlike(r"[^\x00-\x7f]"), folded).otherwise(c)
+    """Accents and marks off, compatibility characters as the ASCII letters and digits they decompose to; ASCII texts
+    aren't touched."""
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(expand(c), *folding())).otherwise(c)
 
 
 def norm(c: Column, null_as: str = "") -> Column:
@@ -62,10 +89,6 @@ def exact_norm(values: pd.Series) -> pd.Series:
     return values.map(one)
 
 
-def exact_norm_udf() -> Callable[[Column], Column]:
-    return F.pandas_udf(exact_norm, T.StringType())
-
-
 #: White space as text functions understand it: Unicode's, and the four separators U+001C to U+001F.
 _SPACE = r"[\s\x1c-\x1f]"
 

@@ -8,7 +8,7 @@ to a clock.  Configuration stays small and turns into expressions, so a rule fam
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,10 +88,24 @@ def union(frames: list[DataFrame], like: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames, none)
 
 
-def field_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
-    """S01, S02, S03: required fields empty, weighty ones empty, values that can't be read.  One pass an entity: the
-    fields' findings are an array that is exploded."""
-    out = []
+def _finding(code: str | Column, severity: str | Column, name: str, message: str | Column, when: Column) -> Column:
+    lit = lambda v: F.lit(v) if isinstance(v, str) else v
+    return F.when(when, F.struct(lit(code).alias("code"), lit(severity).alias("severity"), F.lit(name).alias("field"), lit(message).alias("message")))
+
+
+def found(corpus: DataFrame, checks: dict[str, list[Column]]) -> DataFrame:
+    """The issues of rules that look at a record alone, in one pass over the corpus: checks holds arrays of findings, null
+    where there is none, by entity."""
+    held = F.lit(None).cast("array<struct<code:string,severity:string,field:string,message:string>>")
+    for name, arrays in checks.items():
+        if arrays:
+            held = F.when(F.col("entity") == name, F.filter(F.concat(*arrays), lambda c: c.isNotNull())).otherwise(held)
+    each = corpus.withColumn("_c", F.explode(held))
+    return each.select("_c.code", "_c.severity", "entity", F.col("id").alias("record_id"), "title", "_c.field", "_c.message")
+
+
+def field_checks(cfg: Config) -> dict[str, list[Column]]:
+    out = {}
     for name, e in cfg.entities.items():
         checks = []
         for key, f in e.fields.items():
@@ -100,12 +114,31 @@ def field_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
             bad = {"date": X.parse_date(v).isNull(), "year": X.year(F.coalesce(v, F.lit(""))) == "", "integer": ~v.rlike(r"^\s*-?\d+(\.\d+)?\s*$")}.get(f.kind, F.lit(False))
             code = F.when(empty, "S01" if f.required else "S02" if f.weight >= 2 else None).when(bad, "S03")
             severity = F.when(empty, "BLOCKER" if f.required else "MINOR").otherwise("MINOR" if f.kind == "integer" else "MAJOR")
-            said = F.when(empty, "empty").otherwise(F.lit(f"not a {f.kind}"))
-            checks.append(F.when(code.isNotNull(), F.struct(code.alias("code"), severity.alias("severity"), F.lit(key).alias("field"), said.alias("message"))))
-        if checks:
-            each = _of(corpus, name).withColumn("_c", F.explode(F.filter(F.array(*checks), lambda c: c.isNotNull())))
-            out.append(each.select("_c.code", "_c.severity", "entity", F.col("id").alias("record_id"), "title", "_c.field", "_c.message"))
-    return union(out, corpus)
+            checks.append(_finding(code, severity, key, F.when(empty, "empty").otherwise(F.lit(f"not a {f.kind}")), code.isNotNull()))
+        out[name] = [F.array(*checks)] if checks else []
+    return out
+
+
+def field_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
+    """S01, S02, S03: required fields empty, weighty ones empty, values that can't be read."""
+    return found(corpus, field_checks(cfg))
+
+
+def links(corpus: DataFrame, cfg: Config, births: tuple[str, str, str, str] | None = None) -> DataFrame:
+    """What rules between records need of each: entity, id, title, ord and relations, own_year and birth_year (of births),
+    identity (digest of the identity fields, null without any), form and plain (of the name, null if it has none)."""
+    identity = form = F.lit(None).cast("string")
+    for name, e in cfg.entities.items():
+        if e.identity:
+            key = F.concat_ws("|", *[X.norm(F.coalesce(_get("fields", k), F.array_join(_get("relations", k), " "), F.lit(""))) for k in e.identity])
+            identity = F.when(F.col("entity") == name, X.bind(key, lambda k: F.when(F.replace(k, F.lit("|"), F.lit("")) != "", F.sha2(k, 256)))).otherwise(identity)
+        if e.name_like:
+            form = F.when(F.col("entity") == name, F.nullif(X.name_form(F.col("title")), F.lit(""))).otherwise(form)
+    year = F.lit(None).cast("int")
+    own = F.when(F.col("entity") == births[0], F.year(X.parse_date(_get("fields", births[1])))) if births else year
+    born = X.year(F.coalesce(_get("fields", births[3]), F.lit(""))).try_cast("int") if births else year
+    out = corpus.select("entity", "id", "title", "ord", "relations", own.alias("own_year"), born.alias("birth_year"), identity.alias("identity"), form.alias("form"))
+    return out.withColumn("plain", F.when(F.col("form").isNotNull(), F.nullif(X.norm(F.col("title")), F.lit(""))))
 
 
 def references(corpus: DataFrame, cfg: Config) -> DataFrame:
@@ -127,14 +160,24 @@ def references(corpus: DataFrame, cfg: Config) -> DataFrame:
 
 
 def relation_rules(corpus: DataFrame, cfg: Config, refs: DataFrame | None = None) -> DataFrame:
-    """R01 required relation empty, R02 unresolved, R03 not answered by the configured inverse, R04 no link either way."""
+    """R01 required relation empty, R02 unresolved, R03 not answered by the configured inverse, R04 no link either way.
+    corpus may be its links."""
     refs = references(corpus, cfg) if refs is None else refs
-    out = []
+    out = [found(corpus, required_checks(cfg)), *reference_rules(corpus, refs)]
+    return union(out, corpus)
+
+
+def required_checks(cfg: Config) -> dict[str, list[Column]]:
+    out = {}
     for name, e in cfg.entities.items():
-        for key, r in e.relations.items():
-            if r.required:
-                none = F.coalesce(F.size(_get("relations", key)), F.lit(0)) <= 0
-                out.append(_issue(_of(corpus, name), "R01", "BLOCKER", key, "required relation is empty", none))
+        none = {key: F.coalesce(F.size(_get("relations", key)), F.lit(0)) <= 0 for key, r in e.relations.items() if r.required}
+        out[name] = [F.array(*[_finding("R01", "BLOCKER", key, "required relation is empty", when) for key, when in none.items()])] if none else []
+    return out
+
+
+def reference_rules(corpus: DataFrame, refs: DataFrame) -> list[DataFrame]:
+    """R02, R03, R04, of references and of who is linked."""
+    out = []
     out.append(_issue(refs, "R02", "MAJOR", F.col("rel"), F.concat(F.lit("unresolved: "), "ref"), F.col("target_id").isNull()))
     # what the targets' inverse lists hold, by id or normalised title
     back = corpus.select(F.col("id").alias("_back"), F.explode("relations").alias("_rel", "_list")).select("_back", "_rel", F.explode("_list").alias("_ref"))
@@ -148,31 +191,46 @@ def relation_rules(corpus: DataFrame, cfg: Config, refs: DataFrame | None = None
     own = F.exists(F.map_values("relations"), lambda v: F.size(v) > 0)
     alone = corpus.filter(F.coalesce(~own, F.lit(True))).join(linked, F.col("id") == F.col("_l"), "left_anti")
     out.append(_issue(alone, "R04", "MAJOR", "", "no relation to or from the record"))
-    return union(out, corpus)
+    return out
 
 
-def time_rules(corpus: DataFrame, cfg: Config, as_of: str, births: tuple[str, str, str, str] | None = None, refs: DataFrame | None = None) -> DataFrame:
-    """T01 end before start, T02 outside the time of activity, T05 implausible years, and, given births (entity, its
-    year field, relation, the target's year field), T03 earlier than the linked record's birth."""
-    out = []
+def time_checks(cfg: Config, as_of: str) -> dict[str, list[Column]]:
+    held: dict[str, list[Column]] = {}
     for name, e in cfg.entities.items():
-        rows = _of(corpus, name)
+        out = held[name] = []
         if e.span:
+
+            def spans(v: Column) -> Column:
+                start, end = v["start"], v["end"]
+                after = start > F.lit(cfg.active_to or as_of).cast("date")
+                checks = [_finding("T01", "BLOCKER", e.span[1], "end before start", end < start), _finding("T02", "MINOR", e.span[0], "after the end of activity", after)]
+                if cfg.active_from:
+                    checks.append(_finding("T02", "MAJOR", e.span[0], "before the start of activity", start < F.lit(cfg.active_from).cast("date")))
+                return F.array(*checks)
+
             start, end = (X.parse_date(_get("fields", k)) for k in e.span)
-            out.append(_issue(rows, "T01", "BLOCKER", e.span[1], "end before start", end < start))
-            if cfg.active_from:
-                out.append(_issue(rows, "T02", "MAJOR", e.span[0], "before the start of activity", start < F.lit(cfg.active_from).cast("date")))
-            out.append(_issue(rows, "T02", "MINOR", e.span[0], "after the end of activity", start > F.lit(cfg.active_to or as_of).cast("date")))
+            out.append(X.bind(F.struct(start.alias("start"), end.alias("end")), spans))
         for key in e.years:
             y = X.year(F.coalesce(_get("fields", key), F.lit(""))).try_cast("int")
-            out.append(_issue(rows, "T05", e.year_severity, key, "implausible year", ~y.between(*cfg.years)))
+            out.append(F.array(_finding("T05", e.year_severity, key, "implausible year", ~y.between(*cfg.years))))
+    return held
+
+
+def birth_rules(linked: DataFrame, refs: DataFrame, births: tuple[str, str, str, str]) -> DataFrame:
+    """T03: the entity's year is earlier than the birth of a record that the relation names."""
+    entity, own, relation, _ = births
+    mine = _of(linked, entity).select(F.col("id").alias("_i"), F.col("own_year").alias("_y")).filter("_y is not null")
+    born = linked.select(F.col("id").alias("_b"), F.col("birth_year").alias("_by")).filter("_by is not null")
+    link = refs.filter((F.col("entity") == entity) & (F.col("rel") == relation)).join(mine, F.col("id") == F.col("_i")).join(born, F.col("target_id") == F.col("_b"))
+    return _issue(link, "T03", "BLOCKER", own, F.concat(F.lit("before the birth of "), "target_id"), F.col("_y") < F.col("_by"))
+
+
+def time_rules(corpus: DataFrame, cfg: Config, as_of: str, births: tuple[str, str, str, str] | None = None, refs: DataFrame | None = None) -> DataFrame:
+    """T01 end before start, T02 outside the time of activity, T05 implausible years, and, given births (entity, its
+    year field, relation, the target's year field), T03 earlier than the linked record's birth."""
+    out = [found(corpus, time_checks(cfg, as_of))]
     if births:
-        entity, own, relation, theirs = births
-        refs = references(corpus, cfg) if refs is None else refs
-        own_year = _of(corpus, entity).select(F.col("id").alias("_i"), F.year(X.parse_date(_get("fields", own))).alias("_y"))
-        born = corpus.select(F.col("id").alias("_b"), X.year(F.coalesce(_get("fields", theirs), F.lit(""))).try_cast("int").alias("_by"))
-        link = refs.filter((F.col("entity") == entity) & (F.col("rel") == relation)).join(own_year, F.col("id") == F.col("_i")).join(born, F.col("target_id") == F.col("_b"))
-        out.append(_issue(link, "T03", "BLOCKER", own, F.concat(F.lit("before the birth of "), "target_id"), F.col("_y") < F.col("_by")))
+        out.append(birth_rules(links(corpus, cfg, births), references(corpus, cfg) if refs is None else refs, births))
     return union(out, corpus)
 
 
@@ -181,39 +239,55 @@ def source_level(url: Column) -> Column:
     return F.when(X.norm(url).contains("dropbox"), "CANONICAL").when(url.rlike(r"(?i)^https?:"), "EXTERNAL_WEB").otherwise("UNKNOWN")
 
 
-def metadata_rules(corpus: DataFrame, cfg: Config, as_of: str) -> DataFrame:
-    """M01-M04, M06-M08: sources, epistemic state, verification, publication."""
-    out = []
+def metadata_checks(cfg: Config, as_of: str) -> dict[str, list[Column]]:
     mapped = F.create_map(*[F.lit(x) for p in cfg.states.items() for x in p]) if cfg.states else None
-    for name, e in cfg.entities.items():
-        rows = _of(corpus, name)
-        source = F.coalesce(*[F.when(~X.is_empty(_get("service", s)), _get("service", s)) for s in e.sources]) if e.sources else None
-        raw = _get("service", e.state) if e.state else F.lit(None).cast("string")
-        state = F.element_at(mapped, X.norm(raw)) if mapped is not None else F.lit(None).cast("string")
+    none = F.lit(None).cast("string")
+
+    def checks(e: Entity, v: Column) -> Column:
+        out = []
+        add = lambda *x: out.append(_finding(*x))
+        source, raw, state, on = v["source"], v["raw"], v["state"], v["verified"]
         valid = F.coalesce(state == "VALID", F.lit(False))
-        if source is None:
-            out.append(_issue(rows, "M01", "MAJOR", "", "entity without a source field"))
+        if not e.sources:
+            add("M01", "MAJOR", "", "entity without a source field", F.lit(True))
         else:
-            out.append(_issue(rows, "M02", "MAJOR", "source", "no source given", source.isNull()))
-            out.append(_issue(rows, "M03", "INFO", "source", "source on the open web", source_level(source) == "EXTERNAL_WEB"))
+            add("M02", "MAJOR", "source", "no source given", source.isNull())
+            add("M03", "INFO", "source", "source on the open web", source_level(source) == "EXTERNAL_WEB")
         if e.state:
-            out.append(_issue(rows, "M04", "MAJOR", e.state, "state is empty", X.is_empty(raw)))
-            out.append(_issue(rows, "M04", "MINOR", e.state, "state is unknown", ~X.is_empty(raw) & state.isNull()))
+            add("M04", "MAJOR", e.state, "state is empty", X.is_empty(raw))
+            add("M04", "MINOR", e.state, "state is unknown", ~X.is_empty(raw) & state.isNull())
         if e.verified_on:
-            on = X.parse_date(_get("service", e.verified_on))
-            out.append(_issue(rows, "M06", "MINOR", e.verified_on, "valid without a date of verification", valid & on.isNull()))
-            out.append(_issue(rows, "M06", "MINOR", e.verified_on, "verification is out of date", F.datediff(F.lit(as_of).cast("date"), on) > cfg.verified_days))
+            add("M06", "MINOR", e.verified_on, "valid without a date of verification", valid & on.isNull())
+            add("M06", "MINOR", e.verified_on, "verification is out of date", F.datediff(F.lit(as_of).cast("date"), on) > cfg.verified_days)
         if e.publishable:
-            public = X.norm(_get("service", e.publishable)).isin(*YES)
-            out.append(_issue(rows, "M07", "MAJOR", e.publishable, "publishable but not valid", public & ~valid))
-            if source is not None:
-                out.append(_issue(rows, "M07", "MAJOR", "source", "publishable without a source", public & source.isNull()))
+            public = v["public"]
+            add("M07", "MAJOR", e.publishable, "publishable but not valid", public & ~valid)
+            if e.sources:
+                add("M07", "MAJOR", "source", "publishable without a source", public & source.isNull())
             if e.confidentiality:
                 closed = F.coalesce(_get("service", e.confidentiality).isin(*e.unpublishable), F.lit(False))
-                out.append(_issue(rows, "M08", "BLOCKER", e.confidentiality, "publishable but confidential", public & closed))
+                add("M08", "BLOCKER", e.confidentiality, "publishable but confidential", public & closed)
             for key in e.economic:
-                out.append(_issue(rows, "M08", "BLOCKER", key, "publishable with a private figure", public & ~X.is_empty(_get("fields", key))))
-    return union(out, corpus)
+                add("M08", "BLOCKER", key, "publishable with a private figure", public & ~X.is_empty(_get("fields", key)))
+        return F.array(*out) if out else F.array().cast("array<struct<code:string,severity:string,field:string,message:string>>")
+
+    held = {}
+    for name, e in cfg.entities.items():
+        raw = _get("service", e.state) if e.state else none
+        values = {
+            "source": F.coalesce(*[F.when(~X.is_empty(_get("service", s)), _get("service", s)) for s in e.sources]) if e.sources else none,
+            "raw": raw,
+            "state": F.element_at(mapped, X.norm(raw)) if mapped is not None else none,
+            "verified": X.parse_date(_get("service", e.verified_on)) if e.verified_on else F.lit(None).cast("date"),
+            "public": X.norm(_get("service", e.publishable)).isin(*YES) if e.publishable else F.lit(None).cast("boolean"),
+        }
+        held[name] = [X.bind(F.struct(*[c.alias(k) for k, c in values.items()]), partial(checks, e))]
+    return held
+
+
+def metadata_rules(corpus: DataFrame, cfg: Config, as_of: str) -> DataFrame:
+    """M01-M04, M06-M08: sources, epistemic state, verification, publication."""
+    return found(corpus, metadata_checks(cfg, as_of))
 
 
 def _marked(normal: Column, markers: tuple[str, ...]) -> Column:
@@ -249,7 +323,7 @@ def text_rules(corpus: DataFrame, cfg: Config, codes: tuple[str, ...] = (*TEXT_C
     def issue(code, severity, when, message):
         return F.when(when, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), message.alias("message")))
 
-    def found(n: Column) -> Column:
+    def findings(n: Column) -> Column:
         checks = {
             "Q01": lambda: X.bind(_marked(n, cfg.placeholders), lambda m: issue("Q01", "BLOCKER", F.size(m) > 0, F.concat(F.lit("placeholder: "), F.get(m, F.lit(0))))),
             "Q02": lambda: issue("Q02", "MAJOR", long_ & ~last.isin(*'.!?»"\')'), F.lit("text breaks off")),
@@ -261,7 +335,7 @@ def text_rules(corpus: DataFrame, cfg: Config, codes: tuple[str, ...] = (*TEXT_C
 
     out = []
     if any(c in codes for c in TEXT_CODES):
-        each = blocks.withColumn("_c", F.explode_outer(X.bind(X.norm(F.col("text")), found))).filter("_c is not null")
+        each = blocks.withColumn("_c", F.explode_outer(X.bind(X.norm(F.col("text")), findings))).filter("_c is not null")
         out.append(each.select("_c.code", "_c.severity", "entity", F.col("id").alias("record_id"), "title", "field", "_c.message"))
     if "Q07" in codes:
         out.append(repeated_sentences(blocks.filter(long_)))
@@ -286,23 +360,25 @@ def duplicate_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
     """D01: the same identity key within an entity; D02: the same name in another order, reported on
     the earlier record once for each other title of the name that a later one has (naming the last such record): records
     of one title aren't paired with each other's copies, so a frequent name makes no square of issues."""
+    return union(duplicates(links(corpus, cfg), cfg), corpus)
+
+
+def duplicates(linked: DataFrame, cfg: Config) -> list[DataFrame]:
     out = []
     for name, e in cfg.entities.items():
-        rows = _of(corpus, name)
+        rows = _of(linked, name)
         if e.identity:
-            key = F.concat_ws("|", *[X.norm(F.coalesce(_get("fields", k), F.array_join(_get("relations", k), " "), F.lit(""))) for k in e.identity])
-            keyed = rows.withColumn("_k", key).filter(F.replace("_k", F.lit("|"), F.lit("")) != "")
-            twice = keyed.groupBy("_k").agg(F.count("*").alias("_n")).filter("_n > 1")
-            out.append(_issue(keyed.join(twice, "_k"), "D01", "BLOCKER", ",".join(e.identity), "same identity as another record"))
+            keyed = rows.filter("identity is not null").select("entity", "id", "title", "identity")
+            twice = keyed.groupBy("identity").agg(F.count("*").alias("_n")).filter("_n > 1")
+            out.append(_issue(keyed.join(twice, "identity"), "D01", "BLOCKER", ",".join(e.identity), "same identity as another record"))
         if e.name_like:
-            formed = rows.withColumn("_f", X.name_form(F.col("title"))).withColumn("_t", X.norm(F.col("title"))).filter("_f <> '' and _t <> ''")
+            formed = rows.filter("form is not null and plain is not null")
             # a form has few titles, as their words are the same: a row each, with the last record of that title
-            titles = formed.groupBy("_f", "_t").agg(F.max(F.struct("ord", "id", "title")).alias("_other"))
-            titles = titles.withColumnRenamed("_t", "_t2").withColumnRenamed("_f", "_f2")
-            both = formed.join(titles, (F.col("_f") == F.col("_f2")) & (F.col("_t") != F.col("_t2")) & (F.col("ord") < F.col("_other.ord")))
+            titles = formed.groupBy(F.col("form").alias("_f"), F.col("plain").alias("_t")).agg(F.max(F.struct("ord", "id", "title")).alias("_other"))
+            both = formed.join(titles, (F.col("form") == F.col("_f")) & (F.col("plain") != F.col("_t")) & (F.col("ord") < F.col("_other.ord")))
             said = F.concat(F.lit("same name as a later record: "), F.col("_other.title"), F.lit(" ("), F.col("_other.id"), F.lit(")"))
             out.append(_issue(both, "D02", "MAJOR", "title", said))
-    return union(out, corpus)
+    return out
 
 
 def corpus_rules(corpus: DataFrame, cfg: Config) -> DataFrame:
@@ -341,15 +417,17 @@ def corpus_rule_reach(corpus: DataFrame, cfg: Config) -> DataFrame:
 
 
 def audit(corpus: DataFrame, cfg: Config, as_of: str, births=None) -> DataFrame:
-    """All issues.  References are resolved once for the rules that need them."""
-    refs = references(corpus, cfg)
+    """All issues.  Rules of a record alone share one pass over the corpus, rules of texts another; what rules between
+    records need is written once, without the texts, and so are the references they resolve."""
+    linked = materialize(links(corpus, cfg, births), "links")
+    refs = materialize(references(linked, cfg), "references")
+    alone = [field_checks(cfg), required_checks(cfg), time_checks(cfg, as_of), metadata_checks(cfg, as_of)]
     parts = [
-        field_rules(corpus, cfg),
-        relation_rules(corpus, cfg, refs),
-        time_rules(corpus, cfg, as_of, births, refs),
-        metadata_rules(corpus, cfg, as_of),
+        found(corpus, {name: [a for checks in alone for a in checks[name]] for name in cfg.entities}),
+        *reference_rules(linked, refs),
+        *([birth_rules(linked, refs, births)] if births else []),
         text_rules(corpus, cfg),
-        duplicate_rules(corpus, cfg),
+        *duplicates(linked, cfg),
         corpus_rules(corpus, cfg),
     ]
     return reduce(DataFrame.unionByName, parts)

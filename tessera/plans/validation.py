@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.operators import rules as R
+from tessera.scratch import materialize
 
 from .adapters import Source
 
@@ -144,6 +145,11 @@ query("rule_D02", f"SELECT 'D02' AS code, 'MAJOR' AS severity, a.rid AS record_i
 query("rule_N", "SELECT unnest(['N01', 'N03', 'N04']) AS code, unnest(['MINOR', 'MINOR', 'MAJOR']) AS severity, '-' AS record_id, '-' AS field, unnest(['state vocabularies differ: [work:state]; [event:state]', 'source fields are named differently: origin: work, event; (none): person', 'no source field: person']) AS message, unnest([d + o, d + o + c, c]) AS records FROM (SELECT (SELECT count(*) FROM documents) AS d, (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM customer) AS c)")(_rule("N01,N03,N04", lambda c: R.corpus_rule_reach(c, CONFIG), ("message", "records")))
 
 
+def linked(s: Source):
+    """What the rules between records need of the corpus, written once."""
+    return materialize(R.links(corpus(s), CONFIG), "links")
+
+
 def _audit(c):
     return R.audit(c, CONFIG, AS_OF, BIRTHS)
 
@@ -161,7 +167,7 @@ FROM (SELECT h.*, coalesce(b, 0) AS blockers, coalesce(m, 0) AS majors, coalesce
 )(lambda s: (lambda c: R.scores(c, _audit(c), CONFIG))(corpus(s)).select("entity", "id", "have", "all_weight", "epistemic", "blockers", "majors", "minors", F.array_join("reasons", "|").alias("reasons"), "exportable"))
 _PLAN = f"""(SELECT 'act-' || left(sha256('{{"code":"R03","entity":"' || entity || '","field":"' || field || '","message":"missing inverse: ' || target || '","record_id":"' || rid || '","severity":"MINOR","title":"' || title || '"}}' || chr(10) || CAST(turn AS VARCHAR)), 20) AS action_id, rid AS record_id, target, turn FROM ({_R03}) CROSS JOIN (SELECT unnest([1, 2]) AS turn))"""
 query("remediation", f"SELECT action_id, 'AUTO_FIX' AS classification, 'LOCAL_COPY_ONLY' AS \"authorization\", 'LOW' AS risk, record_id FROM {_PLAN} WHERE turn = 1")(
-    lambda s: R.remediation(R.relation_rules(corpus(s), CONFIG)).filter("code = 'R03'").select("action_id", "classification", "authorization", "risk", "record_id")
+    lambda s: R.remediation(R.relation_rules(linked(s), CONFIG).filter("code = 'R03'")).filter("code = 'R03'").select("action_id", "classification", "authorization", "risk", "record_id")
 )
 query("remediation_classes", f"SELECT classification, risk, count(*) AS n FROM {_ALL} JOIN (VALUES {', '.join(str((c, a, r)) for c, (a, r) in R.REMEDY.items())}) AS remedy(rule, classification, risk) ON code = rule GROUP BY 1, 2")(
     lambda s: R.remediation(_audit(corpus(s))).groupBy("classification", "risk").agg(F.count("*").alias("n"))
@@ -171,10 +177,10 @@ query("remediation_classes", f"SELECT classification, risk, count(*) AS n FROM {
 @query("remediation_apply", f"SELECT action_id, CASE WHEN row_number() OVER (PARTITION BY record_id, target ORDER BY action_id) = 1 THEN 'APPLIED' ELSE 'SKIPPED_ALREADY_RESOLVED' END AS status FROM {_PLAN}")
 def remediation_apply(s: Source):
     """Every issue twice, so that each fix is applied once and skipped once."""
-    c = corpus(s)
-    r03 = R.relation_rules(c, CONFIG).filter("code = 'R03'")
+    c = linked(s)
+    r03 = materialize(R.relation_rules(c, CONFIG).filter("code = 'R03'"), "missing")
     return R.apply_statuses(R.remediation(r03.unionAll(r03)), c, CONFIG)
 
 
-query("remediation_left", "SELECT CAST(0 AS BIGINT) AS n")(lambda s: R.relation_rules(R.apply_inverses(corpus(s), CONFIG), CONFIG).filter("code = 'R03'").agg(F.count("*").alias("n")))
+query("remediation_left", "SELECT CAST(0 AS BIGINT) AS n")(lambda s: R.relation_rules(R.apply_inverses(linked(s), CONFIG), CONFIG).filter("code = 'R03'").agg(F.count("*").alias("n")))
 query("title_forms", "SELECT 'p' || CAST(c_custkey AS VARCHAR) AS id, 'ann lee' || CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 20 ELSE (c_custkey + 17) % 20 END AS VARCHAR) AS form FROM customer")(lambda s: corpus(s).filter("entity = 'person'").select("id", X.name_form(F.col("title")).alias("form")))

@@ -105,3 +105,14 @@ def test_extraction_statuses(spark, tmp_path):
     index = spark.createDataFrame([(f"file:{tmp_path}/e.json", "0" * 64)], "path string, sha256 string")
     got = {r["path"].rsplit("/", 1)[1]: (r["status"], r["text"]) for r in extract_text(spark, str(tmp_path), 50, index).collect()}
     assert got == {"a.txt": ("SUCCESS", "one"), "b.md": ("EXTRACTION_FAILED", None), "c.csv": ("FILE_TOO_LARGE", None), "d.xyz": ("UNSUPPORTED_FORMAT", None), "e.json": ("EXTRACTION_ABORTED_STALE_HASH", None)}
+
+
+def test_norm_over_every_character(spark):
+    import pandas as pd
+
+    xs = [f"a{chr(c)}b {chr(c)}Z" for c in [*range(0xD800), *range(0xE000, 0x20000), *range(0xE0000, 0xE0200)]]
+    df = spark.createDataFrame(pd.DataFrame({"i": range(len(xs)), "t": xs}))
+    got = df.select("i", X.norm(F.col("t")).alias("x")).toPandas().sort_values("i")["x"].tolist()
+    want = list(X.exact_norm(pd.Series(xs)))
+    assert [(x, g, w) for x, g, w in zip(xs, got, want, strict=True) if g != w] == []
+    assert values(spark, X.norm, "½ Ǆ ⒇ ㎯", "𝔘nion") == ["1 2 dz 20 rad s2", "union"]
