@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, least_hashed, materialize, release, table, unused
 
-#: Bounds on what fitting reads and keeps.
+#: The bound on the labelled documents of either label that fitting reads.
 SAMPLE_EACH = 6_000
-MAX_TERMS = 3_000
-LEAST_DOCS = 8
+#: The chi-square value, one degree of freedom, that a term's association with toxic documents must reach: a chance of 0.001.
+SIGNIFICANT = 10.83
 STEMS = (3, 4, 5, 6, 7)
 WINDOW = 40
 QUOTED = 0.4
@@ -232,11 +232,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH)
 
 def _terms_of(text: str) -> tuple[set, set]:
     found = set(_WORD.findall((text or "").lower()))
-    return {w for w in found if 4 <= len(w) <= 30}, {w[:k] for w in found for k in STEMS if len(w) > k}
+    return found, {w[:k] for w in found for k in STEMS if len(w) > k}
 
 
-def learn_lexicon(sample: DataFrame, most: int = MAX_TERMS, least: int = LEAST_DOCS) -> list[tuple[str, bool, float]]:
-    """(term, is a stem, log-odds weight) of what is found in toxic documents far more often than in others."""
+def _x_log(x):
+    return F.when(x > 0, x * F.log(x)).otherwise(0.0)
+
+
+def likelihood_ratio(bad, clean, n_bad: float, n_clean: float):
+    """G squared of the table of documents with and without a term, toxic and not: chi-square with one degree of freedom
+    where the two have nothing to do with each other."""
+    n = n_bad + n_clean
+    cells = _x_log(bad) + _x_log(clean) + _x_log(n_bad - bad) + _x_log(n_clean - clean)
+    return 2 * (cells - _x_log(bad + clean) - _x_log(n - bad - clean) - _x_log(F.lit(n_bad)) - _x_log(F.lit(n_clean)) + _x_log(F.lit(n)))
+
+
+def learn_lexicon(sample: DataFrame, significant: float = SIGNIFICANT) -> list[tuple[str, bool, float]]:
+    """(term, is a stem, log-odds weight) of all that is found in toxic documents far more often than in others, of any
+    length, if chance doesn't explain it."""
 
     def count(frames):
         n: dict[tuple, list] = {}
@@ -253,17 +266,15 @@ def learn_lexicon(sample: DataFrame, most: int = MAX_TERMS, least: int = LEAST_D
     sizes, stands = {r["toxic"]: r["n"] for r in got}, {r["toxic"]: r["weight"] for r in got}
     if len(sizes) < 2:
         return []
-    odds = F.log((F.col("bad") + 0.25) / (sizes[1] + 0.5)) - F.log((F.col("clean") + 0.25) / (sizes[0] + 0.5))
+    bad, clean = F.col("bad").cast("double"), F.col("clean").cast("double")
+    odds = F.log((bad + 0.25) / (sizes[1] + 0.5)) - F.log((clean + 0.25) / (sizes[0] + 0.5))
     got = (
         sample.mapInPandas(count, "term string, stem boolean, clean long, bad long")
         .groupBy("term", "stem")
         .agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
-        .filter(F.col("bad") >= least)
         .withColumn("w", odds)
-        .filter("w > 1.2")
-        .orderBy(F.desc(F.col("w") * F.sqrt("bad")), "term", "stem")
-        .limit(4 * most)
-        .collect()  # at most 4 * most rows
+        .filter((F.col("w") > 1.2) & (likelihood_ratio(bad, clean, float(sizes[1]), float(sizes[0])) >= significant))
+        .collect()  # words of the bounded sample that tell its labels apart
     )
     chosen: dict[str, float] = {}
     out = []
@@ -273,8 +284,7 @@ def learn_lexicon(sample: DataFrame, most: int = MAX_TERMS, least: int = LEAST_D
             chosen[r["term"]] = r["w"]
             out.append((r["term"], True, float(r["w"])))
     out += [(r["term"], False, float(r["w"])) for r in got if not r["stem"] and r["w"] > 3.0 and stands[0] * r["clean"] <= 0.02 * stands[1] * r["bad"] + 1]
-    out.sort(key=lambda t: (-t[2], t[0]))
-    return out[:most]
+    return sorted(out, key=lambda t: (-t[2], t[0], t[1]))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -336,7 +346,7 @@ def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
     """docs with one more column, in 0..1, named so (with underscores before it where docs has that name)."""
     (column,) = unused(docs.columns, column)
     bound_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
+    held = docs.sparkSession.sparkContext.broadcast(model)  # terms of the bounded sample
 
     @F.pandas_udf("double")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

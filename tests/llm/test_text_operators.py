@@ -218,3 +218,18 @@ def test_licenses(spark):
     plan = licenses.scan(docs, many)._jdf.queryExecution().executedPlan().toString() + licenses.candidates(docs, licenses.template_index(spark, many))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert docs.filter(F.col("doc_id") == 8).count() == 2
+
+
+def test_lexicon_has_no_caps(spark):
+    """Short and long words count, however many there are; significance is that of the table of documents."""
+    g = toxicity.likelihood_ratio(F.lit(9.0), F.lit(1.0), 20.0, 80.0)
+    cells, n = [(9, 20 * 10 / 100), (11, 20 * 90 / 100), (1, 80 * 10 / 100), (79, 80 * 90 / 100)], 2
+    assert abs(spark.range(1).select(g).first()[0] - n * sum(o * math.log(o / e) for o, e in cells)) < 1e-9
+    long = "q" * 200
+    bad = [(f"xq {long} filler{i}", 1, 1.0) for i in range(20)]
+    clean = [(f"plain filler{i} of them", 0, 1.0) for i in range(40)]
+    terms = toxicity.learn_lexicon(spark.createDataFrame(bad + clean, "text string, toxic int, weight double"))
+    assert {t for t, stem, _ in terms if not stem} == {"xq", long}
+    many = [(" ".join(f"z{i % 3}y{k}" for k in range(2000)), 1, 1.0) for i in range(60)] + clean
+    words = toxicity.learn_lexicon(spark.createDataFrame(many, "text string, toxic int, weight double"))
+    assert sum(not stem for _, stem, _ in words) == 6000
