@@ -299,15 +299,40 @@ def unescape(c: Column) -> Column:
     return F.when(c.contains("&"), whole).otherwise(c)
 
 
+#: The rest of a tag: quoted values may hold ">"; past 400 attributes a tag ends at the first ">".
+_REST = r"[^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"']))[^>=]*+){0,400}+"
+#: HTML from left to right: comments, marked sections, scripts and styles with what they hold, tags, declarations, what
+#: breaks off at the end, and text.
+HTML_TOKEN = "|".join(
+    [
+        r"(?is)<!--.*?(?:--\s*>|\z)",
+        r"<!\[cdata\[.*?(?:\]\s*\]\s*>|\z)",
+        rf"<(script|style)(?=[\s/>]){_REST}(?<!/)>.*?(?:</\s*\1\s*>|\z)",
+        rf"<[a-z]{_REST}(?:>|\z|=\s*+(?:\"[^\"]*+|'[^']*+)\z)",
+        r"<[a-z/!?][^>]*+(?:>|\z)",
+        r"<\z",
+        r"<",
+        r"[^<]+",
+    ]
+)
+
+
 def html_to_text(c: Column) -> Column:
     """Comments, script and style dropped, tags br, p, div, tr and li a newline, other tags nothing, character references
-    their characters, three newlines or more two."""
-    bare = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    for tag in ("script", "style"):
-        bare = F.regexp_replace(bare, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    bare = F.regexp_replace(bare, r"(?i)<(br|p|div|tr|li)\b[^>]*>", "\n")
-    bare = F.regexp_replace(bare, r"(?s)</?[A-Za-z!][^>]*>", "")
-    return strip(F.regexp_replace(unescape(bare), r"\n{3,}", "\n\n"))
+    their characters, three newlines or more two.  Markup is taken from left to right, so that what looks like markup
+    within a comment, a script or a quoted value is none; a script, a comment or a quoted value without an end
+    reaches to the end of the text, a tag without one goes, and so does text at the end that an unfinished character reference closes."""
+
+    def text(tokens: Column) -> Column:
+        def piece(t: Column, i: Column) -> Column:
+            cut = (i == F.size(tokens) - 1) & t.rlike(r"&[^\s;&]{0,33}\z")
+            data = ~t.startswith("<") | ((t == "<") & (i < F.size(tokens) - 1))
+            return F.when(data, F.when(~cut, unescape(t))).when(t.rlike(r"(?i)\A<(br|p|div|tr|li)[\s/>]"), F.lit("\n"))
+
+        return F.array_join(F.transform(tokens, piece), "")
+
+    joined = bind(F.regexp_extract_all(c, F.lit(HTML_TOKEN), F.lit(0)), text)
+    return strip(F.regexp_replace(joined, r"\n{3,}", "\n\n"))
 
 
 #: How a quoted message or a footer begins.

@@ -116,3 +116,39 @@ def test_norm_over_every_character(spark):
     want = list(X.exact_norm(pd.Series(xs)))
     assert [(x, g, w) for x, g, w in zip(xs, got, want, strict=True) if g != w] == []
     assert values(spark, X.norm, "½ Ǆ ⒇ ㎯", "𝔘nion") == ["1 2 dz 20 rad s2", "union"]
+
+
+def parsed_text(html):
+    """What html.parser makes of a page."""
+    import re
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.out, self.within = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.within += tag in ("script", "style")
+            self.out.append("\n" if tag in ("br", "p", "div", "tr", "li") and not self.within else "")
+
+        def handle_endtag(self, tag):
+            self.within -= tag in ("script", "style") and self.within > 0
+
+        def handle_data(self, data):
+            self.out.append("" if self.within else data)
+
+    p = Text()
+    p.feed(html)
+    return re.sub(r"\n{3,}", "\n\n", "".join(p.out)).strip()
+
+
+def test_html_is_taken_from_left_to_right(spark):
+    rng = random.Random(8)
+    parts = ["<p>", "</p>", "<BR/>", "<br >", "<b class='a>b' id=\"x>y\">", "</b>", "<!-- <script> -->", "<!doctype html>", "<?pi x?>", "<li\n>", "<script>", "</script>", "<script src='q>'>if (a<b) x='<p>';", "</SCRIPT >", "<style/>", "<style>p{}", "</style>", "<scripty>", "<pre>", " text ", "a < b", "1<2", "&amp;", "&lt;p&gt;", "&#8217;", "AT&T", "&", "\n\n\n\n", "<!-- open", "</ >", "</3>", "<a href=", "é", "=", "<![CDATA[x]]>", "<a b=c=d>", "'", "-->", "<"]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    got = values(spark, X.html_to_text, *pages)
+    wrong = [(p, g, parsed_text(p)) for p, g in zip(pages, got, strict=True) if g != parsed_text(p)]
+    assert len(wrong) == 0, (len(wrong), wrong[:4])
+    deep = "<a " + " ".join(f"k{i}='>'" for i in range(300)) + ">x" + "<p>y" * 50_000
+    assert values(spark, X.html_to_text, deep, "<script>" + "a<b " * 200_000, None) == [("x" + "\ny" * 50_000), "", None]
