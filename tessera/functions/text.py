@@ -278,8 +278,15 @@ def _named_references() -> dict[str, str]:
     return {name: char for name, char in html5.items() if name.endswith(";")}
 
 
+@lru_cache(maxsize=1)
+def _old_references() -> dict[str, str]:
+    """The names that count without a semicolon too, also as the beginning of a longer word."""
+    return {name: char for name, char in html5.items() if not name.endswith(";")}
+
+
 def _reference(x: Column) -> Column:
-    """The character of a reference (&name; or &#number;); what names none stays as it is."""
+    """The character of a reference (&name; or &#number;), or of the longest old name that it begins with, before the
+    rest; what names none stays as it is, and numbers of control characters and of no characters are nothing."""
     decimal, hexed = F.regexp_extract(x, r"^&#([0-9]+);?$", 1), F.regexp_extract(x, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
     digits = F.regexp_replace(hexed, "^0+", "")
     code = F.when(decimal != "", decimal.try_cast("bigint")).when(F.length(digits) <= 8, F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("bigint"))
@@ -288,13 +295,18 @@ def _reference(x: Column) -> Column:
     windows = F.element_at(F.create_map(*[F.lit(v) for n, c in old.items() if c for v in (n, c)]), code.cast("int"))
     bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
     shown = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0")), "UTF-32")
-    named = F.element_at(F.create_map(*[F.lit(v) for p in _named_references().items() for v in p]), F.substring(x, 2, F.length(x)))
-    return F.when(x.startswith("&#"), F.coalesce(F.when(code.between(0x80, 0x9F), windows), shown)).otherwise(F.coalesce(named, x))
+    void = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code % 0x10000 >= 0xFFFE)
+    shown = F.when(~bad & void, "").otherwise(shown)
+    mapped = lambda names, key: F.element_at(F.create_map(*[F.lit(v) for p in names.items() for v in p]), key)
+    named = F.when(x.endswith(";"), mapped(_named_references(), F.substring(x, 2, F.length(x))))
+    begun = F.regexp_extract(x, "^&(" + "|".join(sorted(_old_references(), key=len, reverse=True)) + ")", 1)
+    old_named = F.when(begun != "", F.concat(mapped(_old_references(), begun), F.substring(x, F.length(begun) + 2, F.length(x))))
+    return F.when(x.startswith("&#"), F.coalesce(F.when(code.between(0x80, 0x9F), windows), shown)).otherwise(F.coalesce(named, old_named, x))
 
 
 def unescape(c: Column) -> Column:
-    """Character references, named (with their semicolon) and numeric, as their characters."""
-    pieces = F.regexp_extract_all(c, F.lit(r"(?s)&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)|&|[^&]+"), F.lit(0))
+    """Character references, named and numeric, as their characters."""
+    pieces = F.regexp_extract_all(c, F.lit(r"(?s)&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)|&|[^&]+"), F.lit(0))
     whole = F.array_join(F.transform(pieces, lambda x: F.when(x.startswith("&") & (F.length(x) > 2), _reference(x)).otherwise(x)), "")
     return F.when(c.contains("&"), whole).otherwise(c)
 

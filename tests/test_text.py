@@ -152,3 +152,16 @@ def test_html_is_taken_from_left_to_right(spark):
     assert len(wrong) == 0, (len(wrong), wrong[:4])
     deep = "<a " + " ".join(f"k{i}='>'" for i in range(300)) + ">x" + "<p>y" * 50_000
     assert values(spark, X.html_to_text, deep, "<script>" + "a<b " * 200_000, None) == [("x" + "\ny" * 50_000), "", None]
+
+
+def test_character_references_are_the_standards(spark):
+    import html
+    import html.entities
+
+    rng = random.Random(9)
+    names = sorted(html.entities.html5)
+    texts = [f"&{n}x" for n in names] + [f"&#{n};" for n in [*range(0, 300), 0xFDD0, 0xFFFE, 0x1FFFF, 0x10FFFE, 0x110000, 10**30]]
+    parts = ["&", "amp", "notit;", "copy", "lt", ";", " ", "#", "x41", "65", "not", "AMP;", "hellip", "é", "&&", "ampamp;", "nbsp"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 8))) for _ in range(3000)]
+    got = values(spark, X.unescape, *texts)
+    assert [(t, g, html.unescape(t)) for t, g in zip(texts, got, strict=True) if g != html.unescape(t)] == []
