@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.text import bind
+
 #: A JSON text's strings, white space, numbers and the rest.
 _TOKEN = r'"(?:[^"\\]|\\.)*+"|[ \t\r\n]+|-?[0-9][0-9.eE+\-]*|[^"0-9 \t\r\n\-]+|-'
 _MARK = "\\u0001"
@@ -42,34 +44,43 @@ def _marked(text: Column) -> Column:
 
 def _finished(shown: Column) -> Column:
     """Marked numbers as they are, and the letters of escaped control characters in lower case."""
-    out = F.regexp_replace(shown, r'"\\u0001([0-9.e+\-]*)"', "$1")
-    odd = out
-    for letter in "ABCDEF":
-        odd = F.regexp_replace(odd, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}")
-    return F.when(out.rlike(r"\\u00[01][A-F]"), odd).otherwise(out)
+
+    def lowered(out: Column) -> Column:
+        odd = out
+        for letter in "ABCDEF":
+            odd = F.regexp_replace(odd, rf"(?<!\\)((?:\\\\)*)\\u00([01]){letter}", rf"$1\\u00$2{letter.lower()}")
+        return F.when(out.rlike(r"\\u00[01][A-F]"), odd).otherwise(out)
+
+    return bind(F.regexp_replace(shown, r'"\\u0001([0-9.e+\-]*)"', "$1"), lowered)
 
 
 def _whole(marked: Column) -> Column:
     """Whether a text is one JSON value and nothing after it (which the parser doesn't look at)."""
-    alone = F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]")))
-    return F.try_variant_get(alone, "$[0]", "variant").isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull()
+
+    def one(alone: Column) -> Column:
+        return F.try_variant_get(alone, "$[0]", "variant").isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull()
+
+    return bind(F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]"))), one)
 
 
 def canonical(text: Column) -> Column:
     """A JSON text with keys in order at every depth and without spaces, as Python's json.dumps(..., sort_keys=True,
     separators=(",", ":"), ensure_ascii=False) writes it; null where it isn't JSON or names a key twice."""
-    marked = _marked(text)
-    return F.when(_whole(marked), _finished(F.to_json(F.try_parse_json(marked))))
+    return bind(_marked(text), lambda marked: F.when(_whole(marked), _finished(F.to_json(F.try_parse_json(marked)))))
 
 
 def canonical_without(text: Column, key: str) -> Column:
-    """The same of a JSON object without one of its own keys."""
-    marked = _marked(text)
-    fields = F.from_json(marked, "map<string,variant>")
-    kept = F.map_filter(fields, lambda k, v: k != key)
-    names = F.array_sort(F.map_keys(kept))
-    each = F.transform(names, lambda k: F.concat(_quoted(k), F.lit(":"), F.to_json(F.element_at(kept, k))))
-    return F.when(_whole(marked) & fields.isNotNull(), _finished(F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))))
+    """The same of a JSON object without one of its own keys.  Every text is taken apart once, not once a key."""
+
+    def shown(kept: Column) -> Column:
+        each = F.transform(F.array_sort(F.map_keys(kept)), lambda k: F.concat(_quoted(k), F.lit(":"), F.to_json(F.element_at(kept, k))))
+        return _finished(F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}")))
+
+    def whole(marked: Column) -> Column:
+        fields = F.from_json(marked, "map<string,variant>")
+        return F.when(_whole(marked), bind(F.map_filter(fields, lambda k, v: k != key), lambda kept: F.when(kept.isNotNull(), shown(kept))))
+
+    return bind(_marked(text), whole)
 
 
 def _quoted(c: Column) -> Column:

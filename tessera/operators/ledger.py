@@ -268,15 +268,17 @@ def audit_chain_faults(records: DataFrame, group: list[str], record: str = "reco
     has, or a record_hash that isn't the sha256 of the record's own canonical JSON without it.  Keys may come in any order,
     at any depth.  Unreadable records have no sequence; they are reported and take no turn."""
     body = C.canonical_without(F.col(record), "record_hash")
-    held = records.select(*group, body.alias("_body"), *[F.get_json_object(record, f"$.{k}").alias(f"_{k}") for k in ("sequence", "previous_hash", "record_hash")])
-    held = held.withColumn("_sequence", F.when(F.col("_body").isNotNull(), F.col("_sequence").try_cast("bigint")))
-    w = Window.partitionBy(*group).orderBy("_sequence", "_record_hash")
-    fine = held.filter("_sequence IS NOT NULL").withColumns({"_expected": F.lag("_record_hash", 1, GENESIS).over(w), "_turn": F.row_number().over(w)})
-    own = F.sha2(C.ascii_escaped(F.col("_body")), 256)
+    said = lambda k: F.get_json_object(record, f"$.{k}")
+    read = X.bind(body, lambda b: F.struct(F.when(b.isNotNull(), said("sequence").try_cast("bigint")).alias("sequence"), F.sha2(C.ascii_escaped(b), 256).alias("own")))
+    held = records.select(*group, read.alias("_read"), *[said(k).alias(f"_{k}") for k in ("previous_hash", "record_hash")])
+    held = held.select(*group, F.col("_read.sequence").alias("_sequence"), "_previous_hash", "_record_hash", (F.col("_read.own") == F.col("_record_hash")).alias("_own"))
+    # unreadable records keep to a window of their own: a filter here would take every record apart once more
+    w = Window.partitionBy(*group, F.col("_sequence").isNull()).orderBy("_sequence", "_record_hash")
+    held = held.withColumns({"_expected": F.lag("_record_hash", 1, GENESIS).over(w), "_turn": F.row_number().over(w)})
     no = lambda c: ~F.coalesce(c, F.lit(False))
-    why = F.when(F.col("_sequence") != F.col("_turn"), "sequence").when(no(F.col("_previous_hash") == F.col("_expected")), "previous_hash").when(no(own == F.col("_record_hash")), "record_hash")
-    out = fine.select(*group, F.col("_sequence").alias("sequence"), why.alias("fault")).filter("fault is not null")
-    return out.unionByName(held.filter("_sequence IS NULL").select(*group, F.lit(None).cast("bigint").alias("sequence"), F.lit("unreadable").alias("fault")))
+    why = F.when(F.col("_sequence").isNull(), "unreadable").when(F.col("_sequence") != F.col("_turn"), "sequence")
+    why = why.when(no(F.col("_previous_hash") == F.col("_expected")), "previous_hash").when(no(F.col("_own")), "record_hash")
+    return held.select(*group, F.col("_sequence").alias("sequence"), why.alias("fault")).filter("fault is not null")
 
 
 def latest_per_key(records: DataFrame, key: str, at: str, order: str) -> DataFrame:
