@@ -140,5 +140,5 @@ _BARE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--
 _TEXT = f"regexp_replace({_BARE}, '</?[A-Za-z!][^>]*>', '', 'gs')"
 for _entity, _char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
     _TEXT = f"replace({_TEXT}, '{_entity}', {_char})"
-query("html_text", f"SELECT page_id, trim(regexp_replace({_TEXT}, '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM pages")(lambda s: s.t("pages").select("page_id", X.html_to_text(F.col("html")).alias("text")))
+query("html_text", f"SELECT page_id, trim(regexp_replace({_TEXT}, '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM pages")(lambda s: s.t("pages").select("page_id", X.html_to_text(F.col("html"), closed=True).alias("text")))
 query("pipe_rows", "SELECT coalesce(CAST(event_id AS VARCHAR), '') || '|' || coalesce(nullif(event_type, 'view'), '') || '|' || props AS line FROM events")(lambda s: s.t("events").select(X.pipe_row(F.col("event_id"), F.expr("nullif(event_type, 'view')"), F.col("props")).alias("line")))

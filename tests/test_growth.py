@@ -1,6 +1,11 @@
 """What decides how a query's cost grows: how often its plan repeats work, and what its shuffles carry."""
 
+import duckdb
+from pyspark.sql import functions as F
+
+from tessera.functions import text as X
 from tessera.operators import ledger
+from tessera.plans import registry
 
 
 def plan(df) -> str:
@@ -12,3 +17,13 @@ def test_a_chain_takes_each_record_apart_once(spark):
     faults = ledger.audit_chain_faults(rows, ["who"])
     assert plan(faults).count("from_json(") == 1
     assert sorted((r["sequence"] or 0, r["fault"]) for r in faults.collect()) == [(0, "unreadable"), (1, "previous_hash")]
+
+
+def test_html_text_keeps_references_without_a_semicolon_as_its_sql_does(spark, tmp_path):
+    pages = ["<title>a &amp</title><p>b &amp; c</p>", "x &lt y", "cut &am", "&copy", None, "<p>&#39;&#39</p>"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["text"] for r in registry.QUERIES["html_text"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == dict(con.execute(registry.ORACLE_SQL["html_text"]).fetchall())
+    assert got[0] == "a &amp\nb & c"
