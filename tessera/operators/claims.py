@@ -28,18 +28,20 @@ def rank(status: Column) -> Column:
 def resolve(raw: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataFrame:
     """raw with subject_id, subject_match, object_id, object_match and resolution.  A side's key is its normalised text,
     through the aliases; one row of that title: MATCH; none and a key that isn't empty: NEW_ENTITY with an id made from
-    the key; else AMBIGUOUS.  Candidates are first brought to a row a key, so a frequent title joins once."""
+    the key; else AMBIGUOUS.  Candidates are first brought to a row a key, so a frequent title joins once, and aliases to
+    their names' titles, so that texts meet their own row and not the one of a name that many aliases share."""
     titles = rows.select(X.norm(F.col("title")).alias("_k"), "id").groupBy("_k").agg(F.count("*").alias("_n"), F.min("id").alias("_id"))
+    a = aliases.filter("alias IS NOT NULL").select(F.col("alias").alias("_raw"), F.coalesce("name", "alias").alias("_key"))
+    known = titles.join(a, F.col("_k") == F.col("_raw"), "left_anti").select(F.col("_k").alias("_raw"), F.col("_k").alias("_key"), "_n", "_id")
+    known = known.unionByName(a.join(titles, F.col("_key") == F.col("_k"), "left").select("_raw", "_key", "_n", "_id"))
     out = raw
     for side in ("subject", "object"):
-        a = aliases.select(F.col("alias").alias("_alias"), F.col("name").alias("_name"))
-        out = out.withColumn("_raw", X.norm(F.col(f"{side}_raw"), "none")).join(a, F.col("_raw") == F.col("_alias"), "left")
-        out = out.withColumn("_key", F.coalesce("_name", "_raw")).drop("_alias", "_name", "_raw")
-        out = out.join(titles, F.col("_key") == F.col("_k"), "left")
+        out = out.withColumn("_text", X.norm(F.col(f"{side}_raw"), "none")).join(known, F.col("_text") == F.col("_raw"), "left")
+        out = out.withColumn("_key", F.coalesce("_key", "_text"))
         new = F.col("_n").isNull() & (F.col("_key") != "")
         ident = F.when(F.col("_n") == 1, F.col("_id")).when(new, F.concat(F.lit("new:"), F.left(F.sha2("_key", 256), F.lit(16))))
         match = F.when(F.col("_n") == 1, "MATCH").when(new, "NEW_ENTITY").otherwise("AMBIGUOUS")
-        out = out.withColumns({f"{side}_id": ident, f"{side}_match": match}).drop("_key", "_k", "_n", "_id")
+        out = out.withColumns({f"{side}_id": ident, f"{side}_match": match}).drop("_text", "_raw", "_key", "_n", "_id")
     unclear = (F.col("subject_match") == "AMBIGUOUS") | (F.col("object_match") == "AMBIGUOUS")
     return out.withColumn("resolution", F.when(unclear, "PENDING_RESOLUTION").otherwise("RESOLVED"))
 
@@ -52,22 +54,24 @@ def consolidate(resolved: DataFrame) -> DataFrame:
     said = F.map_from_entries(F.array_sort(F.map_entries(F.coalesce("qualifiers", none))))
     key = F.concat(F.lit("["), F.concat_ws(",", X.quoted(F.col("subject_id")), X.quoted(X.norm(F.col("predicate"), "none")), X.quoted(F.col("object_id")), F.to_json(said)), F.lit("]"))
     held = held.filter("resolution = 'RESOLVED'").withColumn("status", F.coalesce("status", F.lit(DEFAULT_STATUS)))
-    held = held.withColumn("claim_id", F.concat(F.lit("claim:"), F.sha2(key, 256))).withColumn("_rank", rank(F.col("status")))
+    held = held.withColumn("_key", key).withColumn("_rank", rank(F.col("status")))
 
     def ordered(column: str):
         return F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", column))), lambda s: s[column]))
 
-    return held.groupBy("claim_id").agg(
+    # rows travel once and by subject, as what follows wants them: as partial lists they would be twice as wide
+    out = held.repartition("subject_id").groupBy("subject_id", "_key").agg(
         F.min_by("subject_raw", "ord").alias("subject"),
         F.min_by("predicate", "ord").alias("predicate"),
         F.min_by("object_raw", "ord").alias("object"),
-        F.min_by("subject_id", "ord").alias("subject_id"),
         F.min_by("qualifiers", "ord").alias("qualifiers"),
         F.min_by("status", F.struct("_rank", "ord")).alias("status"),
         ordered("file_id").alias("source_file_ids"),
         ordered("evidence_excerpt").alias("source_excerpts"),
         F.min("ord").alias("ord"),
     )
+    ident = F.concat(F.lit("claim:"), F.sha2("_key", 256)).alias("claim_id")
+    return out.select(ident, "subject", "predicate", "object", "subject_id", "qualifiers", "status", "source_file_ids", "source_excerpts", "ord")
 
 
 def _asked(entities: DataFrame, claims: DataFrame, names: list[str]) -> DataFrame:

@@ -1,9 +1,13 @@
 """What decides how a query's cost grows: how often its plan repeats work, and what its shuffles carry."""
 
+import re
+
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
+from tessera.operators import claims as K
 from tessera.operators import ledger
 from tessera.plans import registry
 
@@ -27,3 +31,29 @@ def test_html_text_keeps_references_without_a_semicolon_as_its_sql_does(spark, t
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert got == dict(con.execute(registry.ORACLE_SQL["html_text"]).fetchall())
     assert got[0] == "a &amp\nb & c"
+
+
+@pytest.fixture
+def shuffled(spark):
+    """No broadcasts and no coalescing, so that a row's partition shows where the last shuffle sent it."""
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def largest(df) -> float:
+    n = df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    return max(n) / sum(n)
+
+
+def test_aliases_of_one_name_dont_bring_their_claims_to_one_task(spark, shuffled):
+    raw = spark.range(400).select(F.lit("p1").alias("subject_raw"), F.concat(F.lit("alias "), "id").alias("object_raw"))
+    rows = spark.createDataFrame([("P1", "p1"), ("N1", "one name")], "id string, title string")
+    aliases = raw.select(F.col("object_raw").alias("alias"), F.lit("one name").alias("name"))
+    out = K.resolve(raw, rows, aliases)
+    assert out.filter("object_id = 'N1' and subject_id = 'P1' and resolution = 'RESOLVED'").count() == 400
+    assert largest(out) < 0.5
