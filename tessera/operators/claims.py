@@ -344,18 +344,21 @@ def entity_operations(entities: DataFrame, claims: DataFrame, rows: DataFrame, h
     key, property; rows: id, entity_type, title, fields (map)."""
     k = F.col("_k")
     sides = claims.select("claim_id", "ord", "predicate", "subject", "object", "status", F.explode(F.array_distinct(F.array(X.norm(F.col("subject")), X.norm(F.col("object"))))).alias("_k"))
-    each = entities.select("name", "entity_type", X.norm(F.col("name")).alias("_n")).join(sides, F.col("_n") == k)
+    own = entities.select("name", "entity_type", X.norm(F.col("name")).alias("_n")).distinct()
+    own = own.join(compare_rows(rows), (F.col("entity_type") == F.col("_ot")) & (F.col("_n") == F.col("_on")), "left").drop("_ot", "_on")
+    each = own.join(sides, F.col("_n") == k)
     h = hints.select(F.col("entity_type").alias("_t"), X.norm(F.col("predicate")).alias("_p"), "layer", "anchor", "key", "target_type", (F.col("layer") == "field").alias("_late"), F.col("turn").alias("_turn"))
+    # the first hint of a type and predicate, before any claim is joined
+    h = h.groupBy("_t", "_p").agg(F.min(F.struct("_late", "_turn", "layer", "anchor", "key", "target_type")).alias("_h")).select("_t", "_p", "_h.layer", "_h.anchor", "_h.key", "_h.target_type")
     each = each.join(h, (F.col("entity_type") == F.col("_t")) & (X.norm(F.col("predicate")) == F.col("_p")), "left")
-    first = Window.partitionBy("name", "entity_type", "claim_id").orderBy("_late", "_turn")
-    each = each.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").withColumn("layer", F.coalesce("layer", F.lit("body")))
+    each = each.withColumn("layer", F.coalesce("layer", F.lit("body")))
     each = each.withColumn("target", F.when(F.col("layer") == "relation", F.when(F.col("anchor") == "subject", F.col("subject")).otherwise(F.col("object"))))
     t = rows.groupBy(F.col("entity_type").alias("_rt"), X.norm(F.col("title")).alias("_rn2")).agg(F.min_by("id", "ord").alias("target_id"))
-    each = each.join(t, (F.col("target_type") == F.col("_rt")) & (X.norm(F.col("target")) == F.col("_rn2")), "left")
+    # what has no target gets a key of its own, which no title has, or one task would get all of it
+    each = each.withColumn("_to", F.when(F.col("target").isNotNull() & F.col("target_type").isNotNull(), X.norm(F.col("target"))).otherwise(F.concat(F.lit("?"), "claim_id")))
+    each = each.join(t, (F.coalesce("target_type", F.lit("")) == F.col("_rt")) & (F.col("_to") == F.col("_rn2")), "left")
     s = schema.select(F.col("entity_type").alias("_st"), F.col("key").alias("_sk"), "property")
     each = each.join(s, (F.col("entity_type") == F.col("_st")) & (F.col("key") == F.col("_sk")), "left")
-    own = compare_rows(rows)
-    each = each.join(own, (F.col("entity_type") == F.col("_ot")) & (F.col("_n") == F.col("_on")), "left")
     old = F.when(F.col("_rows") == 1, F.element_at("_fields", F.col("key")))
     relation = F.when(F.col("property").isNull(), "RELATION_NOT_IN_ENTITY_SCHEMA").when(F.col("target_id").isNull(), "RELATION_TARGET_ID_NOT_RESOLVED").otherwise("RELATION_WRITE_NOT_SUPPORTED")
     empty, same = F.coalesce(old, F.lit("")) == "", F.coalesce(old == F.col("object"), F.lit(False))
@@ -377,16 +380,14 @@ def fan_out(entities: DataFrame, claims: DataFrame, rows: DataFrame, hints: Data
     how many operations are proposed.  Types in linked_only want a resolved link from an earlier page; as no relation is
     ever written, they are skipped.  required: entity_type, key."""
     ops = entity_operations(entities, claims, rows, hints, schema)
-    last = ops.filter("key is not null").groupBy("name", "entity_type", X.norm(F.col("key")).alias("_key")).agg(F.max_by("gate_status", "ord").alias("status"))
-    want = required.select(F.col("entity_type").alias("_wt"), X.norm(F.col("key")).alias("_wk"))
-    each = entities.select("name", "entity_type").distinct().join(want, F.col("entity_type") == F.col("_wt"))
-    got = last.select(F.col("name").alias("_ln"), F.col("entity_type").alias("_lt"), F.col("_key").alias("_lk"), "status")
-    each = each.join(got, (F.col("name") == F.col("_ln")) & (F.col("entity_type") == F.col("_lt")) & (F.col("_wk") == F.col("_lk")), "left")
-    blocked = each.groupBy(F.col("name").alias("_bn"), F.col("entity_type").alias("_bt")).agg(F.bool_or(_blocked(F.col("status"))).alias("_blocked"))
-    proposed = ops.filter("action in ('ADD', 'CONFLICT')").groupBy(F.col("name").alias("_pn"), F.col("entity_type").alias("_pt")).agg(F.count("*").alias("operations"))
+    each = ops.groupBy(F.col("name").alias("_pn"), F.col("entity_type").alias("_pt"), X.norm(F.col("key"), "").alias("_key"), F.col("key").isNull().alias("_none"))
+    each = each.agg(F.max_by("gate_status", "ord").alias("status"), F.count_if(F.col("action").isin("ADD", "CONFLICT")).alias("n"))
+    last = F.map_from_entries(F.collect_list(F.when(~F.col("_none"), F.struct("_key", "status"))))
+    proposed = each.groupBy("_pn", "_pt").agg(F.sum("n").alias("operations"), last.alias("_last"))
+    want = required.groupBy(F.col("entity_type").alias("_wt")).agg(F.collect_set(X.norm(F.col("key"))).alias("_want"))
     out = entities.join(compare_rows(rows), (F.col("entity_type") == F.col("_ot")) & (X.norm(F.col("name")) == F.col("_on")), "left")
-    out = out.join(blocked, (F.col("name") == F.col("_bn")) & (F.col("entity_type") == F.col("_bt")), "left")
-    out = out.join(proposed, (F.col("name") == F.col("_pn")) & (F.col("entity_type") == F.col("_pt")), "left")
+    out = out.join(proposed, (F.col("name") == F.col("_pn")) & (F.col("entity_type") == F.col("_pt")), "left").join(want, F.col("entity_type") == F.col("_wt"), "left")
+    out = out.withColumn("_blocked", F.exists("_want", lambda k: _blocked(F.element_at("_last", k))))
     match = F.when(F.col("_rows").isNull(), "NEW_ENTITY").when(F.col("_rows") == 1, "EXISTS_AND_MATCHES").otherwise("AMBIGUOUS")
     skip = F.col("entity_type").isin(*linked_only) if linked_only else F.lit(False)
     shown = lambda c: F.when(~skip, c)

@@ -57,3 +57,26 @@ def test_aliases_of_one_name_dont_bring_their_claims_to_one_task(spark, shuffled
     out = K.resolve(raw, rows, aliases)
     assert out.filter("object_id = 'N1' and subject_id = 'P1' and resolution = 'RESOLVED'").count() == 400
     assert largest(out) < 0.5
+
+
+def pages(spark, n: int):
+    entities = spark.range(n).select(F.concat(F.lit("e "), "id").alias("name"), F.lit("part").alias("entity_type"))
+    claims = spark.range(n).select(F.concat(F.lit("c"), "id").alias("claim_id"), F.col("id").alias("ord"), F.lit("made by").alias("predicate"), F.concat(F.lit("e "), "id").alias("subject"), F.lit("x").alias("object"), F.lit("VERIFIED").alias("status"))
+    rows = entities.select(F.col("name").alias("id"), "entity_type", F.col("name").alias("title"), F.create_map(F.lit("maker"), F.lit("x")).alias("fields"), F.lit(1).alias("ord"))
+    hints = spark.createDataFrame([("part", "field", "made by", None, "maker", None, 2)], "entity_type string, layer string, predicate string, anchor string, key string, target_type string, turn int")
+    schema = spark.createDataFrame([("part", "maker", "Maker")], "entity_type string, key string, property string")
+    return entities, claims, rows, hints, schema
+
+
+def test_operations_without_a_target_dont_meet_in_one_task(spark, shuffled):
+    entities, claims, rows, hints, schema = pages(spark, 400)
+    out = K.entity_operations(entities, claims, rows, hints, schema)
+    assert out.filter("layer = 'field' and action = 'KEEP'").count() == 400
+    assert "?" in plan(out) and "row_number" not in plan(out)
+
+
+def test_candidate_pages_work_out_their_operations_once(spark):
+    required = spark.createDataFrame([("part", "maker")], "entity_type string, key string")
+    out = K.fan_out(*pages(spark, 3), required, [])
+    assert plan(out).count("Generate explode") == 1
+    assert [tuple(r) for r in out.select("match", "gate", "operations").distinct().collect()] == [("EXISTS_AND_MATCHES", "READY_FOR_NOTION", 0)]
