@@ -168,12 +168,12 @@ def patch(claims: DataFrame, fields: DataFrame, current: DataFrame, index: DataF
     f = fields.select(X.norm(F.col("name")).alias("_n"), F.col("key").alias("_key"), "property", "kind")
     c = current.select(F.col("entity_id").alias("_e"), F.col("key").alias("_k"), F.col("value").alias("_v"), F.col("list").alias("_l"))
     located = index.filter(F.size("paths") > 0).select(F.col("file_id").alias("_f")).distinct()
-    known = claims.select("claim_id", F.explode("source_file_ids").alias("_s")).join(located, F.col("_s") == F.col("_f"), "left_semi")
-    known = known.select(F.col("claim_id").alias("_c")).distinct()
-    out = claims.join(known, F.col("claim_id") == F.col("_c"), "left")
+    held = ["claim_id", "subject_id", "predicate", "object", "status"]
+    each = claims.select(*held, F.explode_outer("source_file_ids").alias("_s")).join(located, F.col("_s") == F.col("_f"), "left")
+    out = each.groupBy(*held).agg(F.bool_or(F.col("_f").isNotNull()).alias("_c"))
     out = out.join(f, X.norm(F.col("predicate")) == F.col("_n"), "left")
     out = out.join(c, (F.col("subject_id") == F.col("_e")) & (F.col("_key") == F.col("_k")), "left")
-    fine = F.coalesce(F.upper("status").isin(*SUPPORTED), F.lit(False)) & F.col("_c").isNotNull()
+    fine = F.coalesce(F.upper("status").isin(*SUPPORTED), F.lit(False)) & F.col("_c")
     reason = (
         F.when(~fine, "UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE")
         .when(F.col("_key").isNull(), "PREDICATE_NOT_IN_ARTISTA_SCHEMA")

@@ -80,3 +80,14 @@ def test_candidate_pages_work_out_their_operations_once(spark):
     out = K.fan_out(*pages(spark, 3), required, [])
     assert plan(out).count("Generate explode") == 1
     assert [tuple(r) for r in out.select("match", "gate", "operations").distinct().collect()] == [("EXISTS_AND_MATCHES", "READY_FOR_NOTION", 0)]
+
+
+def test_a_patch_works_out_its_claims_once(spark):
+    claims = spark.createDataFrame([("c1", "e", "made by", "x", "VERIFIED", ["f", "g"]), ("c2", "e", "made by", "y", "VERIFIED", [])], "claim_id string, subject_id string, predicate string, object string, status string, source_file_ids array<string>")
+    claims = claims.groupBy("claim_id").agg(*[F.first(c).alias(c) for c in claims.columns[1:]])
+    fields = spark.createDataFrame([("made by", "maker", "Maker", "property")], "name string, key string, property string, kind string")
+    current = spark.createDataFrame([("e", "maker", "", None)], "entity_id string, key string, value string, list array<string>")
+    index = spark.createDataFrame([("f", ["a"]), ("g", [])], "file_id string, paths array<string>")
+    out = K.patch(claims, fields, current, index)
+    assert len(re.findall(r"(?:LogicalRDD|LocalRelation) \[claim_id", plan(out))) == 1
+    assert {r["claim_id"]: r["action"] for r in out.collect()} == {"c1": "ADD", "c2": "CONFLICT"}
