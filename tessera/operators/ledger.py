@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import canonical as C
 from tessera.functions import text as X
+from tessera.scratch import materialize, partitions
 
 #: The run state each event leads to, and the events each state allows.
 RUN_STATES = {
@@ -191,6 +192,21 @@ def checkpoint_failures(needed: DataFrame, listing: DataFrame) -> DataFrame:
     return out.withColumn("failure", why).filter("failure is not null").select("checkpoint", "path", "failure")
 
 
+#: How an artifact compares to its file, in the order of its size and then of its digest, so that of an artifact registered
+#: twice the least path and code are those of the first row by path, size and digest, without carrying the digests.
+NO_FILE, SAME = 0, 3
+OTHER_SIZE, OTHER_DIGEST = (1, 5), (2, 4)
+
+
+def _file_states(artifacts: DataFrame, listing: DataFrame) -> DataFrame:
+    """run_id, artifact_id, path and code of each registered artifact; a null size or digest is before any other."""
+    files = listing.select(F.col("path").alias("_p"), F.col("size").alias("_s"), F.col("sha256").alias("_h"))
+    size, digest = F.col("size") > F.col("_s"), F.col("sha256") > F.col("_h")
+    code = F.when(F.col("_p").isNull(), NO_FILE).when(size, OTHER_SIZE[1]).when(~F.coalesce(F.col("size") == F.col("_s"), F.lit(False)), OTHER_SIZE[0])
+    code = code.when(digest, OTHER_DIGEST[1]).when(~F.coalesce(F.col("sha256") == F.col("_h"), F.lit(False)), OTHER_DIGEST[0]).otherwise(SAME)
+    return artifacts.join(files, F.col("path") == F.col("_p"), "left").select("run_id", "artifact_id", "path", code.alias("code"))
+
+
 def checkpoints(requested: DataFrame, events: DataFrame, artifacts: DataFrame, listing: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """A checkpoint for each stage asked for (run_id, stage; without asked each requested one): run_id, stage,
     checkpoint_id, stage_state, derived_from_seq, resume_from, input_artifacts, output_artifacts, valid, failed_conditions.
@@ -204,36 +220,40 @@ def checkpoints(requested: DataFrame, events: DataFrame, artifacts: DataFrame, l
     HASH_MISMATCH after its role and before its id.  A skipped stage is satisfied whatever its files.  resume_from is the
     stage requested next, null for the last one and where the stage wasn't requested.  A stage requested twice counts where
     it is first; of an artifact registered twice the first row by path, size and digest holds.  Arrays are a completion's
-    own, so their rows are spread by run and stage."""
+    own, so their rows are spread by run and stage.  Files are looked up by registered artifact, and only how they compare
+    meets the stages."""
     w = Window.partitionBy("run_id").orderBy("idx")
-    place = requested.select("run_id", "stage", "idx", F.lead("stage").over(w).alias("_next"))
-    place = place.groupBy("run_id", "stage").agg(F.min_by(F.struct("_next"), "idx").alias("_place"))
-    keys = place if asked is None else asked
-    keys = keys.select("run_id", "stage").distinct()
-
+    place = requested.select("run_id", "stage", "idx", F.struct(F.lead("stage").over(w).alias("_next")).alias("_place"))
     named = F.coalesce(F.to_json("component"), F.lit("{}")) != "{}"
-    done = F.col("event_type") == "STAGE_COMPLETED"
     end = F.struct("seq", named.alias("named"), *[F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("input_artifacts", "output_artifacts")])
-    held = events.filter(F.col("event_type").isin(*STAGE_STATES)).groupBy("run_id", "stage").agg(
-        F.max_by("event_type", "seq").alias("_event"), F.max_by(F.when(done, end), F.when(done, F.col("seq"))).alias("_done"), F.max(F.when(F.col("event_type") == "STAGE_SKIPPED", F.col("seq"))).alias("_skip")
-    )
-    out = keys.join(place, ["run_id", "stage"], "left").join(held, ["run_id", "stage"], "left")
+    held = events.filter(F.col("event_type").isin(*STAGE_STATES)).select("run_id", "stage", "seq", "event_type", F.when(F.col("event_type") == "STAGE_COMPLETED", end).alias("_done"))
+    # one grouping in place of a join for each kind of row; a stage without a name is no other's
+    facts = place.unionByName(held, allowMissingColumns=True).filter("run_id IS NOT NULL AND stage IS NOT NULL")
+    facts = facts.withColumn("_asked", F.lit(None).cast("boolean") if asked is not None else F.when(F.col("idx").isNotNull(), True))
+    if asked is not None:
+        facts = facts.unionByName(asked.select("run_id", "stage", F.lit(True).alias("_asked")), allowMissingColumns=True)
+    done = F.col("_done").isNotNull()
+    n = partitions(facts)  # rows of one stage are few, so tasks of a fixed number of rows hold little at any size
+    out = facts.repartition(n, "run_id", "stage").groupBy("run_id", "stage").agg(
+        F.min_by("_place", "idx").alias("_place"), F.max_by("event_type", "seq").alias("_event"), F.max_by(F.when(done, F.col("_done")), F.when(done, F.col("seq"))).alias("_done"),
+        F.max(F.when(F.col("event_type") == "STAGE_SKIPPED", F.col("seq"))).alias("_skip"), F.max("_asked").alias("_asked"),
+    ).filter("_asked").drop("_asked")
     state = F.coalesce(_state_of(F.col("_event"), STAGE_STATES), F.lit("NOT_STARTED"))
-    out = out.withColumn("stage_state", state).withColumn("_done", F.when(F.col("stage_state") != "SKIPPED", F.col("_done")))
+    out = out.withColumn("stage_state", state).withColumn("_done", F.when(F.col("stage_state") != "SKIPPED", F.col("_done"))).drop("_event")
+    out = materialize(out, "stages")  # read for what it needs and for the result
 
     def numbered(ids: str, role: str):
         return F.transform(ids, lambda x, i: F.struct(F.lit(role).alias("role"), i.alias("pos"), x.alias("artifact_id")))
 
     roles = F.concat(numbered("_done.input_artifacts", "INPUT"), numbered("_done.output_artifacts", "OUTPUT"))
     needed = out.select("run_id", "stage", F.explode(roles).alias("n")).select("run_id", "stage", "n.*")
-    known = artifacts.groupBy("run_id", "artifact_id").agg(F.min(F.struct("path", "size", "sha256")).alias("_a"))
-    files = listing.select(F.col("path").alias("_p"), F.col("size").alias("_s"), F.col("sha256").alias("_h"))
-    seen = needed.join(known, ["run_id", "artifact_id"], "left").join(files, F.col("_a.path") == F.col("_p"), "left")
+    known = _file_states(artifacts, listing).repartition(n, "run_id", "artifact_id").groupBy("run_id", "artifact_id").agg(F.min(F.struct("path", "code")).alias("_a"))
+    code = F.col("_a.code")
+    why = F.when(code.isNull(), "NOT_REGISTERED").when(code == NO_FILE, "FILE_MISSING").when(code.isin(*OTHER_SIZE), "SIZE_MISMATCH").when(code.isin(*OTHER_DIGEST), "HASH_MISMATCH")
+    bad = needed.repartition(n, "run_id", "artifact_id").join(known, ["run_id", "artifact_id"], "left").withColumn("_why", why).filter("_why IS NOT NULL")
+    bad = bad.repartition(n, "run_id", "stage").groupBy("run_id", "stage").agg(F.sort_array(F.collect_list(F.struct("role", "pos", F.concat("role", F.lit("_"), "_why", F.lit(":"), F.coalesce("artifact_id", F.lit("None"))).alias("text")))).alias("_bad"))
+    out = out.repartition(n, "run_id", "stage").join(bad, ["run_id", "stage"], "left")
     no = lambda c: ~F.coalesce(c, F.lit(False))
-    why = F.when(F.col("_a").isNull(), "NOT_REGISTERED").when(F.col("_p").isNull(), "FILE_MISSING").when(no(F.col("_s") == F.col("_a.size")), "SIZE_MISMATCH").when(no(F.col("_h") == F.col("_a.sha256")), "HASH_MISMATCH")
-    bad = seen.withColumn("_why", why).filter("_why IS NOT NULL")
-    bad = bad.groupBy("run_id", "stage").agg(F.sort_array(F.collect_list(F.struct("role", "pos", F.concat("role", F.lit("_"), "_why", F.lit(":"), F.coalesce("artifact_id", F.lit("None"))).alias("text")))).alias("_bad"))
-    out = out.join(bad, ["run_id", "stage"], "left")
 
     skipped = F.col("stage_state") == "SKIPPED"
     first = (

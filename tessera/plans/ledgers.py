@@ -8,6 +8,7 @@ from tessera.functions import properties as P
 from tessera.operators import inventory as V
 from tessera.operators import ledger as L
 from tessera.operators import signals as G
+from tessera.scratch import materialize
 
 from .adapters import Source
 from .inventory import query
@@ -33,6 +34,7 @@ FROM {_STAGES} s LEFT JOIN (SELECT run_id, n, 'S' || CAST(lead(n) OVER (PARTITIO
 )
 def checkpoints(s: Source):
     lines = s.t("lineitem").groupBy(F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("n")).agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("k"), F.min("l_returnflag").alias("f"))
+    lines = materialize(lines, "lines")  # read for stages, events and artifacts
     lines = lines.withColumn("stage", F.concat(F.lit("S"), F.col("n").cast("string")))
     part = lambda c: F.concat(F.lit("P"), c.cast("string"))
     first = F.when(F.col("f") == "A", "STAGE_SKIPPED").otherwise("STAGE_STARTED")
@@ -45,9 +47,9 @@ def checkpoints(s: Source):
 
     parts = s.t("part").select(F.col("p_partkey").alias("x"), F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("path"), F.col("p_size").cast("long").alias("size"), F.sha2("p_name", 256).alias("sha256"))
     suppliers = s.t("supplier").select(F.col("s_suppkey").alias("x"), F.concat(F.lit("supplier/"), F.col("s_suppkey").cast("string")).alias("path"), F.lit(1).cast("long").alias("size"), F.sha2("s_name", 256).alias("sha256"))
-    own = lines.select("run_id", F.explode(F.array("p", F.col("p") + 1)).alias("x")).distinct().join(parts, "x").filter("x % 7 > 0")
+    own = lines.select("run_id", F.explode(F.array("p", F.col("p") + 1)).alias("x")).join(parts, "x").filter("x % 7 > 0")
     own = own.select("run_id", part(F.col("x")).alias("artifact_id"), "path", (F.col("size") + F.when(F.col("x") % 5 == 0, 1).otherwise(0)).alias("size"), F.when(F.col("x") % 6 == 0, "changed").otherwise(F.col("sha256")).alias("sha256"))
-    made = lines.select("run_id", F.col("k").alias("x")).distinct().join(suppliers, "x").select("run_id", F.concat(F.lit("K"), F.col("x").cast("string")).alias("artifact_id"), "path", "size", "sha256")
+    made = lines.select("run_id", F.col("k").alias("x")).join(suppliers, "x").select("run_id", F.concat(F.lit("K"), F.col("x").cast("string")).alias("artifact_id"), "path", "size", "sha256")
     listing = parts.filter("x % 9 > 0").unionByName(suppliers).drop("x")
     out = L.checkpoints(lines.filter("n < 7").select("run_id", F.col("n").alias("idx"), "stage"), events, own.unionByName(made), listing, lines.select("run_id", "stage"))
     lists = {n: F.array_join(c, d) for n, c, d in (("inputs", "input_artifacts", ","), ("outputs", "output_artifacts", ","), ("failed_conditions", "failed_conditions", "|"))}

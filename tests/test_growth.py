@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tessera import scratch
 from tessera.functions import text as X
 from tessera.operators import claims as K
 from tessera.operators import ledger
@@ -91,3 +92,38 @@ def test_a_patch_works_out_its_claims_once(spark):
     out = K.patch(claims, fields, current, index)
     assert len(re.findall(r"(?:LogicalRDD|LocalRelation) \[claim_id", plan(out))) == 1
     assert {r["claim_id"]: r["action"] for r in out.collect()} == {"c1": "ADD", "c2": "CONFLICT"}
+
+
+def _checkpoint_tables(spark, n: int):
+    requested = spark.range(n).select(F.concat(F.lit("r"), "id").alias("run_id"), F.lit(1).alias("idx"), F.lit("A").alias("stage"))
+    ids = F.array(F.lit("x"), F.lit("y"))
+    events = requested.select("run_id", F.lit(2).alias("seq"), F.lit("STAGE_COMPLETED").alias("event_type"), "stage", F.struct(F.lit("engine").alias("name")).alias("component"), ids.alias("input_artifacts"), F.array().cast("array<string>").alias("output_artifacts"))
+    artifacts = requested.select("run_id", F.explode(ids).alias("artifact_id")).withColumns({"path": F.col("artifact_id"), "size": F.lit(1).cast("long"), "sha256": F.lit("h")})
+    return requested, events, artifacts, spark.createDataFrame([("x", 1, "h"), ("y", 1, "other")], "path string, size long, sha256 string")
+
+
+def test_tasks_of_checkpoints_dont_grow_with_the_table(spark, shuffled, monkeypatch):
+    monkeypatch.setattr(scratch, "TASK_ROWS", 20)
+    out = ledger.checkpoints(*_checkpoint_tables(spark, 1000))
+    assert largest(out) < 0.05
+    assert out.filter("failed_conditions = array('INPUT_HASH_MISMATCH:y')").count() == 1000
+
+
+def test_an_artifact_registered_twice_is_the_first_row_by_path_size_and_digest(spark):
+    values = [None, "a", "b", "c"], [None, 1, 2, 3]
+    kinds = [(p, s, h) for p in ("p", "q", "z", None) for s in values[1] for h in values[0]]
+    pairs = [(f"r{i}-{j}", "x", *a) for i, a in enumerate(kinds) for j in range(i, len(kinds)) for a in (kinds[i], kinds[j])]
+    there = {"p": (2, "b"), "q": (2, None), "y": (1, "a")}
+    rows = spark.createDataFrame(pairs, "run_id string, artifact_id string, path string, size long, sha256 string")
+    runs = rows.select("run_id").distinct()
+    events = runs.select("run_id", F.lit(1).alias("seq"), F.lit("STAGE_COMPLETED").alias("event_type"), F.lit("A").alias("stage"), F.struct(F.lit("e").alias("name")).alias("component"), F.array(F.lit("x")).alias("input_artifacts"), F.lit(None).cast("array<string>").alias("output_artifacts"))
+    listing = spark.createDataFrame([(p, *v) for p, v in there.items()], "path string, size long, sha256 string")
+    got = {r["run_id"]: r["failed_conditions"] for r in ledger.checkpoints(runs.select("run_id", F.lit(0).alias("idx"), F.lit("A").alias("stage")), events, rows, listing).collect()}
+    held = {}
+    for run, _, *row in pairs:
+        held.setdefault(run, []).append(row)
+    for run, registered in held.items():
+        path, size, digest = min(registered, key=lambda r: [(v is not None, v or "" if k != 1 else v or 0) for k, v in enumerate(r)])
+        f = there.get(path)
+        why = "FILE_MISSING" if f is None else "SIZE_MISMATCH" if size != f[0] or size is None else "HASH_MISMATCH" if digest is None or digest != f[1] else None
+        assert got[run] == ([f"INPUT_{why}:x"] if why else []), registered
