@@ -10,6 +10,7 @@ from tessera import scratch
 from tessera.functions import text as X
 from tessera.operators import claims as K
 from tessera.operators import ledger
+from tessera.operators import rules as R
 from tessera.plans import registry
 
 
@@ -127,3 +128,22 @@ def test_an_artifact_registered_twice_is_the_first_row_by_path_size_and_digest(s
         f = there.get(path)
         why = "FILE_MISSING" if f is None else "SIZE_MISMATCH" if size != f[0] or size is None else "HASH_MISMATCH" if digest is None or digest != f[1] else None
         assert got[run] == ([f"INPUT_{why}:x"] if why else []), registered
+
+
+def test_a_date_by_itself_needs_no_cutting_and_reads_as_before(spark):
+    want = {"2024-1-5": "2024-01-05", "05/1/2024": "2024-01-05", "2024-02-31": "2024-01-01", "31/2/2024": "2024-01-01", "0000-01-01": "0000-01-01", "1/1/0000": "0000-01-01", "2024-1-5\n": "2024-01-05", " 5/1/2024 ": "2024-01-05", "2024-01-05T10:00": "2024-01-05", "2024-13-01": "2024-01-01", "0999-03-04": "0999-03-04", "soon": None, "": None, None: None}
+    rows = spark.createDataFrame([(v,) for v in want], "v string").select("v", X.parse_date(F.col("v")).cast("string").alias("d"))
+    assert {r["v"]: r["d"] for r in rows.collect()} == want
+
+
+def test_the_audit_normalises_a_text_once(spark):
+    cfg = R.Config(entities={"work": R.Entity(fields={"note": R.Field()})}, placeholders=("to do",), promotional=("Été",), vague=("of",), generated=("and", "the"))
+    said = "The séa and the land of the long été are one thing here. "
+    bodies = [said * 3 + "End", "x" * 41 + ". " + said, said.upper() + "To-do!\n" + said, "　 . ? ", "Land. of\x1c the! and", None, "ﬁt ⒈ of. " + "½ of the and " * 9]
+    rows = [("work", f"w{i}", f"t{i}", {"note": b and b[:60]}, b) for i, b in enumerate(bodies)]
+    corpus = spark.createDataFrame(rows, "entity string, id string, title string, fields map<string,string>, body string")
+    both = R.text_rules(corpus, cfg)
+    assert "translate(" not in plan(both), "issues and sentences come from one written table"
+    codes = [R.text_rules(corpus, cfg, (c,)) for c in (*R.TEXT_CODES, "Q07")]
+    apart = sorted(tuple(r) for one in codes for r in one.collect())
+    assert sorted(map(tuple, both.collect())) == apart and {r[0] for r in apart} == {*R.TEXT_CODES, "Q07"}
