@@ -321,11 +321,11 @@ def discover(claims: DataFrame, rows: DataFrame, hints: DataFrame, primary: str
     """name, type_source, entity_type and generate of every subject and object but the primary one: matched_existing_row
     (the type of the first row of that title), hinted_not_confirmed (by the longest hint for the predicate and side) or
     no_signal, which generates nothing."""
-    named = claims.select("predicate", "ord", F.expr("stack(2, 'subject', subject_raw, 'object', object_raw) as (anchor, name)"))
-    named = named.withColumn("name", X.strip(F.col("name"))).withColumn("_k", X.norm(F.col("name"))).filter((F.col("name") != "") & (F.col("_k") != F.lit(primary)))
+    # a name is looked at once for each predicate and side, not once a claim
+    said = claims.select("predicate", "ord", F.expr("stack(2, 'subject', subject_raw, 'object', object_raw) as (anchor, name)")).groupBy("name", "predicate", "anchor").agg(F.min("ord").alias("ord"))
+    per = said.select("ord", "anchor", X.norm(F.col("predicate")).alias("_np"), F.inline(F.array(F.struct(X.strip(F.col("name")).alias("name"), X.norm(F.col("name")).alias("_k"))))).filter((F.col("name") != "") & (F.col("_k") != F.lit(primary)))
     t = rows.groupBy(X.norm(F.col("title")).alias("_t")).agg(F.min_by("entity_type", "ord").alias("_type"))
     h = hints.select(X.norm(F.col("predicate")).alias("_hp"), F.col("anchor").alias("_ha"), F.col("entity_type").alias("_ht"), F.length("predicate").alias("_hl"))
-    per = named.groupBy("name", "_k", X.norm(F.col("predicate")).alias("_np"), "anchor").agg(F.min("ord").alias("ord"))
     out = per.join(h, (F.col("_np") == F.col("_hp")) & (F.col("anchor") == F.col("_ha")), "left")
     out = out.groupBy("name", "_k").agg(F.min("ord").alias("ord"), F.max_by("_ht", F.struct("_hl", "_ht")).alias("_ht"))
     out = out.join(t, F.col("_k") == F.col("_t"), "left")

@@ -147,3 +147,21 @@ def test_the_audit_normalises_a_text_once(spark):
     codes = [R.text_rules(corpus, cfg, (c,)) for c in (*R.TEXT_CODES, "Q07")]
     apart = sorted(tuple(r) for one in codes for r in one.collect())
     assert sorted(map(tuple, both.collect())) == apart and {r[0] for r in apart} == {*R.TEXT_CODES, "Q07"}
+
+
+def test_discovery_looks_at_a_name_once_for_each_predicate_and_side(spark):
+    claims = spark.createDataFrame([(" É b ", "made-by", "x", 3), ("É b", "made by", "", 1), ("e B", "Made By", None, 2), ("e B", "Made By", "Prime", 5)], "subject_raw string, predicate string, object_raw string, ord long")
+    hints = spark.createDataFrame([("made by", "subject", "thing")], "predicate string, anchor string, entity_type string")
+    rows = spark.createDataFrame([("row", "X", 1)], "entity_type string, title string, ord int")
+    out = K.discover(claims, rows, hints, "prime")
+    assert sorted((r["name"], r["ord"], r["type_source"], r["entity_type"]) for r in out.collect()) == [("e B", 2, "hinted_not_confirmed", "thing"), ("x", 3, "matched_existing_row", "row"), ("É b", 1, "hinted_not_confirmed", "thing")]
+    steps = plan(out).split("\n")
+    names = next(i for i, line in enumerate(steps) if "Generate stack(" in line)
+    grouped = max(i for i, line in enumerate(steps[:names]) if "Aggregate [name" in line)
+    assert not any("translate(" in line for line in steps[grouped : names + 1])
+
+
+def test_the_merged_index_brings_short_ids_together_and_hashes_them_where_shown(spark):
+    steps = plan(registry.QUERIES["merged_index"](spark, "/root/testdata/sf0.001")).split("\n")
+    merged = next(i for i, line in enumerate(steps) if "Window [" in line)
+    assert any("sha2(" in line for line in steps[:merged]) and not any("sha2(" in line for line in steps[merged:])
