@@ -1,8 +1,10 @@
 """What decides how a query's cost grows: how often its plan repeats work, and what its shuffles carry."""
 
 import re
+from hashlib import sha256
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +167,26 @@ def test_the_merged_index_brings_short_ids_together_and_hashes_them_where_shown(
     steps = plan(registry.QUERIES["merged_index"](spark, "/root/testdata/sf0.001")).split("\n")
     merged = next(i for i, line in enumerate(steps) if "Window [" in line)
     assert any("sha2(" in line for line in steps[:merged]) and not any("sha2(" in line for line in steps[merged:])
+
+
+def test_sentences_normalise_as_their_text_does(spark):
+    odd = "".join(map(chr, [*range(0x80), *range(0xA0, 0x250), *range(0x2000, 0x2200), 0x1F110, 0x1D518]))
+    said = [odd, odd * 2 + ".\x01 x", "é" * 41 + "?\n　" + "ß" * 41 + "! \x1c" + "a" * 40 + " . B", "a.\x01 b", "one\x01two. . \u0085three", "", None, "ﬁt ⒈ of. ½"]
+    rows = spark.createDataFrame(list(enumerate(said)), "i int, t string")
+    got = [r["s"] for r in rows.select("i", X.normal_sentences()(F.col("t")).alias("s")).orderBy("i").collect()]
+    assert [r["n"] for r in got] == list(X.exact_norm(pd.Series(said)))
+    for text, r in zip(said, got, strict=True):
+        parts = re.split(r"(?<=[.!?])[ \t\n\x0b\f\r]+", text or "")
+        long_ = [n for p, n in zip(parts, X.exact_norm(pd.Series(parts)), strict=True) if len(p.strip(X.STRIPPED)) > 40]
+        assert [bytes(k) for k in r["keys"]] == [sha256(n.encode()).digest() for n in long_]
+    spaces = spark.range(0x110000).filter("id not between 55296 and 57343").select("id", F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("x"))
+    assert "".join(r["x"] for r in spaces.filter(F.length(X.strip(F.col("x"))) == 0).orderBy("id").collect()) == "".join(sorted(X.STRIPPED))
+
+
+def test_the_audit_matches_no_pattern_at_each_word_and_looks_for_inverses_only_where_there_are_any(spark):
+    assert "[^a-z0-9]+" not in plan(spark.range(1).select(X.norm(F.col("id"))))
+    corpus = spark.createDataFrame([("a", "1", "A", {"b": ["2"], "c": ["2"]}, 1), ("b", "2", "B", {"a": ["1"]}, 2)], "entity string, id string, title string, relations map<string,array<string>>, ord int")
+    cfg = R.Config(entities={"a": R.Entity(relations={"b": R.Relation("b", inverse="a"), "c": R.Relation("b")}), "b": R.Entity(relations={"a": R.Relation("a", inverse="b")})})
+    out = R.relation_rules(corpus, cfg)
+    assert out.count() == 0
+    assert re.search(r"_rel#\d+ IN \(a,b\)", plan(out))
