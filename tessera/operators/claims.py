@@ -30,37 +30,58 @@ def resolve(raw: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataFrame:
     through the aliases; one row of that title: MATCH; none and a key that isn't empty: NEW_ENTITY with an id made from
     the key; else AMBIGUOUS.  Candidates are first brought to a row a key, so a frequent title joins once, and aliases to
     their names' titles, so that texts meet their own row and not the one of a name that many aliases share."""
+    known = known_texts(rows, aliases)
+    return with_resolution(resolve_side(resolve_side(raw, "subject", known), "object", known))
+
+
+def known_texts(rows: DataFrame, aliases: DataFrame) -> DataFrame:
+    """_raw, _key, _n, _id: of each normalised title or alias, the title it stands for, how many rows have that, and one's
+    id."""
     titles = rows.select(X.norm(F.col("title")).alias("_k"), "id").groupBy("_k").agg(F.count("*").alias("_n"), F.min("id").alias("_id"))
     a = aliases.filter("alias IS NOT NULL").select(F.col("alias").alias("_raw"), F.coalesce("name", "alias").alias("_key"))
     known = titles.join(a, F.col("_k") == F.col("_raw"), "left_anti").select(F.col("_k").alias("_raw"), F.col("_k").alias("_key"), "_n", "_id")
-    known = known.unionByName(a.join(titles, F.col("_key") == F.col("_k"), "left").select("_raw", "_key", "_n", "_id"))
-    out = raw
-    for side in ("subject", "object"):
-        out = out.withColumn("_text", X.norm(F.col(f"{side}_raw"), "none")).join(known, F.col("_text") == F.col("_raw"), "left")
-        out = out.withColumn("_key", F.coalesce("_key", "_text"))
-        new = F.col("_n").isNull() & (F.col("_key") != "")
-        ident = F.when(F.col("_n") == 1, F.col("_id")).when(new, F.concat(F.lit("new:"), F.left(F.sha2("_key", 256), F.lit(16))))
-        match = F.when(F.col("_n") == 1, "MATCH").when(new, "NEW_ENTITY").otherwise("AMBIGUOUS")
-        out = out.withColumns({f"{side}_id": ident, f"{side}_match": match}).drop("_text", "_raw", "_key", "_n", "_id")
+    return known.unionByName(a.join(titles, F.col("_key") == F.col("_k"), "left").select("_raw", "_key", "_n", "_id"))
+
+
+def resolve_side(raw: DataFrame, side: str, known: DataFrame) -> DataFrame:
+    """raw, or any table of texts that claims are made of, with the id and match of one side."""
+    out = raw.withColumn("_text", X.norm(F.col(f"{side}_raw"), "none")).join(known, F.col("_text") == F.col("_raw"), "left")
+    out = out.withColumn("_key", F.coalesce("_key", "_text"))
+    new = F.col("_n").isNull() & (F.col("_key") != "")
+    ident = F.when(F.col("_n") == 1, F.col("_id")).when(new, F.concat(F.lit("new:"), F.left(F.sha2("_key", 256), F.lit(16))))
+    match = F.when(F.col("_n") == 1, "MATCH").when(new, "NEW_ENTITY").otherwise("AMBIGUOUS")
+    return out.withColumns({f"{side}_id": ident, f"{side}_match": match}).drop("_text", "_raw", "_key", "_n", "_id")
+
+
+def with_resolution(out: DataFrame) -> DataFrame:
     unclear = (F.col("subject_match") == "AMBIGUOUS") | (F.col("object_match") == "AMBIGUOUS")
     return out.withColumn("resolution", F.when(unclear, "PENDING_RESOLUTION").otherwise("RESOLVED"))
 
 
-def consolidate(resolved: DataFrame) -> DataFrame:
+def claim_ident(key: Column) -> Column:
+    return F.concat(F.lit("claim:"), F.sha2(key, 256))
+
+
+def consolidate(resolved: DataFrame, dealt: bool = False, hashed: bool = True, **more: Column) -> DataFrame:
     """One row a claim: id (of both ends, the normalised predicate and the qualifiers, as JSON), first texts by ord, best
-    status, file ids and excerpts in order of appearance.  Without a column qualifiers there are none."""
+    status, file ids and excerpts in order of appearance.  Without a column qualifiers there are none.
+
+    dealt: resolved lies by subject_id already; hashed=False leaves the id as that JSON, for plans that shuffle it and show
+    claim_ident of it; more: further aggregates of the rows of a claim."""
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     held = resolved if "qualifiers" in resolved.columns else resolved.withColumn("qualifiers", none)
     said = F.map_from_entries(F.array_sort(F.map_entries(F.coalesce("qualifiers", none))))
     key = F.concat(F.lit("["), F.concat_ws(",", X.quoted(F.col("subject_id")), X.quoted(X.norm(F.col("predicate"), "none")), X.quoted(F.col("object_id")), F.to_json(said)), F.lit("]"))
-    held = held.filter("resolution = 'RESOLVED'").withColumn("status", F.coalesce("status", F.lit(DEFAULT_STATUS)))
+    # rows travel once and by subject, as what follows wants them, before anything is made of them: as partial lists they
+    # would be twice as wide
+    held = held.filter("resolution = 'RESOLVED'") if dealt else held.filter("resolution = 'RESOLVED'").repartition("subject_id")
+    held = held.withColumn("status", F.coalesce("status", F.lit(DEFAULT_STATUS)))
     held = held.withColumn("_key", key).withColumn("_rank", rank(F.col("status")))
 
     def ordered(column: str):
         return F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", column))), lambda s: s[column]))
 
-    # rows travel once and by subject, as what follows wants them: as partial lists they would be twice as wide
-    out = held.repartition("subject_id").groupBy("subject_id", "_key").agg(
+    out = held.groupBy("subject_id", "_key").agg(
         F.min_by("subject_raw", "ord").alias("subject"),
         F.min_by("predicate", "ord").alias("predicate"),
         F.min_by("object_raw", "ord").alias("object"),
@@ -69,9 +90,10 @@ def consolidate(resolved: DataFrame) -> DataFrame:
         ordered("file_id").alias("source_file_ids"),
         ordered("evidence_excerpt").alias("source_excerpts"),
         F.min("ord").alias("ord"),
+        *[c.alias(name) for name, c in more.items()],
     )
-    ident = F.concat(F.lit("claim:"), F.sha2("_key", 256)).alias("claim_id")
-    return out.select(ident, "subject", "predicate", "object", "subject_id", "qualifiers", "status", "source_file_ids", "source_excerpts", "ord")
+    ident = (claim_ident(F.col("_key")) if hashed else F.col("_key")).alias("claim_id")
+    return out.select(ident, "subject", "predicate", "object", "subject_id", "qualifiers", "status", "source_file_ids", "source_excerpts", "ord", *more)
 
 
 def _asked(entities: DataFrame, claims: DataFrame, names: list[str]) -> DataFrame:
@@ -219,16 +241,19 @@ def _covered(concept: Column, body: Column) -> Column:
     return F.exists(F.coalesce(F.element_at(words, own), F.array(own)), lambda w: body.contains(w))
 
 
-def body_candidates(claims: DataFrame, bodies: DataFrame, index: DataFrame, house: str) -> DataFrame:
+def body_candidates(claims: DataFrame, bodies: DataFrame, index: DataFrame | None, house: str) -> DataFrame:
     """Where each claim belongs in its entity's page and what to do with it: section, subsection, semantic_class, text,
     delta_text, source_id, source_path and action.  KEEP_EVIDENCE for what only describes a source; HOLD where the status
     needs a review or no locator is known; themes are compared concept by concept: KEEP_CONTEXT or KEEP_SEMANTIC if the
     body has them all, PARTIAL_ADD of the new ones, ADD; other texts KEEP_SEMANTIC if the body holds them, else ADD.
-    bodies: entity_id, body; index: file_id, paths; house: the name of the house whose relations make a section."""
+    bodies: entity_id, body; index: file_id, paths, or None where claims have source_path, their first file's first; house:
+    the name of the house whose relations make a section."""
     b = bodies.select(F.col("entity_id").alias("_e"), F.lower("body").alias("_b"))
-    first = index.select(F.col("file_id").alias("_f"), F.get("paths", F.lit(0)).alias("source_path"))
     out = claims.withColumn("source_id", F.get("source_file_ids", F.lit(0)))
-    out = out.join(first, F.col("source_id") == F.col("_f"), "left").join(b, F.col("subject_id") == F.col("_e"), "left")
+    if index is not None:
+        first = index.select(F.col("file_id").alias("_f"), F.get("paths", F.lit(0)).alias("source_path"))
+        out = out.join(first, F.col("source_id") == F.col("_f"), "left")
+    out = out.join(b, F.col("subject_id") == F.col("_e"), "left")
     p, body = F.lower(X.strip(F.coalesce("predicate", F.lit("")))), F.coalesce("_b", F.lit(""))
     subject, predicate, obj = (X.strip(F.coalesce(F.col(c), F.lit(""))) for c in ("subject", "predicate", "object"))
     words = F.lower(F.concat(p, F.lit(" "), F.coalesce("object", F.lit(""))))

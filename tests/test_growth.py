@@ -190,3 +190,25 @@ def test_the_audit_matches_no_pattern_at_each_word_and_looks_for_inverses_only_w
     out = R.relation_rules(corpus, cfg)
     assert out.count() == 0
     assert re.search(r"_rel#\d+ IN \(a,b\)", plan(out))
+
+
+def above(df, step: str) -> list[str]:
+    """The steps of the physical plan that take what a step makes, nearest first."""
+    lines = re.findall(r"^(?:[ :]*[:+]- )?(?:\*\(\d+\) )?[A-Z][a-z].*", df._jdf.queryExecution().executedPlan().toString(), re.M)
+    at = next(i for i, line in enumerate(lines) if re.search(step, line))
+    out, deep = [], re.search(r"\w|\*", lines[at]).start()
+    for line in lines[at - 1 :: -1] if at else []:
+        found = re.search(r"\w|\*", line)
+        if found and found.start() < deep:
+            out.append(line)
+            deep = found.start()
+    return out
+
+
+CONSOLIDATED = r"keys?=\[subject_id#\w+, _key#\w+"
+
+
+@pytest.mark.parametrize("name", ["body_candidates", "body_markdown"])
+def test_claims_are_not_dealt_out_again_once_they_are_consolidated(spark, shuffled, name):
+    steps = above(registry.QUERIES[name](spark, "/root/testdata/sf0.001"), CONSOLIDATED)
+    assert steps and not any("Exchange" in step for step in steps)
