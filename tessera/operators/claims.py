@@ -472,19 +472,22 @@ def facts_to_claims(facts: DataFrame) -> DataFrame:
     )
 
 
-def summarize_verification(claims: DataFrame, web_files: DataFrame) -> DataFrame:
+def summarize_verification(claims: DataFrame, web_files: DataFrame | None = None) -> DataFrame:
     """Per entity: EXECUTED with the predicates, in order, that are VERIFIED and that are still SUPPORTED_BY_WEB among its
-    claims with a source from the web; NOT_EXECUTED where it has none."""
-    w = web_files.select(F.col("file_id").alias("_f")).distinct()
-    each = claims.select("claim_id", F.explode("source_file_ids").alias("_id"))
-    web = each.join(w, F.col("_id") == F.col("_f"), "left_semi").select(F.col("claim_id").alias("_c")).distinct()
-    held = claims.join(web, F.col("claim_id") == F.col("_c"), "left")
+    claims with a source from the web; NOT_EXECUTED where it has none.  Without web_files claims have from_web, whether any
+    of their files is from there."""
+    held = claims
+    if web_files is not None:
+        w = web_files.select(F.col("file_id").alias("_f")).distinct()
+        each = claims.select("claim_id", F.explode("source_file_ids").alias("_id"))
+        web = each.join(w, F.col("_id") == F.col("_f"), "left_semi").select(F.col("claim_id").alias("_c")).distinct()
+        held = claims.join(web, F.col("claim_id") == F.col("_c"), "left").withColumn("from_web", F.col("_c").isNotNull())
 
     def listed(status: str) -> Column:
-        found = F.collect_list(F.when(F.col("_c").isNotNull() & (F.col("status") == status), F.struct("ord", "predicate")))
+        found = F.collect_list(F.when(F.col("from_web") & (F.col("status") == status), F.struct("ord", "predicate")))
         return F.array_join(F.transform(F.array_sort(found), lambda x: x["predicate"]), "|")
 
-    ran = F.when(F.count("_c") > 0, "EXECUTED").otherwise("NOT_EXECUTED")
+    ran = F.when(F.coalesce(F.bool_or("from_web"), F.lit(False)), "EXECUTED").otherwise("NOT_EXECUTED")
     return held.groupBy("subject_id").agg(ran.alias("state"), listed("VERIFIED").alias("verified"), listed("SUPPORTED_BY_WEB").alias("pending"))
 
 
