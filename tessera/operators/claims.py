@@ -181,21 +181,24 @@ def retrieval_gaps(entities: DataFrame, claims: DataFrame, fields: list[str]) ->
     return gap.groupBy("entity_id").agg(F.array_join(F.sort_array(F.collect_list("name")), "|").alias("missing"))
 
 
-def patch(claims: DataFrame, fields: DataFrame, current: DataFrame, index: DataFrame) -> DataFrame:
+def patch(claims: DataFrame, fields: DataFrame, current: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """claim_id, action, reason and property of the claims of entities that exist or not.  CONFLICT where the status isn't
     supported, no source or no locator is known, or no field has the predicate's name; a property is an ADD where the
     entity has no value, nothing where it has this one, else an UPDATE; a relation is a CONFLICT unless its list holds the
     value.  fields: name, key, property, kind (property or relation); current: entity_id, key, value, list; index:
-    file_id, paths."""
+    file_id, paths; without it claims have located, whether any of their files has a path."""
     f = fields.select(X.norm(F.col("name")).alias("_n"), F.col("key").alias("_key"), "property", "kind")
-    c = current.select(F.col("entity_id").alias("_e"), F.col("key").alias("_k"), F.col("value").alias("_v"), F.col("list").alias("_l"))
-    located = index.filter(F.size("paths") > 0).select(F.col("file_id").alias("_f")).distinct()
+    # an entity's values travel as one list, by entity alone, as claims lie already
+    c = current.groupBy(F.col("entity_id").alias("_e")).agg(F.collect_list(F.struct(F.col("key").alias("_k"), F.col("value").alias("_v"), F.col("list").alias("_l"))).alias("_all"))
     held = ["claim_id", "subject_id", "predicate", "object", "status"]
-    each = claims.select(*held, F.explode_outer("source_file_ids").alias("_s")).join(located, F.col("_s") == F.col("_f"), "left")
-    out = each.groupBy(*held).agg(F.bool_or(F.col("_f").isNotNull()).alias("_c"))
-    out = out.join(f, X.norm(F.col("predicate")) == F.col("_n"), "left")
-    out = out.join(c, (F.col("subject_id") == F.col("_e")) & (F.col("_key") == F.col("_k")), "left")
-    fine = F.coalesce(F.upper("status").isin(*SUPPORTED), F.lit(False)) & F.col("_c")
+    out = claims
+    if index is not None:
+        located = index.filter(F.size("paths") > 0).select(F.col("file_id").alias("_f")).distinct()
+        each = claims.select(*held, F.explode_outer("source_file_ids").alias("_s")).join(located, F.col("_s") == F.col("_f"), "left")
+        out = each.groupBy(*held).agg(F.bool_or(F.col("_f").isNotNull()).alias("located"))
+    out = out.join(F.broadcast(f), X.norm(F.col("predicate")) == F.col("_n"), "left").join(c, F.col("subject_id") == F.col("_e"), "left")
+    out = out.select(*held, "located", "_key", "property", "kind", F.inline_outer(F.filter("_all", lambda x: x["_k"] == F.col("_key"))))
+    fine = F.coalesce(F.upper("status").isin(*SUPPORTED), F.lit(False)) & F.coalesce("located", F.lit(False))
     reason = (
         F.when(~fine, "UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE")
         .when(F.col("_key").isNull(), "PREDICATE_NOT_IN_ARTISTA_SCHEMA")

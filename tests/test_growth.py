@@ -208,7 +208,7 @@ def above(df, step: str) -> list[str]:
 CONSOLIDATED = r"keys?=\[subject_id#\w+, _key#\w+"
 
 
-@pytest.mark.parametrize("name", ["body_candidates", "body_markdown", "web_verification"])
+@pytest.mark.parametrize("name", ["body_candidates", "body_markdown", "web_verification", "claims_patch"])
 def test_claims_are_not_dealt_out_again_once_they_are_consolidated(spark, shuffled, name):
     steps = above(registry.QUERIES[name](spark, "/root/testdata/sf0.001"), CONSOLIDATED)
     assert steps and not any("Exchange" in step for step in steps)
