@@ -139,15 +139,22 @@ def provenance(claims: DataFrame) -> DataFrame:
     return claims.select("claim_id", F.explode(some).alias("file_id"))
 
 
-def corroborate(claims: DataFrame, sources: DataFrame, k: int = 2) -> DataFrame:
+def corroborate(claims: DataFrame, sources: DataFrame | None = None, k: int = 2) -> DataFrame:
     """claims whose status SUPPORTED_BY_WEB becomes VERIFIED where at least k different normalised URLs support them.
-    sources: file_id, url."""
+    sources: file_id, url; without them claims have urls, those of their files by urls_of_files."""
+    web = F.col("status") == "SUPPORTED_BY_WEB"
+    if sources is None:
+        return claims.withColumn("status", F.when(web & (F.size(F.array_distinct(F.coalesce("urls", F.array()))) >= k), "VERIFIED").otherwise(F.col("status"))).drop("urls")
     u = sources.select(F.col("file_id").alias("_f"), X.normalize_url(F.col("url")).alias("_u"))
     each = claims.filter("status = 'SUPPORTED_BY_WEB'").select("claim_id", F.explode("source_file_ids").alias("_id"))
     n = each.join(u, F.col("_id") == F.col("_f")).groupBy(F.col("claim_id").alias("_c")).agg(F.countDistinct("_u").alias("_n"))
     out = claims.join(n, F.col("claim_id") == F.col("_c"), "left")
-    enough = (F.col("status") == "SUPPORTED_BY_WEB") & (F.coalesce("_n", F.lit(0)) >= k)
-    return out.withColumn("status", F.when(enough, "VERIFIED").otherwise(F.col("status"))).drop("_c", "_n")
+    return out.withColumn("status", F.when(web & (F.coalesce("_n", F.lit(0)) >= k), "VERIFIED").otherwise(F.col("status"))).drop("_c", "_n")
+
+
+def urls_of_files(sources: DataFrame) -> DataFrame:
+    """file_id and urls, its normalised ones.  sources: file_id, url."""
+    return sources.groupBy("file_id").agg(F.collect_set(X.normalize_url(F.col("url"))).alias("urls"))
 
 
 FINDING = ("predicate", "object_raw", "url", "evidence_excerpt")

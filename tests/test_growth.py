@@ -208,7 +208,27 @@ def above(df, step: str) -> list[str]:
 CONSOLIDATED = r"keys?=\[subject_id#\w+, _key#\w+"
 
 
-@pytest.mark.parametrize("name", ["body_candidates", "body_markdown", "web_verification", "claims_patch"])
+@pytest.mark.parametrize("name", ["body_candidates", "body_markdown", "web_verification", "claims_patch", "claims_corroborate"])
 def test_claims_are_not_dealt_out_again_once_they_are_consolidated(spark, shuffled, name):
     steps = above(registry.QUERIES[name](spark, "/root/testdata/sf0.001"), CONSOLIDATED)
     assert steps and not any("Exchange" in step for step in steps)
+
+
+def test_claims_that_hold_what_is_known_of_their_files_need_no_index(spark):
+    claims = spark.createDataFrame([("c1", "e", 1, "made by", "s", "x", "VERIFIED", ["f", "g"]), ("c2", "e", 2, "made by", "s", "y", "SUPPORTED_BY_WEB", ["g", "h"]), ("c3", "d", 3, "said", "s", "z", "VERIFIED", [])], "claim_id string, subject_id string, ord int, predicate string, subject string, object string, status string, source_file_ids array<string>")
+    index = spark.createDataFrame([("f", ["a"]), ("g", []), ("h", ["b", "c"])], "file_id string, paths array<string>")
+    told = spark.createDataFrame([("c1", True, "a", True, ["u", "u"]), ("c2", True, None, False, ["u", "v"]), ("c3", None, None, None, None)], "claim_id string, located boolean, source_path string, from_web boolean, urls array<string>")
+    held = claims.join(told, "claim_id")
+    fields = spark.createDataFrame([("made by", "maker", "Maker", "property")], "name string, key string, property string, kind string")
+    current = spark.createDataFrame([("e", "maker", "x", None), ("e", "maker", "y", None), ("e", "other", "x", None)], "entity_id string, key string, value string, list array<string>")
+    bodies = spark.createDataFrame([("e", "text")], "entity_id string, body string")
+    sources = spark.createDataFrame([("f", "http://u/"), ("g", "https://www.U"), ("h", "v?q")], "file_id string, url string")
+
+    def rows(df, *names):
+        return sorted((tuple(r) for r in df.select(*names or df.columns).collect()), key=repr)
+
+    assert rows(K.patch(held, fields, current)) == rows(K.patch(claims, fields, current, index)) == [("c1", "UPDATE", None, "Maker"), ("c2", "CONFLICT", "UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE", "Maker"), ("c2", "CONFLICT", "UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE", "Maker"), ("c3", "CONFLICT", "UNSUPPORTED_STATUS_OR_MISSING_PROVENANCE", None)]
+    assert rows(K.body_candidates(held, bodies, None, "h")) == rows(K.body_candidates(claims, bodies, index, "h").select(K.body_candidates(held, bodies, None, "h").columns))
+    assert rows(K.summarize_verification(held)) == rows(K.summarize_verification(claims, index.filter("file_id = 'f'"))) == [("d", "NOT_EXECUTED", "", ""), ("e", "EXECUTED", "made by", "")]
+    assert rows(K.corroborate(held), "claim_id", "status") == rows(K.corroborate(claims, sources), "claim_id", "status") == [("c1", "VERIFIED"), ("c2", "VERIFIED"), ("c3", "VERIFIED")]
+    assert rows(K.urls_of_files(sources)) == [("f", ["u"]), ("g", ["u"]), ("h", ["v"])]
