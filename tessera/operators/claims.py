@@ -377,34 +377,48 @@ def entity_operations(entities: DataFrame, claims: DataFrame, rows: DataFrame, h
 
     hints: entity_type, layer (relation or field), predicate, anchor (relations), key, target_type; schema: entity_type,
     key, property; rows: id, entity_type, title, fields (map)."""
-    k = F.col("_k")
-    sides = claims.select("claim_id", "ord", "predicate", "subject", "object", "status", F.explode(F.array_distinct(F.array(X.norm(F.col("subject")), X.norm(F.col("object"))))).alias("_k"))
-    own = entities.select("name", "entity_type", X.norm(F.col("name")).alias("_n")).distinct()
-    own = own.join(compare_rows(rows), (F.col("entity_type") == F.col("_ot")) & (F.col("_n") == F.col("_on")), "left").drop("_ot", "_on")
-    each = own.join(sides, F.col("_n") == k)
     h = hints.select(F.col("entity_type").alias("_t"), X.norm(F.col("predicate")).alias("_p"), "layer", "anchor", "key", "target_type", (F.col("layer") == "field").alias("_late"), F.col("turn").alias("_turn"))
     # the first hint of a type and predicate, before any claim is joined
     h = h.groupBy("_t", "_p").agg(F.min(F.struct("_late", "_turn", "layer", "anchor", "key", "target_type")).alias("_h")).select("_t", "_p", "_h.layer", "_h.anchor", "_h.key", "_h.target_type")
-    each = each.join(h, (F.col("entity_type") == F.col("_t")) & (X.norm(F.col("predicate")) == F.col("_p")), "left")
+    names = _names(entities, rows, h)
+    # claims travel once by each side's text, and become an operation for each entity after that
+    held = ["claim_id", "ord", "predicate", "subject", "object", "status"]
+    each = claims.select(*held, X.norm(F.col("object")).alias("_k")).join(names.toDF("_n", "_who_object", "_types_object"), F.col("_k") == F.col("_n"), "left").withColumn("_s", X.norm(F.col("subject")))
+    each = each.withColumn("_who_object", F.when(F.col("_k") != F.col("_s"), F.col("_who_object"))).drop("_k", "_n")
+    each = each.join(names.toDF("_n", "_who_subject", "_types_subject"), F.col("_s") == F.col("_n"), "left")
+    who = F.explode(F.concat(F.coalesce("_who_subject", F.array()), F.coalesce("_who_object", F.array())))
+    each = each.select(*held, "_types_subject", "_types_object", who.alias("_w")).select("*", "_w.*").drop("_w")
+    each = each.join(F.broadcast(h), (F.col("entity_type") == F.col("_t")) & (X.norm(F.col("predicate")) == F.col("_p")), "left")
     each = each.withColumn("layer", F.coalesce("layer", F.lit("body")))
-    each = each.withColumn("target", F.when(F.col("layer") == "relation", F.when(F.col("anchor") == "subject", F.col("subject")).otherwise(F.col("object"))))
-    t = rows.groupBy(F.col("entity_type").alias("_rt"), X.norm(F.col("title")).alias("_rn2")).agg(F.min_by("id", "ord").alias("target_id"))
-    # what has no target gets a key of its own, which no title has, or one task would get all of it
-    each = each.withColumn("_to", F.when(F.col("target").isNotNull() & F.col("target_type").isNotNull(), X.norm(F.col("target"))).otherwise(F.concat(F.lit("?"), "claim_id")))
-    each = each.join(t, (F.coalesce("target_type", F.lit("")) == F.col("_rt")) & (F.col("_to") == F.col("_rn2")), "left")
+    of_subject = F.coalesce(F.col("anchor") == "subject", F.lit(False))
+    target, types = (F.when(of_subject, F.col(f"{c}subject")).otherwise(F.col(f"{c}object")) for c in ("", "_types_"))
+    each = each.withColumn("_target", (F.col("layer") == "relation") & target.isNotNull() & F.coalesce(F.array_contains(types, F.col("target_type")), F.lit(False)))
     s = schema.select(F.col("entity_type").alias("_st"), F.col("key").alias("_sk"), "property")
-    each = each.join(s, (F.col("entity_type") == F.col("_st")) & (F.col("key") == F.col("_sk")), "left")
+    each = each.join(F.broadcast(s), (F.col("entity_type") == F.col("_st")) & (F.col("key") == F.col("_sk")), "left")
     old = F.when(F.col("_rows") == 1, F.element_at("_fields", F.col("key")))
-    relation = F.when(F.col("property").isNull(), "RELATION_NOT_IN_ENTITY_SCHEMA").when(F.col("target_id").isNull(), "RELATION_TARGET_ID_NOT_RESOLVED").otherwise("RELATION_WRITE_NOT_SUPPORTED")
+    relation = F.when(F.col("property").isNull(), "RELATION_NOT_IN_ENTITY_SCHEMA").when(~F.col("_target"), "RELATION_TARGET_ID_NOT_RESOLVED").otherwise("RELATION_WRITE_NOT_SUPPORTED")
     empty, same = F.coalesce(old, F.lit("")) == "", F.coalesce(old == F.col("object"), F.lit(False))
     field_ = F.when(F.col("property").isNull(), "FIELD_NOT_IN_ENTITY_SCHEMA").when(~empty & ~same, "FIELD_VALUE_MISMATCH")
     reason = F.when(F.col("layer") == "relation", relation).when(F.col("layer") == "field", field_)
     action = F.when(F.col("layer") == "body", None).when(reason.isNotNull(), "CONFLICT").when(same & ~empty, "KEEP").otherwise("ADD")
-    lost = ((F.col("layer") == "relation") & F.col("target_id").isNull()) | ((F.col("layer") == "field") & reason.isNotNull())
+    lost = ((F.col("layer") == "relation") & ~F.col("_target")) | ((F.col("layer") == "field") & reason.isNotNull())
     status = F.when(F.col("layer") != "body", F.when(lost, "MISSING").otherwise(F.col("status")))
     return each.select("name", "entity_type", "claim_id", "ord", "layer", "key", "property", action.alias("action"), reason.alias("reason"), status.alias("gate_status"))
 
 
+def _names(entities: DataFrame, rows: DataFrame, hints: DataFrame) -> DataFrame:
+    """_n, _who, _types: of each normalised name the entities called so, with how many rows there are and those of the first
+    one's fields that a hint names, and the types whose first row of that title has an id."""
+    own = entities.select("name", "entity_type", X.norm(F.col("name")).alias("_n")).distinct()
+    own = own.join(compare_rows(rows), (F.col("entity_type") == F.col("_ot")) & (F.col("_n") == F.col("_on")), "left")
+    asked = hints.filter("layer = 'field'").groupBy(F.col("_t").alias("_ht")).agg(F.collect_set("key").alias("_keys"))
+    own = own.join(F.broadcast(asked), F.col("entity_type") == F.col("_ht"), "left").withColumn("_fields", F.map_filter("_fields", lambda k, _: F.array_contains("_keys", k)))
+    who = own.select("_n", F.struct("name", "entity_type", "_rows", "_fields").alias("_w"), F.lit(None).cast("string").alias("_type"))
+    t = rows.groupBy(F.col("entity_type").alias("_type"), X.norm(F.col("title")).alias("_n")).agg(F.min_by("id", "ord").alias("_id")).filter("_id IS NOT NULL")
+    each = who.unionByName(t.select("_n", F.lit(None).cast(who.schema["_w"].dataType).alias("_w"), "_type"))
+    return each.groupBy("_n").agg(F.collect_list("_w").alias("_who"), F.collect_list("_type").alias("_types"))
+
+
 def compare_rows(rows: DataFrame) -> DataFrame:
     """_ot, _on, _rows, _fields: of each type and normalised title, how many rows there are and the first one's fields."""
     return rows.groupBy(F.col("entity_type").alias("_ot"), X.norm(F.col("title")).alias("_on")).agg(F.count("*").alias("_rows"), F.min_by("fields", "ord").alias("_fields"))

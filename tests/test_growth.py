@@ -214,6 +214,30 @@ def test_claims_are_not_dealt_out_again_once_they_are_consolidated(spark, shuffl
     assert steps and not any("Exchange" in step for step in steps)
 
 
+def test_operations_are_not_dealt_out_as_rows(spark, shuffled):
+    """entity_operations deals its claims out twice, by either text; candidate pages deal out sums of operations."""
+    queries = {name: registry.QUERIES[name](spark, "/root/testdata/sf0.001") for name in ("entity_operations", "multi_candidates")}
+    assert not any("Exchange" in step for step in above(queries["entity_operations"], "Generate explode"))
+    assert sum("Exchange" in step for step in above(queries["entity_operations"], CONSOLIDATED)) == 2
+    steps = above(queries["multi_candidates"], "Generate explode")
+    first = next(i for i, step in enumerate(steps) if "Exchange" in step)
+    assert any("Aggregate(" in step for step in steps[:first])
+
+
+def test_operations_of_odd_names(spark):
+    """A claim of one name on both sides is one operation of each entity called so; a row without an id is no target."""
+    entities = spark.createDataFrame([("A", "part"), ("a!", "part"), ("A", "supplier"), ("b", "supplier")], "name string, entity_type string")
+    rows = spark.createDataFrame([("part", "P", "a", {"maker": "x", "other": "y"}, 1), ("supplier", None, "b", None, 1), ("supplier", "S", "c", None, 2)], "entity_type string, id string, title string, fields map<string,string>, ord int")
+    claims = spark.createDataFrame([("c1", 1, "made by", "A", "a", "VERIFIED"), ("c2", 2, "sold by", "a", "b", "VERIFIED"), ("c3", 3, "sold by", "a", "C", "VERIFIED"), ("c4", 4, "sold by", "a", None, "VERIFIED"), ("c5", 5, "made by", None, "x", "VERIFIED")], "claim_id string, ord int, predicate string, subject string, object string, status string")
+    hints = spark.createDataFrame([("part", "field", "made by", None, "maker", None, 1), ("part", "relation", "sold by", "object", "shops", "supplier", 2)], "entity_type string, layer string, predicate string, anchor string, key string, target_type string, turn int")
+    schema = spark.createDataFrame([("part", "shops", "Shops"), ("part", "maker", "Maker")], "entity_type string, key string, property string")
+    got = sorted(tuple(r) for r in K.entity_operations(entities, claims, rows, hints, schema).select("claim_id", "name", "entity_type", "layer", F.coalesce("action", F.lit("")), F.coalesce("reason", F.lit(""))).collect())
+    lost, known = ("relation", "CONFLICT", "RELATION_TARGET_ID_NOT_RESOLVED"), ("relation", "CONFLICT", "RELATION_WRITE_NOT_SUPPORTED")
+    per = {"c1": ("field", "CONFLICT", "FIELD_VALUE_MISMATCH"), "c2": lost, "c3": known, "c4": lost}
+    want = [(c, n, "part", *p) for c, p in per.items() for n in ("A", "a!")] + [(c, "A", "supplier", "body", "", "") for c in per] + [("c2", "b", "supplier", "body", "", "")]
+    assert got == sorted(want)
+
+
 def test_claims_that_hold_what_is_known_of_their_files_need_no_index(spark):
     claims = spark.createDataFrame([("c1", "e", 1, "made by", "s", "x", "VERIFIED", ["f", "g"]), ("c2", "e", 2, "made by", "s", "y", "SUPPORTED_BY_WEB", ["g", "h"]), ("c3", "d", 3, "said", "s", "z", "VERIFIED", [])], "claim_id string, subject_id string, ord int, predicate string, subject string, object string, status string, source_file_ids array<string>")
     index = spark.createDataFrame([("f", ["a"]), ("g", []), ("h", ["b", "c"])], "file_id string, paths array<string>")
