@@ -428,7 +428,9 @@ def fan_out(entities: DataFrame, claims: DataFrame, rows: DataFrame, hints: Data
     """A candidate page for every entity (name, entity_type): match, operation (CREATE, UPDATE, none if ambiguous), gate and
     how many operations are proposed.  Types in linked_only want a resolved link from an earlier page; as no relation is
     ever written, they are skipped.  required: entity_type, key."""
-    ops = entity_operations(entities, claims, rows, hints, schema)
+    # the types that are skipped show no operations
+    shown_ones = entities.filter(~F.coalesce(F.col("entity_type").isin(*linked_only), F.lit(False))) if linked_only else entities
+    ops = entity_operations(shown_ones, claims, rows, hints, schema)
     each = ops.groupBy(F.col("name").alias("_pn"), F.col("entity_type").alias("_pt"), X.norm(F.col("key"), "").alias("_key"), F.col("key").isNull().alias("_none"))
     each = each.agg(F.max_by("gate_status", "ord").alias("status"), F.count_if(F.col("action").isin("ADD", "CONFLICT")).alias("n"))
     last = F.map_from_entries(F.collect_list(F.when(~F.col("_none"), F.struct("_key", "status"))))
