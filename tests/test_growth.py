@@ -256,3 +256,14 @@ def test_claims_that_hold_what_is_known_of_their_files_need_no_index(spark):
     assert rows(K.summarize_verification(held)) == rows(K.summarize_verification(claims, index.filter("file_id = 'f'"))) == [("d", "NOT_EXECUTED", "", ""), ("e", "EXECUTED", "made by", "")]
     assert rows(K.corroborate(held), "claim_id", "status") == rows(K.corroborate(claims, sources), "claim_id", "status") == [("c1", "VERIFIED"), ("c2", "VERIFIED"), ("c3", "VERIFIED")]
     assert rows(K.urls_of_files(sources)) == [("f", ["u"]), ("g", ["u"]), ("h", ["v"])]
+
+
+def test_operations_of_skipped_types_are_not_worked_out(spark, monkeypatch):
+    asked, work = [], K.entity_operations
+    monkeypatch.setattr(K, "entity_operations", lambda entities, *a: asked.append(entities) or work(entities, *a))
+    entities, *others = pages(spark, 2)
+    required = spark.createDataFrame([("part", "maker")], "entity_type string, key string")
+    both = entities.unionByName(spark.createDataFrame([("e 0", "shop"), ("e 1", None)], "name string, entity_type string"))
+    got = {(r["name"], r["entity_type"]): (r["operations"], r["skipped"]) for r in K.fan_out(both, *others, required, ["shop"]).collect()}
+    assert {r["entity_type"] for r in asked[0].collect()} == {"part", None}
+    assert got[("e 0", "part")] == (0, None) and got[("e 0", "shop")] == (None, "REQUIRES_EXISTING_LINK_NOT_FOUND")
